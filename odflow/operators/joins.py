@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,16 +32,55 @@ def row_width(df: DataFrame) -> int:
     return max(8, _width(df.schema))
 
 
-def bounded_broadcast(df: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES, known_rows: int | None = None) -> DataFrame:
+_ROWS_LOCK = threading.Lock()
+_ROWS: dict[tuple, int] = {}
+
+
+def dim_rows(df: DataFrame, cap: int | None = None) -> int:
+    """Row count of a dimension, cached per plan and input files.
+
+    Meant for scans of stored tables (a Parquet count reads only footers)
+    and small derived frames.  The key includes the input file list, so a
+    rewritten table is counted again.  With ``cap`` the count stops after
+    ``cap + 1`` rows.
+    """
+    try:
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), cap)
+    except Exception:  # noqa: BLE001
+        key = None
+    if key is not None:
+        with _ROWS_LOCK:
+            if key in _ROWS:
+                return _ROWS[key]
+    n = (df.limit(cap + 1) if cap is not None else df).count()
+    if key is not None:
+        with _ROWS_LOCK:
+            _ROWS[key] = n
+    return n
+
+
+def bounded_broadcast(df: DataFrame, bound: DataFrame | int | None = None,
+                      budget_bytes: int = BROADCAST_BUDGET_BYTES, known_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` only when its size is proven within the budget.
 
-    The bound is a row count (``limit(n + 1).count()`` stops early, so the
-    check never reads more than the budget allows) times a schema-estimated
-    row width.  Over budget, the frame is returned unhinted and Spark plans
-    a shuffle join (AQE may still convert it at runtime from real sizes).
+    The proof is a row bound times a schema-estimated row width.  The row
+    bound is ``known_rows``, or the row count of ``bound`` -- a cheap source
+    frame that ``df`` is derived from by filters, projections, joins to
+    unique keys or grouping (so it cannot have more rows), e.g. the place
+    catalogue for every list of places -- or, without either, the count of
+    ``df`` itself stopped at the budget.  Over budget the frame is returned
+    unhinted and Spark plans a shuffle join (AQE may still convert it at
+    runtime from measured sizes).
     """
     max_rows = max(1, budget_bytes // row_width(df))
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
+    if known_rows is not None:
+        n = known_rows
+    elif isinstance(bound, int):
+        n = bound
+    elif bound is not None:
+        n = dim_rows(bound)
+    else:
+        n = dim_rows(df, cap=max_rows)
     return F.broadcast(df) if n <= max_rows else df
 
 
@@ -121,14 +162,16 @@ def spatial_join_points(
     return out.drop("_px", "_py", "_gx", "_gy")
 
 
-def semi_join_names(df: DataFrame, names: DataFrame, col: str, names_col: str = "nombre") -> DataFrame:
+def semi_join_names(df: DataFrame, names: DataFrame, col: str, names_col: str = "nombre",
+                    bound: DataFrame | int | None = None) -> DataFrame:
     """Rows whose ``col`` is in the ``names`` list (no text splicing)."""
     keys = names.select(F.col(names_col).alias("_name")).distinct()
-    return df.join(bounded_broadcast(keys), df[col] == keys["_name"], "left_semi")
+    return df.join(bounded_broadcast(keys, bound), df[col] == keys["_name"], "left_semi")
 
 
-def mark_join(df: DataFrame, names: DataFrame, col: str, yes: str, no: str, out: str, names_col: str = "nombre") -> DataFrame:
+def mark_join(df: DataFrame, names: DataFrame, col: str, yes: str, no: str, out: str, names_col: str = "nombre",
+              bound: DataFrame | int | None = None) -> DataFrame:
     """Label rows whose ``col`` is in ``names`` (a left join on distinct names)."""
     keys = names.select(F.col(names_col).alias("_mark")).distinct()
-    j = df.join(bounded_broadcast(keys), df[col] == keys["_mark"], "left")
+    j = df.join(bounded_broadcast(keys, bound), df[col] == keys["_mark"], "left")
     return j.withColumn(out, F.when(F.col("_mark").isNotNull(), F.lit(yes)).otherwise(F.lit(no))).drop("_mark")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odflow.operators.joins import bounded_broadcast
+from odflow.session import checkpoint_dir
 
 HOURS = list(range(24))
 
@@ -72,11 +73,17 @@ def kmeans_labels(df: DataFrame, feature_cols: list[str], k: int, seed: int, out
 
     Fails clearly when there are fewer distinct vectors than clusters (a
     k-means fit is undefined there).  The distinct check reads at most k
-    rows.
+    rows.  The input is one row per day (bounded by the calendar), and is
+    checkpointed before the fit.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
+    # One row per day: materialise it once (reliable checkpoint in the
+    # session's checkpoint folder) so the fit's passes and the labelling do
+    # not recompute the fact scan behind it.
+    checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
     feats = df.withColumn("_features", array_to_vector(F.array(*[F.col(c).cast("double") for c in feature_cols])))
     n_distinct = df.select(*feature_cols).distinct().limit(k).count()
     if n_distinct < k:

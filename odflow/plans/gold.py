@@ -32,20 +32,16 @@ def gold_rollup(viajes: DataFrame, tipo_zona: str, days: list[str] | None = None
     return S.enforce_schema(agg.withColumn("periodo", F.col("periodo").cast("string")), S.GOLD_MOBILITY, "gold.mobility")
 
 
-def write_gold(lake: Lake, viajes_table: DataFrame, tipo_zona: str, days: list[str] | None = None,
-               n_files: int | None = None) -> None:
+def write_gold(lake: Lake, viajes_table: DataFrame, tipo_zona: str, days: list[str] | None = None) -> None:
     """Build or reload one gold table, partitioned by day.
 
-    All days in one job (not one job per day).  Output is range-partitioned
-    on (day, origin, destination, hour) -- unique keys after the roll-up,
-    so file sizes are even however skewed an origin is -- and each task
-    writes one or two day directories.  With ``days`` only those days are
-    replaced; a requested day without trips is emptied.
+    All days in one job (not one job per day).  The roll-up output is
+    rebalanced on the day before the write, so each task writes one day
+    directory and AQE splits a day that is too large.  With ``days`` only
+    those days are replaced; a requested day without trips is emptied.
     """
     table = ZONES[tipo_zona].gold_table
-    g = gold_rollup(viajes_table, tipo_zona, days)
-    n = n_files or int(lake.spark.conf.get("spark.sql.shuffle.partitions"))
-    g = g.repartitionByRange(n, "fecha", "id_origen", "id_destino", "periodo")
+    g = gold_rollup(viajes_table, tipo_zona, days).hint("rebalance", "fecha")
     if days:
         present = viajes_table.filter(F.col("tipo_zona") == tipo_zona).select("fecha")
         lake.replace_days(g, "gold", table, days, present_days=present)

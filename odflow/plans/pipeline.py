@@ -32,18 +32,22 @@ class BronzeInputs:
     viajes: DataFrame | None = None
 
 
-def write_viajes(lake: Lake, viajes: DataFrame, levels: list[str] | None = None, n_files: int | None = None) -> None:
-    """Write silver.viajes, one zone level at a time (static zone overwrite).
-
-    Each level is range-partitioned on (fecha, origin, destination, hour) so
-    that files per day are few and even, whatever the key skew.
+def write_viajes(lake: Lake, viajes: DataFrame, levels: list[str] | None = None) -> None:
+    """Write silver.viajes partitioned by (tipo_zona, fecha).
+
+    A full build is one job and one static overwrite.  A reload of some
+    levels rewrites each ``tipo_zona=<level>`` directory (days missing from
+    the new data disappear).  Rows are rebalanced on the partition columns
+    before writing: AQE splits a skewed (zone, day) partition and merges
+    small ones, so files are few per directory and even in size, with no
+    sampling pass over the input.
     """
-    n = n_files or int(lake.spark.conf.get("spark.sql.shuffle.partitions"))
     typed = S.enforce_schema(viajes, S.SILVER_VIAJES, "silver.viajes")
-    for level in levels or list(ZONES):
-        part = typed.filter(F.col("tipo_zona") == level).repartitionByRange(
-            n, "fecha", "id_origen", "id_destino", "periodo"
-        )
+    if levels is None:
+        lake.overwrite(typed.hint("rebalance", "tipo_zona", "fecha"), "silver", "viajes", partition_by=["tipo_zona", "fecha"])
+        return
+    for level in levels:
+        part = typed.filter(F.col("tipo_zona") == level).hint("rebalance", "fecha")
         lake.replace_zone(part, "silver", "viajes", level)
 
 

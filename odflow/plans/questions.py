@@ -60,7 +60,7 @@ def bq1_hourly_profile(gold: DataFrame, lugares: DataFrame, p: MobilityParams) -
     """C-8: trips per day and hour leaving places inside the polygon."""
     origins = places_in_polygon(lugares, p.polygon).select(F.col("id").alias("_oid"))
     v = _in_period(gold, p)
-    j = v.join(bounded_broadcast(origins), v["id_origen"] == F.col("_oid"))
+    j = v.join(bounded_broadcast(origins, lugares), v["id_origen"] == F.col("_oid"))
     return (
         j.groupBy("fecha", F.col("periodo").cast("int").alias("periodo"))
         .agg(F.sum("total_viajes").alias("total_viajes"))
@@ -103,11 +103,11 @@ def bq2_od_base(gold: DataFrame, lugares: DataFrame, poblacion: DataFrame, renta
     r = renta.select(F.col("id").alias("_r"), F.col("renta").alias("_renta"))
     v = _in_period(gold, p)
     j = (
-        v.join(bounded_broadcast(mo), v["id_origen"] == F.col("_mo"))
-        .join(bounded_broadcast(md), v["id_destino"] == F.col("_md"))
-        .join(bounded_broadcast(po), v["id_origen"] == F.col("_po"))
-        .join(bounded_broadcast(pd_), v["id_destino"] == F.col("_pd"))
-        .join(bounded_broadcast(r), v["id_destino"] == F.col("_r"))
+        v.join(bounded_broadcast(mo, lugares), v["id_origen"] == F.col("_mo"))
+        .join(bounded_broadcast(md, lugares), v["id_destino"] == F.col("_md"))
+        .join(bounded_broadcast(po, poblacion), v["id_origen"] == F.col("_po"))
+        .join(bounded_broadcast(pd_, poblacion), v["id_destino"] == F.col("_pd"))
+        .join(bounded_broadcast(r, renta), v["id_destino"] == F.col("_r"))
     )
     tv, am = F.col("total_viajes"), F.col("avg_viajes_metros")
     base = j.groupBy("origen", "destino", "o_lat", "o_lon", "d_lat", "d_lon").agg(
@@ -157,13 +157,13 @@ def bq3_ranking(gold: DataFrame, lugares: DataFrame, calendario: DataFrame, p: M
     dest = places_in_polygon(lugares, p.polygon).select(F.col("id").alias("_lid"), "nombre")
     v = _in_period(gold, p)
     daily = (
-        v.join(bounded_broadcast(dest), v["id_destino"] == F.col("_lid"))
+        v.join(bounded_broadcast(dest, lugares), v["id_destino"] == F.col("_lid"))
         .groupBy("nombre", "fecha")
         .agg(F.sum("total_viajes").alias("trips_per_day"))
     )
     cal = calendario.select("fecha", "tipo_dia")
     daily_avg = (
-        daily.join(bounded_broadcast(cal), "fecha")
+        daily.join(bounded_broadcast(cal, calendario), "fecha")
         .groupBy("nombre", "tipo_dia")
         .agg(F.avg("trips_per_day").alias("avg_daily_vol"))
     )
@@ -183,10 +183,11 @@ def bq3_ranking(gold: DataFrame, lugares: DataFrame, calendario: DataFrame, p: M
 def bq3_hourly(gold: DataFrame, lugares: DataFrame, calendario: DataFrame, ranking: DataFrame,
                p: MobilityParams) -> DataFrame:
     """C-13: hourly totals by day type into the ranked places."""
-    ranked = semi_join_names(lugares, ranking, "nombre").select(F.col("id").alias("_lid"))
+    ranked = semi_join_names(lugares, ranking, "nombre", bound=lugares).select(F.col("id").alias("_lid"))
     cal = calendario.select("fecha", "tipo_dia")
     v = _in_period(gold, p)
-    j = v.join(bounded_broadcast(ranked), v["id_destino"] == F.col("_lid")).join(bounded_broadcast(cal), "fecha")
+    j = v.join(bounded_broadcast(ranked, lugares), v["id_destino"] == F.col("_lid")).join(
+        bounded_broadcast(cal, calendario), "fecha")
     return (
         j.groupBy(F.col("periodo").cast("int").alias("periodo"), "tipo_dia")
         .agg(F.sum("total_viajes").alias("total_viajes"))
@@ -200,13 +201,13 @@ def bq3_flows(gold: DataFrame, lugares: DataFrame, ranking: DataFrame, p: Mobili
         F.col("id").alias("_mo"), F.col("nombre").alias("origen"),
         F.col("latitude").alias("_olat"), F.col("longitude").alias("_olon"),
     )
-    md = semi_join_names(lugares, ranking, "nombre").select(
+    md = semi_join_names(lugares, ranking, "nombre", bound=lugares).select(
         F.col("id").alias("_md"), F.col("nombre").alias("destino"),
         F.col("latitude").alias("_dlat"), F.col("longitude").alias("_dlon"),
     )
     v = _in_period(gold, p)
-    j = v.join(bounded_broadcast(mo), v["id_origen"] == F.col("_mo")).join(
-        bounded_broadcast(md), v["id_destino"] == F.col("_md")
+    j = v.join(bounded_broadcast(mo, lugares), v["id_origen"] == F.col("_mo")).join(
+        bounded_broadcast(md, lugares), v["id_destino"] == F.col("_md")
     )
     return j.groupBy("origen", "destino").agg(
         F.avg("_olat").alias("o_lat"), F.avg("_olon").alias("o_lon"),
@@ -222,6 +223,6 @@ def bq3_points(lugares: DataFrame, ranking: DataFrame, p: MobilityParams) -> Dat
     check is a one-row count joined lazily, not a driver round trip.
     """
     pts = places_in_polygon(lugares, p.polygon).select("nombre", "latitude", "longitude")
-    labelled = mark_join(pts, ranking, "nombre", TOP_LABEL, REST_LABEL, "grupo")
+    labelled = mark_join(pts, ranking, "nombre", TOP_LABEL, REST_LABEL, "grupo", bound=lugares)
     gate = ranking.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0)
     return labelled.crossJoin(bounded_broadcast(gate, known_rows=1)).drop("_n")

@@ -110,10 +110,52 @@ def resolve_trips(bronze: DataFrame, relaciones: DataFrame, spec: ZoneSpec) -> D
     return S.enforce_schema(out, S.SILVER_VIAJES, "silver.viajes")
 
 
+def code_dimension(relaciones: DataFrame) -> DataFrame:
+    """(zone level, file code, official id) for every level, one pass.
+
+    Each level reads its own pair of columns (gaus resolves to the district
+    id); pairs are deduplicated as text, ids that do not parse are dropped.
+    """
+    pairs = [
+        relaciones.select(F.lit(z.level).alias("_level"), F.col(z.mitma_col).alias("_code"), F.col(z.ine_col).alias("_ine"))
+        for z in ZONES.values()
+    ]
+    long = reduce(DataFrame.unionByName, pairs).distinct()
+    return long.select("_level", "_code", try_int("_ine").alias("_id")).filter(F.col("_id").isNotNull())
+
+
 def silver_trips(bronze_by_level: dict[str, DataFrame], relaciones: DataFrame) -> DataFrame:
-    """C-5 for every level present, as one frame."""
-    parts = [resolve_trips(df, relaciones, ZONES[level]) for level, df in bronze_by_level.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """C-5 for every level present, in one pass over the trip files.
+
+    The levels are concatenated with their level as a column and joined
+    once per side to the long code dimension on (level, code): one scan of
+    each trip file, two broadcast hash joins, no shuffle.
+    """
+    tagged = [df.select(F.lit(level).alias("tipo_zona"), *df.columns) for level, df in bronze_by_level.items()]
+    return resolve_all_levels(reduce(DataFrame.unionByName, tagged), relaciones)
+
+
+def resolve_all_levels(bronze: DataFrame, relaciones: DataFrame) -> DataFrame:
+    """C-5 on trips that carry their zone level in ``tipo_zona``."""
+    dim = bounded_broadcast(code_dimension(relaciones))
+    o = dim.select(F.col("_level").alias("_lo"), F.col("_code").alias("_co"), F.col("_id").alias("id_origen"))
+    d = dim.select(F.col("_level").alias("_ld"), F.col("_code").alias("_cd"), F.col("_id").alias("id_destino"))
+    facts = bronze.filter(F.col("viajes_km").isNotNull())
+    j = facts.join(o, (facts["tipo_zona"] == o["_lo"]) & (facts["origen"] == o["_co"])).join(
+        d, (facts["tipo_zona"] == d["_ld"]) & (facts["destino"] == d["_cd"])
+    )
+    out = j.select(
+        parse_date("fecha", strict=True).alias("fecha"),
+        parse_int_strict("periodo", "periodo").alias("periodo"),
+        F.col("tipo_zona"),
+        F.col("id_origen"),
+        F.col("id_destino"),
+        round_half_even_int(
+            S.not_null(F.trim("viajes").try_cast("double"), S.D, "cannot cast viajes to DOUBLE")
+        ).cast("double").alias("viajes"),
+        (F.trim("viajes_km").try_cast("double") * 1000).alias("viajes_metros"),
+    )
+    return S.enforce_schema(out, S.SILVER_VIAJES, "silver.viajes")
 
 
 def place_branch(geo_df: DataFrame, relaciones: DataFrame, spec: ZoneSpec) -> DataFrame:

@@ -57,8 +57,8 @@ def uc6_trips_from_place(viajes: DataFrame, lugares: DataFrame, day: str, place_
     lo = lugares.filter(F.col("nombre") == place_name).select(F.col("id").alias("_lo"), F.col("nombre").alias("origen"))
     ld = lugares.select(F.col("id").alias("_ld"), F.col("nombre").alias("destino"))
     v = viajes.filter(F.col("fecha") == F.lit(day).cast("date"))
-    j = v.join(bounded_broadcast(lo), v["id_origen"] == F.col("_lo")).join(
-        bounded_broadcast(ld), v["id_destino"] == F.col("_ld")
+    j = v.join(bounded_broadcast(lo, lugares), v["id_origen"] == F.col("_lo")).join(
+        bounded_broadcast(ld, lugares), v["id_destino"] == F.col("_ld")
     )
     d = j.select("origen", "destino", "fecha", "viajes", "periodo").distinct()
     return d.orderBy("destino", "periodo", "viajes").limit(n)

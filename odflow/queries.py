@@ -323,9 +323,7 @@ def q_join_resolve_codes(spark, sf):
 
 @query("silver_trips")
 def q_silver_trips(spark, sf):
-    b = fx.bronze_trips(spark, sf)
-    by_level = {lv: b.filter(F.col("tipo_zona") == lv).drop("tipo_zona") for lv in ZONES}
-    return SV.silver_trips(by_level, fx.relaciones(spark, sf))
+    return SV.resolve_all_levels(fx.bronze_trips(spark, sf), fx.relaciones(spark, sf))
 
 
 @query("join_star_5way")
@@ -339,11 +337,11 @@ def q_join_star_5way(spark, sf):
     pd_ = pob.select(F.col("id").alias("_pd"))
     r = ren.select(F.col("id").alias("_r"))
     v = g.filter(F.col("fecha").between(F.lit(PERIOD[0]).cast("date"), F.lit(PERIOD[1]).cast("date")))
-    j = (v.join(bounded_broadcast(mo), v["id_origen"] == F.col("_mo"))
-         .join(bounded_broadcast(md), v["id_destino"] == F.col("_md"))
-         .join(bounded_broadcast(po), v["id_origen"] == F.col("_po"))
-         .join(bounded_broadcast(pd_), v["id_destino"] == F.col("_pd"))
-         .join(bounded_broadcast(r), v["id_destino"] == F.col("_r")))
+    j = (v.join(bounded_broadcast(mo, lug), v["id_origen"] == F.col("_mo"))
+         .join(bounded_broadcast(md, lug), v["id_destino"] == F.col("_md"))
+         .join(bounded_broadcast(po, pob), v["id_origen"] == F.col("_po"))
+         .join(bounded_broadcast(pd_, pob), v["id_destino"] == F.col("_pd"))
+         .join(bounded_broadcast(r, ren), v["id_destino"] == F.col("_r")))
     return j.groupBy("origen", "destino").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_viajes").alias("total_viajes"))
 
 
@@ -372,14 +370,15 @@ def q_join_calendar(spark, sf):
     g = _gold(spark, sf)
     cal = _silver(spark, sf, "calendario").select("fecha", "tipo_dia")
     daily = g.groupBy("fecha").agg(F.sum("total_viajes").alias("total_viajes"))
-    return daily.join(bounded_broadcast(cal), "fecha").select("fecha", "tipo_dia", "total_viajes")
+    return daily.join(bounded_broadcast(cal, _silver(spark, sf, "calendario")), "fecha").select("fecha", "tipo_dia", "total_viajes")
 
 
 @query("semi_join_names")
 def q_semi_join_names(spark, sf):
     g = _gold(spark, sf)
-    ids = semi_join_names(_silver(spark, sf, "lugares"), _bq3_ranking(spark, sf), "nombre").select(F.col("id").alias("_id")).distinct()
-    return g.join(bounded_broadcast(ids), g["id_destino"] == F.col("_id"), "left_semi")
+    lug = _silver(spark, sf, "lugares")
+    ids = semi_join_names(lug, _bq3_ranking(spark, sf), "nombre", bound=lug).select(F.col("id").alias("_id")).distinct()
+    return g.join(bounded_broadcast(ids, lug), g["id_destino"] == F.col("_id"), "left_semi")
 
 
 # =================================================================== aggregates
@@ -398,7 +397,7 @@ def q_agg_avg(spark, sf):
 def q_agg_max_pick(spark, sf):
     g = _gold(spark, sf)
     pob = _silver(spark, sf, "poblacion").select(F.col("id").alias("_id"), "poblacion")
-    j = g.join(bounded_broadcast(pob), g["id_destino"] == F.col("_id"))
+    j = g.join(bounded_broadcast(pob, _silver(spark, sf, "poblacion")), g["id_destino"] == F.col("_id"))
     return j.groupBy("id_destino").agg(
         F.max("poblacion").cast("double").alias("pop_destino"), F.sum("total_viajes").alias("total_viajes")
     )
@@ -410,9 +409,9 @@ def _bq3_stats(spark, sf, p=PARAMS):
     lug, cal = _silver(spark, sf, "lugares"), _silver(spark, sf, "calendario")
     dest = Q.places_in_polygon(lug, p.polygon).select(F.col("id").alias("_lid"), "nombre")
     v = g.filter(F.col("fecha").between(F.lit(p.start_date).cast("date"), F.lit(p.end_date).cast("date")))
-    daily = v.join(bounded_broadcast(dest), v["id_destino"] == F.col("_lid")).groupBy("nombre", "fecha") \
+    daily = v.join(bounded_broadcast(dest, lug), v["id_destino"] == F.col("_lid")).groupBy("nombre", "fecha") \
         .agg(F.sum("total_viajes").alias("trips_per_day"))
-    daily_avg = daily.join(bounded_broadcast(cal.select("fecha", "tipo_dia")), "fecha") \
+    daily_avg = daily.join(bounded_broadcast(cal.select("fecha", "tipo_dia"), cal), "fecha") \
         .groupBy("nombre", "tipo_dia").agg(F.avg("trips_per_day").alias("avg_daily_vol"))
     return daily_avg
 

@@ -21,7 +21,7 @@ from odflow.session import scratch_path
 from odflow.sources import fixtures as fx
 
 # Bump when the layout of lake tables changes, so older lakes are not reused.
-LAYOUT_VERSION = 2
+LAYOUT_VERSION = 3
 
 _LOCK = threading.Lock()
 _BUILT: dict[tuple[str, str], Lake] = {}
