@@ -1,5 +1,8 @@
 """Physical plan properties that matter at scale."""
 
+import contextlib
+import io
+
 from odflow.plans import questions as Q
 from odflow.queries import registry
 from odflow.sources import fixtures as fx
@@ -9,14 +12,17 @@ SF = "/root/testdata/sf0.001"
 
 
 def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
 
 
 def test_day_filter_prunes_gold_partitions(spark):
     lake = fixture_lake(spark, SF)
     g = lake.read("gold", "mobility_municipios_periodo")
     df = g.filter("fecha BETWEEN DATE'2023-01-02' AND DATE'2023-01-03'")
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = _plan(df)
     part = plan[plan.index("PartitionFilters: ["):].split("]", 1)[0]
     assert "fecha" in part and "2023-01-02" in part and "2023-01-03" in part
 
