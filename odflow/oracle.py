@@ -416,6 +416,15 @@ SQL: dict[str, tuple[str, list[str]]] = {
     "wkt_parse": ("SELECT point_id, round((x1 - x0) * (y1 - y0), 6) AS area, x0 AS xmin, y0 AS ymin, x1 AS xmax, y1 AS ymax "
                   "FROM squares", ["squares"]),
     "centroid_xy": ("SELECT point_id, round((x0 + x1) / 2, 6) AS x, round((y0 + y1) / 2, 6) AS y FROM squares", ["squares"]),
+    "stream_ingest_trips": ("""
+      SELECT CAST(v.fecha AS DATE) AS fecha, CAST(v.periodo AS INTEGER) AS periodo, v.tipo_zona,
+             TRY_CAST(ro.i AS INTEGER) AS id_origen, TRY_CAST(rd.i AS INTEGER) AS id_destino,
+             CAST(CAST(CAST(v.viajes AS DOUBLE) AS INTEGER) AS DOUBLE) AS viajes,
+             TRY_CAST(v.viajes_km AS DOUBLE) * 1000 AS viajes_metros
+      FROM bronze_trips v JOIN rel_pairs ro ON v.origen = ro.m JOIN rel_pairs rd ON v.destino = rd.m
+      WHERE v.tipo_zona = 'distritos' AND v.viajes_km IS NOT NULL
+        AND TRY_CAST(ro.i AS INTEGER) IS NOT NULL AND TRY_CAST(rd.i AS INTEGER) IS NOT NULL""",
+                            ["bronze_trips", "rel_pairs"]),
     # ---- composites
     "silver_places": ("SELECT id, id_mitma, nombre, tipo_zona, round(longitude, 6) AS longitude, round(latitude, 6) AS latitude, "
                       "cod_provincia FROM lugares", ["lugares"]),

@@ -727,3 +727,19 @@ def q_uc5(spark, sf):
 @query("uc6_trips_from_place")
 def q_uc6(spark, sf):
     return U.uc6_trips_from_place(_silver(spark, sf, "viajes"), _silver(spark, sf, "lugares"), UC6_DAY, UC6_PLACE)
+
+
+# =================================================================== streaming
+
+@query("stream_ingest_trips")
+def q_stream_ingest_trips(spark, sf):
+    """Daily trip files ingested by the streaming path (available-now trigger) into a fresh lake."""
+    from odflow.streaming.ingest import start_trip_ingest
+
+    root = _trip_files(spark, sf, "distritos")
+    lake = Lake(spark, _fresh(spark, "stream"))
+    q = start_trip_ingest(spark, root, lake, fx.relaciones(spark, sf), _fresh(spark, "stream_ckpt"), levels=["distritos"])
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"ingest stream failed: {q.exception()}")
+    return lake.read("silver", "viajes").select(*[f.name for f in S.SILVER_VIAJES.fields])
