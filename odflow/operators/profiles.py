@@ -27,12 +27,10 @@ def pivot_hours(df: DataFrame, index: str, hour: str, value: str) -> DataFrame:
     re-index).  The presence flags are a one-row aggregate joined back.
     """
     wide = df.groupBy(index).pivot(hour, HOURS).agg(F.sum(value))
-    for h in HOURS:
-        wide = wide.withColumnRenamed(str(h), hour_col(h))
     present = df.agg(*[F.max((F.col(hour) == h).cast("int")).alias(f"_p{h}") for h in HOURS])
     j = wide.crossJoin(bounded_broadcast(present, known_rows=1))
     cols = [
-        F.when(F.coalesce(F.col(f"_p{h}"), F.lit(0)) == 1, F.col(hour_col(h))).otherwise(F.lit(0.0)).cast("double").alias(hour_col(h))
+        F.when(F.coalesce(F.col(f"_p{h}"), F.lit(0)) == 1, F.col(f"`{h}`")).otherwise(F.lit(0.0)).cast("double").alias(hour_col(h))
         for h in HOURS
     ]
     return j.select(index, *cols)
@@ -44,12 +42,9 @@ def row_total(cols: list[str]) -> Column:
 
 def normalise_rows(df: DataFrame, cols: list[str] = HOUR_COLS, prefix: str = "s") -> DataFrame:
     """Each value over its row total; missing or 0/0 becomes 0."""
-    total = row_total(cols)
-    shares = [
-        F.coalesce(F.try_divide(F.col(c), F.nullif(total, F.lit(0.0))), F.lit(0.0)).alias(f"{prefix}{c[1:]}")
-        for c in cols
-    ]
-    return df.select("*", *shares)
+    with_total = df.withColumn("_total", F.nullif(row_total(cols), F.lit(0.0)))
+    shares = [F.coalesce(F.try_divide(F.col(c), F.col("_total")), F.lit(0.0)).alias(f"{prefix}{c[1:]}") for c in cols]
+    return with_total.select(*df.columns, *shares)
 
 
 def share_cols(prefix: str = "s") -> list[str]:
