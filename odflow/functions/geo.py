@@ -174,14 +174,21 @@ def sql_string(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+_LITERALS: dict[tuple[str, str], str] = {}
+
+
 def geom_literal_sql(spark, wkt: str) -> str:
     """A WKT parameter as one folded geometry literal (SQL text).
 
-    Parsed once by a one-row job and embedded as a JSON constant, so plans
-    that test it against every row carry a constant, not the parser.
+    Parsed once per session by a one-row job and embedded as a JSON
+    constant, so plans that test it against every row carry a constant,
+    not the parser.
     """
-    txt = spark.range(1).select(F.to_json(geom_from_wkt(sql_string(wkt)))).first()[0]
-    return f"from_json({sql_string(txt)}, {sql_string(GEOM.simpleString())})"
+    key = (spark.sparkContext.applicationId, wkt)
+    if key not in _LITERALS:
+        txt = spark.range(1).select(F.to_json(geom_from_wkt(sql_string(wkt)))).first()[0]
+        _LITERALS[key] = txt
+    return f"from_json({sql_string(_LITERALS[key])}, {sql_string(GEOM.simpleString())})"
 
 
 def geom_literal(spark, wkt: str) -> Column:

@@ -26,9 +26,14 @@ ROWS_PER_FILE = 2_000_000
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, root: str):
+    """Tables under one root.  ``frozen=True`` declares that the tables no
+    longer change, so each table's schema is inferred once and reused."""
+
+    def __init__(self, spark: SparkSession, root: str, frozen: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.frozen = frozen
+        self._schemas: dict[str, object] = {}
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -44,7 +49,12 @@ class Lake:
         return os.path.exists(os.path.join(p.replace("file:", ""), "_SUCCESS")) or os.path.isdir(p.replace("file:", ""))
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+        path = self.path(layer, table)
+        if not self.frozen:
+            return self.spark.read.parquet(path)
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
     # ------------------------------------------------------------ writes
     def overwrite(self, df: DataFrame, layer: str, table: str, partition_by: list[str] | None = None) -> None:

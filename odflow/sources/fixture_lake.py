@@ -75,5 +75,6 @@ def fixture_lake(spark: SparkSession, sf_dir: str) -> Lake:
         if not _marker_exists(spark, marker):
             build_all(lake, fixture_inputs(spark, sf_dir))
             spark.createDataFrame([(sf_dir,)], "src string").write.mode("overwrite").text(marker)
+        lake = Lake(spark, root, frozen=True)
         _BUILT[key] = lake
         return lake

@@ -28,8 +28,16 @@ RECT_WKT = "POLYGON((-0.5 -0.5, 2.5 -0.5, 2.5 2.5, -0.5 2.5, -0.5 -0.5))"
 CONCAVE_WKT = "POLYGON((-0.5 -0.5, 2.5 -0.5, 2.5 2.5, 1 1, -0.5 2.5, -0.5 -0.5))"
 
 
+_SCHEMAS: dict[tuple[str, str], object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; its schema is inferred once per session (the files are read-only)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def _code(k: Column) -> Column:
