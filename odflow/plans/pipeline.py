@@ -51,13 +51,19 @@ def write_viajes(lake: Lake, viajes: DataFrame, levels: list[str] | None = None)
         lake.replace_zone(part, "silver", "viajes", level)
 
 
-def build_silver(lake: Lake, b: BronzeInputs) -> None:
+def build_silver(lake: Lake, b: BronzeInputs, calendar_from_trips=None) -> None:
+    """Write every silver table.
+
+    ``calendar_from_trips``, if given, derives the bronze calendar from the
+    written trip table (its day partitions) instead of ``b.calendario``.
+    """
     lake.overwrite(silver.clean_provinces(b.provincias), "silver", "provincias")
     lake.overwrite(silver.clean_population(b.poblacion), "silver", "poblacion")
     lake.overwrite(silver.clean_income(b.renta), "silver", "renta")
-    lake.overwrite(silver.clean_calendar(b.calendario), "silver", "calendario")
     trips = b.viajes if b.viajes is not None else silver.silver_trips(b.trips_by_level, b.relaciones)
     write_viajes(lake, trips)
+    cal = calendar_from_trips(lake.read("silver", "viajes")) if calendar_from_trips else b.calendario
+    lake.overwrite(silver.clean_calendar(cal), "silver", "calendario")
     places = silver.place_catalogue(b.geo_by_level, b.relaciones, lake.read("silver", "provincias"))
     lake.overwrite(places, "silver", "lugares")
 
@@ -68,6 +74,6 @@ def build_gold(lake: Lake, levels: list[str] | None = None, days: list[str] | No
         gold.write_gold(lake, v, level, days)
 
 
-def build_all(lake: Lake, b: BronzeInputs) -> None:
-    build_silver(lake, b)
+def build_all(lake: Lake, b: BronzeInputs, calendar_from_trips=None) -> None:
+    build_silver(lake, b, calendar_from_trips)
     build_gold(lake)

@@ -161,7 +161,7 @@ def resolve_all_levels(bronze: DataFrame, relaciones: DataFrame) -> DataFrame:
 def place_branch(geo_df: DataFrame, relaciones: DataFrame, spec: ZoneSpec) -> DataFrame:
     """One level of the place catalogue: shapes joined to their official ids, distinct."""
     pairs = relaciones.select(F.col(spec.mitma_col).alias("_m"), F.col(spec.ine_col).alias("_i")).distinct()
-    j = geo_df.join(bounded_broadcast(pairs), geo_df["id"] == pairs["_m"], "inner")
+    j = geo_df.join(bounded_broadcast(pairs, relaciones), geo_df["id"] == pairs["_m"], "inner")
     return j.select(
         try_int("_i").alias("id"),
         F.col("id").alias("id_mitma"),

@@ -21,7 +21,7 @@ from odflow.session import scratch_path
 from odflow.sources import fixtures as fx
 
 # Bump when the layout of lake tables changes, so older lakes are not reused.
-LAYOUT_VERSION = 3
+LAYOUT_VERSION = 4
 
 _LOCK = threading.Lock()
 _BUILT: dict[tuple[str, str], Lake] = {}
@@ -73,7 +73,7 @@ def fixture_lake(spark: SparkSession, sf_dir: str) -> Lake:
         lake = Lake(spark, root)
         marker = f"{root}/_built"
         if not _marker_exists(spark, marker):
-            build_all(lake, fixture_inputs(spark, sf_dir))
+            build_all(lake, fixture_inputs(spark, sf_dir), calendar_from_trips=fx.calendar_from_trips)
             spark.createDataFrame([(sf_dir,)], "src string").write.mode("overwrite").text(marker)
         lake = Lake(spark, root, frozen=True)
         _BUILT[key] = lake

@@ -163,7 +163,16 @@ def bronze_renta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_calendario(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar file: one row per distinct trip day, names padded and upper-case."""
-    days = viajes(spark, sf_dir).select("fecha").distinct()
+    return calendar_from_trips(viajes(spark, sf_dir))
+
+
+def calendar_from_trips(trips: DataFrame) -> DataFrame:
+    """The calendar file for the days present in a trip table.
+
+    On the written silver table ``fecha`` is a partition column, so this
+    reads directory names and file footers only.
+    """
+    days = trips.select("fecha").distinct()
     dow = F.dayofweek("fecha")
     return days.select(
         F.date_format("fecha", "yyyy-MM-dd").alias("Dia"),
