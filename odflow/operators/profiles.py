@@ -63,6 +63,15 @@ def assign_nearest(df: DataFrame, feature_cols: list[str], centres: list[list[fl
     return df.withColumn(out, best)
 
 
+def first_rows_as_centres(df: DataFrame, order_col: str, feature_cols: list[str], k: int) -> list[list[float]]:
+    """Feature vectors of the first ``k`` rows by ``order_col`` (a deterministic initialisation).
+
+    Collects exactly ``k`` rows to the driver.
+    """
+    rows = df.orderBy(order_col).limit(k).select(*feature_cols).collect()
+    return [[float(v) for v in r] for r in rows]
+
+
 def kmeans_labels(df: DataFrame, feature_cols: list[str], k: int, seed: int, out: str = "cluster") -> DataFrame:
     """Fit k-means on the feature columns and label rows 1..k.
 

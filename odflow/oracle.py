@@ -10,8 +10,6 @@ brute-force ray cast for the concave polygon (no spatial extension).
 
 from __future__ import annotations
 
-from odflow.queries import CENTRES
-
 D = "CAST({} AS DOUBLE)".format
 
 CTE: dict[str, tuple[str, list[str]]] = {}
@@ -226,15 +224,15 @@ cte("shares", f"""
     ["day_vectors"])
 
 
-def _dist(centre: list[float]) -> str:
-    return " + ".join(f"(s{h} - '{repr(float(c))}'::DOUBLE) * (s{h} - '{repr(float(c))}'::DOUBLE)"
-                      for h, c in zip(_H, centre))
-
-
+_DIST = " + ".join(f"(s.s{h} - c.s{h}) * (s.s{h} - c.s{h})" for h in _H)
+cte("centres", "SELECT row_number() OVER (ORDER BY fecha) AS k, * FROM shares ORDER BY fecha LIMIT 3", ["shares"])
 cte("assigned", f"""
-  SELECT *, CASE WHEN d1 <= d2 AND d1 <= d3 THEN 1 WHEN d2 <= d3 THEN 2 ELSE 3 END AS cluster
-  FROM (SELECT *, {_dist(CENTRES[0])} AS d1, {_dist(CENTRES[1])} AS d2, {_dist(CENTRES[2])} AS d3 FROM shares) t""",
-    ["shares"])
+  SELECT s.*, a.k AS cluster
+  FROM shares s JOIN (
+    SELECT fecha, k FROM (
+      SELECT s.fecha, c.k, row_number() OVER (PARTITION BY s.fecha ORDER BY {_DIST}, c.k) AS rn
+      FROM shares s, centres c) t
+    WHERE rn = 1) a ON s.fecha = a.fecha""", ["shares", "centres"])
 
 CONCAVE_EDGES = "(-0.5, -0.5, 2.5, -0.5), (2.5, -0.5, 2.5, 2.5), (2.5, 2.5, 1.0, 1.0), (1.0, 1.0, -0.5, 2.5), (-0.5, 2.5, -0.5, -0.5)"
 

@@ -32,7 +32,7 @@ from odflow.functions.scalar import (
 )
 from odflow.lake import Lake
 from odflow.operators.joins import bounded_broadcast, semi_join_names, spatial_join_points
-from odflow.operators.profiles import HOUR_COLS, assign_nearest, share_cols
+from odflow.operators.profiles import HOUR_COLS, assign_nearest, first_rows_as_centres, share_cols
 from odflow.params import ZONES, MobilityParams
 from odflow.plans import gold as G
 from odflow.plans import pipeline
@@ -54,12 +54,7 @@ BETWEEN = ("2023-01-02", "2023-01-05")
 RELOAD_LAST_DAY = "2023-01-07"                  # zone reload keeps days up to this one
 RELOAD_DAYS = ["2023-01-02", "2023-01-03", "2023-01-20"]
 RELOAD_EMPTIED = "2023-01-03"                   # requested day whose rows are gone
-# Fixed centres for the deterministic assignment: flat, morning, evening.
-CENTRES = [
-    [1 / 24] * 24,
-    [0.01] * 6 + [0.12] * 6 + [0.01] * 12,
-    [0.01] * 16 + [0.12] * 6 + [0.01] * 2,
-]
+N_CENTRES = 3                                   # centres of the deterministic assignment
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, QueryFn] = {}
@@ -595,7 +590,10 @@ def q_row_normalise(spark, sf):
 
 
 def _assigned(spark, sf) -> DataFrame:
-    return assign_nearest(Q.day_vectors(_hourly(spark, sf)), share_cols("s"), CENTRES)
+    """Each day to the nearest of the first three days' share vectors (one Lloyd assignment step)."""
+    vectors = Q.day_vectors(_hourly(spark, sf))
+    centres = first_rows_as_centres(vectors, "fecha", share_cols("s"), N_CENTRES)
+    return assign_nearest(vectors, share_cols("s"), centres)
 
 
 @query("kmeans_assign_fixed")
