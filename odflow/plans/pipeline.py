@@ -32,23 +32,25 @@ class BronzeInputs:
     viajes: DataFrame | None = None
 
 
-def write_viajes(lake: Lake, viajes: DataFrame, levels: list[str] | None = None) -> None:
+def write_viajes(lake: Lake, viajes: DataFrame, levels: list[str] | None = None, rebalance: bool = True) -> None:
     """Write silver.viajes partitioned by (tipo_zona, fecha).
 
     A full build is one job and one static overwrite.  A reload of some
     levels rewrites each ``tipo_zona=<level>`` directory (days missing from
-    the new data disappear).  Rows are rebalanced on the partition columns
-    before writing: AQE splits a skewed (zone, day) partition and merges
-    small ones, so files are few per directory and even in size, with no
-    sampling pass over the input.
+    the new data disappear).  With ``rebalance`` rows are first shuffled on
+    the partition columns (AQE splits a skewed (zone, day) partition and
+    merges small ones, no sampling pass), for inputs whose partitions mix
+    days.  Trips read from per-day files are already day-aligned (one task
+    per file writes one directory), so that path skips the shuffle.
     """
     typed = S.enforce_schema(viajes, S.SILVER_VIAJES, "silver.viajes")
     if levels is None:
-        lake.overwrite(typed.hint("rebalance", "tipo_zona", "fecha"), "silver", "viajes", partition_by=["tipo_zona", "fecha"])
+        out = typed.hint("rebalance", "tipo_zona", "fecha") if rebalance else typed
+        lake.overwrite(out, "silver", "viajes", partition_by=["tipo_zona", "fecha"])
         return
     for level in levels:
-        part = typed.filter(F.col("tipo_zona") == level).hint("rebalance", "fecha")
-        lake.replace_zone(part, "silver", "viajes", level)
+        part = typed.filter(F.col("tipo_zona") == level)
+        lake.replace_zone(part.hint("rebalance", "fecha") if rebalance else part, "silver", "viajes", level)
 
 
 def build_silver(lake: Lake, b: BronzeInputs, calendar_from_trips=None) -> None:
@@ -60,8 +62,10 @@ def build_silver(lake: Lake, b: BronzeInputs, calendar_from_trips=None) -> None:
     lake.overwrite(silver.clean_provinces(b.provincias), "silver", "provincias")
     lake.overwrite(silver.clean_population(b.poblacion), "silver", "poblacion")
     lake.overwrite(silver.clean_income(b.renta), "silver", "renta")
-    trips = b.viajes if b.viajes is not None else silver.silver_trips(b.trips_by_level, b.relaciones)
-    write_viajes(lake, trips)
+    if b.viajes is not None:
+        write_viajes(lake, b.viajes)
+    else:
+        write_viajes(lake, silver.silver_trips(b.trips_by_level, b.relaciones), rebalance=False)
     cal = calendar_from_trips(lake.read("silver", "viajes")) if calendar_from_trips else b.calendario
     lake.overwrite(silver.clean_calendar(cal), "silver", "calendario")
     places = silver.place_catalogue(b.geo_by_level, b.relaciones, lake.read("silver", "provincias"))

@@ -21,13 +21,16 @@ class NoInputFiles(FileNotFoundError):
 
 
 def read_trip_csv(spark: SparkSession, prefix: str, name_contains: str, schema: T.StructType = S.BRONZE_TRIPS,
-                  sep: str = "|", min_partitions: int | None = None) -> DataFrame:
+                  sep: str = "|", repartition: int | None = None) -> DataFrame:
     """All ``*<name_contains>*.csv.gz`` trip files under ``prefix``, one job.
 
     Header per file, ``|`` separated, every column text.  Gzip files are not
-    splittable (one task per file), so the result is repartitioned to use
-    the cluster for what follows.  An empty or missing prefix is an error;
-    a filter that matches nothing gives an empty frame.
+    splittable: each file is one task.  With one file per level and day
+    that is already the parallelism and the layout the silver table wants
+    (a task writes one (zone, day) directory), so no shuffle is added;
+    ``repartition`` spreads a few very large files when needed.  An empty or
+    missing prefix is an error; a filter that matches nothing gives an
+    empty frame.
     """
     try:
         df = (
@@ -44,8 +47,7 @@ def read_trip_csv(spark: SparkSession, prefix: str, name_contains: str, schema:
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             raise NoInputFiles(f"no files found in {prefix}") from exc
         raise
-    n = min_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n)
+    return df.repartition(repartition) if repartition else df
 
 
 def daily_paths(base: str, suffix: str, start: str, end: str) -> list[str]:
