@@ -16,15 +16,9 @@ appends twice would load a file twice):
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Target rows per output file for layout-aware writes.
-ROWS_PER_FILE = 2_000_000
-
-
 class Lake:
     """Tables under one root.  ``frozen=True`` declares that the tables no
     longer change, so each table's schema is inferred once and reused."""
@@ -38,16 +32,6 @@ class Lake:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
-    def exists(self, layer: str, table: str) -> bool:
-        p = self.path(layer, table)
-        if "://" in p and not p.startswith("file:"):
-            try:
-                self.spark.read.parquet(p).schema  # noqa: B018
-                return True
-            except Exception:  # noqa: BLE001
-                return False
-        return os.path.exists(os.path.join(p.replace("file:", ""), "_SUCCESS")) or os.path.isdir(p.replace("file:", ""))
-
     def read(self, layer: str, table: str) -> DataFrame:
         path = self.path(layer, table)
         if not self.frozen:
@@ -117,7 +101,3 @@ class Lake:
             if d not in present:
                 empty = self.spark.createDataFrame([], empty_schema)
                 empty.write.mode("overwrite").parquet(f"{self.path(layer, table)}/{day_col}={d}")
-
-
-def output_files(n_rows_estimate: int) -> int:
-    return max(1, -(-n_rows_estimate // ROWS_PER_FILE))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---- fixed values: zone levels, their code columns and gold tables ----
 # level of silver.viajes -> (code column in the relations file, INE column,
@@ -46,7 +46,10 @@ class MobilityParams:
     tipo_zona: str = "municipios"
     k: int = 3
     seed: int = 42
-    extra: dict = field(default_factory=dict, compare=False)
+    # False: places of every level join on id, as the reference does (an id
+    # present at several levels repeats trips).  True: only places of the
+    # question's level, and one population / income value per id.
+    zone_filter: bool = False
 
     def __post_init__(self) -> None:
         resolve_gold_table(self.tipo_zona)

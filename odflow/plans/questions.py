@@ -17,7 +17,7 @@ from odflow.functions import geo
 from odflow.functions.scalar import safe_div
 from odflow.operators.joins import bounded_broadcast, mark_join, semi_join_names
 from odflow.operators.profiles import HOUR_COLS, kmeans_labels, normalise_rows, pivot_hours, share_cols
-from odflow.params import MobilityParams
+from odflow.params import ZONES, MobilityParams
 
 # ---- fixed values of the questions ----
 MIN_WORKDAY_VOLUME = 50        # BQ3 keeps places with more average workday trips
@@ -50,6 +50,20 @@ def places_in_polygon(lugares: DataFrame, wkt: str, geom_col: str = "coordenadas
     )
 
 
+def catalogue(lugares: DataFrame, p: MobilityParams) -> DataFrame:
+    """The places a question joins to: all levels, or the question's level with ``zone_filter``."""
+    if not p.zone_filter:
+        return lugares
+    return lugares.filter(F.col("tipo_zona") == ZONES[p.tipo_zona].place_level)
+
+
+def per_id(stat: DataFrame, value: str, p: MobilityParams) -> DataFrame:
+    """Population or income rows: as loaded, or one (max) value per id with ``zone_filter``."""
+    if not p.zone_filter:
+        return stat
+    return stat.groupBy("id").agg(F.max(value).alias(value))
+
+
 def _in_period(df: DataFrame, p: MobilityParams) -> DataFrame:
     return df.filter(F.col("fecha").between(F.lit(p.start_date).cast("date"), F.lit(p.end_date).cast("date")))
 
@@ -58,6 +72,7 @@ def _in_period(df: DataFrame, p: MobilityParams) -> DataFrame:
 
 def bq1_hourly_profile(gold: DataFrame, lugares: DataFrame, p: MobilityParams) -> DataFrame:
     """C-8: trips per day and hour leaving places inside the polygon."""
+    lugares = catalogue(lugares, p)
     origins = places_in_polygon(lugares, p.polygon).select(F.col("id").alias("_oid"))
     v = _in_period(gold, p)
     j = v.join(bounded_broadcast(origins, lugares), v["id_origen"] == F.col("_oid"))
@@ -90,6 +105,7 @@ def cluster_profile(clustered: DataFrame) -> DataFrame:
 def bq2_od_base(gold: DataFrame, lugares: DataFrame, poblacion: DataFrame, renta: DataFrame,
                 p: MobilityParams) -> DataFrame:
     """C-10: origin-destination pairs with trips, weighted distance, population, income, potential."""
+    lugares = catalogue(lugares, p)
     mo = places_in_polygon(lugares, p.polygon).select(
         F.col("id").alias("_mo"), F.col("nombre").alias("origen"),
         F.col("latitude").alias("o_lat"), F.col("longitude").alias("o_lon"),
@@ -98,6 +114,7 @@ def bq2_od_base(gold: DataFrame, lugares: DataFrame, poblacion: DataFrame, renta
         F.col("id").alias("_md"), F.col("nombre").alias("destino"),
         F.col("latitude").alias("d_lat"), F.col("longitude").alias("d_lon"),
     )
+    poblacion, renta = per_id(poblacion, "poblacion", p), per_id(renta, "renta", p)
     po = poblacion.select(F.col("id").alias("_po"), F.col("poblacion").alias("_pop_o"))
     pd_ = poblacion.select(F.col("id").alias("_pd"), F.col("poblacion").alias("_pop_d"))
     r = renta.select(F.col("id").alias("_r"), F.col("renta").alias("_renta"))
@@ -154,6 +171,7 @@ def bq3_ranking(gold: DataFrame, lugares: DataFrame, calendario: DataFrame, p: M
     name; the percent rank is global, over one row per place (bounded by
     the zone catalogue, so the single-partition window is small).
     """
+    lugares = catalogue(lugares, p)
     dest = places_in_polygon(lugares, p.polygon).select(F.col("id").alias("_lid"), "nombre")
     v = _in_period(gold, p)
     daily = (
@@ -183,6 +201,7 @@ def bq3_ranking(gold: DataFrame, lugares: DataFrame, calendario: DataFrame, p: M
 def bq3_hourly(gold: DataFrame, lugares: DataFrame, calendario: DataFrame, ranking: DataFrame,
                p: MobilityParams) -> DataFrame:
     """C-13: hourly totals by day type into the ranked places."""
+    lugares = catalogue(lugares, p)
     ranked = semi_join_names(lugares, ranking, "nombre", bound=lugares).select(F.col("id").alias("_lid"))
     cal = calendario.select("fecha", "tipo_dia")
     v = _in_period(gold, p)
@@ -197,6 +216,7 @@ def bq3_hourly(gold: DataFrame, lugares: DataFrame, calendario: DataFrame, ranki
 
 def bq3_flows(gold: DataFrame, lugares: DataFrame, ranking: DataFrame, p: MobilityParams) -> DataFrame:
     """C-14: flows into the ranked places, mean coordinates per (origin, destination) name."""
+    lugares = catalogue(lugares, p)
     mo = lugares.select(
         F.col("id").alias("_mo"), F.col("nombre").alias("origen"),
         F.col("latitude").alias("_olat"), F.col("longitude").alias("_olon"),
@@ -222,6 +242,7 @@ def bq3_points(lugares: DataFrame, ranking: DataFrame, p: MobilityParams) -> Dat
     Like the report, nothing is produced when the ranking is empty; the
     check is a one-row count joined lazily, not a driver round trip.
     """
+    lugares = catalogue(lugares, p)
     pts = places_in_polygon(lugares, p.polygon).select("nombre", "latitude", "longitude")
     labelled = mark_join(pts, ranking, "nombre", TOP_LABEL, REST_LABEL, "grupo", bound=lugares)
     gate = ranking.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0)

@@ -107,3 +107,14 @@ def test_gravity_division_by_zero_is_null(spark):
     assert out["a"].mismatch is None and out["a"].pop_weight == 6.0
     # k = (10 + 5) / (0 + 5) = 3, so the second pair is 5 / (5 * 3)
     assert out["c"].mismatch == pytest.approx(1.0 / 3.0)
+
+
+def test_zone_filter_option(spark):
+    # the same id at two levels: faithful mode repeats the trips under both names
+    places = _places(spark, ["A"]).unionByName(_places(spark, ["A-D"]).withColumn("tipo_zona", F.lit("distrito")))
+    gold = _gold(spark, [(1, 2, 100.0), (1, 7, 10.0)])
+    hourly = Q.bq1_hourly_profile(gold.withColumn("id_origen", F.lit(1)), places, P)
+    assert hourly.agg(F.sum("total_viajes")).first()[0] == 220.0
+    only = MobilityParams(POLY, "2023-01-01", "2023-01-31", zone_filter=True)
+    hourly = Q.bq1_hourly_profile(gold.withColumn("id_origen", F.lit(1)), places, only)
+    assert hourly.agg(F.sum("total_viajes")).first()[0] == 110.0
