@@ -131,6 +131,7 @@ def spatial_join_points(
     geom_col: str = "geom",
     how: str = "left",
     cell_size: float | None = None,
+    broadcast_budget: int = BROADCAST_BUDGET_BYTES,
 ) -> DataFrame:
     """Points joined to the polygons that contain them (``ST_Contains(poly, pt)``).
 
@@ -150,7 +151,7 @@ def spatial_join_points(
         .withColumn("_gy", F.explode(F.sequence(F.floor(g["ymin"] / s), F.floor(g["ymax"] / s))))
     )
     pts = points.withColumn("_px", F.floor(F.col(x) / s)).withColumn("_py", F.floor(F.col(y) / s))
-    cells = bounded_broadcast(cells)
+    cells = bounded_broadcast(cells, budget_bytes=broadcast_budget)
     # Column names of the two sides are distinct, so the exact test can
     # name them directly.
     cond = (

@@ -26,6 +26,12 @@ ZONES: dict[str, ZoneSpec] = {
     "gaus": ZoneSpec("gaus", "gau_mitma", "distrito_ine", "gau", "mobility_gaus_periodo"),
 }
 
+# ---- fixed values: default run parameters of the business questions ----
+DEFAULT_POLYGON = "POLYGON((-0.5513 39.5784, -0.2104 39.5784, -0.2104 39.3175, -0.5513 39.3175, -0.5513 39.5784))"
+DEFAULT_START_DATE = "2023-01-01"
+DEFAULT_END_DATE = "2023-01-02"
+DEFAULT_ZONE = "municipios"
+
 # Zone levels the business questions accept.
 QUESTION_LEVELS = ("municipios", "distritos")
 
@@ -40,10 +46,10 @@ def resolve_gold_table(tipo_zona: str) -> str:
 class MobilityParams:
     """Parameters of the business questions, validated at construction."""
 
-    polygon: str
-    start_date: str
-    end_date: str
-    tipo_zona: str = "municipios"
+    polygon: str = DEFAULT_POLYGON
+    start_date: str = DEFAULT_START_DATE
+    end_date: str = DEFAULT_END_DATE
+    tipo_zona: str = DEFAULT_ZONE
     k: int = 3
     seed: int = 42
     # False: places of every level join on id, as the reference does (an id

@@ -9,6 +9,14 @@ from odflow.functions import geo
 from odflow.operators.joins import bounded_broadcast
 from odflow.plans.questions import places_in_polygon
 
+# ---- fixed values: parameters of the ad-hoc queries as first written ----
+UC4_POLYGON = (
+    "POLYGON ((-0.219727 40.763901, -1.560059 39.554883, -0.74707 37.840157, 0.340576 38.728376, "
+    "-0.230713 39.470125, 0.648193 40.597271, -0.219727 40.763901))"
+)
+UC6_DAY = "2023-03-19"
+UC6_PLACE = "València"
+
 
 def uc1_top_income(renta: DataFrame, lugares: DataFrame, n: int = 10) -> DataFrame:
     """C-16: the ``n`` highest incomes with the place name (names break ties)."""
@@ -33,7 +41,7 @@ def uc3_top_population(lugares: DataFrame, poblacion: DataFrame, n: int = 10) ->
     return j.select("nombre", "poblacion").orderBy(F.col("poblacion").desc(), F.col("nombre")).limit(n)
 
 
-def uc4_places_in_polygon(lugares: DataFrame, wkt: str) -> DataFrame:
+def uc4_places_in_polygon(lugares: DataFrame, wkt: str = UC4_POLYGON) -> DataFrame:
     """C-19: places inside the polygon with their centroid coordinates."""
     return places_in_polygon(lugares, wkt).select("id", "nombre", "latitude", "longitude")
 
@@ -48,7 +56,8 @@ def uc5_province_geojson(provincias: DataFrame) -> DataFrame:
     return provincias.select("nombre_provincia", geo.st_as_geojson("geom").alias("geom_json"))
 
 
-def uc6_trips_from_place(viajes: DataFrame, lugares: DataFrame, day: str, place_name: str, n: int = 10) -> DataFrame:
+def uc6_trips_from_place(viajes: DataFrame, lugares: DataFrame, day: str = UC6_DAY, place_name: str = UC6_PLACE,
+                         n: int = 10) -> DataFrame:
     """C-21: distinct trips leaving a named place on a day, ``n`` rows.
 
     The day filter prunes silver partitions; the origin name is resolved

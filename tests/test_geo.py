@@ -124,3 +124,35 @@ def test_shrunk_vertices_contained(spark):
 def test_column_objects_rejected():
     with pytest.raises(TypeError):
         geo.st_centroid(F.col("g"))
+
+
+def test_spatial_join_shuffle_path_matches_broadcast(spark):
+    from odflow.operators.joins import spatial_join_points
+    polys = spark.createDataFrame(
+        [(1, "POLYGON((0 0, 4 0, 4 4, 0 4, 0 0))"), (2, "POLYGON((3 3, 8 3, 8 8, 3 8, 3 3))"),
+         (3, "POLYGON((10 10, 12 10, 11 12, 10 10))")], "pid int, w string",
+    ).select("pid", geo.geom_from_wkt("w").alias("pg"))
+    pts = spark.createDataFrame([(i, (i * 0.37) % 13, (i * 0.53) % 13) for i in range(400)], "id int, x double, y double")
+    fast = spatial_join_points(pts, polys, geom_col="pg", cell_size=1.0)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        slow = spatial_join_points(pts, polys, geom_col="pg", cell_size=1.0, broadcast_budget=0)
+        plan = slow._jdf.queryExecution().executedPlan().toString()
+        got_slow = sorted((r.id, r.pid) for r in slow.select("id", "pid").collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan
+    got_fast = sorted((r.id, r.pid) for r in fast.select("id", "pid").collect())
+    assert got_fast == got_slow
+    # overlap of polygons 1 and 2 gives two rows; points outside all polygons keep one NULL row
+    assert len(got_fast) > 400 and any(p is None for _, p in got_fast)
+    brute = []
+    for i in range(400):
+        x, y = (i * 0.37) % 13, (i * 0.53) % 13
+        inside = [pid for pid, (a, b, c, d) in ((1, (0, 0, 4, 4)), (2, (3, 3, 8, 8))) if a < x < c and b < y < d]
+        tri = 10 < y and y < 10 + 2 * (x - 10) and y < 10 + 2 * (12 - x)
+        inside += [3] if tri else []
+        brute += [(i, p) for p in inside] or [(i, None)]
+    key = lambda t: (t[0], -1 if t[1] is None else t[1])
+    assert sorted(got_fast, key=key) == sorted(brute, key=key)
