@@ -227,7 +227,7 @@ cte("shares", f"""
 _DIST = " + ".join(f"(s.s{h} - c.s{h}) * (s.s{h} - c.s{h})" for h in _H)
 cte("centres", "SELECT row_number() OVER (ORDER BY fecha) AS k, * FROM shares ORDER BY fecha LIMIT 3", ["shares"])
 cte("assigned", f"""
-  SELECT s.*, a.k AS cluster
+  SELECT s.*, CAST(a.k AS INTEGER) AS cluster
   FROM shares s JOIN (
     SELECT fecha, k FROM (
       SELECT s.fecha, c.k, row_number() OVER (PARTITION BY s.fecha ORDER BY {_DIST}, c.k) AS rn
