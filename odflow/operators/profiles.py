@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odflow.operators.joins import bounded_broadcast
+from odflow.operators.joins import with_scalars
 from odflow.session import checkpoint_dir
 
 HOURS = list(range(24))
@@ -28,7 +28,7 @@ def pivot_hours(df: DataFrame, index: str, hour: str, value: str) -> DataFrame:
     """
     wide = df.groupBy(index).pivot(hour, HOURS).agg(F.sum(value))
     present = df.agg(*[F.max((F.col(hour) == h).cast("int")).alias(f"_p{h}") for h in HOURS])
-    j = wide.crossJoin(bounded_broadcast(present, known_rows=1))
+    j = with_scalars(wide, present)
     cols = [
         F.when(F.coalesce(F.col(f"_p{h}"), F.lit(0)) == 1, F.col(f"`{h}`")).otherwise(F.lit(0.0)).cast("double").alias(hour_col(h))
         for h in HOURS

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from odflow.functions import geo
 from odflow.functions.scalar import safe_div
-from odflow.operators.joins import bounded_broadcast, mark_join, semi_join_names
+from odflow.operators.joins import bounded_broadcast, mark_join, semi_join_names, with_scalars
 from odflow.operators.profiles import HOUR_COLS, kmeans_labels, normalise_rows, pivot_hours, share_cols
 from odflow.params import ZONES, MobilityParams
 
@@ -143,11 +143,11 @@ def gravity_mismatch(base: DataFrame) -> DataFrame:
     """C-11: k = sum(real) / sum(potential) over the whole result, then per pair
     mismatch = real / (potential * k), weighted by sqrt(pop_o * pop_d).
 
-    The global sums are a one-row aggregate joined back (broadcast of a
-    single row).  Division by zero gives NULL, not infinity.
+    The global sums are a one-row aggregate attached to every pair (a
+    broadcast of a single row, no cross join).  Division by zero gives NULL, not infinity.
     """
     k = base.agg(safe_div(F.sum("viajes_reales"), F.sum("potencial")).alias("_k"))
-    j = base.crossJoin(bounded_broadcast(k, known_rows=1))
+    j = with_scalars(base, k)
     return j.select(
         *[F.col(c) for c in base.columns],
         safe_div(F.col("viajes_reales"), F.col("potencial") * F.col("_k")).alias("mismatch"),
@@ -246,4 +246,4 @@ def bq3_points(lugares: DataFrame, ranking: DataFrame, p: MobilityParams) -> Dat
     pts = places_in_polygon(lugares, p.polygon).select("nombre", "latitude", "longitude")
     labelled = mark_join(pts, ranking, "nombre", TOP_LABEL, REST_LABEL, "grupo", bound=lugares)
     gate = ranking.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0)
-    return labelled.crossJoin(bounded_broadcast(gate, known_rows=1)).drop("_n")
+    return with_scalars(labelled, gate).drop("_n")
