@@ -61,16 +61,23 @@ def daily_paths(base: str, suffix: str, start: str, end: str) -> list[str]:
     return out
 
 
-def read_stat_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A statistics CSV with a header; a blank first header cell is named ``column0``."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
-    return df
+def read_stat_csv(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> DataFrame:
+    """A statistics CSV with a header, columns picked by name, every value as text.
+
+    No schema inference (leading zeros and thousands separators stay as
+    written).  A blank first header cell, which Spark names ``_c0``, is
+    named ``column0``.  Other columns of the file are ignored.
+    """
+    df = spark.read.option("header", True).option("sep", sep).csv(path)
+    if df.columns and df.columns[0] in ("_c0", ""):
+        df = df.withColumnRenamed(df.columns[0], "column0")
+    return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def read_all_varchar(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|") -> DataFrame:
-    """Separated text file with a header, every column as text."""
-    return spark.read.schema(schema).option("header", True).option("sep", sep).csv(path)
+    """Separated text file with a header, the schema's columns picked by name, all as text."""
+    df = spark.read.option("header", True).option("sep", sep).csv(path)
+    return df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) for f in schema.fields])
 
 
 FEATURE = T.StructType(
