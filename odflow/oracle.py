@@ -413,6 +413,13 @@ SQL: dict[str, tuple[str, list[str]]] = {
       FROM documents""", []),
     "wkt_parse": ("SELECT point_id, round((x1 - x0) * (y1 - y0), 6) AS area, x0 AS xmin, y0 AS ymin, x1 AS xmax, y1 AS ymax "
                   "FROM squares", ["squares"]),
+    # closed square inside the closed concave ring: inside its box and, over the square's x range, below
+    # both notch edges (y <= 2 - x or y <= x); the lowest notch height is 1 at x = 1
+    "polygon_in_polygon": ("""
+      SELECT point_id FROM squares
+      WHERE x0 >= -0.5 AND y0 >= -0.5 AND x1 <= 2.5 AND y1 <= 2.5
+        AND y1 <= CASE WHEN x0 <= 1 AND x1 >= 1 THEN 1.0
+                       ELSE least(greatest(2 - x0, x0), greatest(2 - x1, x1)) END""", ["squares"]),
     "centroid_xy": ("SELECT point_id, round((x0 + x1) / 2, 6) AS x, round((y0 + y1) / 2, 6) AS y FROM squares", ["squares"]),
     "stream_ingest_trips": ("""
       SELECT CAST(v.fecha AS DATE) AS fecha, CAST(v.periodo AS INTEGER) AS periodo, v.tipo_zona,

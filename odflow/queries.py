@@ -665,6 +665,15 @@ def q_wkt_parse(spark, sf):
     return g.select("point_id", r6(geo.st_area("g")).alias("area"), *_bbox_cols("g"))
 
 
+@query("polygon_in_polygon")
+def q_polygon_in_polygon(spark, sf):
+    """Customer squares lying in the concave polygon (ST_Contains of two polygons)."""
+    poly = geo.geom_literal_sql(spark, fx.CONCAVE_WKT)
+    g = _customer_squares(spark, sf)
+    xmin, ymin, xmax, ymax = Q.wkt_bbox(fx.CONCAVE_WKT)
+    return g.filter(geo.bbox_within("g", xmin, ymin, xmax, ymax)).filter(geo.st_contains(poly, "g")).select("point_id")
+
+
 @query("centroid_xy")
 def q_centroid_xy(spark, sf):
     g = _customer_squares(spark, sf).select("point_id", geo.st_centroid("g").alias("c"))
