@@ -20,8 +20,8 @@ class NoInputFiles(FileNotFoundError):
     pass
 
 
-def read_trip_csv(spark: SparkSession, prefix: str, name_contains: str, schema: T.StructType = S.BRONZE_TRIPS,
-                  sep: str = "|", repartition: int | None = None) -> DataFrame:
+def read_trip_csv(spark: SparkSession, prefix: str | list[str], name_contains: str = "",
+                  schema: T.StructType = S.BRONZE_TRIPS, sep: str = "|", repartition: int | None = None) -> DataFrame:
     """All ``*<name_contains>*.csv.gz`` trip files under ``prefix``, one job.
 
     Header per file, ``|`` separated, every column text.  Gzip files are not
@@ -30,8 +30,12 @@ def read_trip_csv(spark: SparkSession, prefix: str, name_contains: str, schema:
     (a task writes one (zone, day) directory), so no shuffle is added;
     ``repartition`` spreads a few very large files when needed.  An empty or
     missing prefix is an error; a filter that matches nothing gives an
-    empty frame.
+    empty frame.  A list (e.g. from ``daily_paths``) reads exactly those
+    files.
     """
+    if isinstance(prefix, list):
+        df = spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", "FAILFAST").csv(prefix)
+        return df.repartition(repartition) if repartition else df
     try:
         df = (
             spark.read.schema(schema)

@@ -81,3 +81,13 @@ def test_feature_json_round_trip(spark, scratch):
     files.feature_json(src, ["id", "name"]).write.text(out)
     back = files.read_geojson(spark, out, ["id", "name"], sequence=True).first()
     assert back.geom.polys == src.first().geom.polys
+
+
+def test_trip_csv_from_daily_path_list(spark, scratch):
+    d = os.path.join(scratch, "t")
+    os.makedirs(d)
+    for day in ("20230101", "20230102", "20230103"):
+        with gzip.open(os.path.join(d, f"{day}_Viajes_GAU.csv.gz"), "wt") as f:
+            f.write(f"fecha|periodo|origen|destino|viajes|viajes_km\n{day}|00|1|2|1|1\n")
+    paths = files.daily_paths(d, "Viajes_GAU", "2023-01-02", "2023-01-03")
+    assert sorted(r.fecha for r in files.read_trip_csv(spark, paths).collect()) == ["20230102", "20230103"]
