@@ -248,8 +248,7 @@ def _r6(*cols: str) -> str:
 SQL: dict[str, tuple[str, list[str]]] = {
     # ---- sources
     "empty_from_schema": ("SELECT fecha, periodo, origen, destino, viajes, viajes_km FROM bronze_trips LIMIT 0", ["bronze_trips"]),
-    "csv_scan_trips": ("SELECT fecha, periodo, origen, destino, viajes, viajes_km FROM bronze_trips WHERE tipo_zona = 'distritos'",
-                       ["bronze_trips"]),
+    "csv_scan_trips": ("SELECT fecha, periodo, origen, destino, viajes, viajes_km FROM bronze_trips", ["bronze_trips"]),
     "csv_all_varchar": ("SELECT * FROM relaciones", ["relaciones"]),
     "geojson_scan": (f"SELECT mitma AS id, n_name || ' ' AS name, 'Polygon' AS kind, 4 AS n_edges, "
                      f"cx - 0.4 AS xmin, cy - 0.4 AS ymin, cx + 0.4 AS xmax, cy + 0.4 AS ymax FROM nat", ["nat"]),
@@ -293,12 +292,12 @@ SQL: dict[str, tuple[str, list[str]]] = {
     # ---- joins
     "lugares_union": ("SELECT id, id_mitma, nombre, tipo_zona, xmin, ymin, xmax, ymax FROM lugares_union", ["lugares_union"]),
     "join_resolve_codes": ("""
-      SELECT TRY_CAST(ro.i AS INTEGER) AS id_origen, TRY_CAST(rd.i AS INTEGER) AS id_destino, count(*) AS n_trips,
+      SELECT v.tipo_zona, TRY_CAST(ro.i AS INTEGER) AS id_origen, TRY_CAST(rd.i AS INTEGER) AS id_destino, count(*) AS n_trips,
              sum(CAST(CAST(CAST(v.viajes AS DOUBLE) AS INTEGER) AS DOUBLE)) AS viajes
       FROM bronze_trips v JOIN rel_pairs ro ON v.origen = ro.m JOIN rel_pairs rd ON v.destino = rd.m
-      WHERE v.tipo_zona = 'distritos' AND v.viajes_km IS NOT NULL
+      WHERE v.viajes_km IS NOT NULL
         AND TRY_CAST(ro.i AS INTEGER) IS NOT NULL AND TRY_CAST(rd.i AS INTEGER) IS NOT NULL
-      GROUP BY 1, 2""", ["bronze_trips", "rel_pairs"]),
+      GROUP BY 1, 2, 3""", ["bronze_trips", "rel_pairs"]),
     "silver_trips": ("""
       SELECT CAST(v.fecha AS DATE) AS fecha, CAST(v.periodo AS INTEGER) AS periodo, v.tipo_zona,
              TRY_CAST(ro.i AS INTEGER) AS id_origen, TRY_CAST(rd.i AS INTEGER) AS id_destino,
@@ -427,7 +426,7 @@ SQL: dict[str, tuple[str, list[str]]] = {
              CAST(CAST(CAST(v.viajes AS DOUBLE) AS INTEGER) AS DOUBLE) AS viajes,
              TRY_CAST(v.viajes_km AS DOUBLE) * 1000 AS viajes_metros
       FROM bronze_trips v JOIN rel_pairs ro ON v.origen = ro.m JOIN rel_pairs rd ON v.destino = rd.m
-      WHERE v.tipo_zona = 'distritos' AND v.viajes_km IS NOT NULL
+      WHERE v.viajes_km IS NOT NULL
         AND TRY_CAST(ro.i AS INTEGER) IS NOT NULL AND TRY_CAST(rd.i AS INTEGER) IS NOT NULL""",
                             ["bronze_trips", "rel_pairs"]),
     # ---- composites

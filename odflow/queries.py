@@ -129,10 +129,16 @@ def _trip_files(spark, sf, level: str) -> str:
     return root
 
 
+def _all_trip_files(spark, sf) -> str:
+    """Folder holding the trip files of all three levels."""
+    roots = [_trip_files(spark, sf, lv) for lv in ZONES]
+    return os.path.dirname(roots[0])
+
+
 @query("csv_scan_trips")
 def q_csv_scan_trips(spark, sf):
-    root = _trip_files(spark, sf, "distritos")
-    return files.read_trip_csv(spark, root, "Viajes_distritos")
+    """Every trip file of every level (name filter on 'Viajes_')."""
+    return files.read_trip_csv(spark, _all_trip_files(spark, sf), "Viajes_")
 
 
 def _relations_file(spark, sf) -> str:
@@ -309,9 +315,12 @@ def q_lugares_union(spark, sf):
 
 @query("join_resolve_codes")
 def q_join_resolve_codes(spark, sf):
-    b = fx.bronze_trips(spark, sf).filter(F.col("tipo_zona") == "distritos")
-    t = SV.resolve_trips(b, fx.relaciones(spark, sf), ZONES["distritos"])
-    return t.groupBy("id_origen", "id_destino").agg(
+    """Per-level code resolution (one broadcast lookup per side and level), summed per OD pair."""
+    b = fx.bronze_trips(spark, sf)
+    parts = [SV.resolve_trips(b.filter(F.col("tipo_zona") == lv).drop("tipo_zona"), fx.relaciones(spark, sf), ZONES[lv])
+             for lv in ZONES]
+    t = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return t.groupBy("tipo_zona", "id_origen", "id_destino").agg(
         F.count(F.lit(1)).alias("n_trips"), F.sum("viajes").alias("viajes")
     )
 
@@ -743,9 +752,9 @@ def q_stream_ingest_trips(spark, sf):
     """Daily trip files ingested by the streaming path (available-now trigger) into a fresh lake."""
     from odflow.streaming.ingest import start_trip_ingest
 
-    root = _trip_files(spark, sf, "distritos")
+    root = _all_trip_files(spark, sf)
     lake = Lake(spark, _fresh(spark, "stream"))
-    q = start_trip_ingest(spark, root, lake, fx.relaciones(spark, sf), _fresh(spark, "stream_ckpt"), levels=["distritos"])
+    q = start_trip_ingest(spark, root, lake, fx.relaciones(spark, sf), _fresh(spark, "stream_ckpt"))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"ingest stream failed: {q.exception()}")
