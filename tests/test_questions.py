@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from odflow import schema as S
 from odflow.functions import geo
-from odflow.operators.profiles import HOUR_COLS
 from odflow.params import MobilityParams, resolve_gold_table
 from odflow.plans import questions as Q
 
