@@ -84,18 +84,6 @@ def bounded_broadcast(df: DataFrame, bound: DataFrame | int | None = None,
     return F.broadcast(df) if n <= max_rows else df
 
 
-def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame (global totals, flags) to every row.
-
-    A broadcast hash join on a constant key: the single row is shipped to
-    every task, no pairs are formed.  If ``one_row`` is empty, so is the
-    result (used as a gate).
-    """
-    key = "_scalar_key"
-    right = F.broadcast(one_row.withColumn(key, F.lit(1)))
-    return df.withColumn(key, F.lit(1)).join(right, key, "inner").drop(key)
-
-
 def resolve_codes(
     facts: DataFrame,
     codes: DataFrame,

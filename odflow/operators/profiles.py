@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odflow.operators.joins import with_scalars
 from odflow.session import checkpoint_dir
 
 HOURS = list(range(24))
@@ -24,16 +23,16 @@ def pivot_hours(df: DataFrame, index: str, hour: str, value: str) -> DataFrame:
     Pivot values are given, so Spark needs no extra pass to find them and
     hours outside 0..23 are ignored.  A cell with no data is NULL; an hour
     absent from the whole frame is 0 (its column did not exist before the
-    re-index).  The presence flags are a one-row aggregate joined back.
+    re-index).  The presence flags are one global aggregate, read as a
+    scalar subquery: Spark runs it once and uses the value as a constant.
     """
     wide = df.groupBy(index).pivot(hour, HOURS).agg(F.sum(value))
-    present = df.agg(*[F.max((F.col(hour) == h).cast("int")).alias(f"_p{h}") for h in HOURS])
-    j = with_scalars(wide, present)
+    present = df.agg(F.array(*[F.max((F.col(hour) == h).cast("int")) for h in HOURS])).scalar()
     cols = [
-        F.when(F.coalesce(F.col(f"_p{h}"), F.lit(0)) == 1, F.col(f"`{h}`")).otherwise(F.lit(0.0)).cast("double").alias(hour_col(h))
+        F.when(F.coalesce(F.col("_p")[h], F.lit(0)) == 1, F.col(f"`{h}`")).otherwise(F.lit(0.0)).cast("double").alias(hour_col(h))
         for h in HOURS
     ]
-    return j.select(index, *cols)
+    return wide.withColumn("_p", present).select(index, *cols)
 
 
 def row_total(cols: list[str]) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from odflow.functions import geo
 from odflow.functions.scalar import safe_div
-from odflow.operators.joins import bounded_broadcast, mark_join, semi_join_names, with_scalars
+from odflow.operators.joins import bounded_broadcast, mark_join, semi_join_names
 from odflow.operators.profiles import HOUR_COLS, kmeans_labels, normalise_rows, pivot_hours, share_cols
 from odflow.params import ZONES, MobilityParams
 
@@ -143,14 +143,14 @@ def gravity_mismatch(base: DataFrame) -> DataFrame:
     """C-11: k = sum(real) / sum(potential) over the whole result, then per pair
     mismatch = real / (potential * k), weighted by sqrt(pop_o * pop_d).
 
-    The global sums are a one-row aggregate attached to every pair (a
-    broadcast of a single row, no cross join).  Division by zero gives NULL, not infinity.
+    The global sums are one aggregate read as a scalar subquery: Spark runs
+    it once and uses the value as a constant (no join).  Division by zero
+    gives NULL, not infinity.
     """
-    k = base.agg(safe_div(F.sum("viajes_reales"), F.sum("potencial")).alias("_k"))
-    j = with_scalars(base, k)
-    return j.select(
+    k = base.agg(safe_div(F.sum("viajes_reales"), F.sum("potencial"))).scalar()
+    return base.select(
         *[F.col(c) for c in base.columns],
-        safe_div(F.col("viajes_reales"), F.col("potencial") * F.col("_k")).alias("mismatch"),
+        safe_div(F.col("viajes_reales"), F.col("potencial") * k).alias("mismatch"),
         F.sqrt(F.col("pop_origen") * F.col("pop_destino")).alias("pop_weight"),
     ).withColumn("weighted_mismatch", F.col("mismatch") * F.col("pop_weight"))
 
@@ -240,10 +240,9 @@ def bq3_points(lugares: DataFrame, ranking: DataFrame, p: MobilityParams) -> Dat
     """C-15: places inside the polygon labelled 'Top 5%' or 'Resto'.
 
     Like the report, nothing is produced when the ranking is empty; the
-    check is a one-row count joined lazily, not a driver round trip.
+    check is a scalar subquery (a count run once), not a driver round trip.
     """
     lugares = catalogue(lugares, p)
     pts = places_in_polygon(lugares, p.polygon).select("nombre", "latitude", "longitude")
     labelled = mark_join(pts, ranking, "nombre", TOP_LABEL, REST_LABEL, "grupo", bound=lugares)
-    gate = ranking.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0)
-    return with_scalars(labelled, gate).drop("_n")
+    return labelled.filter(ranking.agg(F.count(F.lit(1))).scalar() > 0)

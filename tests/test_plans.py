@@ -50,3 +50,14 @@ def test_gold_scan_reads_only_needed_columns(spark):
     df = registry()["bq3_ranking"](spark, SF)
     plan = _plan(df)
     assert "ReadSchema: struct<id_destino:int,total_viajes:double>" in plan
+
+
+def test_no_query_plans_a_nested_loop_join(spark):
+    """Global scalars (gravity k, hour presence, empty-ranking gate) are scalar
+    subqueries, not joins; no registered query pairs every row with every row."""
+    skip = {"bq1_day_clusters", "stream_ingest_trips"}   # ML passes / micro-batches
+    for name, fn in sorted(registry().items()):
+        if name in skip:
+            continue
+        plan = _plan(fn(spark, SF))
+        assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
