@@ -117,3 +117,19 @@ def test_zone_filter_option(spark):
     only = MobilityParams(POLY, "2023-01-01", "2023-01-31", zone_filter=True)
     hourly = Q.bq1_hourly_profile(gold.withColumn("id_origen", F.lit(1)), places, only)
     assert hourly.agg(F.sum("total_viajes")).first()[0] == 110.0
+
+
+def test_bq2_population_rows_multiply_trips(spark):
+    # two population rows for the destination id (H-9): every trip row joins
+    # both, so the pair's trips double; MAX keeps the larger population
+    places = _places(spark, ["A", "B"])
+    gold = spark.createDataFrame([(1, 2, dt.date(2023, 1, 2), "8", 10.0, 1000.0),
+                                  (1, 2, dt.date(2023, 1, 3), "9", 30.0, 3000.0)], S.GOLD_MOBILITY)
+    pop = spark.createDataFrame([(1, 500), (2, 100), (2, 200)], "id int, poblacion int")
+    renta = spark.createDataFrame([(2, 7)], "id int, renta int")
+    out = Q.bq2_od_base(gold, places, pop, renta, P).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert (r.origen, r.destino, r.viajes_reales) == ("A", "B", 80.0)
+    assert (r.pop_origen, r.pop_destino, r.renta_destino) == (500.0, 200.0, 7.0)
+    assert r.dist_media == pytest.approx((2 * 10 * 1000.0 + 2 * 30 * 3000.0) / 80.0)
