@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,12 +65,15 @@ def _marker_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def fixture_lake(spark: SparkSession, sf_dir: str) -> Lake:
+def fixture_lake(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Lake:
+    """The lake for ``sf_dir``; reused if already built for the same source
+    files.  ``rebuild=True`` always builds a new one in a fresh folder (the
+    bench times the build that way)."""
     key = (spark.sparkContext.applicationId, _source_key(sf_dir))
     with _LOCK:
-        if key in _BUILT:
+        if key in _BUILT and not rebuild:
             return _BUILT[key]
-        root = scratch_path(spark, "lake", key[1])
+        root = scratch_path(spark, "lake", key[1] + (f"-{uuid.uuid4().hex[:12]}" if rebuild else ""))
         lake = Lake(spark, root)
         marker = f"{root}/_built"
         if not _marker_exists(spark, marker):
