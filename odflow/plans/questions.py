@@ -228,8 +228,9 @@ def bq3_flows(gold: DataFrame, lugares: DataFrame, ranking: DataFrame, p: Mobili
         F.col("latitude").alias("_dlat"), F.col("longitude").alias("_dlon"),
     )
     v = _in_period(gold, p)
-    j = v.join(bounded_broadcast(mo, lugares), v["id_origen"] == F.col("_mo")).join(
-        bounded_broadcast(md, lugares), v["id_destino"] == F.col("_md")
+    # the selective side (ranked destinations) first: most gold rows stop at one probe
+    j = v.join(bounded_broadcast(md, lugares), v["id_destino"] == F.col("_md")).join(
+        bounded_broadcast(mo, lugares), v["id_origen"] == F.col("_mo")
     )
     return j.groupBy("origen", "destino").agg(
         F.avg("_olat").alias("o_lat"), F.avg("_olon").alias("o_lon"),
