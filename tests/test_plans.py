@@ -61,3 +61,40 @@ def test_no_query_plans_a_nested_loop_join(spark):
             continue
         plan = _plan(fn(spark, SF))
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
+
+
+def test_gold_rollup_survives_a_hot_origin(spark):
+    """One origin holds a third of the rows: the roll-up combines map-side
+    (partial aggregate below the shuffle) and shuffles on all four keys, so
+    the hot origin is spread by destination, day and hour; totals stay exact."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from odflow import schema as S
+    from odflow.plans import gold
+
+    n = 3000
+    df = spark.range(n).select(
+        (F.col("id") % 14).cast("int").alias("_d"),
+        (F.col("id") % 24).cast("int").alias("periodo"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise((F.col("id") % 50 + 2)).cast("int").alias("id_origen"),
+        (F.col("id") % 7).cast("int").alias("id_destino"),
+        F.lit(2.0).alias("viajes"),
+        F.lit(1000.0).alias("viajes_metros"),
+    ).select(
+        F.date_add(F.lit(dt.date(2023, 1, 1)), F.col("_d")).alias("fecha"), "periodo",
+        F.lit("municipios").alias("tipo_zona"), "id_origen", "id_destino", "viajes", "viajes_metros",
+    )
+    v = S.enforce_schema(df, S.SILVER_VIAJES, "silver.viajes").repartition(8)
+    g = gold.gold_rollup(v, "municipios")
+    plan = _plan(g)
+    tree = plan.split("\n\n")[0]
+    assert tree.count("HashAggregate") >= 2          # partial + final
+    assert "partial_sum" in plan
+    part = plan[plan.index("Arguments: hashpartitioning("):].split("\n", 1)[0]
+    for k in ("id_origen", "id_destino", "fecha", "periodo"):
+        assert k in part
+    hot = g.filter(F.col("id_origen") == 1).agg(F.sum("total_viajes")).first()[0]
+    assert hot == 2.0 * n / 3
+    assert g.agg(F.sum("total_viajes")).first()[0] == 2.0 * n
