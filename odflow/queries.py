@@ -315,10 +315,12 @@ def q_lugares_union(spark, sf):
 
 @query("join_resolve_codes")
 def q_join_resolve_codes(spark, sf):
-    """Per-level code resolution (one broadcast lookup per side and level), summed per OD pair."""
-    b = fx.bronze_trips(spark, sf)
-    parts = [SV.resolve_trips(b.filter(F.col("tipo_zona") == lv).drop("tipo_zona"), fx.relaciones(spark, sf), ZONES[lv])
-             for lv in ZONES]
+    """Per-level code resolution (one broadcast lookup per side and level), summed per OD pair.
+
+    Each level reads its own daily trip files, as a per-level load does.
+    """
+    rel = fx.relaciones(spark, sf)
+    parts = [SV.resolve_trips(files.read_trip_csv(spark, _trip_files(spark, sf, lv)), rel, ZONES[lv]) for lv in ZONES]
     t = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return t.groupBy("tipo_zona", "id_origen", "id_destino").agg(
         F.count(F.lit(1)).alias("n_trips"), F.sum("viajes").alias("viajes")
