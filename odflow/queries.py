@@ -329,7 +329,9 @@ def q_join_resolve_codes(spark, sf):
 
 @query("silver_trips")
 def q_silver_trips(spark, sf):
-    return SV.resolve_all_levels(fx.bronze_trips(spark, sf), fx.relaciones(spark, sf))
+    """C-5 from the daily trip files of all three levels, one pass."""
+    by_level = {lv: files.read_trip_csv(spark, _trip_files(spark, sf, lv)) for lv in ZONES}
+    return SV.silver_trips(by_level, fx.relaciones(spark, sf))
 
 
 @query("join_star_5way")
