@@ -70,19 +70,27 @@ def _in_period(df: DataFrame, p: MobilityParams) -> DataFrame:
 
 # ------------------------------------------------------------------ BQ1
 
-def bq1_hourly_profile(gold: DataFrame, lugares: DataFrame, p: MobilityParams) -> DataFrame:
-    """C-8: trips per day and hour leaving places inside the polygon."""
+def bq1_hourly_totals(gold: DataFrame, lugares: DataFrame, p: MobilityParams) -> DataFrame:
+    """C-8 without the final order: trips per day and hour leaving places inside the polygon.
+
+    The pivot and the clustering regroup these rows, so they take this
+    unordered frame (a global sort would cost a sampling job and a range
+    shuffle for nothing).
+    """
     lugares = catalogue(lugares, p)
     origins = places_in_polygon(lugares, p.polygon).select(F.col("id").alias("_oid"))
     v = _in_period(gold, p)
     j = v.join(bounded_broadcast(origins, lugares), v["id_origen"] == F.col("_oid"))
-    return (
-        j.groupBy("fecha", F.col("periodo").cast("int").alias("periodo"))
-        .agg(F.sum("total_viajes").alias("total_viajes"))
-        .orderBy("fecha", "periodo")
+    return j.groupBy("fecha", F.col("periodo").cast("int").alias("periodo")).agg(
+        F.sum("total_viajes").alias("total_viajes")
     )
 
 
+def bq1_hourly_profile(gold: DataFrame, lugares: DataFrame, p: MobilityParams) -> DataFrame:
+    """C-8: trips per day and hour leaving places inside the polygon, ordered by day and hour."""
+    return bq1_hourly_totals(gold, lugares, p).orderBy("fecha", "periodo")
+
+
 def day_vectors(hourly: DataFrame) -> DataFrame:
     """One row per day: raw hourly totals h00..h23 and their shares s00..s23."""
     wide = pivot_hours(hourly, "fecha", "periodo", "total_viajes")

@@ -587,6 +587,11 @@ def _hourly(spark, sf) -> DataFrame:
     return Q.bq1_hourly_profile(_gold(spark, sf), _silver(spark, sf, "lugares"), PARAMS)
 
 
+def _hourly_totals(spark, sf) -> DataFrame:
+    """The same rows unordered, for the pivot and the clustering."""
+    return Q.bq1_hourly_totals(_gold(spark, sf), _silver(spark, sf, "lugares"), PARAMS)
+
+
 @query("bq1_hourly_profile")
 def q_bq1_hourly_profile(spark, sf):
     return _hourly(spark, sf)
@@ -594,17 +599,17 @@ def q_bq1_hourly_profile(spark, sf):
 
 @query("pivot_hours")
 def q_pivot_hours(spark, sf):
-    return Q.day_vectors(_hourly(spark, sf)).select("fecha", *HOUR_COLS)
+    return Q.day_vectors(_hourly_totals(spark, sf)).select("fecha", *HOUR_COLS)
 
 
 @query("row_normalise")
 def q_row_normalise(spark, sf):
-    return Q.day_vectors(_hourly(spark, sf)).select("fecha", *[r6(F.col(c)).alias(c) for c in share_cols("s")])
+    return Q.day_vectors(_hourly_totals(spark, sf)).select("fecha", *[r6(F.col(c)).alias(c) for c in share_cols("s")])
 
 
 def _assigned(spark, sf) -> DataFrame:
     """Each day to the nearest of the first three days' share vectors (one Lloyd assignment step)."""
-    vectors = Q.day_vectors(_hourly(spark, sf))
+    vectors = Q.day_vectors(_hourly_totals(spark, sf))
     centres = first_rows_as_centres(vectors, "fecha", share_cols("s"), N_CENTRES)
     return assign_nearest(vectors, share_cols("s"), centres)
 
@@ -622,7 +627,7 @@ def q_cluster_profile(spark, sf):
 
 @query("bq1_day_clusters")
 def q_bq1_day_clusters(spark, sf):
-    return Q.bq1_day_clusters(_hourly(spark, sf), PARAMS.k, PARAMS.seed).select("fecha", "cluster")
+    return Q.bq1_day_clusters(_hourly_totals(spark, sf), PARAMS.k, PARAMS.seed).select("fecha", "cluster")
 
 
 # =================================================================== scalar functions
