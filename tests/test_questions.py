@@ -133,3 +133,11 @@ def test_bq2_population_rows_multiply_trips(spark):
     assert (r.origen, r.destino, r.viajes_reales) == ("A", "B", 80.0)
     assert (r.pop_origen, r.pop_destino, r.renta_destino) == (500.0, 200.0, 7.0)
     assert r.dist_media == pytest.approx((2 * 10 * 1000.0 + 2 * 30 * 3000.0) / 80.0)
+
+
+def test_bq3_ratio_is_mean_workday_over_mean_weekend(spark):
+    # A: workdays 2, 3 (100, 50) and weekend days 7, 8 (30, 10) -> 75 / 20 = 3.75
+    rows = [(1, 2, 100.0), (1, 3, 50.0), (1, 7, 30.0), (1, 8, 10.0)]
+    rows += [(2, 2, 60.0), (2, 3, 60.0), (2, 7, 30.0), (2, 8, 30.0)]     # B: 2.0
+    out = Q.bq3_ranking(_gold(spark, rows), _places(spark, ["A", "B"]), _calendar(spark, [2, 3, 7, 8]), P).collect()
+    assert [(r.nombre, r.workday_v, r.weekend_v, r.ratio, r.percentile) for r in out] == [("A", 75.0, 20.0, 3.75, 1.0)]
