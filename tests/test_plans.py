@@ -98,3 +98,12 @@ def test_gold_rollup_survives_a_hot_origin(spark):
     hot = g.filter(F.col("id_origen") == 1).agg(F.sum("total_viajes")).first()[0]
     assert hot == 2.0 * n / 3
     assert g.agg(F.sum("total_viajes")).first()[0] == 2.0 * n
+
+
+def test_pivot_reads_hour_presence_once(spark):
+    """The 24 presence flags come from one scalar subquery, not one per hour."""
+    import re
+
+    plan = _plan(registry()["pivot_hours"](spark, SF))
+    assert len(set(re.findall(r"Subquery subquery#(\d+)", plan))) == 1
+    assert "rangepartitioning" not in plan          # no sort before the pivot regroups the rows
