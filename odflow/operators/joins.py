@@ -112,8 +112,31 @@ def resolve_codes(
     return joined.drop(f"_code_{out_col}")
 
 
+_CELLS: dict[tuple, float] = {}
+
+
 def grid_cell_size(polygons: DataFrame, geom_col: str = "geom") -> float:
-    """Median bounding-box extent of the polygons (one small aggregate)."""
+    """Median bounding-box extent of the polygons (one small aggregate).
+
+    Cached per plan and input files, like ``dim_rows``.  The cell size only
+    affects speed: the exact containment test is part of the join condition.
+    """
+    try:
+        key = (polygons.semanticHash(), tuple(sorted(polygons.inputFiles())), geom_col)
+    except Exception:  # noqa: BLE001
+        key = None
+    if key is not None:
+        with _ROWS_LOCK:
+            if key in _CELLS:
+                return _CELLS[key]
+    size = _median_extent(polygons, geom_col)
+    if key is not None:
+        with _ROWS_LOCK:
+            _CELLS[key] = size
+    return size
+
+
+def _median_extent(polygons: DataFrame, geom_col: str) -> float:
     g = F.col(geom_col)
     ext = F.greatest(g["xmax"] - g["xmin"], g["ymax"] - g["ymin"])
     row = polygons.agg(F.percentile_approx(ext, 0.5).alias("m"), F.max(ext).alias("mx")).first()
