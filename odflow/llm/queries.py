@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from odflow.llm import quality_rules
+from odflow.llm import mixing, quality_rules, sharding
 
 
 def queries() -> dict:
     return {
         "op4_line_cleaning": quality_rules.op4_line_cleaning,
+        "op5_mix_sources": mixing.op5_mix_sources,
+        "op6_best_fit_shards": sharding.op6_best_fit_shards,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_line_cleaning": quality_rules.ORACLE,
+        "op5_mix_sources": mixing.ORACLE,
     }
