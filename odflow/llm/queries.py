@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from odflow.llm import mixing, quality_rules, sharding
+from odflow.llm import mixing, quality_rules, sharding, spotsigs
 
 
 def queries() -> dict:
     return {
+        "op2_spot_signatures": spotsigs.op2_spot_signatures,
         "op4_line_cleaning": quality_rules.op4_line_cleaning,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_best_fit_shards": sharding.op6_best_fit_shards,
