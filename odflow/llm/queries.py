@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from odflow.llm import mixing, quality_rules, sharding, spotsigs
+from odflow.llm import bpe, mixing, quality_rules, sharding, spotsigs
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op4_line_cleaning": quality_rules.op4_line_cleaning,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_best_fit_shards": sharding.op6_best_fit_shards,
+        "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
     }
 
 
