@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from odflow.llm import bpe, mixing, quality_rules, sharding, spotsigs
+from odflow.llm import bpe, mixing, ngram_join, quality_rules, sharding, spotsigs
 
 
 def queries() -> dict:
     return {
+        "op1_ngram_join": ngram_join.op1_ngram_join,
         "op2_spot_signatures": spotsigs.op2_spot_signatures,
         "op4_line_cleaning": quality_rules.op4_line_cleaning,
         "op5_mix_sources": mixing.op5_mix_sources,
@@ -17,6 +18,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_ngram_join": ngram_join.ORACLE,
         "op4_line_cleaning": quality_rules.ORACLE,
         "op5_mix_sources": mixing.ORACLE,
     }
