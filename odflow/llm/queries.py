@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from odflow.llm import bpe, mixing, ngram_join, quality_rules, sharding, spotsigs
+from odflow.llm import bpe, mil_quality, mixing, ngram_join, quality_rules, sharding, spotsigs
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_best_fit_shards": sharding.op6_best_fit_shards,
         "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
+        "op9_attention_quality": mil_quality.op9_attention_quality,
     }
 
 
