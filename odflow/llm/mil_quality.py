@@ -31,12 +31,12 @@ from odflow.llm.common import table, uniform_key
 from odflow.llm.textvec import WordHasher, shingles, stretches
 
 PASSAGE = 64
-TRAIN_ROWS = 1500
+TRAIN_ROWS = 3000
 TRAIN_PASSAGES = 400
 HASHED = 32
 HIDDEN = 24
 GATE = 12
-EPOCHS = 120
+EPOCHS = 150
 
 #: Byte classes: listed punctuation by itself, the rest by kind.
 _ALONE = b"!#$%&*|<>=.,;:?-_/\"'()[]{}@"
@@ -52,7 +52,7 @@ def _byte_classes() -> np.ndarray:
 
 
 _CLASSES = 7 + len(_ALONE)
-N_FEATURES = _CLASSES + HASHED + 5
+N_FEATURES = _CLASSES + HASHED + 6
 
 
 class PassageEncoder:
@@ -90,6 +90,9 @@ class PassageEncoder:
             x[:, _CLASSES:_CLASSES + HASHED] = hashed / np.sqrt(words)[:, None]
             length = (e - s).astype(np.float64)
             mean = np.bincount(of_word, length, minlength=total) / words
+            same = np.zeros(len(h), bool)
+            same[1:] = (h[1:] == h[:-1]) & (inside[1:] > 0)
+            x[:, -6] = np.bincount(of_word, same, minlength=total) / words
             x[:, -5] = np.log1p(size)
             x[:, -4] = mean / 10
             x[:, -3] = np.sqrt(np.maximum(0, np.bincount(of_word, length * length, minlength=total) / words - mean * mean)) / 10
