@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from odflow.llm import bpe, mil_quality, mixing, ngram_join, quality_rules, sharding, spotsigs
+from odflow.llm import bpe, license_scan, mil_quality, mixing, ngram_join, quality_rules, secret_scan, sharding, spotsigs, warc
 
 
 def queries() -> dict:
     return {
         "op1_ngram_join": ngram_join.op1_ngram_join,
         "op2_spot_signatures": spotsigs.op2_spot_signatures,
+        "op3_warc_archive": warc.op3_warc_archive,
         "op4_line_cleaning": quality_rules.op4_line_cleaning,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_best_fit_shards": sharding.op6_best_fit_shards,
         "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
+        "op8_randomness_battery": secret_scan.op8_randomness_battery,
         "op9_attention_quality": mil_quality.op9_attention_quality,
+        "op10_patience_licenses": license_scan.op10_patience_licenses,
     }
 
 
