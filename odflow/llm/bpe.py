@@ -250,6 +250,15 @@ def encode_digest(docs: DataFrame, spec: str, keep: list[str], text: str = "text
     return _over_texts(docs, keep, text, spec, finish, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def encode_with_digest(docs: DataFrame, spec: str, keep: list[str], text: str = "text") -> DataFrame:
+    """``keep`` columns with the ids and the digest of the decoded text."""
+    def finish(parts):
+        ids = [int(i) for p in parts for i in p[0].split()]
+        decoded = " ".join([p[2] for p in parts])
+        return {"n_tokens": len(ids), "ids": ids, "decoded_sha256": hashlib.sha256(decoded.encode()).hexdigest()}
+    return _over_texts(docs, keep, text, spec, finish, "n_tokens long, ids array<int>, decoded_sha256 string")
+
+
 def op7_bpe_round_trip(spark, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     if tokenizer is None:
         import public_tokenizers

@@ -35,6 +35,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def masked(docs: DataFrame, *wanted: str) -> tuple[DataFrame, list[str], list[str]]:
+    """``docs`` with its columns renamed to c0, c1, ... so that no name of its
+    own gets in the way; the new names of ``wanted``; the old names."""
+    names = docs.columns
+    return docs.toDF(*[f"c{i}" for i in range(len(names))]), [f"c{names.index(w)}" for w in wanted], names
+
+
+def unmasked(df: DataFrame, names: list[str]) -> DataFrame:
+    """The columns c0, c1, ... under their old names."""
+    return df.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
+
+
 def words_sql(text: str) -> str:
     """SQL for the array of words of a text expression."""
     return f"filter(split({text}, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')"

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from odflow.llm.common import n_words, running_sum, stored, table, uniform_key
+from odflow.llm.common import masked, n_words, running_sum, stored, table, uniform_key, unmasked
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -133,6 +133,26 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     return taken.drop("start").unionByName(empty)
 
 
+def repeat(docs: DataFrame) -> DataFrame:
+    """Every row of ``docs`` as many times as the mix takes it: ``taken`` over
+    its size, to the nearest whole (only the document on which a source's
+    target falls is taken in part).  Rows of size 0 are not taken."""
+    rows, (doc_id, text, source), names = masked(docs, "doc_id", "text", "source")
+    key = lambda *c: F.xxhash64(*c)
+    taken = mix(rows, doc_id, text, source).filter("taken > 0").select(
+        F.col("doc_id").alias("id"), F.col("source").alias("from"), F.col("size").alias("words"),
+        F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("times")).filter("times > 0")
+    # rows of one id, source and size may differ in how often they are taken: numbered, each gets its own
+    taken = taken.withColumn("n", F.row_number().over(Window.partitionBy("id", "from", "words").orderBy("times")))
+    taken = taken.withColumn("t_key", key("id", "from", "words"))
+    rows = rows.withColumn("size", n_words(F.col(text))).withColumn("key", key(F.col(doc_id), F.col(source), "size"))
+    rows = rows.repartition("key").withColumn(
+        "k", F.row_number().over(Window.partitionBy("key", doc_id, source, "size").orderBy(F.xxhash64(text))))
+    met = rows.join(taken, (F.col("key") == F.col("t_key")) & F.col(doc_id).eqNullSafe(F.col("id"))
+                    & F.col(source).eqNullSafe(F.col("from")) & (F.col("size") == F.col("words")) & (F.col("k") == F.col("n")))
+    return unmasked(met.withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))), names)
+
+
 def op5_mix_sources(spark, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 

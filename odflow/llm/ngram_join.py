@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from odflow.llm.common import stored, table
+from odflow.llm.common import WORD, masked, stored, table, unmasked
 from odflow.llm.components import connected
 from odflow.llm.textvec import WordHasher, mix, shingles, stretches
 
@@ -358,6 +358,24 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
         F.when(F.col("n") > 0, F.col("keeper")).otherwise(own).alias("keeper"))
 
 
+def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` (with doc_id and text) that stand for their
+    component, one of each; rows without words stay, repeated ones too."""
+    rows, (doc_id, text), names = masked(docs, "doc_id", "text")
+    found = components(rows.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), k, num, den)
+    keepers = found.filter("n_shingles > 0").select(
+        F.col("keeper.doc_id").alias("k_id"), F.col("keeper.text_hash").alias("k_hash")).distinct()
+    keepers = keepers.withColumn("key", F.xxhash64("k_id", "k_hash"))
+    rows = rows.withColumn("hash", F.xxhash64(text))
+    rows = rows.withColumn("key", F.xxhash64(F.col(doc_id).cast("long"), "hash"))
+    out = rows.join(keepers, (rows["key"] == keepers["key"]) & F.col(doc_id).eqNullSafe(F.col("k_id")) & (F.col("hash") == F.col("k_hash")), "left")
+    out = out.withColumn("row_key", rows["key"]).drop("key")
+    # equal rows of one id: the first; the join has dealt them by their key already
+    one = out.filter(F.col("k_hash").isNotNull()).dropDuplicates(["row_key", "k_id", "k_hash"])
+    no_words = F.coalesce(~F.col(text).rlike(WORD), F.lit(True))
+    return unmasked(one.unionByName(out.filter(F.col("k_hash").isNull() & no_words)), names)
+
+
 def op1_ngram_join(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return components(docs, 4, 85, 100).select("doc_id", "n_shingles", "component_id")
