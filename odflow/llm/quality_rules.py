@@ -118,20 +118,20 @@ def op4_line_cleaning(spark, sf_dir: str) -> DataFrame:
         "n_lines", "n_clean_words")
 
 
-_SYM = "[#*$%&|<>]"
 ORACLE = r"""
 WITH w AS (
   SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 g AS (
-  SELECT doc_id, text, unnest(range(1, len(words) - 6)) AS i, words FROM w WHERE len(words) >= 8),
+  SELECT doc_id, hash(text) AS t, i, hash(array_to_string(list_slice(words, i, i + 7), ' ')) AS q
+  FROM (SELECT doc_id, text, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8)),
 h AS (
-  SELECT doc_id, text, i, count(*) OVER (PARTITION BY doc_id, text, list_slice(words, i, i + 7)) AS n FROM g),
+  SELECT doc_id, t, i FROM g SEMI JOIN (SELECT doc_id, t, q FROM g GROUP BY ALL HAVING count(*) > 1) m USING (doc_id, t, q)),
 r AS (
-  SELECT doc_id, text, i, lead(i) OVER (PARTITION BY doc_id, text ORDER BY i) AS nxt FROM h WHERE n > 1),
+  SELECT doc_id, t, i, lead(i) OVER (PARTITION BY doc_id, t ORDER BY i) AS nxt FROM h),
 c AS (
-  SELECT doc_id, text, sum(least(8, coalesce(nxt - i, 8)))::BIGINT AS n FROM r GROUP BY ALL),
+  SELECT doc_id, t, sum(least(8, coalesce(nxt - i, 8)))::BIGINT AS n FROM r GROUP BY ALL),
 l AS (
   SELECT doc_id, text, words, lines, list_distinct(lines) AS uniq FROM w),
 k AS (
@@ -150,7 +150,7 @@ o AS (
     (length(coalesce(k.text, '')) - length(translate(coalesce(k.text, ''), '#*$%&|<>', '')))::BIGINT AS n_symbols,
     (len(lines) - len(uniq))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
     len(lines)::BIGINT AS n_lines, list_sum(list_transform(good, lambda s: len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')))) AS clean
-  FROM k LEFT JOIN c ON k.doc_id = c.doc_id AND k.text = c.text)
+  FROM k LEFT JOIN c ON k.doc_id = c.doc_id AND hash(k.text) = c.t)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, coalesce(clean, 0)::BIGINT AS n_clean_words,
   n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND coalesce(clean, 0) >= 0.5::DOUBLE * n_words AS kept

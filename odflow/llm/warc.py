@@ -145,8 +145,26 @@ class Source:
         return self.data[offset - self.at:offset - self.at + n]
 
 
+class Plain:
+    """The bytes of an uncompressed file from an offset on."""
+
+    length = None
+
+    def __init__(self, source: Source, offset: int) -> None:
+        self.source, self.at = source, offset
+
+    def peek(self, n: int) -> bytes:
+        return self.source.read(self.at, min(n, self.source.size - self.at))
+
+    def skip(self, n: int) -> None:
+        self.at += n
+
+    def end(self) -> int:
+        return self.at
+
+
 class Inflated:
-    """The plain bytes of one gzip member, as far as they are asked for."""
+    """The plain bytes of one gzip member; what is skipped is not kept."""
 
     def __init__(self, source: Source, offset: int) -> None:
         head = source.read(offset, 10)
@@ -170,16 +188,25 @@ class Inflated:
         self.inflate, self.data = zlib.decompressobj(-15), b""
 
     def _more(self) -> bytes:
-        piece = self.source.read(self.at, BLOCK) or self.source.read(self.at, 1)
-        if not piece and not self.inflate.unconsumed_tail:
+        piece = self.source.read(self.at, min(BLOCK, self.source.size - self.at))
+        if not piece:
             raise ValueError("gzip member ends early")
         self.at += len(piece)
         return self.inflate.decompress(piece)
 
-    def upto(self, n: int) -> bytes:
-        while len(self.data) < n and not self.inflate.eof:
-            self.data += self._more()
-        return self.data
+    def peek(self, n: int) -> bytes:
+        pieces, have = [self.data], len(self.data)
+        while have < n and not self.inflate.eof:
+            pieces.append(self._more())
+            have += len(pieces[-1])
+        self.data = b"".join(pieces)
+        return self.data[:n]
+
+    def skip(self, n: int) -> None:
+        while n > len(self.data) and not self.inflate.eof:
+            n -= len(self.data)
+            self.data = self._more()
+        self.data = self.data[n:]
 
     def end(self) -> int:
         """Offset of the next member."""
@@ -199,43 +226,64 @@ def _headers(block: bytes) -> dict[str, str]:
     return out
 
 
+def _record(stream, wanted, payload: bool) -> tuple[bool, dict | None]:
+    """(whether there was a record, its row if wanted); the stream then stands
+    behind it, or, where its member's length is known, may stay in it."""
+    size, stop, head = 8192, -1, b""
+    while stop < 0:
+        head = stream.peek(size)
+        lead = len(head) - len(head.lstrip(b"\r\n"))
+        stop = head.find(b"\r\n\r\n", lead)
+        if stop < 0 and len(head) < size:
+            if head.strip():
+                raise ValueError("a record's headers do not end")
+            return False, None
+        size *= 2
+    if not head[lead:].startswith(b"WARC/"):
+        raise ValueError("no record where one should begin")
+    headers = _headers(head[lead:stop])
+    length = int(headers["content-length"])
+    row = {c: headers.get(h.lower()) for c, h in HEADERS.items()}
+    row["payload_digest"] = (row["payload_digest"] or "").removeprefix("sha1:") or None
+    keep = wanted(row)
+    if not keep and stream.length:
+        return True, None
+    stream.skip(stop + 4)
+    if not keep:
+        stream.skip(length)
+        return True, None
+    body, row["payload_length"] = 0, length
+    if headers.get("content-type", "").startswith("application/http"):
+        top = stream.peek(min(length, BLOCK))
+        cut = top.find(b"\r\n\r\n")
+        if cut >= 0:
+            body = cut + 4
+            row["payload_length"] = int(_headers(top[:cut]).get("content-length") or length - body)
+    stream.skip(body)
+    row["payload"] = None
+    if payload:
+        row["payload"] = stream.peek(length - body)
+    elif stream.length:
+        return True, row
+    stream.skip(length - body)
+    return True, row
+
+
 def records(source: Source, wanted, payload: bool) -> Iterator[dict]:
-    """The records of a file whose header columns ``wanted`` accepts."""
+    """The records of a file whose header columns ``wanted`` accepts: plain,
+    or gzip members of one or more records."""
     offset = 0
     while offset < source.size:
         packed = source.read(offset, 2) == b"\x1f\x8b"
-        inflated = Inflated(source, offset) if packed else None
-
-        def plain(a: int, b: int):
-            return inflated.upto(b)[a:b] if inflated else source.read(offset + a, min(b, source.size - offset) - a)
-
-        size, stop = BLOCK, -1
-        while stop < 0:
-            head = plain(0, size)
-            stop = head.find(b"\r\n\r\n")
-            if stop < 0 and len(head) < size:
-                if head.strip():
-                    raise ValueError(f"no record at byte {offset}")
-                return
-            size *= 2
-        lead = len(head) - len(head.lstrip(b"\r\n"))
-        headers = _headers(head[lead:stop])
-        length = int(headers["content-length"])
-        row = {c: headers.get(h.lower()) for c, h in HEADERS.items()}
-        row["payload_digest"] = (row["payload_digest"] or "").removeprefix("sha1:") or None
-        if wanted(row):
-            begin, end = stop + 4, stop + 4 + length
-            row["payload_length"], body = length, begin
-            if headers.get("content-type", "").startswith("application/http"):
-                top = plain(begin, min(end, begin + BLOCK))
-                cut = top.find(b"\r\n\r\n")
-                if cut >= 0:
-                    http = _headers(top[:cut])
-                    body = begin + cut + 4
-                    row["payload_length"] = int(http.get("content-length") or end - body)
-            row["payload"] = bytes(plain(body, end)) if payload else None
-            yield row
-        offset = inflated.end() if inflated else offset + stop + 4 + length + 4
+        stream = Inflated(source, offset) if packed else Plain(source, offset)
+        more = True
+        while more:
+            more, row = _record(stream, wanted, payload)
+            if row is not None:
+                yield row
+            if packed and stream.length:
+                break       # lengths are given for members of one record
+        offset = stream.end() if packed else source.size
 
 
 @dataclass
