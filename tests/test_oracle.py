@@ -6,11 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from odflow import oracle, queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SQL = E.oracle_sql()
-KEYS = sorted(E.queries())
+SQL = oracle.oracle_sql()
+QUERIES = queries.registry()
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +32,7 @@ def _norm(rows, cols):
 def test_every_query_has_an_oracle_except_iterative():
     assert set(KEYS) - set(SQL) == {"bq1_day_clusters"}
     assert set(SQL) <= set(KEYS)
+    assert set(KEYS) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -40,7 +43,7 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    df = E.queries()[key](spark, SF)
+    df = QUERIES[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     if key not in SQL:
         assert all(1 <= r[-1] <= 3 for r in rows)
