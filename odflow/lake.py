@@ -96,8 +96,17 @@ class Lake:
             r[0].isoformat()
             for r in src.toDF("d").filter(F.col("d").isin(day_lits)).distinct().collect()
         }
-        empty_schema = body.drop(day_col).schema
-        for d in requested:
-            if d not in present:
-                empty = self.spark.createDataFrame([], empty_schema)
-                empty.write.mode("overwrite").parquet(f"{self.path(layer, table)}/{day_col}={d}")
+        self.clear_days(layer, table, day_col, [d for d in requested if d not in present], body.drop(day_col).schema)
+
+    def clear_days(self, layer: str, table: str, day_col: str, days: list[str], schema) -> None:
+        """Removes the directories of days without rows: file-system calls and
+        one Spark job at most, which leaves an empty file that keeps the
+        table readable."""
+        if not days:
+            return
+        jvm = self.spark.sparkContext._jvm
+        paths = [jvm.org.apache.hadoop.fs.Path(f"{self.path(layer, table)}/{day_col}={d}") for d in days]
+        fs = paths[0].getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for p in paths[1:]:
+            fs.delete(p, True)
+        self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(paths[0].toString())

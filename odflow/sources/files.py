@@ -20,37 +20,83 @@ class NoInputFiles(FileNotFoundError):
     pass
 
 
+def list_files(spark: SparkSession, prefix: str, name_contains: str = "", suffix: str = "") -> list[str]:
+    """Full paths of the files under ``prefix`` (any depth, any Hadoop file
+    system) whose name contains the text; a prefix without any file at all is
+    an error."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(prefix)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, any_file = [], False
+    if fs.exists(root):
+        it = fs.listFiles(root, True)
+        while it.hasNext():
+            path = it.next().getPath()
+            name = path.getName()
+            if name.startswith(("_", ".")):
+                continue
+            any_file = True
+            if name_contains in name and name.endswith(suffix):
+                found.append(path.toString())
+    if not any_file:
+        raise NoInputFiles(f"no files found in {prefix}")
+    return sorted(found)
+
+
+def header_schema(spark: SparkSession, sample: str, sep: str = "|") -> T.StructType:
+    """Schema of a separated file from its header line, every column text
+    (the empty table made from a sample file)."""
+    names = spark.read.option("header", True).option("sep", sep).csv(sample).columns
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def empty_like(spark: SparkSession, sample: str, sep: str = "|") -> DataFrame:
+    """No rows, with the columns of a sample file."""
+    return spark.createDataFrame([], header_schema(spark, sample, sep))
+
+
 def read_trip_csv(spark: SparkSession, prefix: str | list[str], name_contains: str = "",
-                  schema: T.StructType = S.BRONZE_TRIPS, sep: str = "|", repartition: int | None = None) -> DataFrame:
+                  schema: T.StructType = S.BRONZE_TRIPS, sep: str = "|", repartition: int | None = None,
+                  day_in_name: bool = False) -> DataFrame:
     """All ``*<name_contains>*.csv.gz`` trip files under ``prefix``, one job.
 
-    Header per file, ``|`` separated, every column text.  Gzip files are not
-    splittable: each file is one task.  With one file per level and day
-    that is already the parallelism and the layout the silver table wants
-    (a task writes one (zone, day) directory), so no shuffle is added;
-    ``repartition`` spreads a few very large files when needed.  An empty or
-    missing prefix is an error; a filter that matches nothing gives an
+    ``|`` separated, every column text, columns taken by the names in the
+    header, whatever their order and however many others the file has.  The
+    header of every file is compared with that of the first: a file laid out
+    differently, like a line with too few or too many fields, fails the load
+    rather than being misread.  A missing column is a ``ContractError``.
+
+    Gzip files are not splittable: each file is one task.  With one file per
+    level and day that is already the parallelism and the layout the silver
+    table wants (a task writes one (zone, day) directory), so no shuffle is
+    added; ``repartition`` spreads a few very large files when needed.  A
+    prefix without files is an error; a filter that matches nothing gives an
     empty frame.  A list (e.g. from ``daily_paths``) reads exactly those
-    files.
+    files.  ``day_in_name``: rows of another day than the file's name gives
+    fail the load.
     """
+    paths = prefix if isinstance(prefix, list) else list_files(spark, prefix, name_contains, ".csv.gz")
+    if not paths:
+        return spark.createDataFrame([], schema)
+    header = header_schema(spark, paths[0], sep)
+    missing = [f.name for f in schema.fields if f.name not in header.names]
+    if missing:
+        raise S.ContractError(f"{paths[0]}: missing columns {missing}")
+    reader = (
+        spark.read.schema(header).option("header", True).option("sep", sep).option("mode", "FAILFAST")
+        .option("enforceSchema", False)
+        .option("columnPruning", False)      # pruned lines are not checked for their number of fields
+    )
     if isinstance(prefix, list):
-        df = spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", "FAILFAST").csv(prefix)
-        return df.repartition(repartition) if repartition else df
-    try:
-        df = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("sep", sep)
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", f"*{name_contains}*.csv.gz")
-            .option("mode", "FAILFAST")
-            .csv(prefix)
-        )
-        df.schema  # noqa: B018  (resolve the path now)
-    except Exception as exc:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            raise NoInputFiles(f"no files found in {prefix}") from exc
-        raise
+        df = reader.csv(paths)
+    else:
+        df = reader.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{name_contains}*.csv.gz").csv(prefix)
+    columns = [F.col(f"`{f.name}`") for f in schema.fields]
+    if day_in_name:
+        wrong = F.regexp_replace("fecha", "-", "") != F.substring("_metadata.file_name", 1, 8)
+        columns = [F.when(wrong, F.raise_error(F.concat(F.lit("row of another day in "), F.col("_metadata.file_name"))))
+                   .otherwise(F.col("fecha")).alias("fecha") if f.name == "fecha" else F.col(f"`{f.name}`") for f in schema.fields]
+    df = df.select(*columns)
     return df.repartition(repartition) if repartition else df
 
 

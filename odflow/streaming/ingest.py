@@ -2,15 +2,17 @@
 
 The batch pipeline loads every file of a level at once; this keeps the
 layers current as new daily files land.  A file source watches the trip
-folder; each micro-batch resolves codes (broadcast joins, as in the batch
-path), replaces the (zone level, day) partitions of silver.viajes that
-the batch carries and reloads the same days of the gold tables.
-
-Exactly-once by idempotence: the source's checkpoint records which files
-were consumed, and every write is a partition replacement computed only
-from the batch's files, so re-running a batch after a failure writes the
-same partitions again.  This relies on the input layout of one complete
-file per level and day (``<yyyyMMdd>_Viajes_<level>.csv.gz``).
+folder and streams the names of new files.  Each micro-batch takes the
+(zone level, day) pairs of its files and rebuilds those days of silver.viajes
+from all files of these days in the folder, read by the batch reader with its
+checks, then reloads the same days of the gold tables.
+
+No row is lost however files come: a day may have any number of files, in one
+batch, in several (``max_files_per_trigger``), or late in another run, since a
+day is always rebuilt whole.  A batch that is run again after a failure writes
+the same partitions again.  This relies on names that start with the day
+(``<yyyyMMdd>_Viajes_<level>...csv.gz``); a row of another day than its file's
+name, a malformed line or another header fails the batch.
 """
 
 from __future__ import annotations
@@ -22,39 +24,48 @@ from pyspark.sql.streaming import StreamingQuery
 from odflow import schema as S
 from odflow.lake import Lake
 from odflow.plans import gold
-from odflow.plans.silver import resolve_all_levels
+from odflow.plans.silver import silver_trips
+from odflow.sources.files import list_files, read_trip_csv
 
 # ---- fixed values: file-name markers of the three trip levels ----
 LEVEL_FILES = {"municipios": "Viajes_municipios", "distritos": "Viajes_distritos", "gaus": "Viajes_GAU"}
 
 
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def trip_file_stream(spark: SparkSession, prefix: str, level: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame over the trip files of one level under ``prefix``."""
+    """Stream of (path, tipo_zona) of the trip files of one level under
+    ``prefix``; the files themselves are not read."""
     r = (
-        spark.readStream.schema(S.BRONZE_TRIPS)
-        .option("header", True)
-        .option("sep", "|")
+        spark.readStream.format("binaryFile").schema(_FILES)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*{LEVEL_FILES[level]}*.csv.gz")
     )
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.csv(prefix).withColumn("tipo_zona", F.lit(level))
+    return r.load(prefix).select("path", F.lit(level).alias("tipo_zona"))
+
+
+def file_day(path: str) -> str:
+    """ISO day of a trip file, from its name."""
+    name = path.rsplit("/", 1)[-1]
+    if not name[:8].isdigit():
+        raise S.ContractError(f"{path}: the name of a trip file starts with its day (yyyyMMdd)")
+    return f"{name[:4]}-{name[4:6]}-{name[6:8]}"
 
 
-def _process_batch(lake: Lake, relaciones: DataFrame, batch: DataFrame, batch_id: int) -> None:
-    silver = resolve_all_levels(batch, relaciones).persist()
-    try:
-        touched = silver.select("tipo_zona", "fecha").distinct().collect()   # at most files-per-batch rows
-        if not touched:
-            return
-        lake.replace_partitions(silver.hint("rebalance", "tipo_zona", "fecha"), "silver", "viajes", ["tipo_zona", "fecha"])
-        viajes = lake.read("silver", "viajes")
-        for level in sorted({r.tipo_zona for r in touched}):
-            days = sorted({r.fecha.isoformat() for r in touched if r.tipo_zona == level})
-            gold.write_gold(lake, viajes, level, days)
-    finally:
-        silver.unpersist()
+def _process_batch(lake: Lake, relaciones: DataFrame, prefix: str, batch: DataFrame, batch_id: int) -> None:
+    new: dict[str, set[str]] = {}
+    for r in batch.select("tipo_zona", "path").distinct().collect():     # one row per new file
+        new.setdefault(r.tipo_zona, set()).add(file_day(r.path))
+    spark = lake.spark
+    for level in sorted(new):
+        days = sorted(new[level])
+        paths = [p for p in list_files(spark, prefix, LEVEL_FILES[level], ".csv.gz") if file_day(p) in new[level]]
+        rows = silver_trips({level: read_trip_csv(spark, paths, day_in_name=True)}, relaciones).drop("tipo_zona")
+        lake.replace_days(rows, "silver", f"viajes/tipo_zona={level}", days)
+        gold.write_gold(lake, lake.read("silver", "viajes"), level, days)
 
 
 def start_trip_ingest(
@@ -78,7 +89,7 @@ def start_trip_ingest(
     for s in streams[1:]:
         src = src.unionByName(s)
     rel = relaciones.cache()    # a small dimension read once for every batch
-    w = src.writeStream.foreachBatch(lambda df, bid: _process_batch(lake, rel, df, bid)).option(
+    w = src.writeStream.foreachBatch(lambda df, bid: _process_batch(lake, rel, prefix, df, bid)).option(
         "checkpointLocation", checkpoint_location
     )
     if processing_time:

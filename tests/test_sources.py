@@ -90,3 +90,52 @@ def test_trip_csv_from_daily_path_list(spark, scratch):
             f.write(f"fecha|periodo|origen|destino|viajes|viajes_km\n{day}|00|1|2|1|1\n")
     paths = files.daily_paths(d, "Viajes_GAU", "2023-01-02", "2023-01-03")
     assert sorted(r.fecha for r in files.read_trip_csv(spark, paths).collect()) == ["20230102", "20230103"]
+
+
+HEADER = "fecha|periodo|origen|destino|viajes|viajes_km"
+
+
+def _gz(path, header, *lines):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with gzip.open(path, "wt") as f:
+        f.write("\n".join([header, *lines]) + "\n")
+
+
+def test_trip_csv_takes_columns_by_name(spark, scratch):
+    _gz(f"{scratch}/t/20230101_Viajes_a.csv.gz", "extra|fecha|periodo|destino|origen|viajes|viajes_km|renta", "e|20230101|08|D|O|1.5|2.5|r")
+    df = files.read_trip_csv(spark, f"{scratch}/t", "Viajes")
+    assert df.columns == HEADER.split("|")
+    assert tuple(df.first()) == ("20230101", "08", "O", "D", "1.5", "2.5")
+    assert tuple(df.select("viajes", "viajes_km").first()) == ("1.5", "2.5")
+
+
+def test_trip_csv_missing_column_is_an_error(spark, scratch):
+    _gz(f"{scratch}/t/20230101_Viajes_a.csv.gz", HEADER.replace("|viajes_km", ""), "20230101|08|O|D|1")
+    with pytest.raises(S.ContractError, match="viajes_km"):
+        files.read_trip_csv(spark, f"{scratch}/t", "Viajes")
+
+
+@pytest.mark.parametrize("line", ["20230101|08|O|D|1", "20230101|08|O|D|1|2|3"])
+def test_trip_csv_lines_of_another_length_fail(spark, scratch, line):
+    _gz(f"{scratch}/t/20230101_Viajes_a.csv.gz", HEADER, "20230101|08|O|D|1|2", line)
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        files.read_trip_csv(spark, f"{scratch}/t", "Viajes").collect()
+
+
+def test_trip_csv_files_laid_out_differently_fail(spark, scratch):
+    _gz(f"{scratch}/t/20230101_Viajes_a.csv.gz", HEADER, "20230101|08|O|D|1|2")
+    _gz(f"{scratch}/t/20230102_Viajes_a.csv.gz", HEADER.replace("origen|destino", "destino|origen"), "20230102|08|D|O|1|2")
+    with pytest.raises(Exception):
+        files.read_trip_csv(spark, f"{scratch}/t", "Viajes").collect()
+
+
+def test_trip_csv_empty_folder_is_an_error(spark, scratch):
+    os.makedirs(f"{scratch}/none")
+    with pytest.raises(files.NoInputFiles):
+        files.read_trip_csv(spark, f"{scratch}/none", "Viajes")
+
+
+def test_empty_table_from_a_sample_file(spark, scratch):
+    _gz(f"{scratch}/t/20230101_Viajes_a.csv.gz", "a|b|c", "1|2|3")
+    df = files.empty_like(spark, f"{scratch}/t/20230101_Viajes_a.csv.gz")
+    assert df.dtypes == [("a", "string"), ("b", "string"), ("c", "string")] and df.count() == 0
