@@ -25,6 +25,7 @@ Conventions (OGC simple features):
 from __future__ import annotations
 
 import itertools
+import json
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -191,6 +192,13 @@ def geom_literal_sql(spark, wkt: str) -> str:
     return f"from_json({sql_string(_LITERALS[key])}, {sql_string(GEOM.simpleString())})"
 
 
+def geom_literal_box(spark, wkt: str) -> tuple[float, float, float, float]:
+    """(xmin, ymin, xmax, ymax) of a WKT parameter, from its parsed literal."""
+    geom_literal_sql(spark, wkt)
+    g = json.loads(_LITERALS[(spark.sparkContext.applicationId, wkt)])
+    return g["xmin"], g["ymin"], g["xmax"], g["ymax"]
+
+
 def geom_literal(spark, wkt: str) -> Column:
     return F.expr(geom_literal_sql(spark, wkt))
 
@@ -341,8 +349,31 @@ def _edge_inside(o: str, e: str) -> str:
     )
 
 
+def _inner_point(poly: str, use) -> str:
+    """``use(point)`` for a point inside one polygon (array of rings): the
+    middle of the first chord that a line between its two lowest vertex
+    heights cuts.  A polygon without area has no such line: true."""
+    r, q, r2, k, c = (_v(x) for x in "rqrkc")
+
+    def cut(y: str) -> str:
+        x1, y1, x2, y2 = f"{r2}[{k} - 1].x", f"{r2}[{k} - 1].y", f"{r2}[{k}].x", f"{r2}[{k}].y"
+        at = f"CASE WHEN ({y1} > {y}) != ({y2} > {y}) THEN {x1} + ({x2} - {x1}) * ({y} - {y1}) / ({y2} - {y1}) END"
+        return (
+            f"array_sort(filter(flatten(transform({poly}, {r2} -> transform(sequence(1, greatest(size({r2}) - 1, 1)), {k} -> {at}))), "
+            f"{c} -> {c} IS NOT NULL))"
+        )
+
+    def middle(ys: str) -> str:
+        return _let(f"({ys}[0] + {ys}[1]) / 2", lambda y: _let(
+            cut(y), lambda xs: _let(f"named_struct('x', ({xs}[0] + {xs}[1]) / 2, 'y', {y})", use)))
+
+    heights = f"array_sort(array_distinct(flatten(transform({poly}, {r} -> transform({r}, {q} -> {q}.y)))))"
+    return _let(heights, lambda ys: f"CASE WHEN size({ys}) < 2 THEN true ELSE {middle(ys)} END")
+
+
 def st_contains_sql(outer: str, inner: str) -> str:
     def test(o: str, i: str) -> str:
+        part = _v("part")
         e, f, h = _v("e"), _v("f"), _v("h")
         bbox = f"({i}.xmin >= {o}.xmin AND {i}.xmax <= {o}.xmax AND {i}.ymin >= {o}.ymin AND {i}.ymax <= {o}.ymax)"
         edges_ok = f"forall({i}.edges, {e} -> {_edge_inside(o, e)})"
@@ -350,7 +381,9 @@ def st_contains_sql(outer: str, inner: str) -> str:
             f"forall(filter({o}.edges, {f} -> {f}.hole), {h} -> NOT {_contains_point(i, f'{h}.x1', f'{h}.y1')} "
             f"AND NOT {_contains_point(i, f'({h}.x1 + {h}.x2) / 2', f'({h}.y1 + {h}.y2) / 2')})"
         )
-        return f"({bbox} AND {edges_ok} AND {holes_ok})"
+        # edges may all run along the boundary of a hole or a gap that the shape fills
+        parts_ok = f"forall({i}.polys, {part} -> {_inner_point(part, lambda m: _covers_point(o, f'{m}.x', f'{m}.y'))})"
+        return f"({bbox} AND {edges_ok} AND {holes_ok} AND {parts_ok})"
 
     return _let(outer, lambda o: _let(inner, lambda i: test(o, i)))
 
@@ -360,7 +393,7 @@ def st_contains(outer_geom: str, inner_geom: str) -> Column:
 
     Tests: bounding boxes; every inner edge inside (``_edge_inside``); no
     hole of ``outer`` has a vertex or an edge midpoint strictly inside
-    ``inner``.  Cost is (inner edges x outer edges) per pair.
+    ``inner``; a point inside each part of ``inner`` is covered.  Cost is (inner edges x outer edges) per pair.
     """
     return F.expr(st_contains_sql(_sql(outer_geom), _sql(inner_geom)))
 

@@ -25,6 +25,7 @@ def pivot_hours(df: DataFrame, index: str, hour: str, value: str) -> DataFrame:
     absent from the whole frame is 0 (its column did not exist before the
     re-index).  The presence flags are one global aggregate, read as a
     scalar subquery: Spark runs it once and uses the value as a constant.
+    ``df`` is read for both, so callers pass stored totals.
     """
     wide = df.groupBy(index).pivot(hour, HOURS).agg(F.sum(value))
     present = df.agg(F.array(*[F.max((F.col(hour) == h).cast("int")) for h in HOURS])).scalar()
@@ -91,5 +92,5 @@ def kmeans_labels(df: DataFrame, feature_cols: list[str], k: int, seed: int, out
     n_distinct = df.select(*feature_cols).distinct().limit(k).count()
     if n_distinct < k:
         raise ValueError(f"k-means needs at least k={k} distinct vectors, found {n_distinct}")
-    model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_pred", maxIter=300, tol=1e-4).fit(feats)
+    model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_pred", maxIter=300, tol=0.0).fit(feats)
     return model.transform(feats).withColumn(out, F.col("_pred") + 1).drop("_features", "_pred")

@@ -34,7 +34,7 @@ cte("trip_rows", """
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey""")
 
-cte("viajes", f"""
+cte("typed_trips", f"""
   SELECT CAST(DATE '2023-01-01' + CAST(l_partkey % 14 AS INTEGER) AS DATE) AS fecha,
          CAST(l_orderkey % 24 AS INTEGER) AS periodo,
          {_zone('l_linenumber')} AS tipo_zona,
@@ -51,7 +51,7 @@ cte("bronze_trips", f"""
          'Z' || {_code('s_nationkey')} AS origen,
          'Z' || {_code('c_nationkey')} AS destino,
          CAST(CAST(l_quantity + CASE WHEN l_linenumber = 1 THEN 0.5 ELSE 0.0 END AS DECIMAL(12,1)) AS VARCHAR) AS viajes,
-         CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS VARCHAR) AS viajes_km
+         CAST(CAST(floor(l_extendedprice) + 0.25 AS DECIMAL(14,2)) AS VARCHAR) AS viajes_km
   FROM trip_rows""", ["trip_rows"])
 
 _REL_ROW = (
@@ -66,6 +66,14 @@ cte("relaciones", f"""
 
 cte("rel_pairs", "SELECT DISTINCT municipio_mitma AS m, municipio_ine AS i FROM relaciones", ["relaciones"])
 
+# every trip row once per official id of its two codes; 'NA' has none
+cte("official", """
+  SELECT m AS code, TRY_CAST(i AS INTEGER) AS id FROM rel_pairs WHERE TRY_CAST(i AS INTEGER) IS NOT NULL""", ["rel_pairs"])
+cte("viajes", """
+  SELECT strptime(t.fecha, '%Y-%m-%d')::DATE AS fecha, t.periodo::INTEGER AS periodo, t.tipo_zona, a.id AS id_origen, b.id AS id_destino,
+         round_even(t.viajes::DOUBLE, 0) AS viajes, t.viajes_km::DOUBLE * 1000 AS viajes_metros
+  FROM bronze_trips t, official a, official b WHERE a.code = t.origen AND b.code = t.destino""", ["bronze_trips", "official"])
+
 cte("bronze_poblacion", f"""
   SELECT {_code('n.n_nationkey')} || ' ' || n.n_name AS column0, format('{{:,}}', c.n * 1000) AS "Total"
   FROM nation n JOIN (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey) c
@@ -83,11 +91,12 @@ cte("bronze_renta", f"""
 
 
 def _clean_stat(src: str, value_col: str, out: str) -> str:
+    """Rows whose label begins with a code and whose value is a number once its separators are gone."""
     return f"""
-  SELECT CAST(code AS INTEGER) AS id, CAST(replace(val, ',', '') AS INTEGER) AS {out}
-  FROM (SELECT substr(trim(column0), 1, 5) AS code, trim("{value_col}") AS val
-        FROM {src} WHERE trim(column0) <> '2023') t
-  WHERE TRY_CAST(code AS INTEGER) IS NOT NULL AND regexp_matches(val, '[0-9]')"""
+  SELECT id, v AS {out} FROM (
+    SELECT TRY_CAST(left(trim(column0), 5) AS INTEGER) AS id, TRY_CAST(translate("{value_col}", ', ', '') AS INTEGER) AS v,
+           trim(column0) = '2023' AS year_row
+    FROM {src}) WHERE id IS NOT NULL AND v IS NOT NULL AND NOT year_row"""
 
 
 cte("poblacion", _clean_stat("bronze_poblacion", "Total", "poblacion"), ["bronze_poblacion"])
@@ -155,54 +164,48 @@ cte("squares", """
 PERIOD_SQL = "DATE '2023-01-01' AND DATE '2023-01-14'"
 
 
-def _bq3(gold: str) -> None:
-    cte(f"daily_{gold}", f"""
-  SELECT l.nombre, g.fecha, sum(g.total_viajes) AS trips_per_day
-  FROM {gold} g JOIN inpoly l ON g.id_destino = l.id
-  WHERE g.fecha BETWEEN {PERIOD_SQL} GROUP BY l.nombre, g.fecha""", [gold, "inpoly"])
-    cte(f"davg_{gold}", f"""
-  SELECT d.nombre, c.tipo_dia, avg(d.trips_per_day) AS avg_daily_vol
-  FROM daily_{gold} d JOIN calendario c ON d.fecha = c.fecha GROUP BY d.nombre, c.tipo_dia""",
-        [f"daily_{gold}", "calendario"])
-    cte(f"stats_{gold}", f"""
-  SELECT nombre, avg(CASE WHEN tipo_dia THEN avg_daily_vol END) AS workday_v,
-         avg(CASE WHEN NOT tipo_dia THEN avg_daily_vol END) AS weekend_v
-  FROM davg_{gold} GROUP BY nombre""", [f"davg_{gold}"])
+def _bq3(gold: str, places: str, where: str = "") -> None:
+    """Ranking of the places of a polygon: one row per place and day with the
+    day's type, means by FILTER, rank by counting the smaller ratios."""
+    cte(f"place_days_{gold}", f"""
+  SELECT z.nombre, k.fecha, k.tipo_dia AS working, sum(g.total_viajes) AS trips
+  FROM calendario k JOIN {gold} g USING (fecha) JOIN (SELECT id, nombre FROM {places} {where}) z ON z.id = g.id_destino
+  WHERE k.fecha >= '2023-01-01' AND k.fecha < '2023-01-15' GROUP BY ALL""", [gold, places, "calendario"])
+    cte(f"place_means_{gold}", f"""
+  SELECT nombre, avg(trips) FILTER (working) AS workday_v, avg(trips) FILTER (NOT working) AS weekend_v,
+         CASE WHEN weekend_v <> 0 THEN workday_v / weekend_v END AS ratio
+  FROM place_days_{gold} GROUP BY nombre""", [f"place_days_{gold}"])
     cte(f"ranking_{gold}", f"""
-  SELECT * FROM (
-    SELECT *, workday_v / NULLIF(weekend_v, 0) AS ratio,
-           percent_rank() OVER (ORDER BY workday_v / NULLIF(weekend_v, 0) ASC NULLS LAST) AS percentile
-    FROM stats_{gold} WHERE workday_v > 50 AND weekend_v IS NOT NULL) s
-  WHERE percentile >= 0.95""", [f"stats_{gold}"])
-
-
-_bq3("gold_municipios")
-_bq3("gold_distritos")
-
-cte("bq2_base", f"""
-  SELECT mo.nombre AS origen, md.nombre AS destino, mo.latitude AS o_lat, mo.longitude AS o_lon,
-         md.latitude AS d_lat, md.longitude AS d_lon,
-         sum(g.total_viajes) AS viajes_reales,
-         sum(g.total_viajes * g.avg_viajes_metros) / NULLIF(sum(g.total_viajes), 0) AS dist_media,
-         CAST(max(po.poblacion) AS DOUBLE) AS pop_origen, CAST(max(pd.poblacion) AS DOUBLE) AS pop_destino,
-         CAST(max(r.renta) AS DOUBLE) AS renta_destino
-  FROM gold_municipios g
-  JOIN inpoly mo ON g.id_origen = mo.id
-  JOIN lugares md ON g.id_destino = md.id
-  JOIN poblacion po ON g.id_origen = po.id
-  JOIN poblacion pd ON g.id_destino = pd.id
-  JOIN renta r ON g.id_destino = r.id
-  WHERE g.fecha BETWEEN {PERIOD_SQL}
-  GROUP BY mo.nombre, md.nombre, mo.latitude, mo.longitude, md.latitude, md.longitude""",
-    ["gold_municipios", "inpoly", "lugares", "poblacion", "renta"])
-
-cte("bq2_pot", """
-  SELECT *, (pop_origen * renta_destino) / NULLIF(power(dist_media, 2), 0) AS potencial FROM bq2_base""", ["bq2_base"])
-
-cte("bq2_scored", """
-  SELECT p.*, p.viajes_reales / NULLIF(p.potencial * k.k, 0) AS mismatch, sqrt(p.pop_origen * p.pop_destino) AS pop_weight,
-         p.viajes_reales / NULLIF(p.potencial * k.k, 0) * sqrt(p.pop_origen * p.pop_destino) AS weighted_mismatch
-  FROM bq2_pot p, (SELECT sum(viajes_reales) / NULLIF(sum(potencial), 0) AS k FROM bq2_pot) k""", ["bq2_pot"])
+  SELECT c.*, coalesce(n_below / nullif(n_all - 1, 0), 0)::DOUBLE AS percentile
+  FROM (SELECT x.*, count(*) OVER () AS n_all,
+               (SELECT count(*) FROM place_means_{gold} o WHERE o.workday_v > 50 AND o.weekend_v IS NOT NULL
+                  AND (o.ratio < x.ratio OR (x.ratio IS NULL AND o.ratio IS NOT NULL))) AS n_below
+        FROM place_means_{gold} x WHERE x.workday_v > 50 AND x.weekend_v IS NOT NULL) c
+  WHERE coalesce(n_below / nullif(n_all - 1, 0), 0) >= 0.95""", [f"place_means_{gold}"])
+
+
+_bq3("gold_municipios", "inpoly")
+_bq3("gold_distritos", "inpoly", "WHERE tipo_zona = 'distrito'")
+cte("ranked_places", "SELECT l.* FROM lugares l SEMI JOIN ranking_gold_municipios USING (nombre)", ["lugares", "ranking_gold_municipios"])
+
+# the two ends of a BQ2 pair, each with all it needs
+cte("od_origins", "SELECT id, nombre, latitude, longitude, poblacion FROM inpoly JOIN poblacion USING (id)", ["inpoly", "poblacion"])
+cte("od_targets", "SELECT id, nombre, latitude, longitude, poblacion, renta FROM renta JOIN poblacion USING (id) JOIN lugares USING (id)",
+    ["renta", "poblacion", "lugares"])
+cte("od_rows", f"""
+  SELECT a.nombre AS origen, b.nombre AS destino, a.latitude AS o_lat, a.longitude AS o_lon, b.latitude AS d_lat, b.longitude AS d_lon,
+         g.total_viajes AS n, g.total_viajes * g.avg_viajes_metros AS metres, a.poblacion AS pa, b.poblacion AS pb, b.renta AS rb
+  FROM od_targets b JOIN gold_municipios g ON g.id_destino = b.id JOIN od_origins a ON a.id = g.id_origen
+  WHERE g.fecha BETWEEN {PERIOD_SQL}""", ["od_origins", "od_targets", "gold_municipios"])
+cte("od_pairs", """
+  SELECT origen, destino, o_lat, o_lon, d_lat, d_lon, sum(n) AS viajes_reales, CASE WHEN sum(n) <> 0 THEN sum(metres) / sum(n) END AS dist_media,
+         max(pa)::DOUBLE AS pop_origen, max(pb)::DOUBLE AS pop_destino, max(rb)::DOUBLE AS renta_destino,
+         CASE WHEN dist_media <> 0 THEN pop_origen * renta_destino / (dist_media * dist_media) END AS potencial
+  FROM od_rows GROUP BY ALL""", ["od_rows"])
+cte("od_scored", """
+  SELECT *, CASE WHEN potencial * k <> 0 THEN viajes_reales / (potencial * k) END AS mismatch, sqrt(pop_origen * pop_destino) AS pop_weight,
+         mismatch * pop_weight AS weighted_mismatch
+  FROM (SELECT *, sum(viajes_reales) OVER () / nullif(sum(potencial) OVER (), 0) AS k FROM od_pairs)""", ["od_pairs"])
 
 cte("hourly", f"""
   SELECT g.fecha, CAST(g.periodo AS INTEGER) AS periodo, sum(g.total_viajes) AS total_viajes
@@ -250,8 +253,13 @@ SQL: dict[str, tuple[str, list[str]]] = {
     "empty_from_schema": ("SELECT fecha, periodo, origen, destino, viajes, viajes_km FROM bronze_trips LIMIT 0", ["bronze_trips"]),
     "csv_scan_trips": ("SELECT fecha, periodo, origen, destino, viajes, viajes_km FROM bronze_trips", ["bronze_trips"]),
     "csv_all_varchar": ("SELECT * FROM relaciones", ["relaciones"]),
-    "geojson_scan": (f"SELECT mitma AS id, n_name || ' ' AS name, 'Polygon' AS kind, 4 AS n_edges, "
-                     f"cx - 0.4 AS xmin, cy - 0.4 AS ymin, cx + 0.4 AS xmax, cy + 0.4 AS ymax FROM nat", ["nat"]),
+    "geojson_scan": ("SELECT tipo_zona, mitma AS id, name, 'Polygon' AS kind, 4 AS n_edges, "
+                     "cx - h AS xmin, cy - h AS ymin, cx + h AS xmax, cy + h AS ymax FROM geo_all", ["geo_all"]),
+    "csv_scan_stats": ("""
+      SELECT 'poblacion' AS source, column0, "Total" AS value FROM bronze_poblacion
+      UNION ALL SELECT 'renta', column0, "Renta neta media por persona" FROM bronze_renta""", ["bronze_poblacion", "bronze_renta"]),
+    "schema_from_sample": ("SELECT DISTINCT fecha, 'residencia|destino|viajes_km|fecha|origen|viajes|periodo' AS columns FROM bronze_trips",
+                           ["bronze_trips"]),
     "day_spine": ("""
       SELECT strftime(s.d, '%Y-%m-%d') AS day, count(v.fecha) AS n_trips
       FROM (SELECT CAST(unnest(generate_series(CAST(min(fecha) AS TIMESTAMP), CAST(max(fecha) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
@@ -259,14 +267,14 @@ SQL: dict[str, tuple[str, list[str]]] = {
       LEFT JOIN viajes v ON v.fecha = s.d GROUP BY s.d""", ["viajes"]),
     # ---- sinks
     "ctas_roundtrip": ("SELECT id, renta FROM renta", ["renta"]),
-    "not_null_contract": (f"SELECT {VIAJES_COLS} FROM viajes", ["viajes"]),
-    "append_union": (f"SELECT {VIAJES_COLS} FROM viajes WHERE tipo_zona IN ('municipios', 'distritos')", ["viajes"]),
+    "not_null_contract": (f"SELECT {VIAJES_COLS} FROM typed_trips", ["typed_trips"]),
+    "append_union": (f"SELECT {VIAJES_COLS} FROM viajes", ["viajes"]),
     "replace_partition_zone": (f"SELECT {VIAJES_COLS} FROM viajes WHERE NOT (tipo_zona = 'gaus' AND fecha > DATE '2023-01-07')",
                                ["viajes"]),
     "replace_partition_day": (f"SELECT {GOLD_COLS} FROM gold_municipios WHERE fecha <> DATE '2023-01-03'", ["gold_municipios"]),
     "report_lines_bq2": ("""
       SELECT origen || ' -> ' || destino || ' | Weighted mismatch: ' || printf('%.4f', weighted_mismatch) AS line
-      FROM (SELECT * FROM bq2_scored ORDER BY weighted_mismatch DESC NULLS LAST, origen, destino LIMIT 15) t""", ["bq2_scored"]),
+      FROM (SELECT * FROM od_scored ORDER BY weighted_mismatch DESC NULLS LAST, origen, destino LIMIT 15) t""", ["od_scored"]),
     "report_lines_bq3": ("SELECT '- ' || nombre || ': Ratio ' || printf('%.2f', ratio) AS line FROM ranking_gold_municipios",
                          ["ranking_gold_municipios"]),
     # ---- cleaning
@@ -291,27 +299,10 @@ SQL: dict[str, tuple[str, list[str]]] = {
                        "FROM bronze_trips GROUP BY tipo_zona, origen, destino", ["bronze_trips"]),
     # ---- joins
     "lugares_union": ("SELECT id, id_mitma, nombre, tipo_zona, xmin, ymin, xmax, ymax FROM lugares_union", ["lugares_union"]),
-    "join_resolve_codes": ("""
-      SELECT v.tipo_zona, TRY_CAST(ro.i AS INTEGER) AS id_origen, TRY_CAST(rd.i AS INTEGER) AS id_destino, count(*) AS n_trips,
-             sum(CAST(CAST(CAST(v.viajes AS DOUBLE) AS INTEGER) AS DOUBLE)) AS viajes
-      FROM bronze_trips v JOIN rel_pairs ro ON v.origen = ro.m JOIN rel_pairs rd ON v.destino = rd.m
-      WHERE v.viajes_km IS NOT NULL
-        AND TRY_CAST(ro.i AS INTEGER) IS NOT NULL AND TRY_CAST(rd.i AS INTEGER) IS NOT NULL
-      GROUP BY 1, 2, 3""", ["bronze_trips", "rel_pairs"]),
-    "silver_trips": ("""
-      SELECT CAST(v.fecha AS DATE) AS fecha, CAST(v.periodo AS INTEGER) AS periodo, v.tipo_zona,
-             TRY_CAST(ro.i AS INTEGER) AS id_origen, TRY_CAST(rd.i AS INTEGER) AS id_destino,
-             CAST(CAST(CAST(v.viajes AS DOUBLE) AS INTEGER) AS DOUBLE) AS viajes,
-             TRY_CAST(v.viajes_km AS DOUBLE) * 1000 AS viajes_metros
-      FROM bronze_trips v JOIN rel_pairs ro ON v.origen = ro.m JOIN rel_pairs rd ON v.destino = rd.m
-      WHERE v.viajes_km IS NOT NULL AND TRY_CAST(ro.i AS INTEGER) IS NOT NULL AND TRY_CAST(rd.i AS INTEGER) IS NOT NULL""",
-                     ["bronze_trips", "rel_pairs"]),
-    "join_star_5way": (f"""
-      SELECT mo.nombre AS origen, md.nombre AS destino, count(*) AS n_rows, sum(g.total_viajes) AS total_viajes
-      FROM gold_municipios g
-      JOIN inpoly mo ON g.id_origen = mo.id JOIN lugares md ON g.id_destino = md.id
-      JOIN poblacion po ON g.id_origen = po.id JOIN poblacion pd ON g.id_destino = pd.id JOIN renta r ON g.id_destino = r.id
-      WHERE g.fecha BETWEEN {PERIOD_SQL} GROUP BY 1, 2""", ["gold_municipios", "inpoly", "lugares", "poblacion", "renta"]),
+    "join_resolve_codes": ("SELECT tipo_zona, id_origen, id_destino, count(*) AS n_trips, sum(viajes) AS viajes FROM viajes GROUP BY 1, 2, 3",
+                           ["viajes"]),
+    "silver_trips": (f"SELECT {VIAJES_COLS} FROM viajes", ["viajes"]),
+    "join_star_5way": ("SELECT origen, destino, count(*) AS n_rows, sum(n) AS total_viajes FROM od_rows GROUP BY ALL", ["od_rows"]),
     "spatial_left_join": ("""
       SELECT p.point_id, round(p.x, 6) AS x, round(p.y, 6) AS y, v.cod_provincia
       FROM pts p LEFT JOIN provincias v ON p.x > v.xmin AND p.x < v.xmax AND p.y > v.ymin AND p.y < v.ymax""",
@@ -325,17 +316,15 @@ SQL: dict[str, tuple[str, list[str]]] = {
                        AND p.x < e.x1 + (e.x2 - e.x1) * (p.y - e.y1) / NULLIF(e.y2 - e.y1, 0) THEN 1 ELSE 0 END) % 2 = 1""",
                          ["pts"]),
     "mark_join_group": ("""
-      SELECT l.nombre, round(l.latitude, 6) AS latitude, round(l.longitude, 6) AS longitude,
-             CASE WHEN l.nombre IN (SELECT nombre FROM ranking_gold_municipios) THEN 'Top 5%' ELSE 'Resto' END AS grupo
-      FROM inpoly l WHERE (SELECT count(*) FROM ranking_gold_municipios) > 0""", ["inpoly", "ranking_gold_municipios"]),
+      SELECT id, nombre, tipo_zona, CASE WHEN nombre IN (FROM ranking_gold_municipios SELECT nombre) THEN 'ranked' ELSE 'other' END AS grupo
+      FROM lugares""", ["lugares", "ranking_gold_municipios"]),
     "join_calendar": ("""
       SELECT d.fecha, c.tipo_dia, d.total_viajes
       FROM (SELECT fecha, sum(total_viajes) AS total_viajes FROM gold_municipios GROUP BY fecha) d
       JOIN calendario c ON d.fecha = c.fecha""", ["gold_municipios", "calendario"]),
     "semi_join_names": (f"""
       SELECT {GOLD_COLS} FROM gold_municipios
-      WHERE id_destino IN (SELECT id FROM lugares WHERE nombre IN (SELECT nombre FROM ranking_gold_municipios))""",
-                        ["gold_municipios", "lugares", "ranking_gold_municipios"]),
+      WHERE id_destino IN (SELECT id FROM ranked_places)""", ["gold_municipios", "ranked_places"]),
     # ---- aggregates
     "agg_sum": ("SELECT tipo_zona, fecha, sum(viajes) AS total_viajes FROM viajes GROUP BY 1, 2", ["viajes"]),
     "agg_avg": ("SELECT tipo_zona, periodo, avg(viajes_metros) AS avg_viajes_metros FROM viajes GROUP BY 1, 2", ["viajes"]),
@@ -343,54 +332,56 @@ SQL: dict[str, tuple[str, list[str]]] = {
       SELECT g.id_destino, CAST(max(p.poblacion) AS DOUBLE) AS pop_destino, sum(g.total_viajes) AS total_viajes
       FROM gold_municipios g JOIN poblacion p ON g.id_destino = p.id GROUP BY g.id_destino""",
                      ["gold_municipios", "poblacion"]),
-    "agg_two_level": ("SELECT nombre, tipo_dia, round(avg_daily_vol, 6) AS avg_daily_vol FROM davg_gold_municipios",
-                      ["davg_gold_municipios"]),
-    "agg_conditional": (f"SELECT nombre, {_r6('workday_v', 'weekend_v')} FROM stats_gold_municipios", ["stats_gold_municipios"]),
+    "agg_two_level": ("SELECT nombre, working AS tipo_dia, round(avg(trips), 6) AS avg_daily_vol FROM place_days_gold_municipios GROUP BY 1, 2",
+                      ["place_days_gold_municipios"]),
+    "agg_conditional": (f"SELECT nombre, {_r6('workday_v', 'weekend_v')} FROM place_means_gold_municipios", ["place_means_gold_municipios"]),
     "agg_weighted_mean": ("""
       SELECT id_origen, id_destino, round(sum(total_viajes * avg_viajes_metros) / NULLIF(sum(total_viajes), 0), 6) AS dist_media
       FROM gold_municipios GROUP BY 1, 2""", ["gold_municipios"]),
-    "distinct_rows": ("SELECT DISTINCT id_origen, id_destino, fecha FROM viajes WHERE tipo_zona = 'gaus'", ["viajes"]),
+    "distinct_rows": ("SELECT tipo_zona, id_origen, id_destino, fecha FROM viajes GROUP BY ALL", ["viajes"]),
     # ---- windows / ranking
     "percent_rank": ("""
-      SELECT nombre, round(ratio, 6) AS ratio, round(percentile, 6) AS percentile FROM (
-        SELECT nombre, workday_v / NULLIF(weekend_v, 0) AS ratio,
-               percent_rank() OVER (ORDER BY workday_v / NULLIF(weekend_v, 0) ASC NULLS LAST) AS percentile
-        FROM stats_gold_municipios WHERE weekend_v IS NOT NULL) t""", ["stats_gold_municipios"]),
+      SELECT x.nombre, round(x.ratio, 6) AS ratio,
+             round((SELECT count(*) FROM place_means_gold_municipios o
+                    WHERE o.weekend_v IS NOT NULL AND (o.ratio < x.ratio OR (x.ratio IS NULL AND o.ratio IS NOT NULL)))
+                   / greatest(count(*) OVER () - 1, 1), 6) AS percentile
+      FROM place_means_gold_municipios x WHERE x.weekend_v IS NOT NULL""", ["place_means_gold_municipios"]),
     "bq3_ranking": (f"SELECT nombre, {_r6('workday_v', 'weekend_v', 'ratio', 'percentile')} FROM ranking_gold_municipios",
                     ["ranking_gold_municipios"]),
     "top_percentile": (f"SELECT nombre, {_r6('workday_v', 'weekend_v', 'ratio', 'percentile')} FROM ranking_gold_distritos",
                        ["ranking_gold_distritos"]),
     "bq3_hourly": (f"""
-      SELECT CAST(g.periodo AS INTEGER) AS periodo, c.tipo_dia, sum(g.total_viajes) AS total_viajes
-      FROM gold_municipios g JOIN lugares l ON g.id_destino = l.id JOIN calendario c ON g.fecha = c.fecha
-      WHERE l.nombre IN (SELECT nombre FROM ranking_gold_municipios) AND g.fecha BETWEEN {PERIOD_SQL}
-      GROUP BY 1, 2""", ["gold_municipios", "lugares", "calendario", "ranking_gold_municipios"]),
+      SELECT g.periodo::INTEGER AS periodo, k.tipo_dia, sum(g.total_viajes * w.n) AS total_viajes
+      FROM (SELECT id, count(*) AS n FROM ranked_places GROUP BY id) w JOIN gold_municipios g ON g.id_destino = w.id
+      JOIN calendario k USING (fecha) WHERE k.fecha BETWEEN {PERIOD_SQL} GROUP BY 1, 2""", ["gold_municipios", "calendario", "ranked_places"]),
     "bq3_flows": (f"""
-      SELECT mo.nombre AS origen, md.nombre AS destino, round(avg(mo.latitude), 6) AS o_lat, round(avg(mo.longitude), 6) AS o_lon,
-             round(avg(md.latitude), 6) AS d_lat, round(avg(md.longitude), 6) AS d_lon, sum(g.total_viajes) AS viajeros
-      FROM gold_municipios g JOIN lugares mo ON g.id_origen = mo.id JOIN lugares md ON g.id_destino = md.id
-      WHERE md.nombre IN (SELECT nombre FROM ranking_gold_municipios) AND g.fecha BETWEEN {PERIOD_SQL}
-      GROUP BY 1, 2""", ["gold_municipios", "lugares", "ranking_gold_municipios"]),
+      SELECT o.nombre AS origen, d.nombre AS destino, round(sum(o.latitude) / count(*), 6) AS o_lat, round(sum(o.longitude) / count(*), 6) AS o_lon,
+             round(sum(d.latitude) / count(*), 6) AS d_lat, round(sum(d.longitude) / count(*), 6) AS d_lon, sum(g.total_viajes) AS viajeros
+      FROM ranked_places d JOIN gold_municipios g ON g.id_destino = d.id JOIN lugares o ON o.id = g.id_origen
+      WHERE g.fecha BETWEEN {PERIOD_SQL} GROUP BY o.nombre, d.nombre""", ["gold_municipios", "lugares", "ranked_places"]),
     # ---- BQ2
     "bq2_od_base": (f"SELECT origen, destino, viajes_reales, pop_origen, pop_destino, renta_destino, "
-                    f"{_r6('o_lat', 'o_lon', 'd_lat', 'd_lon', 'dist_media', 'potencial')} FROM bq2_pot", ["bq2_pot"]),
-    "gravity_potential": ("SELECT origen, destino, round(potencial, 6) AS potencial FROM bq2_pot", ["bq2_pot"]),
+                    f"{_r6('o_lat', 'o_lon', 'd_lat', 'd_lon', 'dist_media', 'potencial')} FROM od_pairs", ["od_pairs"]),
+    "gravity_potential": ("SELECT origen, destino, round(potencial, 6) AS potencial FROM od_pairs", ["od_pairs"]),
     "gravity_mismatch": (f"SELECT origen, destino, viajes_reales, {_r6('potencial', 'mismatch', 'pop_weight', 'weighted_mismatch')} "
-                         f"FROM bq2_scored", ["bq2_scored"]),
+                         f"FROM od_scored", ["od_scored"]),
+    "bq2_result_table": (f"SELECT origen, destino, viajes_reales, {_r6('potencial', 'mismatch', 'pop_weight', 'weighted_mismatch')} "
+                         f"FROM od_scored", ["od_scored"]),
     "bq2_bottom50": (f"SELECT origen, destino, viajes_reales, {_r6('potencial', 'mismatch', 'pop_weight', 'weighted_mismatch')} "
-                     f"FROM (SELECT * FROM bq2_scored ORDER BY weighted_mismatch ASC NULLS LAST, origen, destino LIMIT 50) t",
-                     ["bq2_scored"]),
+                     f"FROM (SELECT * FROM od_scored ORDER BY weighted_mismatch ASC NULLS LAST, origen, destino LIMIT 50) t",
+                     ["od_scored"]),
     "bq2_top10": (f"SELECT origen, destino, viajes_reales, {_r6('potencial', 'mismatch', 'pop_weight', 'weighted_mismatch')} "
-                  f"FROM (SELECT * FROM bq2_scored ORDER BY weighted_mismatch DESC NULLS LAST, origen, destino LIMIT 10) t",
-                  ["bq2_scored"]),
+                  f"FROM (SELECT * FROM od_scored ORDER BY weighted_mismatch DESC NULLS LAST, origen, destino LIMIT 10) t",
+                  ["od_scored"]),
     "bq2_top15": (f"SELECT origen, destino, viajes_reales, {_r6('potencial', 'mismatch', 'pop_weight', 'weighted_mismatch')} "
-                  f"FROM (SELECT * FROM bq2_scored ORDER BY weighted_mismatch DESC NULLS LAST, origen, destino LIMIT 15) t",
-                  ["bq2_scored"]),
+                  f"FROM (SELECT * FROM od_scored ORDER BY weighted_mismatch DESC NULLS LAST, origen, destino LIMIT 15) t",
+                  ["od_scored"]),
     # ---- BQ1
     "bq1_hourly_profile": ("SELECT fecha, periodo, total_viajes FROM hourly", ["hourly"]),
     "pivot_hours": (f"SELECT fecha, {', '.join('h' + h for h in _H)} FROM day_vectors", ["day_vectors"]),
     "row_normalise": (f"SELECT fecha, {_r6(*['s' + h for h in _H])} FROM shares", ["shares"]),
     "kmeans_assign_fixed": ("SELECT fecha, cluster FROM assigned", ["assigned"]),
+    "bq1_day_clusters": ("SELECT fecha, true AS nearest, 3 AS n_clusters FROM shares", ["shares"]),
     "cluster_profile": (f"""
       SELECT cluster, count(*) AS n_days,
              {', '.join(f'round(avg(h{h}), 6) AS avg_h{h}' for h in _H)},
@@ -419,16 +410,17 @@ SQL: dict[str, tuple[str, list[str]]] = {
       WHERE x0 >= -0.5 AND y0 >= -0.5 AND x1 <= 2.5 AND y1 <= 2.5
         AND y1 <= CASE WHEN x0 <= 1 AND x1 >= 1 THEN 1.0
                        ELSE least(greatest(2 - x0, x0), greatest(2 - x1, x1)) END""", ["squares"]),
+    # small squares against HOLE_SHAPES of the fixtures: inside a box, and not over the hole
+    "polygon_with_holes": ("""
+      SELECT t.shape, q.c_custkey AS point_id, CASE t.shape
+        WHEN 'hole' THEN x + w <= 10 AND y + w <= 10 AND NOT (x < 6 AND x + w > 4 AND y < 6 AND y + w > 4)
+        WHEN 'touching' THEN (x + w <= 4 AND y + w <= 4) OR (x >= 4 AND y >= 4 AND x + w <= 8 AND y + w <= 8)
+        ELSE x + w <= 5 AND y + w <= 5 END AS inside
+      FROM (SELECT c_custkey, c_custkey % 9 AS x, c_custkey // 9 % 9 AS y, 1 + c_custkey // 81 % 3 AS w FROM customer) q,
+           (VALUES ('hole'), ('touching'), ('heights')) t(shape)""", []),
+    "filter_in_z_polygon": ("SELECT id, nombre, tipo_zona FROM inpoly", ["inpoly"]),
     "centroid_xy": ("SELECT point_id, round((x0 + x1) / 2, 6) AS x, round((y0 + y1) / 2, 6) AS y FROM squares", ["squares"]),
-    "stream_ingest_trips": ("""
-      SELECT CAST(v.fecha AS DATE) AS fecha, CAST(v.periodo AS INTEGER) AS periodo, v.tipo_zona,
-             TRY_CAST(ro.i AS INTEGER) AS id_origen, TRY_CAST(rd.i AS INTEGER) AS id_destino,
-             CAST(CAST(CAST(v.viajes AS DOUBLE) AS INTEGER) AS DOUBLE) AS viajes,
-             TRY_CAST(v.viajes_km AS DOUBLE) * 1000 AS viajes_metros
-      FROM bronze_trips v JOIN rel_pairs ro ON v.origen = ro.m JOIN rel_pairs rd ON v.destino = rd.m
-      WHERE v.viajes_km IS NOT NULL
-        AND TRY_CAST(ro.i AS INTEGER) IS NOT NULL AND TRY_CAST(rd.i AS INTEGER) IS NOT NULL""",
-                            ["bronze_trips", "rel_pairs"]),
+    "stream_ingest_trips": (f"SELECT {VIAJES_COLS} FROM viajes", ["viajes"]),
     # ---- composites
     "silver_places": ("SELECT id, id_mitma, nombre, tipo_zona, round(longitude, 6) AS longitude, round(latitude, 6) AS latitude, "
                       "cod_provincia FROM lugares", ["lugares"]),

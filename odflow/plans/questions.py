@@ -1,15 +1,15 @@
 """Business questions on the gold layer (C-8 .. C-15).
 
 Every function takes DataFrames and a ``MobilityParams`` and returns a lazy
-DataFrame; nothing is collected.  Dimension inputs (places, population,
-income, calendar) are bounded by the number of zones or days, so they are
-broadcast after a size check and the gold fact is streamed once.
+DataFrame.  Building a plan runs only small jobs, once per session and input:
+the polygon literal is parsed, and row counts of stored dimension tables
+(places, population, income, calendar; footers only) prove that they can be
+broadcast.  The gold fact is streamed once; where a result is used twice
+(the BQ2 base, the BQ1 hourly totals) callers store it first.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,17 +25,6 @@ TOP_PERCENTILE = 0.95          # BQ3 keeps the top 5 % by ratio
 TOP_LABEL, REST_LABEL = "Top 5%", "Resto"
 BQ2_MAP_ROWS, BQ2_CHART_ROWS, BQ2_LIST_ROWS = 50, 10, 15
 
-_NUM = re.compile(r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?")
-
-
-def wkt_bbox(wkt: str) -> tuple[float, float, float, float]:
-    """Bounding box of a WKT literal, computed on the driver from its text."""
-    body = wkt[wkt.index("("):]
-    nums = [float(v) for v in _NUM.findall(body)]
-    xs, ys = nums[0::2], nums[1::2]
-    return min(xs), min(ys), max(xs), max(ys)
-
-
 def places_in_polygon(lugares: DataFrame, wkt: str, geom_col: str = "coordenadas") -> DataFrame:
     """Places whose whole shape lies in the polygon (``ST_Contains(poly, shape)``).
 
@@ -43,7 +32,7 @@ def places_in_polygon(lugares: DataFrame, wkt: str, geom_col: str = "coordenadas
     so it reaches the Parquet reader as pushed filters; the exact test runs
     only on the survivors.  The polygon literal is parsed once.
     """
-    xmin, ymin, xmax, ymax = wkt_bbox(wkt)
+    xmin, ymin, xmax, ymax = geo.geom_literal_box(lugares.sparkSession, wkt)
     poly = geo.geom_literal_sql(lugares.sparkSession, wkt)
     return lugares.filter(geo.bbox_within(geom_col, xmin, ymin, xmax, ymax)).filter(
         geo.st_contains(poly, geom_col)
@@ -102,6 +91,24 @@ def bq1_day_clusters(hourly: DataFrame, k: int = 3, seed: int = 42) -> DataFrame
     return kmeans_labels(day_vectors(hourly), share_cols("s"), k, seed)
 
 
+def nearest_own_mean(clustered: DataFrame, features: list[str] | None = None) -> DataFrame:
+    """Per day whether its cluster's mean vector is the nearest of all means
+    (at most k rows), and the number of clusters: what a finished k-means
+    must satisfy, however its labels are numbered."""
+    cols = features or share_cols("s")
+    means = clustered.groupBy("cluster").agg(F.array(*[F.avg(c) for c in cols]).alias("m"))
+    means = means.agg(F.collect_list(F.struct("cluster", "m")).alias("means")).scalar()
+    own = F.array(*[F.col(c).cast("double") for c in cols])
+
+    def distance(m):
+        return F.aggregate(F.zip_with(own, m["m"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+
+    out = clustered.withColumn("_means", means).withColumn("_d", F.transform("_means", lambda m: F.struct(distance(m).alias("d"), m["cluster"].alias("c"))))
+    mine = F.element_at(F.filter("_d", lambda x: x["c"] == F.col("cluster")), 1)["d"]
+    return out.select("fecha", (mine <= F.array_min(F.transform("_d", lambda x: x["d"])) + F.lit(1e-12)).alias("nearest"),
+                      F.size("_means").alias("n_clusters"))
+
+
 def cluster_profile(clustered: DataFrame) -> DataFrame:
     """Mean raw total per hour and mean share per hour, by cluster (NULLs skipped)."""
     aggs = [F.avg(c).alias(f"avg_{c}") for c in HOUR_COLS] + [F.avg(c).alias(f"avg_{c}") for c in share_cols("s")]
@@ -110,9 +117,15 @@ def cluster_profile(clustered: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ BQ2
 
-def bq2_od_base(gold: DataFrame, lugares: DataFrame, poblacion: DataFrame, renta: DataFrame,
-                p: MobilityParams) -> DataFrame:
-    """C-10: origin-destination pairs with trips, weighted distance, population, income, potential."""
+def bq2_fact(gold: DataFrame, lugares: DataFrame, poblacion: DataFrame, renta: DataFrame, p: MobilityParams) -> DataFrame:
+    """The star join of C-10: gold rows of the period with their origin place
+    (in the polygon, with population) and destination place (with population
+    and income).
+
+    The small tables are joined among themselves first (same inner joins,
+    same fan-out), so each gold row is probed against two broadcast sides
+    instead of five.
+    """
     lugares = catalogue(lugares, p)
     mo = places_in_polygon(lugares, p.polygon).select(
         F.col("id").alias("_mo"), F.col("nombre").alias("origen"),
@@ -126,16 +139,19 @@ def bq2_od_base(gold: DataFrame, lugares: DataFrame, poblacion: DataFrame, renta
     po = poblacion.select(F.col("id").alias("_po"), F.col("poblacion").alias("_pop_o"))
     pd_ = poblacion.select(F.col("id").alias("_pd"), F.col("poblacion").alias("_pop_d"))
     r = renta.select(F.col("id").alias("_r"), F.col("renta").alias("_renta"))
-    # The small tables are joined among themselves first (same inner joins,
-    # same fan-out), so each gold row is probed against two broadcast sides
-    # instead of five.  Their sizes are counted (dimension rows only, cached).
     origin_dim = mo.join(po, F.col("_mo") == F.col("_po")).drop("_po")
     dest_dim = md.join(pd_, F.col("_md") == F.col("_pd")).join(r, F.col("_md") == F.col("_r")).drop("_pd", "_r")
     v = _in_period(gold, p)
-    j = (
+    return (
         v.join(bounded_broadcast(origin_dim), v["id_origen"] == F.col("_mo"))
         .join(bounded_broadcast(dest_dim), v["id_destino"] == F.col("_md"))
     )
+
+
+def bq2_od_base(gold: DataFrame, lugares: DataFrame, poblacion: DataFrame, renta: DataFrame,
+                p: MobilityParams) -> DataFrame:
+    """C-10: origin-destination pairs with trips, weighted distance, population, income, potential."""
+    j = bq2_fact(gold, lugares, poblacion, renta, p)
     tv, am = F.col("total_viajes"), F.col("avg_viajes_metros")
     base = j.groupBy("origen", "destino", "o_lat", "o_lon", "d_lat", "d_lon").agg(
         F.sum(tv).alias("viajes_reales"),
@@ -153,9 +169,10 @@ def gravity_mismatch(base: DataFrame) -> DataFrame:
     """C-11: k = sum(real) / sum(potential) over the whole result, then per pair
     mismatch = real / (potential * k), weighted by sqrt(pop_o * pop_d).
 
-    The global sums are one aggregate read as a scalar subquery: Spark runs
-    it once and uses the value as a constant (no join).  Division by zero
-    gives NULL, not infinity.
+    ``base`` is read twice, so callers pass a stored one.  The global sums
+    are one aggregate read as a scalar subquery: Spark runs it once and uses
+    the value as a constant (no join).  Division by zero gives NULL, not
+    infinity.
     """
     k = base.agg(safe_div(F.sum("viajes_reales"), F.sum("potencial"))).scalar()
     return base.select(
@@ -174,35 +191,45 @@ def bq2_ranking(scored: DataFrame, n: int, ascending: bool) -> DataFrame:
 
 # ------------------------------------------------------------------ BQ3
 
-def bq3_ranking(gold: DataFrame, lugares: DataFrame, calendario: DataFrame, p: MobilityParams) -> DataFrame:
-    """C-12: places whose workday/weekend volume ratio is in the top 5 %.
-
-    day totals per destination name -> one row per name with the mean day
-    total of workdays and of weekend days.  (The mean per day type is one
-    value per name and type, so averaging it again per name is the same
-    number; one aggregation does both and saves a shuffle.)  The percent
-    rank is global, over one row per place (bounded by the zone catalogue,
-    so the single-partition window is small).
-    """
+def bq3_daily(gold: DataFrame, lugares: DataFrame, p: MobilityParams) -> DataFrame:
+    """Trips per day into each place name inside the polygon."""
     lugares = catalogue(lugares, p)
     dest = places_in_polygon(lugares, p.polygon).select(F.col("id").alias("_lid"), "nombre")
     v = _in_period(gold, p)
-    daily = (
+    return (
         v.join(bounded_broadcast(dest, lugares), v["id_destino"] == F.col("_lid"))
         .groupBy("nombre", "fecha")
         .agg(F.sum("total_viajes").alias("trips_per_day"))
     )
+
+
+def bq3_place_stats(daily: DataFrame, calendario: DataFrame) -> DataFrame:
+    """Mean day total of workdays and of weekend days, one row per place name.
+
+    (The mean per day type is one value per name and type, so averaging it
+    again per name is the same number; one aggregation does both.)
+    """
     cal = calendario.select("fecha", "tipo_dia")
-    stats = daily.join(bounded_broadcast(cal, calendario), "fecha").groupBy("nombre").agg(
+    return daily.join(bounded_broadcast(cal, calendario), "fecha").groupBy("nombre").agg(
         F.avg(F.when(F.col("tipo_dia"), F.col("trips_per_day"))).alias("workday_v"),
         F.avg(F.when(~F.col("tipo_dia"), F.col("trips_per_day"))).alias("weekend_v"),
     )
-    ratio = safe_div(F.col("workday_v"), F.col("weekend_v"))
-    scored = (
-        stats.filter((F.col("workday_v") > MIN_WORKDAY_VOLUME) & F.col("weekend_v").isNotNull())
-        .withColumn("ratio", ratio)
-        .withColumn("percentile", F.percent_rank().over(Window.orderBy(F.col("ratio").asc_nulls_last())))
-    )
+
+
+def bq3_scored(stats: DataFrame, min_volume: float | None = MIN_WORKDAY_VOLUME) -> DataFrame:
+    """Workday/weekend ratio and its percent rank among the places over the
+    minimum volume.  The rank is global, over one row per place (bounded by
+    the zone catalogue, so the single-partition window is small)."""
+    kept = stats.filter(F.col("weekend_v").isNotNull())
+    if min_volume is not None:
+        kept = kept.filter(F.col("workday_v") > min_volume)
+    return kept.withColumn("ratio", safe_div(F.col("workday_v"), F.col("weekend_v"))).withColumn(
+        "percentile", F.percent_rank().over(Window.orderBy(F.col("ratio").asc_nulls_last())))
+
+
+def bq3_ranking(gold: DataFrame, lugares: DataFrame, calendario: DataFrame, p: MobilityParams) -> DataFrame:
+    """C-12: places whose workday/weekend volume ratio is in the top 5 %."""
+    scored = bq3_scored(bq3_place_stats(bq3_daily(gold, lugares, p), calendario))
     return scored.filter(F.col("percentile") >= TOP_PERCENTILE).orderBy(F.col("ratio").desc_nulls_last())
 
 

@@ -47,6 +47,7 @@ def run_bq2(lake: Lake, p: MobilityParams) -> dict[str, DataFrame]:
     """Gravity mismatch: scored pairs, map (bottom 50), chart (top 10), critical routes (top 15)."""
     gold, lugares = _inputs(lake, p)
     base = Q.bq2_od_base(gold, lugares, lake.read("silver", "poblacion"), lake.read("silver", "renta"), p)
+    base = _save(lake, base, "bq2", "od_base")      # scored against its own global sums: the fact is read once
     scored = _save(lake, Q.gravity_mismatch(base), "bq2", "scored_pairs")
     out = {
         "scored_pairs": scored,

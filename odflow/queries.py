@@ -31,23 +31,25 @@ from odflow.functions.scalar import (
     try_int,
 )
 from odflow.lake import Lake
-from odflow.operators.joins import bounded_broadcast, semi_join_names, spatial_join_points
+from odflow.operators.joins import bounded_broadcast, mark_join, semi_join_names, spatial_join_points
 from odflow.operators.profiles import HOUR_COLS, assign_nearest, first_rows_as_centres, share_cols
 from odflow.params import ZONES, MobilityParams
 from odflow.plans import gold as G
-from odflow.plans import pipeline
+from odflow.plans import pipeline, reports
 from odflow.plans import questions as Q
 from odflow.plans import silver as SV
 from odflow.plans import usecases as U
-from odflow.session import scratch_path
-from odflow.sources import files
+from odflow.session import scratch_path, stored
+from odflow.sources import files, storage
 from odflow.sources import fixtures as fx
-from odflow.sources.fixture_lake import _source_key, fixture_lake
+from odflow.sources.fixture_lake import fixture_lake, source_key, trip_folder
+from odflow.streaming.ingest import LEVEL_FILES, start_trip_ingest
 
 # ---- fixed values: parameters of the checked queries ----
 PERIOD = ("2023-01-01", "2023-01-14")
 PARAMS = MobilityParams(fx.RECT_WKT, PERIOD[0], PERIOD[1], "municipios")
-PARAMS_DISTRITOS = MobilityParams(fx.RECT_WKT, PERIOD[0], PERIOD[1], "distritos")
+PARAMS_DISTRITOS = MobilityParams(fx.RECT_WKT, PERIOD[0], PERIOD[1], "distritos", zone_filter=True)
+STREAM_FILES = 40                               # files of each level in a micro-batch
 UC6_DAY, UC6_PLACE = "2023-01-03", "NATION_5"
 FILTER_DAY, FILTER_LEVEL = "2023-01-03", "gaus"
 BETWEEN = ("2023-01-02", "2023-01-05")
@@ -94,7 +96,7 @@ def _bbox_cols(g: str):
 
 
 def _scratch(spark, sf, *parts) -> str:
-    return scratch_path(spark, "files", _source_key(sf), *parts)
+    return scratch_path(spark, "files", source_key(spark, sf), *parts)
 
 
 def _fresh(spark, *parts) -> str:
@@ -109,44 +111,50 @@ def q_empty_from_schema(spark, sf):
     return fx.bronze_trips(spark, sf).select(*cols).limit(0)
 
 
-def _trip_files(spark, sf, level: str) -> str:
-    """Bronze trip files of one level as gzip '|' CSV, one set per day (written once)."""
-    root = _scratch(spark, sf, "raw", "trips", level)
+@query("csv_scan_trips")
+def q_csv_scan_trips(spark, sf):
+    """Every trip file of every level (name filter on 'Viajes_')."""
+    return files.read_trip_csv(spark, trip_folder(spark, sf), "Viajes_")
+
+
+def _written(spark, sf, name: str, make) -> str:
+    """Folder of a raw file that ``make(folder)`` writes with Spark, once."""
+    root = _scratch(spark, sf, "raw", name)
     with _FILES_LOCK:
-        if not os.path.exists(os.path.join(root, "_ready")):
-            tmp = root + "_tmp_" + uuid.uuid4().hex[:8]
-            df = fx.bronze_trips(spark, sf).filter(F.col("tipo_zona") == level).drop("tipo_zona")
-            df = df.withColumn("day", F.regexp_replace("fecha", "-", ""))
-            (df.write.partitionBy("day").option("header", True).option("sep", "|")
-             .option("compression", "gzip").csv(tmp))
-            os.makedirs(root, exist_ok=True)
-            suffix = {"municipios": "Viajes_municipios", "distritos": "Viajes_distritos", "gaus": "Viajes_GAU"}[level]
-            for d in sorted(glob.glob(os.path.join(tmp, "day=*"))):
-                day = d.rsplit("=", 1)[1]
-                for i, part in enumerate(sorted(glob.glob(os.path.join(d, "part-*.csv.gz")))):
-                    os.replace(part, os.path.join(root, f"{day}_{suffix}_{i}.csv.gz"))
-            open(os.path.join(root, "_ready"), "w").close()
+        if not storage.exists(spark, f"{root}/_SUCCESS"):
+            make(root)
     return root
 
 
-def _all_trip_files(spark, sf) -> str:
-    """Folder holding the trip files of all three levels."""
-    roots = [_trip_files(spark, sf, lv) for lv in ZONES]
-    return os.path.dirname(roots[0])
+def _relations_file(spark, sf) -> str:
+    return _written(spark, sf, "relaciones", lambda root: fx.relaciones(spark, sf).write.mode("overwrite")
+                    .option("header", True).option("sep", "|").csv(root))
 
 
-@query("csv_scan_trips")
-def q_csv_scan_trips(spark, sf):
-    """Every trip file of every level (name filter on 'Viajes_')."""
-    return files.read_trip_csv(spark, _all_trip_files(spark, sf), "Viajes_")
+def _stat_file(spark, sf, name: str) -> str:
+    """A statistics CSV whose first header cell is blank, with a column nobody asked for."""
+    df = {"poblacion": fx.bronze_poblacion, "renta": fx.bronze_renta}[name](spark, sf)
+    df = df.withColumn("other", F.lit("x")).withColumnRenamed("column0", " ")
+    return _written(spark, sf, name, lambda root: df.write.mode("overwrite").option("header", True)
+                    .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root))
 
 
-def _relations_file(spark, sf) -> str:
-    root = _scratch(spark, sf, "raw", "relaciones")
-    with _FILES_LOCK:
-        if not os.path.exists(os.path.join(root, "_SUCCESS")):
-            fx.relaciones(spark, sf).write.mode("overwrite").option("header", True).option("sep", "|").csv(root)
-    return root
+@query("csv_scan_stats")
+def q_csv_scan_stats(spark, sf):
+    """Both statistics files, columns by name, every value as text."""
+    pob = files.read_stat_csv(spark, _stat_file(spark, sf, "poblacion"), ["column0", "Total"])
+    ren = files.read_stat_csv(spark, _stat_file(spark, sf, "renta"), ["column0", fx.INCOME_COL])
+    return pob.select(F.lit("poblacion").alias("source"), "column0", F.col("Total").alias("value")).unionByName(
+        ren.select(F.lit("renta").alias("source"), "column0", F.col(f"`{fx.INCOME_COL}`").alias("value")))
+
+
+@query("schema_from_sample")
+def q_schema_from_sample(spark, sf):
+    """Column names of the table made from one sample trip file, in its order."""
+    sample = files.list_files(spark, trip_folder(spark, sf), "Viajes_municipios")[0]
+    names = files.empty_like(spark, sample).schema.names
+    days = fx.bronze_trips(spark, sf).select("fecha").distinct()
+    return days.select("fecha", F.lit("|".join(names)).alias("columns"))
 
 
 @query("csv_all_varchar")
@@ -155,18 +163,16 @@ def q_csv_all_varchar(spark, sf):
 
 
 def _geo_file(spark, sf, level: str) -> str:
-    root = _scratch(spark, sf, "raw", "geo", level)
-    with _FILES_LOCK:
-        if not os.path.exists(os.path.join(root, "_SUCCESS")):
-            src = fx.bronze_geo(spark, sf, ZONES[level].place_level)
-            files.feature_json(src, ["id", "name"]).write.mode("overwrite").text(root)
-    return root
+    src = fx.bronze_geo(spark, sf, ZONES[level].place_level)
+    return _written(spark, sf, f"geo-{level}", lambda root: files.feature_json(src, ["id", "name"]).write.mode("overwrite").text(root))
 
 
 @query("geojson_scan")
 def q_geojson_scan(spark, sf):
-    g = files.read_geojson(spark, _geo_file(spark, sf, "municipios"), ["id", "name"], sequence=True)
-    return g.select("id", "name", F.col("geom")["kind"].alias("kind"),
+    parts = [files.read_geojson(spark, _geo_file(spark, sf, lv), ["id", "name"], sequence=True)
+             .withColumn("tipo_zona", F.lit(ZONES[lv].place_level)) for lv in ZONES]
+    g = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return g.select("tipo_zona", "id", "name", F.col("geom")["kind"].alias("kind"),
                     F.size(F.col("geom")["edges"]).alias("n_edges"), *_bbox_cols("geom"))
 
 
@@ -198,7 +204,7 @@ def q_not_null_contract(spark, sf):
 def q_append_union(spark, sf):
     lake = Lake(spark, _fresh(spark, "append"))
     v = _silver(spark, sf, "viajes")
-    for level in ("municipios", "distritos"):
+    for level in ZONES:
         lake.append(S.enforce_schema(v.filter(F.col("tipo_zona") == level), S.SILVER_VIAJES), "silver", "viajes")
     return lake.read("silver", "viajes")
 
@@ -320,7 +326,7 @@ def q_join_resolve_codes(spark, sf):
     Each level reads its own daily trip files, as a per-level load does.
     """
     rel = fx.relaciones(spark, sf)
-    parts = [SV.resolve_trips(files.read_trip_csv(spark, _trip_files(spark, sf, lv)), rel, ZONES[lv]) for lv in ZONES]
+    parts = [SV.resolve_trips(files.read_trip_csv(spark, trip_folder(spark, sf), LEVEL_FILES[lv]), rel, ZONES[lv]) for lv in ZONES]
     t = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return t.groupBy("tipo_zona", "id_origen", "id_destino").agg(
         F.count(F.lit(1)).alias("n_trips"), F.sum("viajes").alias("viajes")
@@ -330,26 +336,17 @@ def q_join_resolve_codes(spark, sf):
 @query("silver_trips")
 def q_silver_trips(spark, sf):
     """C-5 from the daily trip files of all three levels, one pass."""
-    by_level = {lv: files.read_trip_csv(spark, _trip_files(spark, sf, lv)) for lv in ZONES}
+    by_level = {lv: files.read_trip_csv(spark, trip_folder(spark, sf), LEVEL_FILES[lv]) for lv in ZONES}
     return SV.silver_trips(by_level, fx.relaciones(spark, sf))
 
 
+def _bq2_inputs(spark, sf):
+    return (_gold(spark, sf), _silver(spark, sf, "lugares"), _silver(spark, sf, "poblacion"), _silver(spark, sf, "renta"), PARAMS)
+
+
 @query("join_star_5way")
 def q_join_star_5way(spark, sf):
-    g = _gold(spark, sf)
-    lug = _silver(spark, sf, "lugares")
-    pob, ren = _silver(spark, sf, "poblacion"), _silver(spark, sf, "renta")
-    mo = Q.places_in_polygon(lug, fx.RECT_WKT).select(F.col("id").alias("_mo"), F.col("nombre").alias("origen"))
-    md = lug.select(F.col("id").alias("_md"), F.col("nombre").alias("destino"))
-    po = pob.select(F.col("id").alias("_po"))
-    pd_ = pob.select(F.col("id").alias("_pd"))
-    r = ren.select(F.col("id").alias("_r"))
-    v = g.filter(F.col("fecha").between(F.lit(PERIOD[0]).cast("date"), F.lit(PERIOD[1]).cast("date")))
-    j = (v.join(bounded_broadcast(mo, lug), v["id_origen"] == F.col("_mo"))
-         .join(bounded_broadcast(md, lug), v["id_destino"] == F.col("_md"))
-         .join(bounded_broadcast(po, pob), v["id_origen"] == F.col("_po"))
-         .join(bounded_broadcast(pd_, pob), v["id_destino"] == F.col("_pd"))
-         .join(bounded_broadcast(r, ren), v["id_destino"] == F.col("_r")))
+    j = Q.bq2_fact(*_bq2_inputs(spark, sf))
     return j.groupBy("origen", "destino").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_viajes").alias("total_viajes"))
 
 
@@ -370,7 +367,10 @@ def q_point_in_polygon(spark, sf):
 
 @query("mark_join_group")
 def q_mark_join_group(spark, sf):
-    return _bq3_points(spark, sf)
+    """Every place of every level, marked by whether its name is ranked."""
+    lug = _silver(spark, sf, "lugares")
+    m = mark_join(lug.select("id", "nombre", "tipo_zona"), _bq3_ranking(spark, sf), "nombre", "ranked", "other", "grupo", bound=lug)
+    return m.select("id", "nombre", "tipo_zona", "grupo")
 
 
 @query("join_calendar")
@@ -411,33 +411,24 @@ def q_agg_max_pick(spark, sf):
     )
 
 
-def _bq3_stats(spark, sf, p=PARAMS):
-    """BQ3 up to one row per place (workday and weekend means)."""
-    g = _gold(spark, sf, p.tipo_zona)
-    lug, cal = _silver(spark, sf, "lugares"), _silver(spark, sf, "calendario")
-    dest = Q.places_in_polygon(lug, p.polygon).select(F.col("id").alias("_lid"), "nombre")
-    v = g.filter(F.col("fecha").between(F.lit(p.start_date).cast("date"), F.lit(p.end_date).cast("date")))
-    daily = v.join(bounded_broadcast(dest, lug), v["id_destino"] == F.col("_lid")).groupBy("nombre", "fecha") \
-        .agg(F.sum("total_viajes").alias("trips_per_day"))
-    daily_avg = daily.join(bounded_broadcast(cal.select("fecha", "tipo_dia"), cal), "fecha") \
-        .groupBy("nombre", "tipo_dia").agg(F.avg("trips_per_day").alias("avg_daily_vol"))
-    return daily_avg
+def _bq3_daily(spark, sf) -> DataFrame:
+    return Q.bq3_daily(_gold(spark, sf), _silver(spark, sf, "lugares"), PARAMS)
+
+
+def _bq3_stats(spark, sf) -> DataFrame:
+    return Q.bq3_place_stats(_bq3_daily(spark, sf), _silver(spark, sf, "calendario"))
 
 
 @query("agg_two_level")
 def q_agg_two_level(spark, sf):
-    d = _bq3_stats(spark, sf)
-    return d.select("nombre", "tipo_dia", r6(F.col("avg_daily_vol")).alias("avg_daily_vol"))
+    """Sum per day, then mean per day type, as rows."""
+    long = _bq3_stats(spark, sf).selectExpr("nombre", "stack(2, true, workday_v, false, weekend_v) AS (tipo_dia, avg_daily_vol)")
+    return long.filter("avg_daily_vol IS NOT NULL").select("nombre", "tipo_dia", r6(F.col("avg_daily_vol")).alias("avg_daily_vol"))
 
 
 @query("agg_conditional")
 def q_agg_conditional(spark, sf):
-    d = _bq3_stats(spark, sf)
-    s = d.groupBy("nombre").agg(
-        F.avg(F.when(F.col("tipo_dia"), F.col("avg_daily_vol"))).alias("workday_v"),
-        F.avg(F.when(~F.col("tipo_dia"), F.col("avg_daily_vol"))).alias("weekend_v"),
-    )
-    return s.select("nombre", r6(F.col("workday_v")).alias("workday_v"), r6(F.col("weekend_v")).alias("weekend_v"))
+    return _bq3_stats(spark, sf).select("nombre", r6(F.col("workday_v")).alias("workday_v"), r6(F.col("weekend_v")).alias("weekend_v"))
 
 
 @query("agg_weighted_mean")
@@ -451,24 +442,14 @@ def q_agg_weighted_mean(spark, sf):
 
 @query("distinct_rows")
 def q_distinct_rows(spark, sf):
-    v = _silver(spark, sf, "viajes").filter(F.col("tipo_zona") == "gaus")
-    return v.select("id_origen", "id_destino", "fecha").distinct()
+    return _silver(spark, sf, "viajes").select("tipo_zona", "id_origen", "id_destino", "fecha").distinct()
 
 
 # =================================================================== windows / ranking
 
 @query("percent_rank")
 def q_percent_rank(spark, sf):
-    d = _bq3_stats(spark, sf)
-    s = d.groupBy("nombre").agg(
-        F.avg(F.when(F.col("tipo_dia"), F.col("avg_daily_vol"))).alias("workday_v"),
-        F.avg(F.when(~F.col("tipo_dia"), F.col("avg_daily_vol"))).alias("weekend_v"),
-    ).filter(F.col("weekend_v").isNotNull())
-    from pyspark.sql import Window
-    ratio = F.try_divide(F.col("workday_v"), F.nullif(F.col("weekend_v"), F.lit(0.0)))
-    ranked = s.withColumn("ratio", ratio).withColumn(
-        "percentile", F.percent_rank().over(Window.orderBy(F.col("ratio").asc_nulls_last()))
-    )
+    ranked = Q.bq3_scored(_bq3_stats(spark, sf), min_volume=None)
     return ranked.select("nombre", r6(F.col("ratio")).alias("ratio"), r6(F.col("percentile")).alias("percentile"))
 
 
@@ -495,17 +476,17 @@ def q_top_percentile(spark, sf):
 @query("bq3_hourly")
 def q_bq3_hourly(spark, sf):
     return Q.bq3_hourly(_gold(spark, sf), _silver(spark, sf, "lugares"), _silver(spark, sf, "calendario"),
-                        _bq3_ranking(spark, sf), PARAMS)
+                        stored(_bq3_ranking(spark, sf), "bq3-ranking"), PARAMS)
 
 
 @query("bq3_flows")
 def q_bq3_flows(spark, sf):
-    f = Q.bq3_flows(_gold(spark, sf), _silver(spark, sf, "lugares"), _bq3_ranking(spark, sf), PARAMS)
+    f = Q.bq3_flows(_gold(spark, sf), _silver(spark, sf, "lugares"), stored(_bq3_ranking(spark, sf), "bq3-ranking"), PARAMS)
     return f.select("origen", "destino", *[r6(F.col(c)).alias(c) for c in ("o_lat", "o_lon", "d_lat", "d_lon")], "viajeros")
 
 
 def _bq3_points(spark, sf):
-    p = Q.bq3_points(_silver(spark, sf, "lugares"), _bq3_ranking(spark, sf), PARAMS)
+    p = Q.bq3_points(_silver(spark, sf, "lugares"), stored(_bq3_ranking(spark, sf), "bq3-ranking"), PARAMS)
     return p.select("nombre", r6(F.col("latitude")).alias("latitude"), r6(F.col("longitude")).alias("longitude"), "grupo")
 
 
@@ -523,8 +504,7 @@ def q_report_lines_bq3(spark, sf):
 # =================================================================== BQ2
 
 def _bq2_base(spark, sf) -> DataFrame:
-    return Q.bq2_od_base(_gold(spark, sf), _silver(spark, sf, "lugares"), _silver(spark, sf, "poblacion"),
-                         _silver(spark, sf, "renta"), PARAMS)
+    return Q.bq2_od_base(*_bq2_inputs(spark, sf))
 
 
 _BQ2_FLOATS = ("o_lat", "o_lon", "d_lat", "d_lon", "dist_media", "potencial")
@@ -544,7 +524,7 @@ def q_gravity_potential(spark, sf):
 
 
 def _scored(spark, sf) -> DataFrame:
-    return Q.gravity_mismatch(_bq2_base(spark, sf))
+    return Q.gravity_mismatch(stored(_bq2_base(spark, sf), "bq2-base"))
 
 
 def _scored_out(df: DataFrame) -> DataFrame:
@@ -557,6 +537,13 @@ def q_gravity_mismatch(spark, sf):
     return _scored_out(_scored(spark, sf))
 
 
+@query("bq2_result_table")
+def q_bq2_result_table(spark, sf):
+    """The scored pairs as the report run writes them."""
+    lake = Lake(spark, _lake(spark, sf).root)
+    return _scored_out(reports.run_bq2(lake, PARAMS)["scored_pairs"])
+
+
 @query("bq2_bottom50")
 def q_bq2_bottom50(spark, sf):
     return _scored_out(Q.bq2_ranking(_scored(spark, sf), Q.BQ2_MAP_ROWS, ascending=True))
@@ -588,8 +575,8 @@ def _hourly(spark, sf) -> DataFrame:
 
 
 def _hourly_totals(spark, sf) -> DataFrame:
-    """The same rows unordered, for the pivot and the clustering."""
-    return Q.bq1_hourly_totals(_gold(spark, sf), _silver(spark, sf, "lugares"), PARAMS)
+    """The same rows unordered and stored, for the pivot and the clustering."""
+    return stored(Q.bq1_hourly_totals(_gold(spark, sf), _silver(spark, sf, "lugares"), PARAMS), "bq1-hourly")
 
 
 @query("bq1_hourly_profile")
@@ -627,7 +614,7 @@ def q_cluster_profile(spark, sf):
 
 @query("bq1_day_clusters")
 def q_bq1_day_clusters(spark, sf):
-    return Q.bq1_day_clusters(_hourly_totals(spark, sf), PARAMS.k, PARAMS.seed).select("fecha", "cluster")
+    return Q.nearest_own_mean(Q.bq1_day_clusters(_hourly_totals(spark, sf), PARAMS.k, PARAMS.seed))
 
 
 # =================================================================== scalar functions
@@ -688,10 +675,32 @@ def q_polygon_in_polygon(spark, sf):
     """Customer squares lying in the concave polygon (ST_Contains of two polygons)."""
     poly = geo.geom_literal_sql(spark, fx.CONCAVE_WKT)
     g = _customer_squares(spark, sf)
-    xmin, ymin, xmax, ymax = Q.wkt_bbox(fx.CONCAVE_WKT)
+    xmin, ymin, xmax, ymax = geo.geom_literal_box(spark, fx.CONCAVE_WKT)
     return g.filter(geo.bbox_within("g", xmin, ymin, xmax, ymax)).filter(geo.st_contains(poly, "g")).select("point_id")
 
 
+@query("polygon_with_holes")
+def q_polygon_with_holes(spark, sf):
+    """Small squares, one per customer, against a square with a hole (also
+    filled exactly), two squares that touch in a point, and a Z polygon."""
+    corner = "CAST({} AS DOUBLE)".format
+    x, y = corner("c_custkey % 9"), corner("c_custkey DIV 9 % 9")
+    w = corner("1 + c_custkey DIV 81 % 3")
+    inner = geo.rect_sql(x, y, f"{x} + {w}", f"{y} + {w}")
+    parts = []
+    for name, wkt in fx.HOLE_SHAPES.items():
+        test = geo.st_contains(geo.geom_literal_sql(spark, wkt), "g")
+        c = fx.table(spark, sf, "customer").select("c_custkey", F.expr(inner).alias("g"))
+        parts.append(c.select(F.lit(name).alias("shape"), F.col("c_custkey").alias("point_id"), test.alias("inside")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("filter_in_z_polygon")
+def q_filter_in_z_polygon(spark, sf):
+    """Places in a polygon given with heights: its box comes from the parsed shape."""
+    return Q.places_in_polygon(_silver(spark, sf, "lugares"), fx.RECT_Z_WKT).select("id", "nombre", "tipo_zona")
+
+
 @query("centroid_xy")
 def q_centroid_xy(spark, sf):
     g = _customer_squares(spark, sf).select("point_id", geo.st_centroid("g").alias("c"))
@@ -759,11 +768,9 @@ def q_uc6(spark, sf):
 @query("stream_ingest_trips")
 def q_stream_ingest_trips(spark, sf):
     """Daily trip files ingested by the streaming path (available-now trigger) into a fresh lake."""
-    from odflow.streaming.ingest import start_trip_ingest
-
-    root = _all_trip_files(spark, sf)
     lake = Lake(spark, _fresh(spark, "stream"))
-    q = start_trip_ingest(spark, root, lake, fx.relaciones(spark, sf), _fresh(spark, "stream_ckpt"))
+    q = start_trip_ingest(spark, trip_folder(spark, sf), lake, fx.relaciones(spark, sf), _fresh(spark, "stream_ckpt"),
+                          max_files_per_trigger=STREAM_FILES)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"ingest stream failed: {q.exception()}")

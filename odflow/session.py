@@ -10,8 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 import threading
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCK = threading.Lock()
 _LOCAL_CKPT: dict[str, str] = {}
@@ -75,3 +76,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "odflow", *parts)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the checkpoint folder and read back, for results
+    that a plan reads more than once."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "stored", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

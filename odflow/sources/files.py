@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from odflow import schema as S
 from odflow.functions import geo
+from odflow.sources import storage
 
 
 class NoInputFiles(FileNotFoundError):
@@ -24,23 +25,11 @@ def list_files(spark: SparkSession, prefix: str, name_contains: str = "", suffix
     """Full paths of the files under ``prefix`` (any depth, any Hadoop file
     system) whose name contains the text; a prefix without any file at all is
     an error."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(prefix)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found, any_file = [], False
-    if fs.exists(root):
-        it = fs.listFiles(root, True)
-        while it.hasNext():
-            path = it.next().getPath()
-            name = path.getName()
-            if name.startswith(("_", ".")):
-                continue
-            any_file = True
-            if name_contains in name and name.endswith(suffix):
-                found.append(path.toString())
-    if not any_file:
+    paths = [p for p, _, _ in storage.listing(spark, prefix)] if storage.exists(spark, prefix) else []
+    paths = [p for p in paths if not p.rsplit("/", 1)[-1].startswith(("_", "."))]
+    if not paths:
         raise NoInputFiles(f"no files found in {prefix}")
-    return sorted(found)
+    return [p for p in paths if name_contains in p.rsplit("/", 1)[-1] and p.endswith(suffix)]
 
 
 def header_schema(spark: SparkSession, sample: str, sep: str = "|") -> T.StructType:
@@ -119,7 +108,7 @@ def read_stat_csv(spark: SparkSession, path: str, columns: list[str], sep: str =
     named ``column0``.  Other columns of the file are ignored.
     """
     df = spark.read.option("header", True).option("sep", sep).csv(path)
-    if df.columns and df.columns[0] in ("_c0", ""):
+    if df.columns and df.columns[0].strip() in ("_c0", ""):
         df = df.withColumnRenamed(df.columns[0], "column0")
     return df.select(*[F.col(f"`{c}`") for c in columns])
 

@@ -26,6 +26,13 @@ PROVINCE_REGIONS = 4             # regions 0..3 get a strip; region 4 has a NULL
 # query polygons used by the checks
 RECT_WKT = "POLYGON((-0.5 -0.5, 2.5 -0.5, 2.5 2.5, -0.5 2.5, -0.5 -0.5))"
 CONCAVE_WKT = "POLYGON((-0.5 -0.5, 2.5 -0.5, 2.5 2.5, 1 1, -0.5 2.5, -0.5 -0.5))"
+# the same rectangle with heights; a square with a hole, two squares that touch in a point, a square with heights
+RECT_Z_WKT = "POLYGON Z((-0.5 -0.5 9, 2.5 -0.5 -9, 2.5 2.5 9, -0.5 2.5 7, -0.5 -0.5 9))"
+HOLE_SHAPES = {
+    "hole": "POLYGON((0 0, 10 0, 10 10, 0 10, 0 0), (4 4, 4 6, 6 6, 6 4, 4 4))",
+    "touching": "MULTIPOLYGON(((0 0, 4 0, 4 4, 0 4, 0 0)), ((4 4, 8 4, 8 8, 4 8, 4 4)))",
+    "heights": "POLYGON Z((0 0 1, 5 0 20, 5 5 1, 0 5 -7, 0 0 1))",
+}
 
 
 _SCHEMAS: dict[tuple[str, str], object] = {}
@@ -101,7 +108,7 @@ def bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         mitma_code(F.col("s_nationkey")).alias("origen"),
         mitma_code(F.col("c_nationkey")).alias("destino"),
         (F.col("l_quantity") + half).cast("decimal(12,1)").cast("string").alias("viajes"),
-        F.col("l_extendedprice").cast("decimal(14,2)").cast("string").alias("viajes_km"),
+        (F.floor("l_extendedprice") + 0.25).cast("decimal(14,2)").cast("string").alias("viajes_km"),   # exact as metres
     )
 
 

@@ -156,3 +156,27 @@ def test_spatial_join_shuffle_path_matches_broadcast(spark):
         brute += [(i, p) for p in inside] or [(i, None)]
     key = lambda t: (t[0], -1 if t[1] is None else t[1])
     assert sorted(got_fast, key=key) == sorted(brute, key=key)
+
+
+HOLE = "POLYGON((0 0, 10 0, 10 10, 0 10, 0 0), (4 4, 4 6, 6 6, 6 4, 4 4))"
+TOUCHING = "MULTIPOLYGON(((0 0, 4 0, 4 4, 0 4, 0 0)), ((4 4, 8 4, 8 8, 4 8, 4 4)), ((0 8, 4 8, 4 4, 0 4, 0 8)))"
+
+
+@pytest.mark.parametrize("outer, inner, want", [
+    (HOLE, "POLYGON((4 4, 6 4, 6 6, 4 6, 4 4))", False),                      # fills the hole
+    (HOLE, "POLYGON((1 1, 3 1, 3 3, 1 3, 1 1))", True),
+    (HOLE, "POLYGON((3 3, 7 3, 7 7, 3 7, 3 3))", False),                      # covers the hole
+    (HOLE, HOLE, True),
+    ("MULTIPOLYGON(((0 0, 4 0, 4 4, 0 4, 0 0)), ((4 4, 8 4, 8 8, 4 8, 4 4)))", "POLYGON((0 4, 4 4, 4 8, 0 8, 0 4))", False),
+    ("MULTIPOLYGON(((0 0, 4 0, 4 4, 0 4, 0 0)), ((4 4, 8 4, 8 8, 4 8, 4 4)))", "POLYGON((5 5, 6 5, 6 6, 5 6, 5 5))", True),
+    (TOUCHING, "POLYGON((4 0, 8 0, 8 4, 4 4, 4 0))", False),                  # the gap left of the three
+    (HOLE, "MULTIPOLYGON(((1 1, 2 1, 2 2, 1 2, 1 1)), ((4 4, 6 4, 6 6, 4 6, 4 4)))", False),
+])
+def test_contains_with_holes_and_gaps(spark, outer, inner, want):
+    df = spark.range(1).select(F.lit(outer).alias("a"), F.lit(inner).alias("b"))
+    df = df.select(geo.geom_from_wkt("a").alias("a"), geo.geom_from_wkt("b").alias("b"))
+    assert df.select(geo.st_contains("a", "b")).first()[0] is want
+
+
+def test_literal_box_of_a_polygon_with_heights(spark):
+    assert geo.geom_literal_box(spark, "POLYGON Z((0 0 0, 5 0 0, 0 1 0, 0 0 0))") == (0.0, 0.0, 5.0, 1.0)

@@ -5,10 +5,10 @@ import os
 from odflow import jobs
 from odflow.lake import Lake
 from odflow.plans.silver import resolve_all_levels
-from odflow.queries import _geo_file, _relations_file, _trip_files
+from odflow.queries import _geo_file, _relations_file
 from odflow.sources import files
 from odflow.sources import fixtures as fx
-from odflow.sources.fixture_lake import fixture_lake
+from odflow.sources.fixture_lake import fixture_lake, trip_folder
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,11 +19,10 @@ def _csv(df, path):
 
 
 def test_jobs_from_raw_files(spark, scratch):
-    trip_roots = [_trip_files(spark, SF, lv) for lv in ("municipios", "distritos", "gaus")]
     prov = os.path.join(scratch, "provincias")
     files.feature_json(fx.bronze_provincias(spark, SF), jobs.PROVINCE_PROPERTIES).write.text(prov)
     raw = jobs.RawPaths(
-        trips=os.path.dirname(trip_roots[0]),
+        trips=trip_folder(spark, SF),
         relaciones=_relations_file(spark, SF),
         poblacion=_csv(fx.bronze_poblacion(spark, SF), os.path.join(scratch, "poblacion")),
         renta=_csv(fx.bronze_renta(spark, SF), os.path.join(scratch, "renta")),

@@ -8,16 +8,16 @@ from odflow.lake import Lake
 from odflow.plans import questions as Q
 from odflow.plans.pipeline import BronzeInputs, build_all
 from odflow.plans.silver import resolve_all_levels
-from odflow.queries import _trip_files
 from odflow.sources import files
 from odflow.sources import fixtures as fx
+from odflow.sources.fixture_lake import trip_folder
 from odflow.streaming.ingest import LEVEL_FILES
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_build_from_files_matches_one_pass_resolution(spark, scratch):
-    levels = {lv: files.read_trip_csv(spark, _trip_files(spark, SF, lv), LEVEL_FILES[lv]) for lv in LEVEL_FILES}
+    levels = {lv: files.read_trip_csv(spark, trip_folder(spark, SF), LEVEL_FILES[lv]) for lv in LEVEL_FILES}
     b = BronzeInputs(
         relaciones=fx.relaciones(spark, SF),
         poblacion=fx.bronze_poblacion(spark, SF),

@@ -4,7 +4,7 @@ import contextlib
 import io
 
 from odflow.plans import questions as Q
-from odflow.queries import registry
+from odflow.queries import PARAMS, registry
 from odflow.sources import fixtures as fx
 from odflow.sources.fixture_lake import fixture_lake
 
@@ -107,3 +107,20 @@ def test_pivot_reads_hour_presence_once(spark):
     plan = _plan(registry()["pivot_hours"](spark, SF))
     assert len(set(re.findall(r"Subquery subquery#(\d+)", plan))) == 1
     assert "rangepartitioning" not in plan          # no sort before the pivot regroups the rows
+
+
+def _executed_fact_scans(df) -> int:
+    """Scans that read trips by zone in the plan that ran, subqueries included."""
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return sum("FileScan" in line and "total_viajes" in line and "id_" in line for line in final.splitlines())
+
+
+def test_pairs_and_pivot_read_the_fact_once(spark):
+    """Their inputs are stored first, so what is planned on top scans no gold table."""
+    for key, scans in (("gravity_mismatch", 0), ("bq2_top15", 0), ("pivot_hours", 0), ("row_normalise", 0), ("bq3_hourly", 1)):
+        assert _executed_fact_scans(registry()[key](spark, SF)) == scans, key
+    lake = fixture_lake(spark, SF)
+    base = Q.bq2_od_base(lake.read("gold", "mobility_municipios_periodo"), lake.read("silver", "lugares"),
+                         lake.read("silver", "poblacion"), lake.read("silver", "renta"), PARAMS)
+    assert _executed_fact_scans(base) == 1
