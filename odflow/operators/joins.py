@@ -14,13 +14,15 @@ from odflow.functions import geo
 BROADCAST_BUDGET_BYTES = 64 * 1024 * 1024
 
 
-def _width(dt: T.DataType) -> int:
+def _width(dt: T.DataType) -> int | None:
+    """Estimated bytes of a value; None where only a measurement can tell (arrays, maps)."""
     if isinstance(dt, T.StructType):
-        return sum(_width(f.dataType) for f in dt.fields)
-    if isinstance(dt, T.ArrayType):
-        return 16 * _width(dt.elementType)
+        parts = [_width(f.dataType) for f in dt.fields]
+        return None if None in parts else sum(parts)
+    if isinstance(dt, (T.ArrayType, T.MapType)):
+        return None
     if isinstance(dt, T.StringType):
-        return 32
+        return 64
     if isinstance(dt, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
         return 8
     if isinstance(dt, T.BooleanType):
@@ -28,8 +30,9 @@ def _width(dt: T.DataType) -> int:
     return 4
 
 
-def row_width(df: DataFrame) -> int:
-    return max(8, _width(df.schema))
+def row_width(df: DataFrame) -> int | None:
+    w = _width(df.schema)
+    return None if w is None else max(8, w)
 
 
 _ROWS_LOCK = threading.Lock()
@@ -60,10 +63,13 @@ def dim_rows(df: DataFrame, cap: int | None = None) -> int:
 
 
 def bounded_broadcast(df: DataFrame, bound: DataFrame | int | None = None,
-                      budget_bytes: int = BROADCAST_BUDGET_BYTES, known_rows: int | None = None) -> DataFrame:
+                      budget_bytes: int = BROADCAST_BUDGET_BYTES, known_rows: int | None = None,
+                      known_bytes: int | None = None) -> DataFrame:
     """``broadcast(df)`` only when its size is proven within the budget.
 
-    The proof is a row bound times a schema-estimated row width.  The row
+    The proof is ``known_bytes``, a measured size, or a row bound times a
+    row width from the schema.  Frames with arrays (geometries) have no
+    width that a schema could tell: without a measurement they get no hint.  The row
     bound is ``known_rows``, or the row count of ``bound`` -- a cheap source
     frame that ``df`` is derived from by filters, projections, joins to
     unique keys or grouping (so it cannot have more rows), e.g. the place
@@ -72,7 +78,12 @@ def bounded_broadcast(df: DataFrame, bound: DataFrame | int | None = None,
     unhinted and Spark plans a shuffle join (AQE may still convert it at
     runtime from measured sizes).
     """
-    max_rows = max(1, budget_bytes // row_width(df))
+    if known_bytes is not None:
+        return F.broadcast(df) if known_bytes <= budget_bytes else df
+    width = row_width(df)
+    if width is None:
+        return df
+    max_rows = max(1, budget_bytes // width)
     if known_rows is not None:
         n = known_rows
     elif isinstance(bound, int):
@@ -112,38 +123,51 @@ def resolve_codes(
     return joined.drop(f"_code_{out_col}")
 
 
-_CELLS: dict[tuple, float] = {}
+_GRIDS: dict[tuple, tuple[list[int], int]] = {}
+_MIN_LEVEL = -60
 
 
-def grid_cell_size(polygons: DataFrame, geom_col: str = "geom") -> float:
-    """Median bounding-box extent of the polygons (one small aggregate).
+def _grid_level(geom_col: str):
+    """The least power of two that a shape's box fits in, as its exponent: on
+    a grid of that size the box overlaps four cells at most."""
+    g = F.col(geom_col)
+    extent = F.greatest(g["xmax"] - g["xmin"], g["ymax"] - g["ymin"])
+    return F.greatest(F.coalesce(F.ceil(F.log2(F.when(extent > 0, extent))), F.lit(_MIN_LEVEL)), F.lit(_MIN_LEVEL)).cast("int")
 
-    Cached per plan and input files, like ``dim_rows``.  The cell size only
-    affects speed: the exact containment test is part of the join condition.
-    """
+
+def grid_stats(polygons: DataFrame, geom_col: str = "geom") -> tuple[list[int], int]:
+    """Grid levels of the polygons, and the bytes of their cells: up to four
+    rows each with their points and edges, counted.  One small aggregate,
+    cached per plan and input files like ``dim_rows``."""
     try:
         key = (polygons.semanticHash(), tuple(sorted(polygons.inputFiles())), geom_col)
     except Exception:  # noqa: BLE001
         key = None
     if key is not None:
         with _ROWS_LOCK:
-            if key in _CELLS:
-                return _CELLS[key]
-    size = _median_extent(polygons, geom_col)
+            if key in _GRIDS:
+                return _GRIDS[key]
+    row = polygons.agg(
+        F.collect_set(_grid_level(geom_col)).alias("levels"),
+        F.coalesce(F.sum(F.lit(1024) + F.lit(96) * F.size(F.col(geom_col)["edges"])), F.lit(0)).alias("bytes"),
+    ).first()
+    out = (sorted(row["levels"]), 4 * int(row["bytes"]))
     if key is not None:
         with _ROWS_LOCK:
-            _CELLS[key] = size
-    return size
+            _GRIDS[key] = out
+    return out
 
 
-def _median_extent(polygons: DataFrame, geom_col: str) -> float:
+def grid_cells(polygons: DataFrame, geom_col: str = "geom") -> DataFrame:
+    """Every polygon once per cell (_level, _gx, _gy) that its box overlaps on
+    the grid of its own level: at most four rows, however large or small."""
     g = F.col(geom_col)
-    ext = F.greatest(g["xmax"] - g["xmin"], g["ymax"] - g["ymin"])
-    row = polygons.agg(F.percentile_approx(ext, 0.5).alias("m"), F.max(ext).alias("mx")).first()
-    m = row["m"] if row and row["m"] else None
-    if not m or m <= 0:
-        m = (row["mx"] if row and row["mx"] else 1.0) or 1.0
-    return float(m)
+    df = polygons.withColumn("_level", _grid_level(geom_col))
+    s = F.pow(F.lit(2.0), F.col("_level"))
+    return (
+        df.withColumn("_gx", F.explode(F.sequence(F.floor(g["xmin"] / s), F.floor(g["xmax"] / s))))
+        .withColumn("_gy", F.explode(F.sequence(F.floor(g["ymin"] / s), F.floor(g["ymax"] / s))))
+    )
 
 
 def spatial_join_points(
@@ -153,37 +177,46 @@ def spatial_join_points(
     y: str = "y",
     geom_col: str = "geom",
     how: str = "left",
-    cell_size: float | None = None,
     broadcast_budget: int = BROADCAST_BUDGET_BYTES,
 ) -> DataFrame:
     """Points joined to the polygons that contain them (``ST_Contains(poly, pt)``).
 
     An equi-join on grid cells plus the exact test in the same join
-    condition: every polygon is listed once per cell its bounding box
-    overlaps, every point falls in one cell.  With ``how='left'`` a point in
-    no polygon keeps one row with NULL polygon columns, a point in two
-    overlapping polygons gets two rows.  Cell size defaults to the median
-    polygon extent, so the exploded cell list stays near (area / cell^2 +
-    4 per polygon); it is broadcast only within the size budget, otherwise
-    both sides shuffle on the cell key.
+    condition.  Every polygon has a grid level from its own extent and at
+    most four cells there, so one outlier costs no more than any other shape;
+    a point has one cell on each level that occurs.  With ``how='left'`` a
+    point in no polygon keeps one row with NULL polygon columns, a point in
+    two overlapping polygons gets two rows.  Cells are broadcast when their
+    measured size is within the budget, otherwise both sides shuffle on the
+    cell.  With shapes of several levels each distinct position is looked up
+    once on every level, and the points are joined to what was found.
     """
-    s = cell_size if cell_size is not None else grid_cell_size(polygons, geom_col)
-    g = F.col(geom_col)
-    cells = (
-        polygons.withColumn("_gx", F.explode(F.sequence(F.floor(g["xmin"] / s), F.floor(g["xmax"] / s))))
-        .withColumn("_gy", F.explode(F.sequence(F.floor(g["ymin"] / s), F.floor(g["ymax"] / s))))
-    )
-    pts = points.withColumn("_px", F.floor(F.col(x) / s)).withColumn("_py", F.floor(F.col(y) / s))
-    cells = bounded_broadcast(cells, budget_bytes=broadcast_budget)
+    levels, n_bytes = grid_stats(polygons, geom_col)
+    cells = bounded_broadcast(grid_cells(polygons, geom_col), known_bytes=n_bytes, budget_bytes=broadcast_budget)
+
+    def on_level(level):
+        s = F.pow(F.lit(2.0), level)
+        return F.floor(F.col(x) / s), F.floor(F.col(y) / s)
+
     # Column names of the two sides are distinct, so the exact test can
     # name them directly.
-    cond = (
-        (pts["_px"] == cells["_gx"])
-        & (pts["_py"] == cells["_gy"])
-        & geo.st_contains_point(geom_col, x, y)
-    )
-    out = pts.join(cells, cond, how)
-    return out.drop("_px", "_py", "_gx", "_gy")
+    def cond(pts):
+        return (
+            (pts["_pl"] == cells["_level"]) & (pts["_px"] == cells["_gx"]) & (pts["_py"] == cells["_gy"])
+            & geo.st_contains_point(geom_col, x, y)
+        )
+
+    helpers = ("_pl", "_px", "_py", "_level", "_gx", "_gy")
+    if len(levels) <= 1:
+        px, py = on_level(F.lit(float(levels[0] if levels else 0)))
+        pts = points.withColumns({"_pl": F.lit(levels[0] if levels else 0), "_px": px, "_py": py})
+        return pts.join(cells, cond(pts), how).drop(*helpers)
+    places = points.select(x, y).distinct().withColumn("_pl", F.explode(F.array(*[F.lit(v) for v in levels])))
+    px, py = on_level(F.col("_pl"))
+    places = places.withColumns({"_px": px, "_py": py})
+    found = places.join(cells, cond(places), "inner").drop(*helpers)
+    found = found.withColumnsRenamed({x: "_fx", y: "_fy"})
+    return points.join(found, (points[x] == found["_fx"]) & (points[y] == found["_fy"]), how).drop("_fx", "_fy")
 
 
 def semi_join_names(df: DataFrame, names: DataFrame, col: str, names_col: str = "nombre",

@@ -171,8 +171,7 @@ def place_branch(geo_df: DataFrame, relaciones: DataFrame, spec: ZoneSpec) -> Da
     ).distinct()
 
 
-def place_catalogue(geo_by_level: dict[str, DataFrame], relaciones: DataFrame, provincias: DataFrame,
-                    cell_size: float | None = None) -> DataFrame:
+def place_catalogue(geo_by_level: dict[str, DataFrame], relaciones: DataFrame, provincias: DataFrame) -> DataFrame:
     """C-6 silver.lugares: all levels, centroid, province of the centroid.
 
     Branches are deduplicated separately and concatenated (no dedupe across
@@ -186,6 +185,5 @@ def place_catalogue(geo_by_level: dict[str, DataFrame], relaciones: DataFrame, p
         "*", F.col("_c")["x"].alias("longitude"), F.col("_c")["y"].alias("latitude")
     ).drop("_c")
     prov = provincias.select("cod_provincia", F.col("geom").alias("_pgeom"))
-    out = spatial_join_points(places, prov, x="longitude", y="latitude", geom_col="_pgeom", how="left",
-                              cell_size=cell_size).drop("_pgeom")
+    out = spatial_join_points(places, prov, x="longitude", y="latitude", geom_col="_pgeom", how="left").drop("_pgeom")
     return S.enforce_schema(out, S.SILVER_LUGARES, "silver.lugares")

@@ -133,11 +133,11 @@ def test_spatial_join_shuffle_path_matches_broadcast(spark):
          (3, "POLYGON((10 10, 12 10, 11 12, 10 10))")], "pid int, w string",
     ).select("pid", geo.geom_from_wkt("w").alias("pg"))
     pts = spark.createDataFrame([(i, (i * 0.37) % 13, (i * 0.53) % 13) for i in range(400)], "id int, x double, y double")
-    fast = spatial_join_points(pts, polys, geom_col="pg", cell_size=1.0)
+    fast = spatial_join_points(pts, polys, geom_col="pg")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        slow = spatial_join_points(pts, polys, geom_col="pg", cell_size=1.0, broadcast_budget=0)
+        slow = spatial_join_points(pts, polys, geom_col="pg", broadcast_budget=0)
         plan = slow._jdf.queryExecution().executedPlan().toString()
         got_slow = sorted((r.id, r.pid) for r in slow.select("id", "pid").collect())
     finally:
@@ -180,3 +180,25 @@ def test_contains_with_holes_and_gaps(spark, outer, inner, want):
 
 def test_literal_box_of_a_polygon_with_heights(spark):
     assert geo.geom_literal_box(spark, "POLYGON Z((0 0 0, 5 0 0, 0 1 0, 0 0 0))") == (0.0, 0.0, 5.0, 1.0)
+
+
+def test_an_outlier_shape_costs_four_cells_and_joins_mixed_sizes(spark):
+    from odflow.operators.joins import grid_cells, grid_stats, spatial_join_points
+
+    sizes = [0.01] * 30 + [0.3, 5.0, 400.0]
+    rows = [(i, (i % 7) * 0.9, (i % 5) * 0.7, s) for i, s in enumerate(sizes)]
+    polys = spark.createDataFrame(rows, "pid int, px0 double, py0 double, w double").select(
+        "pid", geo.rect("px0", "py0", "px0 + w", "py0 + w").alias("pg"))
+    cells = grid_cells(polys, "pg").groupBy("pid").count().collect()
+    assert len(cells) == len(sizes) and max(r["count"] for r in cells) <= 4
+    assert len(grid_stats(polys, "pg")[0]) == 4
+    pts = spark.createDataFrame([(k, (k % 23) * 0.301 - 0.5, (k % 19) * 0.217 - 0.5) for k in range(300)] + [(900, 0.005, 0.005), (901, None, 1.0), (902, 0.005, 0.005)],
+                                "k int, x double, y double")
+    got = sorted((r.k, -1 if r.pid is None else r.pid) for r in spatial_join_points(pts, polys, geom_col="pg").collect())
+    want = []
+    for r in pts.collect():
+        hit = [i for i, x0, y0, s in rows if r.x is not None and x0 < r.x < x0 + s and y0 < r.y < y0 + s]
+        want += [(r.k, i) for i in hit] or [(r.k, -1)]
+    assert got == sorted(want)
+    shuffled = spatial_join_points(pts, polys, geom_col="pg", broadcast_budget=0).collect()
+    assert sorted((r.k, -1 if r.pid is None else r.pid) for r in shuffled) == got
