@@ -1,71 +1,79 @@
-"""Summarise the physical plans of the registered queries into PLANS.md.
+"""Summarise the plans that ran for the registered queries into PLANS.md.
 
 Usage: python tools/plan_report.py [sf_dir]
-For every query: shuffles (Exchange), broadcasts, join strategies, windows,
-and whether partition filters / pushed filters reach the scans.  The full
-formatted plan is not kept; run ``df.explain("formatted")`` for that.
+Every query is executed (no rows are collected) and the final plan is walked
+node by node, query stages and scalar subqueries included: shuffles,
+single-partition exchanges, broadcasts, join strategies, windows and scans.  A
+reused exchange counts once.  What a query stores on its way (see
+``odflow.session.stored``) ran before and is not part of its last plan.
 """
 
 from __future__ import annotations
 
-import contextlib
-import io
 import re
 import sys
+from collections import Counter
 
 sys.path.insert(0, ".")
-import __spark_entry__ as E  # noqa: E402
+from odflow.queries import registry  # noqa: E402
 from odflow.session import local_session  # noqa: E402
 
+COLUMNS = ["shuffles", "single", "broadcasts", "bhj", "smj", "nlj", "window", "scans", "partition_filters", "pushed_filters"]
 
-def formatted(df) -> str:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    return buf.getvalue()
 
+def seq(s) -> list:
+    return [s.apply(i) for i in range(s.size())]
 
-def summary(plan: str) -> dict:
-    tree = plan.split("\n\n")[0]
-    return {
-        "shuffles": len(re.findall(r"(?<![A-Za-z])Exchange\b", tree)) - plan.count("Arguments: SinglePartition"),
-        "single": plan.count("Arguments: SinglePartition"),
-        "broadcasts": tree.count("BroadcastExchange"),
-        "bhj": tree.count("BroadcastHashJoin"),
-        "smj": tree.count("SortMergeJoin"),
-        "nlj": tree.count("BroadcastNestedLoopJoin") + tree.count("CartesianProduct"),
-        "window": tree.count("Window"),
-        "partition_filters": len(re.findall(r"PartitionFilters: \[[^\]]+\]", plan)),
-        "pushed_filters": len(re.findall(r"PushedFilters: \[[^\]]+\]", plan)),
-        "scans": tree.count("Scan parquet") + tree.count("Scan csv") + tree.count("Scan json") + tree.count("Scan text"),
-    }
+
+def nodes(plan):
+    """All nodes of a physical plan that ran."""
+    yield plan
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        below = [plan.executedPlan()]
+    elif name.endswith("QueryStage"):
+        below = [plan.plan()]
+    else:
+        below = seq(plan.children())
+    for child in below + seq(plan.subqueries()):
+        yield from nodes(child)
+
+
+def summary(df) -> Counter:
+    query = df._jdf.queryExecution()
+    query.toRdd().count()
+    out: Counter = Counter()
+    for node in nodes(query.executedPlan()):
+        name, text = node.nodeName(), node.simpleString(10_000)
+        if name == "Exchange":
+            out["single" if "SinglePartition" in text else "shuffles"] += 1
+        out["broadcasts"] += name == "BroadcastExchange"
+        out["bhj"] += name == "BroadcastHashJoin"
+        out["smj"] += name in ("SortMergeJoin", "ShuffledHashJoin")
+        out["nlj"] += name in ("BroadcastNestedLoopJoin", "CartesianProduct")
+        out["window"] += name == "Window"
+        if name.startswith("Scan "):
+            out["scans"] += 1
+            out["partition_filters"] += bool(re.search(r"PartitionFilters: \[[^\]]", text))
+            out["pushed_filters"] += bool(re.search(r"PushedFilters: \[[^\]]", text))
+    return out
 
 
 def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = local_session()
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    spark = local_session(8, 8, "odflow-plans")
     spark.sparkContext.setLogLevel("ERROR")
-    rows = []
-    for k, fn in sorted(E.queries().items()):
-        if k in ("bq1_day_clusters", "stream_ingest_trips"):
-            continue
-        try:
-            s = summary(formatted(fn(spark, sf)))
-        except Exception as exc:  # noqa: BLE001
-            print(k, "failed", exc)
-            continue
-        rows.append((k, s))
-    cols = ["shuffles", "single", "broadcasts", "bhj", "smj", "nlj", "window", "partition_filters", "pushed_filters", "scans"]
-    out = ["# Physical plans (generated by tools/plan_report.py at " + sf + ")", "",
-           "Counts per query in the initial AQE plan: shuffles (hash/range Exchange), single-partition exchanges,",
-           "broadcast exchanges, broadcast hash / sort-merge / nested-loop joins, windows, scans with partition",
-           "filters, scans with pushed filters, scans.  The k-means and streaming queries are not listed (their",
-           "work happens in ML passes and micro-batches).", "",
-           "| query | " + " | ".join(cols) + " |", "|---|" + "---:|" * len(cols)]
-    for k, s in rows:
-        out.append(f"| {k} | " + " | ".join(str(s[c]) for c in cols) + " |")
-    open("PLANS.md", "w").write("\n".join(out) + "\n")
-    print("\n".join(out))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    lines = [
+        "# PLANS", "", f"Final plans of the registered queries on `{sf_dir.rstrip('/').rsplit('/', 1)[-1]}`, as executed, scalar subqueries included",
+        "(`python tools/plan_report.py`). What a query stores on its way ran before and is not counted.", "",
+        "| query | " + " | ".join(COLUMNS) + " |", "|---|" + "---:|" * len(COLUMNS)]
+    for name, fn in sorted(registry().items()):
+        s = summary(fn(spark, sf_dir))
+        lines.append(f"| {name} | " + " | ".join(str(s[c]) for c in COLUMNS) + " |")
+        print(lines[-1], flush=True)
+    with open("PLANS.md", "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
 
 
 if __name__ == "__main__":
