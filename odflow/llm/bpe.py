@@ -32,6 +32,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -39,7 +40,9 @@ from pyspark.sql import functions as F
 
 from odflow.llm.common import table
 
-MEMORY = 500_000
+MEMORY = 200_000
+#: Rows whose results are held together.
+SLICE = 500
 
 # The white space of the tokenizer's \s.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"#: Controls that Python's split takes for white space and the tokenizer does not.
@@ -214,14 +217,16 @@ def _over_texts(docs: DataFrame, keep: list[str], text: str, spec: str, finish,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, names = None, None
-        for batch in batches:
+        for whole in batches:
             bpe = bpe or load(shared.value)
-            rows = [finish(bpe.encode_parts(t or "")) for t in batch.column(len(keep)).to_pylist()]
-            names = names or [f.name for f in batch.schema][: len(keep)]
-            columns = {k: batch.column(i) for i, k in enumerate(names)}
-            for name, kind in kinds:
-                columns[name] = pa.array([r[name] for r in rows], kind)
-            yield pa.RecordBatch.from_pydict(columns)
+            names = names or [f.name for f in whole.schema][: len(keep)]
+            for start in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(start, SLICE)
+                rows = [finish(bpe.encode_parts(t or "")) for t in batch.column(len(keep)).to_pylist()]
+                columns = {k: batch.column(i) for i, k in enumerate(names)}
+                for name, kind in kinds:
+                    columns[name] = pa.array([r[name] for r in rows], kind)
+                yield pa.RecordBatch.from_pydict(columns)
 
     kinds = [(f.split()[0], {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}[f.split()[1]])
              for f in schema.split(", ")]
@@ -230,10 +235,14 @@ def _over_texts(docs: DataFrame, keep: list[str], text: str, spec: str, finish,
     return picked.mapInArrow(run, f"{out}, {schema}" if out else schema)
 
 
+def _numbers(parts: list[tuple[str, int, str]]) -> np.ndarray:
+    return np.fromstring(" ".join([p[0] for p in parts]), np.int32, sep=" ")
+
+
 def encode(docs: DataFrame, spec: str, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns with ``ids`` (array), ``n_tokens`` and ``decoded``."""
     def finish(parts):
-        ids = [int(i) for p in parts for i in p[0].split()]
+        ids = _numbers(parts)
         return {"n_tokens": len(ids), "ids": ids, "decoded": " ".join([p[2] for p in parts])}
     return _over_texts(docs, keep, text, spec, finish, "n_tokens long, ids array<int>, decoded string")
 
@@ -253,7 +262,7 @@ def encode_digest(docs: DataFrame, spec: str, keep: list[str], text: str = "text
 def encode_with_digest(docs: DataFrame, spec: str, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns with the ids and the digest of the decoded text."""
     def finish(parts):
-        ids = [int(i) for p in parts for i in p[0].split()]
+        ids = _numbers(parts)
         decoded = " ".join([p[2] for p in parts])
         return {"n_tokens": len(ids), "ids": ids, "decoded_sha256": hashlib.sha256(decoded.encode()).hexdigest()}
     return _over_texts(docs, keep, text, spec, finish, "n_tokens long, ids array<int>, decoded_sha256 string")

@@ -11,27 +11,27 @@ from pyspark.sql import functions as F
 from odflow.llm.common import stored
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every edge runs from a node of one edge to one that is no
+    edge's larger end: the edges then name each node's root."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.filter("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
 def connected(edges: DataFrame) -> DataFrame:
     """Edges (u, v) to (node, root): the smallest node of each component, for
     every node but the roots.  Self loops and repeated edges do no harm."""
     edges = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u > v").distinct(), "cc")
-    before = _state(edges)
-    while before[0]:
+    while not _is_forest_of_stars(edges):
         # large star: the larger neighbours of a node go to its smallest
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
-        large = edges.join(least, edges["v"] == least["c"]).select(F.col("u"), F.col("m").alias("v")).filter("u > v").distinct()
+        large = edges.join(least, edges["v"] == least["c"]).select(F.col("u"), F.col("m").alias("v")).filter("u > v").repartition("u")
         # small star: a node and its smaller neighbours go to the smallest of these
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).filter("u > v").distinct())
         edges = stored(small, "cc")
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

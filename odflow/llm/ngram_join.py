@@ -4,28 +4,35 @@ A document's set holds the distinct hashes of its k-word shingles.  Equal sets
 are one class from the start (a 128-bit signature); joining, linking and
 verifying is done between classes, so copies are never paired with each other.
 
-Count vectors.  Every shingle hash falls into one of GROUPS groups; the number
-of shingles in each group is the set's point.  Two sets share at most the sum
-of the coordinate minima of their points, which bounds their Jaccard index.
-An R-tree over the points of a bucket holds the upper corner and the range of
+Count vectors.  Shingle hashes fall into groups, and the numbers of shingles
+by group are the set's point; larger sets have more groups (``resolution``: 64
+to 4096), so that counts stay small and telling.  Two sets share at most the
+sum of the coordinate minima of their points, which bounds their Jaccard
+index; points of two resolutions meet on the lower one, groups added up.  An
+R-tree over the points of a bucket holds the upper corner and the range of
 sizes of each node: a node whose summed minima with a query point fall short
 of the overlap needed is skipped with all below it.  Pairs that survive are
 verified on the sets themselves.
 
-Dealing out.  The trees cannot be one tree: in 64 dimensions a query's box
+Dealing out.  The trees cannot be one tree: in that many dimensions a query's box
 meets most top-level nodes.  Points are dealt to buckets by their rare
 shingles instead: sets alike enough must share one of the first shingles in a
 common order (length filters give how many), rare ones first by a table of
 corpus counts with a fixed number of cells.  The order affects cost only.
 
 Hot buckets.  Each bucket names a leader, and every set is first verified
-against the leaders of its buckets, a star that grows with the rows and not
-with pairs.  Components of these links are found; only buckets that hold sets
-of two or more components go on to a tree, and pairs inside a component are
-not looked at again, as they cannot change the result.  Buckets of over BLOCK
-sets are cut into blocks, and each pair of blocks is a task group of its own.
-Nothing is capped or dropped: a link lost would need a pair that shares no
-prefix shingle, which the length filter excludes.
+against the STARS leaders it shares most buckets with: stars that grow with
+the rows and not with pairs.  Components of these links are found; only
+buckets that still hold sets of two or more components, of sizes that can
+match, go on: two sets meet directly, more in a tree, and pairs inside a
+component are not looked at, as they cannot change the result.  Buckets of
+over BLOCK sets are cut into blocks, and each pair of blocks is a task group
+of its own.  Nothing is capped or dropped: a link lost would need a pair that
+shares no prefix shingle, which the length filter excludes.
+
+Hashes.  Shingles are compared as 64-bit hashes, classes as 128-bit
+signatures; buckets name a class by 64 bits of its signature, which about 25
+of 3e10 classes would share with another.
 
 Empty and null texts have the empty set and link with nothing.  Null ids are
 carried; a component without any id is null.  Repeated rows and ids are rows
@@ -45,11 +52,16 @@ from odflow.llm.common import WORD, masked, stored, table, unmasked
 from odflow.llm.components import connected
 from odflow.llm.textvec import WordHasher, mix, shingles, stretches
 
-GROUPS = 64
+RESOLUTIONS = (64, 256, 1024, 4096)
+STARS = 2
 CELLS = 1 << 17
 CELLS_PER_ROW = 1 << 12
 BLOCK = 2048
+#: Rows whose sets are fetched by a broadcast of their keys (eight bytes each); beyond, by a shuffle.
+MAX_BROADCAST_KEYS = 1_000_000
 FANOUT = 16
+#: Numbers gathered before a task hands on a batch.
+FLUSH = 200_000
 
 
 def _sets(hasher: WordHasher, column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -67,18 +79,34 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
+def resolution(n: int) -> int:
+    """Number of groups for a set of n: the first of at least a quarter of n."""
+    return next((r for r in RESOLUTIONS if 4 * r >= n), RESOLUTIONS[-1])
+
+
 def point(s: np.ndarray) -> bytes:
-    """Group counts of a set; 16 bits each unless one needs 32."""
-    counts = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
-    return counts.astype(np.uint16 if counts.max() < 65536 else np.uint32).tobytes()
+    """Group counts of a set, in the fewest bytes each that hold the largest,
+    behind one byte that says how many bytes that is."""
+    r = resolution(len(s))
+    counts = np.bincount((s >> np.uint64(65 - r.bit_length())).astype(np.int64), minlength=r)
+    top = counts.max(initial=0)
+    width = 1 if top < 256 else 2 if top < 65536 else 4
+    return bytes([width]) + counts.astype({1: np.uint8, 2: np.uint16, 4: np.uint32}[width]).tobytes()
+
+
+def counts_of(p: bytes) -> np.ndarray:
+    return np.frombuffer(p, {1: np.uint8, 2: np.uint16, 4: np.uint32}[p[0]], offset=1).astype(np.int64)
+
 
+def folded(counts: np.ndarray, r: int) -> np.ndarray:
+    """Counts on a lower resolution: neighbouring groups added up."""
+    return counts if len(counts) == r else counts.reshape(r, -1).sum(axis=1)
 
-def points(column: pa.Array) -> np.ndarray:
-    """One row of group counts for each binary value."""
-    values = column.to_pylist()
-    if not values:
-        return np.zeros((0, GROUPS), np.int64)
-    return np.stack([np.frombuffer(v, np.uint16 if len(v) == 2 * GROUPS else np.uint32) for v in values]).astype(np.int64)
+
+def most_shared(x: np.ndarray, y: np.ndarray) -> int:
+    """The sum of the coordinate minima of two points."""
+    r = min(len(x), len(y))
+    return int(np.minimum(folded(x, r), folded(y, r)).sum())
 
 
 def _needed(a, b, num: int, den: int):
@@ -116,6 +144,20 @@ class CountTree:
         return self.order[at]
 
 
+    def near_all(self, pts: np.ndarray, sizes: np.ndarray, num: int, den: int) -> Iterator[np.ndarray]:
+        """``near`` of every query; a tree of one leaf is met by all at once."""
+        if len(self.levels) > 1 or len(pts) > 4 * FANOUT:
+            for p, size in zip(pts, sizes):
+                yield self.near(p, int(size), num, den)
+            return
+        upper, low, _ = self.levels[0]
+        bound = np.minimum(upper[None, :, :], pts[:, None, :]).sum(axis=2)
+        small, large = np.minimum(low[None, :], sizes[:, None]), np.maximum(low[None, :], sizes[:, None])
+        fits = (bound >= _needed(small, large, num, den)) & (small * den >= num * large)
+        for row in fits:
+            yield self.order[np.flatnonzero(row)]
+
+
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The runs of equal keys of sorted batches, each whole."""
     rest = None
@@ -142,19 +184,19 @@ class Sets:
         self.docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
 
     def signatures(self) -> DataFrame:
-        """(doc_id, text_hash, n, s1, s2) of every row."""
+        """(doc_id, text_hash, n, s1, s2, point) of every row."""
         k = self.k
 
         def run(batches):
             hasher = WordHasher()
             for batch in batches:
-                out = [(len(s), *_signature(s)) for _, s in _sets(hasher, batch.column(2), k)]
-                n, s1, s2 = zip(*out) if out else ((), (), ())
+                out = [(len(s), *_signature(s), point(s)) for _, s in _sets(hasher, batch.column(2), k)]
+                n, s1, s2, pts = zip(*out) if out else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64())],
-                    ["doc_id", "text_hash", "n", "s1", "s2"])
+                    [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
+                     pa.array(pts, pa.binary())], ["doc_id", "text_hash", "n", "s1", "s2", "point"])
 
-        return self.docs.mapInArrow(run, "doc_id long, text_hash long, n long, s1 long, s2 long")
+        return self.docs.mapInArrow(run, "doc_id long, text_hash long, n long, s1 long, s2 long, point binary")
 
     def levels(self) -> np.ndarray:
         """Rarity level (0 to 255) of every cell of shingle hashes: four
@@ -200,7 +242,7 @@ class Sets:
         def run(batches):
             hasher, order, done = WordHasher(), shared.value.astype(np.uint64) << np.uint64(56), set()
             for batch in batches:
-                hs, ids, sizes, shorts = [], [], [], []
+                hs, ids, sizes, shorts, waiting = [], [], [], [], 0
                 for _, s in _sets(hasher, batch.column(0), k):
                     n = len(s)
                     if not n:
@@ -217,39 +259,58 @@ class Sets:
                     ids.append(np.full(len(first), sig[0], np.int64))
                     sizes.append(np.full(len(first), n, np.int32))
                     shorts.append(np.arange(len(first)) < short_part)
+                    waiting += len(first)
+                    if waiting >= FLUSH:
+                        yield rows(hs, ids, sizes, shorts)
+                        hs, ids, sizes, shorts, waiting = [], [], [], [], 0
                 if hs:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(c)) for c in (hs, ids, sizes, shorts)], ["h", "s1", "n", "short"])
+                    yield rows(hs, ids, sizes, shorts)
+
+        def rows(*columns):
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["h", "s1", "n", "short"])
 
         return self.docs.select("text").mapInArrow(run, "h long, s1 long, n int, short boolean")
 
     def members(self, wanted: DataFrame) -> DataFrame:
-        """(s1, s2, n, point, grams) of the classes whose s1 is in ``wanted``
-        (a row of doc_id and text_hash for each)."""
+        """(s1, s2, grams) of the rows that ``wanted`` (doc_id, text_hash)
+        lists, sent everywhere if they are few."""
         k = self.k
 
         def run(batches):
             hasher = WordHasher()
             for batch in batches:
-                out = [(*_signature(s), len(s), point(s), s.tobytes()) for _, s in _sets(hasher, batch.column(0), k)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
-                    ["s1", "s2", "n", "point", "grams"])
-
-        keys = wanted.select(F.coalesce("doc_id", F.lit(-2**63)).alias("_d"), F.col("text_hash").alias("_t")).distinct()
-        docs = self.docs.join(keys, (F.coalesce("doc_id", F.lit(-2**63)) == F.col("_d")) & (F.col("text_hash") == F.col("_t")), "left_semi")
-        return docs.select("text").mapInArrow(run, "s1 long, s2 long, n int, point binary, grams binary")
-
-    def verified(self, pairs: DataFrame, members: DataFrame) -> DataFrame:
-        """Links (u, v) among the pairs (a, b): bounded by the points first,
-        then checked on the sets."""
+                out, size = [], 0
+                for _, s in _sets(hasher, batch.column(0), k):
+                    out.append((*_signature(s), s.tobytes()))
+                    size += len(s)
+                    if size >= FLUSH:
+                        yield rows(out)
+                        out, size = [], 0
+                yield rows(out)
+
+        def rows(out):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["s1", "s2", "grams"])
+
+        # one number stands for a row; should two share it, the other's set is made too and not joined
+        key = F.xxhash64("doc_id", "text_hash")
+        keys = wanted.select(key.alias("_key")).distinct()
+        if keys.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
+            keys = F.broadcast(keys)
+        docs = self.docs.withColumn("_row", key).join(keys, F.col("_row") == F.col("_key"), "left_semi")
+        return docs.select("text").mapInArrow(run, "s1 long, s2 long, grams binary")
+
+    def verified(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+        """Links (u, v) among the pairs (a, b): bounded by the points first;
+        what is left is checked on the sets, made anew from the texts of one
+        document of each class."""
         num, den = self.num, self.den
-        thin = members.select("s1", "n", "point")
 
         def bound(batches):
             for batch in batches:
                 na, nb = batch.column("na").to_numpy().astype(np.int64), batch.column("nb").to_numpy().astype(np.int64)
-                best = np.minimum(points(batch.column("pa")), points(batch.column("pb"))).sum(axis=1)
+                best = np.array([most_shared(counts_of(x), counts_of(y)) for x, y in zip(
+                    batch.column("pa").to_pylist(), batch.column("pb").to_pylist())], np.int64)
                 keep = pa.array(best >= _needed(na, nb, num, den))
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
@@ -269,12 +330,16 @@ class Sets:
             p = p.join(left.select(F.col("s1").alias("a"), *[F.col(c).alias(x) for c, x, _ in columns]), "a")
             return p.join(right.select(F.col("s1").alias("b"), *[F.col(c).alias(y) for c, _, y in columns]), "b")
 
-        kept = sides(pairs, thin, thin, [("n", "na", "nb"), ("point", "pa", "pb")])
+        kept = sides(pairs, classes, classes, [("n", "na", "nb"), ("point", "pa", "pb")])
         kept = kept.filter(f"{den} * least(na, nb) >= {num} * greatest(na, nb)").mapInArrow(bound, "a long, b long")
+        kept = stored(kept.distinct(), f"join-{name}-pairs")
+        ends = kept.select(F.col("a").alias("s1")).unionByName(kept.select(F.col("b").alias("s1"))).distinct()
+        members = stored(self.members(classes.join(ends, "s1").select("r.doc_id", "r.text_hash")), f"join-{name}-members")
         full = sides(kept, members, members, [("s1", "u1", "v1"), ("s2", "u2", "v2"), ("grams", "ga", "gb")])
         links = full.select("u1", "u2", "v1", "v2", "ga", "gb").mapInArrow(check, "u1 long, u2 long, v1 long, v2 long")
-        return links.select(F.struct(F.col("u1").alias("s1"), F.col("u2").alias("s2")).alias("u"),
-                            F.struct(F.col("v1").alias("s1"), F.col("v2").alias("s2")).alias("v"))
+        links = links.select(F.struct(F.col("u1").alias("s1"), F.col("u2").alias("s2")).alias("u"),
+                             F.struct(F.col("v1").alias("s1"), F.col("v2").alias("s2")).alias("v"))
+        return stored(links.distinct(), f"join-{name}-links")
 
     def tree_pairs(self, rows: DataFrame) -> DataFrame:
         """Pairs (a, b) of different labels out of the buckets' trees.
@@ -287,25 +352,35 @@ class Sets:
         rows = rows.select("h", F.least("own", "_other").alias("i"), F.greatest("own", "_other").alias("j"),
                            "own", "s1", "n", "short", "label", "point")
 
+        def flush(parts):
+            pairs = np.unique(np.concatenate(parts, axis=1), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
         def run(batches):
+            parts, waiting = [], 0
             for t in _grouped(batches, ["h", "i", "j"]):
-                pts = points(t.column("point").combine_chunks())
+                full = [counts_of(p) for p in t.column("point").to_pylist()]
+                least = min(map(len, full))
+                pts = np.stack([folded(c, least) for c in full])
                 ids, n = t.column("s1").to_numpy(), t.column("n").to_numpy().astype(np.int64)
                 short = t.column("short").to_numpy(zero_copy_only=False).astype(bool)
                 label, own = t.column("label").to_numpy(), t.column("own").to_numpy()
                 i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-                tree_side = np.flatnonzero(own == j)
+                tree_side, queries = np.flatnonzero(own == j), np.flatnonzero(own == i)
                 tree = CountTree(pts[tree_side], n[tree_side])
-                a, b = [], []
-                for q in np.flatnonzero(own == i):
-                    found = tree_side[tree.near(pts[q], int(n[q]), num, den)]
+                for q, found in zip(queries, tree.near_all(pts[queries], n[queries], num, den)):
+                    found = tree_side[found]
                     found = found[(label[found] != label[q]) & ((short[q] & (n[q] <= n[found])) | (short[found] & (n[found] <= n[q])))]
-                    a.append(np.minimum(ids[q], ids[found]))
-                    b.append(np.maximum(ids[q], ids[found]))
-                a, b = np.concatenate(a or [np.zeros(0, np.int64)]), np.concatenate(b or [np.zeros(0, np.int64)])
-                if len(a):
-                    pairs = np.unique(np.stack([a, b]), axis=1)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+                    if len(full[q]) > least:
+                        found = found[[most_shared(full[q], full[f]) >= _needed(int(n[q]), int(n[f]), num, den) for f in found]]
+                    if len(found):
+                        parts.append(np.stack([np.minimum(ids[q], ids[found]), np.maximum(ids[q], ids[found])]))
+                        waiting += len(found)
+                if waiting >= FLUSH:
+                    yield flush(parts)
+                    parts, waiting = [], 0
+            if parts:
+                yield flush(parts)
 
         dealt = rows.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
         return dealt.mapInArrow(run, "a long, b long").distinct()
@@ -316,27 +391,35 @@ class Sets:
         signatures = stored(self.signatures(), "join-signatures")
         in_bucket = Window.partitionBy("h")
         rows = self.prefixes(self.levels()).repartition("h").dropDuplicates(["h", "s1"])
-        rows = rows.withColumns({"leader": F.min("s1").over(in_bucket), "_high": F.max("s1").over(in_bucket)})
-        shared = stored(rows.filter("leader < _high").drop("_high"), "join-buckets")
-
-        active = shared.select("s1").distinct()
-        reps = signatures.join(active, "s1").groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
-        members = stored(self.members(reps.select("r.doc_id", "r.text_hash")), "join-members")
-
-        stars = shared.filter("s1 <> leader").select(F.col("s1").alias("a"), F.col("leader").alias("b")).distinct()
-        links = stored(self.verified(stars, members).distinct(), "join-links")
+        rows = rows.withColumns({"leader": F.min(F.struct("s1", F.col("n").alias("m"))).over(in_bucket), "_high": F.max("s1").over(in_bucket)})
+        shared = stored(rows.filter("leader.s1 < _high").select("h", "s1", "n", "short", "leader.m", F.col("leader.s1").alias("leader")), "join-buckets")
+
+        classes = stored(signatures.filter("n > 0").groupBy("s1", "s2").agg(
+            F.min(F.struct("doc_id", "text_hash")).alias("r"), F.first("n").alias("n"), F.first("point").alias("point")), "join-classes")
+
+        fits = f"{self.den} * least({{0}}, {{1}}) >= {self.num} * greatest({{0}}, {{1}})"
+        stars = shared.filter("s1 <> leader and " + fits.format("n", "m")).groupBy("s1", "leader").count()
+        best = Window.partitionBy("s1").orderBy(F.desc("count"), "leader")
+        stars = stars.withColumn("_rank", F.row_number().over(best)).filter(f"_rank <= {STARS}")
+        stars = stored(stars.select(F.col("leader").alias("a"), F.col("s1").alias("b")), "join-stars")
+        links = self.verified(stars, classes, "star")
         labels = connected(links)
+
         found = labels.select(F.col("node.s1").alias("s1"), F.col("root.s1").alias("_label"))
-        labelled = shared.join(found, "s1", "left").withColumn("label", F.coalesce("_label", "s1")).drop("_label", "leader")
-        labelled = labelled.withColumns({
-            "_low": F.min("label").over(in_bucket), "_high": F.max("label").over(in_bucket), "_n": F.count("*").over(in_bucket)})
-        # a bucket of two was verified as a star
-        open_rows = labelled.filter("_low < _high and _n > 2").select("h", "s1", "n", "short", "label")
-        pts = members.select("s1", "point").dropDuplicates(["s1"])
-        more = self.verified(self.tree_pairs(open_rows.join(pts, "s1")), members)
-        more = stored(more.distinct(), "join-more-links")
-        if more.limit(1).count():
-            labels = connected(links.unionByName(more))
+        rows = shared.join(found, "s1", "left").select("h", "s1", "n", "short", F.coalesce("_label", "s1").alias("label"))
+        by_size = Window.partitionBy("h").orderBy("n")
+        rows = rows.withColumns({"_less": F.lag("n").over(by_size), "_more": F.lead("n").over(by_size)})
+        rows = rows.filter(f"coalesce({fits.format('_less', 'n')}, false) or coalesce({fits.format('n', '_more')}, false)")
+        rows = rows.withColumns({"_low": F.min("label").over(in_bucket), "_high": F.max("label").over(in_bucket), "_n": F.count("*").over(in_bucket)})
+        rows = stored(rows.filter("_low < _high").select("h", "s1", "n", "short", "label", "_n"), "join-open-buckets")
+        two = rows.filter("_n = 2").groupBy("h").agg(F.min(F.struct("n", "short", "s1")).alias("x"), F.max(F.struct("n", "short", "s1")).alias("y"))
+        two = two.filter("x.short or (x.n = y.n and y.short)").select(F.least("x.s1", "y.s1").alias("a"), F.greatest("x.s1", "y.s1").alias("b"))
+        pts = classes.select("s1", "point").dropDuplicates(["s1"])
+        many = self.tree_pairs(rows.filter("_n > 2").drop("_n").join(pts, "s1"))
+        pairs = two.unionByName(many).distinct().join(stars, ["a", "b"], "left_anti")
+        more = self.verified(pairs, classes, "tree")
+        if not more.isEmpty():      # the stars found so far stand for their links
+            labels = connected(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
         own = F.struct(F.col("s1").alias("s1"), F.col("s2").alias("s2"))
         out = signatures.withColumn("_node", own).join(labels, F.col("_node") == F.col("node"), "left")
         return out.select("doc_id", "text_hash", "n", "s1", "s2", F.coalesce("root", "_node").alias("root"))

@@ -66,7 +66,7 @@ def test_edges(spark, edge_dir, empty_dir):
 
 def test_tree_finds_every_pair_that_its_bound_allows():
     r = np.random.default_rng(2)
-    base = r.integers(0, 12, (30, N.GROUPS))
+    base = r.integers(0, 12, (30, 64))
     pts = np.concatenate([np.maximum(0, base + r.integers(-1, 2, base.shape)) for _ in range(9)])
     sizes = pts.sum(axis=1)
     tree = N.CountTree(pts, sizes)
@@ -74,6 +74,8 @@ def test_tree_finds_every_pair_that_its_bound_allows():
         overlap = np.minimum(pts, pts[q]).sum(axis=1)
         want = {i for i in range(len(pts)) if 100 * overlap[i] >= 85 * (sizes[i] + sizes[q] - overlap[i])}
         assert want <= set(tree.near(pts[q], int(sizes[q]), 85, 100).tolist())
+        leaf = N.CountTree(pts[:N.FANOUT], sizes[:N.FANOUT])
+        assert sorted(next(leaf.near_all(pts[q:q + 1], sizes[q:q + 1], 85, 100))) == sorted(leaf.near(pts[q], int(sizes[q]), 85, 100))
         assert set(tree.near(pts[q], int(sizes[q]), 85, 100).tolist()) <= {
             i for i in range(len(pts)) if overlap[i] >= N._needed(sizes[i], sizes[q], 85, 100)}
 
@@ -116,3 +118,16 @@ def test_short_texts_are_one_shingle():
     h = np.arange(1, 8, dtype=np.uint64)
     g, at = shingles(h, np.array([0, 0, 2, 7]), 4)
     assert at.tolist() == [0, 0, 1, 3] and len(set(g.tolist())) == 3
+
+
+def test_points_of_any_size():
+    for n in (3, 300, 5000, 200_000, 30_000_000):
+        s = np.concatenate([np.full(n, 1 << 57, np.uint64), np.arange(0, 256, dtype=np.uint64) << np.uint64(56)])
+        got = N.counts_of(N.point(s))
+        assert len(got) == N.resolution(n + 256) and got.sum() == n + 256
+        assert N.folded(got, 64).tolist() == np.bincount((s >> np.uint64(58)).astype(int), minlength=64).tolist()
+    r = np.random.default_rng(1)
+    for a, b in ((40, 60), (300, 5000), (20_000, 900)):
+        x, y = np.unique(r.integers(0, 2**64, a, dtype=np.uint64)), np.unique(r.integers(0, 2**64, b, dtype=np.uint64))
+        y[: min(a, b) // 2] = x[: min(a, b) // 2]
+        assert N.most_shared(N.counts_of(N.point(x)), N.counts_of(N.point(y))) >= len(np.intersect1d(x, y))
