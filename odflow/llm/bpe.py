@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from odflow.llm.common import table
 
-MEMORY = 200_000
+MEMORY = 120_000
 #: Rows whose results are held together.
 SLICE = 500
 

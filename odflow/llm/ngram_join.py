@@ -5,7 +5,7 @@ are one class from the start (a 128-bit signature); joining, linking and
 verifying is done between classes, so copies are never paired with each other.
 
 Count vectors.  Shingle hashes fall into groups, and the numbers of shingles
-by group are the set's point; larger sets have more groups (``resolution``: 64
+by group are the set's point; larger sets have more groups (``resolution``: 256
 to 4096), so that counts stay small and telling.  Two sets share at most the
 sum of the coordinate minima of their points, which bounds their Jaccard
 index; points of two resolutions meet on the lower one, groups added up.  An
@@ -19,11 +19,14 @@ meets most top-level nodes.  Points are dealt to buckets by their rare
 shingles instead: sets alike enough must share one of the first shingles in a
 common order (length filters give how many), rare ones first by a table of
 corpus counts with a fixed number of cells.  The order affects cost only.
+Taking a 16th of the set more into the prefix, sets that link must share that
+many of them (less a little for their sizes), and a set with fewer prefix
+shingles in common with anyone is out at once.
 
 Hot buckets.  Each bucket names a leader, and every set is first verified
-against the STARS leaders it shares most buckets with: stars that grow with
-the rows and not with pairs.  Components of these links are found; only
-buckets that still hold sets of two or more components, of sizes that can
+against the STARS leaders it shares most buckets with, STAR_ROUNDS times, each
+time leaders of another component: stars that grow with the rows and not with
+pairs.  Components of these links are found; only buckets that still hold sets of two or more components, of sizes that can
 match, go on: two sets meet directly, more in a tree, and pairs inside a
 component are not looked at, as they cannot change the result.  Buckets of
 over BLOCK sets are cut into blocks, and each pair of blocks is a task group
@@ -52,7 +55,12 @@ from odflow.llm.common import WORD, masked, stored, table, unmasked
 from odflow.llm.components import connected
 from odflow.llm.textvec import WordHasher, mix, shingles, stretches
 
-RESOLUTIONS = (64, 256, 1024, 4096)
+RESOLUTIONS = (256, 1024, 4096)
+#: A link shares this share of the set's prefix shingles, not only one.
+COMMON_PART = 16
+STAR_ROUNDS = 2
+#: Points in trees have no more groups; the pairs left meet on the full points.
+TREE_GROUPS = 1024
 STARS = 2
 CELLS = 1 << 17
 CELLS_PER_ROW = 1 << 12
@@ -80,15 +88,19 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
 
 
 def resolution(n: int) -> int:
-    """Number of groups for a set of n: the first of at least a quarter of n."""
-    return next((r for r in RESOLUTIONS if 4 * r >= n), RESOLUTIONS[-1])
+    """Number of groups for a set of n: the first of at least half of n."""
+    return next((r for r in RESOLUTIONS if 2 * r >= n), RESOLUTIONS[-1])
 
 
 def point(s: np.ndarray) -> bytes:
-    """Group counts of a set, in the fewest bytes each that hold the largest,
-    behind one byte that says how many bytes that is."""
+    """Group counts of a set."""
     r = resolution(len(s))
-    counts = np.bincount((s >> np.uint64(65 - r.bit_length())).astype(np.int64), minlength=r)
+    return _packed(np.bincount((s >> np.uint64(65 - r.bit_length())).astype(np.int64), minlength=r))
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in the fewest bytes each that hold the largest, behind one byte
+    that says how many bytes that is."""
     top = counts.max(initial=0)
     width = 1 if top < 256 else 2 if top < 65536 else 4
     return bytes([width]) + counts.astype({1: np.uint8, 2: np.uint16, 4: np.uint32}[width]).tobytes()
@@ -103,6 +115,12 @@ def folded(counts: np.ndarray, r: int) -> np.ndarray:
     return counts if len(counts) == r else counts.reshape(r, -1).sum(axis=1)
 
 
+def coarse(p: bytes) -> bytes | None:
+    """A point on the resolution that trees use at most, None if it is there."""
+    counts = counts_of(p)
+    return _packed(folded(counts, TREE_GROUPS)) if len(counts) > TREE_GROUPS else None
+
+
 def most_shared(x: np.ndarray, y: np.ndarray) -> int:
     """The sum of the coordinate minima of two points."""
     r = min(len(x), len(y))
@@ -184,7 +202,8 @@ class Sets:
         self.docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
 
     def signatures(self) -> DataFrame:
-        """(doc_id, text_hash, n, s1, s2, point) of every row."""
+        """(doc_id, text_hash, n, s1, s2, point, coarse) of every row; coarse is
+        the point folded for the trees, null where it is no different."""
         k = self.k
 
         def run(batches):
@@ -194,9 +213,10 @@ class Sets:
                 n, s1, s2, pts = zip(*out) if out else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                     pa.array(pts, pa.binary())], ["doc_id", "text_hash", "n", "s1", "s2", "point"])
+                     pa.array(pts, pa.binary()), pa.array([coarse(p) for p in pts], pa.binary())],
+                    ["doc_id", "text_hash", "n", "s1", "s2", "point", "coarse"])
 
-        return self.docs.mapInArrow(run, "doc_id long, text_hash long, n long, s1 long, s2 long, point binary")
+        return self.docs.mapInArrow(run, "doc_id long, text_hash long, n long, s1 long, s2 long, point binary, coarse binary")
 
     def levels(self) -> np.ndarray:
         """Rarity level (0 to 255) of every cell of shingle hashes: four
@@ -251,8 +271,9 @@ class Sets:
                     if sig in done:
                         continue
                     done.add(sig)
-                    long_part = n - -(-num * n // den) + 1
-                    short_part = n - -(-2 * num * n // (num + den)) + 1
+                    extra = 1 + n // COMMON_PART
+                    long_part = n - -(-num * n // den) + extra
+                    short_part = n - -(-2 * num * n // (num + den)) + extra
                     key = order[(s & np.uint64(CELLS - 1)).astype(np.int64)] | (s >> np.uint64(8))
                     first = np.argsort(key, kind="stable")[:long_part]
                     hs.append(s[first].view(np.int64))
@@ -343,10 +364,9 @@ class Sets:
 
     def tree_pairs(self, rows: DataFrame) -> DataFrame:
         """Pairs (a, b) of different labels out of the buckets' trees.
-        ``rows``: h, s1, n, short, label, point."""
+        ``rows``: h, s1, n, short, label, point, and _n, the rows of h."""
         num, den = self.num, self.den
-        size = F.count("*").over(Window.partitionBy("h"))
-        rows = rows.withColumn("_blocks", F.ceil(size / BLOCK).cast("int"))
+        rows = rows.withColumn("_blocks", F.ceil(F.col("_n") / BLOCK).cast("int"))
         rows = rows.withColumn("own", F.pmod(F.xxhash64("s1"), F.col("_blocks")).cast("int"))
         rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         rows = rows.select("h", F.least("own", "_other").alias("i"), F.greatest("own", "_other").alias("j"),
@@ -385,28 +405,46 @@ class Sets:
         dealt = rows.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
         return dealt.mapInArrow(run, "a long, b long").distinct()
 
+    @staticmethod
+    def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+        """Components of the links so far (their stars stand for them) and the new ones."""
+        if labels is None:
+            return connected(links)
+        if links.isEmpty():
+            return labels
+        return connected(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
+
     def classes(self) -> DataFrame:
         """(doc_id, text_hash, n, s1, s2, root): root is the smallest class
         of the component, as a struct of s1 and s2."""
         signatures = stored(self.signatures(), "join-signatures")
         in_bucket = Window.partitionBy("h")
         rows = self.prefixes(self.levels()).repartition("h").dropDuplicates(["h", "s1"])
-        rows = rows.withColumns({"leader": F.min(F.struct("s1", F.col("n").alias("m"))).over(in_bucket), "_high": F.max("s1").over(in_bucket)})
-        shared = stored(rows.filter("leader.s1 < _high").select("h", "s1", "n", "short", "leader.m", F.col("leader.s1").alias("leader")), "join-buckets")
+        rows = rows.withColumns({"_low": F.min("s1").over(in_bucket), "_high": F.max("s1").over(in_bucket)}).filter("_low < _high")
+        enough = F.expr(f"1 + ceil({self.num} * n / {self.den}) div {COMMON_PART}")
+        rows = rows.withColumn("_shared", F.count("*").over(Window.partitionBy("s1"))).filter(F.col("_shared") >= enough)
+        shared = stored(rows.select("h", "s1", "n", "short"), "join-buckets")
 
         classes = stored(signatures.filter("n > 0").groupBy("s1", "s2").agg(
-            F.min(F.struct("doc_id", "text_hash")).alias("r"), F.first("n").alias("n"), F.first("point").alias("point")), "join-classes")
+            F.min(F.struct("doc_id", "text_hash")).alias("r"), F.first("n").alias("n"), F.first("point").alias("point"),
+            F.first("coarse").alias("coarse")), "join-classes")
 
         fits = f"{self.den} * least({{0}}, {{1}}) >= {self.num} * greatest({{0}}, {{1}})"
-        stars = shared.filter("s1 <> leader and " + fits.format("n", "m")).groupBy("s1", "leader").count()
-        best = Window.partitionBy("s1").orderBy(F.desc("count"), "leader")
-        stars = stars.withColumn("_rank", F.row_number().over(best)).filter(f"_rank <= {STARS}")
-        stars = stored(stars.select(F.col("leader").alias("a"), F.col("s1").alias("b")), "join-stars")
-        links = self.verified(stars, classes, "star")
-        labels = connected(links)
-
-        found = labels.select(F.col("node.s1").alias("s1"), F.col("root.s1").alias("_label"))
-        rows = shared.join(found, "s1", "left").select("h", "s1", "n", "short", F.coalesce("_label", "s1").alias("label"))
+        labels, met = None, None
+        rows = shared.withColumn("label", F.col("s1"))
+        for turn in range(STAR_ROUNDS):
+            led = rows.withColumn("leader", F.min(F.struct("label", "s1", "n")).over(in_bucket))
+            led = led.filter("label <> leader.label and " + fits.format("n", "leader.n")).groupBy("s1", F.col("leader.s1").alias("to")).count()
+            best = Window.partitionBy("s1").orderBy(F.desc("count"), "to")
+            led = led.withColumn("_rank", F.row_number().over(best)).filter(f"_rank <= {STARS}")
+            led = led.select(F.least("to", "s1").alias("a"), F.greatest("to", "s1").alias("b")).distinct()
+            led = stored(led if met is None else led.join(met, ["a", "b"], "left_anti"), "join-stars")
+            met = led if met is None else met.unionByName(led)
+            links = self.verified(led, classes, "star")
+            labels = self.merged(labels, links)
+            found = labels.select(F.col("node.s1").alias("s1"), F.col("root.s1").alias("_label"))
+            rows = stored(shared.join(found, "s1", "left").select("h", "s1", "n", "short", F.coalesce("_label", "s1").alias("label")), "join-labelled")
+
         by_size = Window.partitionBy("h").orderBy("n")
         rows = rows.withColumns({"_less": F.lag("n").over(by_size), "_more": F.lead("n").over(by_size)})
         rows = rows.filter(f"coalesce({fits.format('_less', 'n')}, false) or coalesce({fits.format('n', '_more')}, false)")
@@ -414,12 +452,10 @@ class Sets:
         rows = stored(rows.filter("_low < _high").select("h", "s1", "n", "short", "label", "_n"), "join-open-buckets")
         two = rows.filter("_n = 2").groupBy("h").agg(F.min(F.struct("n", "short", "s1")).alias("x"), F.max(F.struct("n", "short", "s1")).alias("y"))
         two = two.filter("x.short or (x.n = y.n and y.short)").select(F.least("x.s1", "y.s1").alias("a"), F.greatest("x.s1", "y.s1").alias("b"))
-        pts = classes.select("s1", "point").dropDuplicates(["s1"])
-        many = self.tree_pairs(rows.filter("_n > 2").drop("_n").join(pts, "s1"))
-        pairs = two.unionByName(many).distinct().join(stars, ["a", "b"], "left_anti")
-        more = self.verified(pairs, classes, "tree")
-        if not more.isEmpty():      # the stars found so far stand for their links
-            labels = connected(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+        pts = classes.select("s1", F.coalesce("coarse", "point").alias("point")).dropDuplicates(["s1"])
+        many = self.tree_pairs(rows.filter("_n > 2").join(pts, "s1"))
+        pairs = two.unionByName(many).distinct().join(met, ["a", "b"], "left_anti")
+        labels = self.merged(labels, self.verified(pairs, classes, "tree"))
         own = F.struct(F.col("s1").alias("s1"), F.col("s2").alias("s2"))
         out = signatures.withColumn("_node", own).join(labels, F.col("_node") == F.col("node"), "left")
         return out.select("doc_id", "text_hash", "n", "s1", "s2", F.coalesce("root", "_node").alias("root"))

@@ -125,7 +125,9 @@ def test_points_of_any_size():
         s = np.concatenate([np.full(n, 1 << 57, np.uint64), np.arange(0, 256, dtype=np.uint64) << np.uint64(56)])
         got = N.counts_of(N.point(s))
         assert len(got) == N.resolution(n + 256) and got.sum() == n + 256
-        assert N.folded(got, 64).tolist() == np.bincount((s >> np.uint64(58)).astype(int), minlength=64).tolist()
+        assert N.folded(got, 256).tolist() == np.bincount((s >> np.uint64(56)).astype(int), minlength=256).tolist()
+        few = N.counts_of(N.coarse(N.point(s)) or N.point(s))
+        assert len(few) <= N.TREE_GROUPS and few.tolist() == N.folded(got, len(few)).tolist()
     r = np.random.default_rng(1)
     for a, b in ((40, 60), (300, 5000), (20_000, 900)):
         x, y = np.unique(r.integers(0, 2**64, a, dtype=np.uint64)), np.unique(r.integers(0, 2**64, b, dtype=np.uint64))
