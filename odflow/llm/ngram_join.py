@@ -88,8 +88,9 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
 
 
 def resolution(n: int) -> int:
-    """Number of groups for a set of n: the first of at least half of n."""
-    return next((r for r in RESOLUTIONS if 2 * r >= n), RESOLUTIONS[-1])
+    """Number of groups for a set of n: the first of at least twice as many,
+    or half as many where that would be over 256."""
+    return RESOLUTIONS[0] if n <= 128 else RESOLUTIONS[1] if n <= 2048 else RESOLUTIONS[2]
 
 
 def point(s: np.ndarray) -> bytes:
@@ -107,7 +108,7 @@ def _packed(counts: np.ndarray) -> bytes:
 
 
 def counts_of(p: bytes) -> np.ndarray:
-    return np.frombuffer(p, {1: np.uint8, 2: np.uint16, 4: np.uint32}[p[0]], offset=1).astype(np.int64)
+    return np.frombuffer(p, {1: np.uint8, 2: np.uint16, 4: np.uint32}[p[0]], offset=1)
 
 
 def folded(counts: np.ndarray, r: int) -> np.ndarray:
@@ -253,16 +254,17 @@ class Sets:
         return np.minimum(255, 4 * np.log2(cells + 1)).astype(np.uint8)
 
     def prefixes(self, levels: np.ndarray) -> DataFrame:
-        """(h, s1, n, short): the first shingles of every set in the common
-        order; ``short``: also among the fewer that a set needs as the
-        smaller one of a pair.  Equal sets of a task are written once."""
+        """(h, s1, n, short, core): the first shingles of every set in the
+        common order; ``short``: also among the fewer that a set needs as the
+        smaller one of a pair; ``core``: among those that hold the first shingle
+        shared with any set it links with.  Equal sets of a task are written once."""
         k, num, den = self.k, self.num, self.den
         shared = self.docs.sparkSession.sparkContext.broadcast(levels)
 
         def run(batches):
             hasher, order, done = WordHasher(), shared.value.astype(np.uint64) << np.uint64(56), set()
             for batch in batches:
-                hs, ids, sizes, shorts, waiting = [], [], [], [], 0
+                hs, ids, sizes, shorts, cores, waiting = [], [], [], [], [], 0
                 for _, s in _sets(hasher, batch.column(0), k):
                     n = len(s)
                     if not n:
@@ -279,18 +281,20 @@ class Sets:
                     hs.append(s[first].view(np.int64))
                     ids.append(np.full(len(first), sig[0], np.int64))
                     sizes.append(np.full(len(first), n, np.int32))
-                    shorts.append(np.arange(len(first)) < short_part)
+                    place = np.arange(len(first))
+                    shorts.append(place < short_part)
+                    cores.append(place < long_part - extra + 1)
                     waiting += len(first)
                     if waiting >= FLUSH:
-                        yield rows(hs, ids, sizes, shorts)
-                        hs, ids, sizes, shorts, waiting = [], [], [], [], 0
+                        yield rows(hs, ids, sizes, shorts, cores)
+                        hs, ids, sizes, shorts, cores, waiting = [], [], [], [], [], 0
                 if hs:
-                    yield rows(hs, ids, sizes, shorts)
+                    yield rows(hs, ids, sizes, shorts, cores)
 
         def rows(*columns):
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["h", "s1", "n", "short"])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["h", "s1", "n", "short", "core"])
 
-        return self.docs.select("text").mapInArrow(run, "h long, s1 long, n int, short boolean")
+        return self.docs.select("text").mapInArrow(run, "h long, s1 long, n int, short boolean, core boolean")
 
     def members(self, wanted: DataFrame) -> DataFrame:
         """(s1, s2, grams) of the rows that ``wanted`` (doc_id, text_hash)
@@ -423,7 +427,7 @@ class Sets:
         rows = rows.withColumns({"_low": F.min("s1").over(in_bucket), "_high": F.max("s1").over(in_bucket)}).filter("_low < _high")
         enough = F.expr(f"1 + ceil({self.num} * n / {self.den}) div {COMMON_PART}")
         rows = rows.withColumn("_shared", F.count("*").over(Window.partitionBy("s1"))).filter(F.col("_shared") >= enough)
-        shared = stored(rows.select("h", "s1", "n", "short"), "join-buckets")
+        shared = stored(rows.select("h", "s1", "n", "short", "core"), "join-buckets")
 
         classes = stored(signatures.filter("n > 0").groupBy("s1", "s2").agg(
             F.min(F.struct("doc_id", "text_hash")).alias("r"), F.first("n").alias("n"), F.first("point").alias("point"),
@@ -443,10 +447,11 @@ class Sets:
             links = self.verified(led, classes, "star")
             labels = self.merged(labels, links)
             found = labels.select(F.col("node.s1").alias("s1"), F.col("root.s1").alias("_label"))
-            rows = stored(shared.join(found, "s1", "left").select("h", "s1", "n", "short", F.coalesce("_label", "s1").alias("label")), "join-labelled")
+            rows = stored(shared.join(found, "s1", "left").select("h", "s1", "n", "short", "core", F.coalesce("_label", "s1").alias("label")), "join-labelled")
 
+        # a pair's first shared shingle is a core one of both: the rest has served to count
         by_size = Window.partitionBy("h").orderBy("n")
-        rows = rows.withColumns({"_less": F.lag("n").over(by_size), "_more": F.lead("n").over(by_size)})
+        rows = rows.filter("core").withColumns({"_less": F.lag("n").over(by_size), "_more": F.lead("n").over(by_size)})
         rows = rows.filter(f"coalesce({fits.format('_less', 'n')}, false) or coalesce({fits.format('n', '_more')}, false)")
         rows = rows.withColumns({"_low": F.min("label").over(in_bucket), "_high": F.max("label").over(in_bucket), "_n": F.count("*").over(in_bucket)})
         rows = stored(rows.filter("_low < _high").select("h", "s1", "n", "short", "label", "_n"), "join-open-buckets")
