@@ -12,7 +12,8 @@ more characters of ``[A-Za-z0-9+/_-]`` that touches no non-ASCII character:
   about the middle and a serial correlation test.  Fisher's method combines
   them to one p-value: even for random strings, near 0 for all others.
 * Length-aware false-discovery control: p-values of the whole table are
-  counted by encoding, length class and 20 bins.  In each of these cells the
+  counted by encoding, length class and 20 bins, each different run once
+  however often it stands in the texts.  In each of these cells the
   share of random strings is estimated from the upper half of the bins
   (Storey); the cell's threshold is the lowest at which the estimated share of
   non-random strings among those above it is at most FDR.  A cell without such
@@ -186,22 +187,23 @@ class Scanner:
 
 def thresholds(docs: DataFrame, text: str = "text", fdr: float = FDR) -> dict[str, float]:
     """Lowest p-value flagged in each cell of encoding and length class, from
-    the counts over all texts (a fixed number of cells and bins)."""
+    the counts of different runs over all texts (a fixed number of cells and
+    bins; runs are told apart by 64 bits of a hash)."""
     def run(batches):
         scanner = Scanner()
         for batch in batches:
-            counts: dict[tuple[str, int], int] = {}
+            seen: dict[str, tuple[str, int, int]] = {}
             for _, data, offsets in stretches(batch.column(0)):
                 for _, _, _, runs in scanner.stretch(data, offsets, False):
                     for _, _, r in runs:
-                        if found := infer_encoding(r):
-                            key = cell(r, found[0]), min(BINS - 1, int(randomness(r, found[1]) * BINS))
-                            counts[key] = counts.get(key, 0) + 1
+                        if r not in seen and (found := infer_encoding(r)):
+                            own = int.from_bytes(hashlib.blake2b(r.encode(), digest_size=8).digest(), "big", signed=True)
+                            seen[r] = cell(r, found[0]), min(BINS - 1, int(randomness(r, found[1]) * BINS)), own
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int32()),
-                 pa.array(list(counts.values()), pa.int64())], ["cell", "bin", "n"])
+                [pa.array([x[i] for x in seen.values()], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int64()))], ["cell", "bin", "run"])
 
-    rows = docs.select(text).mapInArrow(run, "cell string, bin int, n long").groupBy("cell", "bin").agg(F.sum("n").alias("n")).collect()
+    runs = docs.select(text).mapInArrow(run, "cell string, bin int, run long").distinct()
+    rows = runs.groupBy("cell", "bin").agg(F.count("*").alias("n")).collect()
     cells: dict[str, np.ndarray] = {}
     for r in rows:
         cells.setdefault(r["cell"], np.zeros(BINS))[r["bin"]] = r["n"]
