@@ -9,16 +9,19 @@ more characters of ``[A-Za-z0-9+/_-]`` that touches no non-ASCII character:
   numbers, not encoded data, and are left out.
 * Over the positions of the characters in that alphabet: a chi-squared test of
   uniformity (and one over digits, capitals and small letters), a runs test
-  about the middle and a serial correlation test.  Fisher's method combines
-  them to one p-value: even for random strings, near 0 for all others.
-* Length-aware false-discovery control: p-values of the whole table are
-  counted by encoding, length class and 20 bins, each different run once
-  however often it stands in the texts.  In each of these cells the
-  share of random strings is estimated from the upper half of the bins
-  (Storey); the cell's threshold is the lowest at which the estimated share of
-  non-random strings among those above it is at most FDR.  A cell without such
-  a threshold flags nothing, so short strings, where tests lack power, need
-  more evidence than long ones.
+  about the middle, a serial correlation test, and a test of neighbouring
+  characters against those of words, numbers and identifiers.  Fisher's method
+  combines them to one p-value: even for random strings, near 0 for all others.
+* Length-aware false-discovery control.  The hypothesis is that a run is not
+  random.  Its null distribution is that of the p-values of made-up names,
+  slugs, paths and numbers of the same encoding and length class (a fixed
+  sample with a fitted tail, ``null_of``).  Over the
+  different runs of the whole table, each once however often it stands in the
+  texts, Benjamini and Hochberg's step-up rule at FDR gives each pool of cells
+  (encoding and length class; sparse ones go with neighbouring lengths) its
+  level, and the null turns the level into a p-value for each cell.  Short runs,
+  where names look random more often, need a higher one than long runs; a cell
+  where even the highest would be too common among names flags nothing.
 
 Spans found that way are of kind ``random``; those that overlap a pattern's
 span are left out.  Offsets are code points, ends exclusive.  Null texts count
@@ -30,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from collections.abc import Iterator
 
@@ -39,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odflow.llm.common import table
+from odflow.llm.spotsigs import ANCHORS
 from odflow.llm.textvec import stretches
 
 # The patterns of the base scan.
@@ -51,7 +56,14 @@ MIN_GROUP, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 MIN_RUN = 16
 FDR = 0.05
-BINS = 20
+#: p-values are counted by their logarithm, eight bins for each power of ten; the last holds all below 1e-12.
+BINS_OF_TEN, BINS = 8, 97
+#: Cells of fewer different runs go with the neighbouring length class.
+SPARSE = 50
+#: Made-up names of a cell's null distribution; its upper TAIL is smoothed.
+NULLS, TAIL, TAIL_Z = 1500, 0.1, 1.2816
+#: p-values are not told apart below this.
+LEAST_P = 1e-300
 #: Length classes begin at these lengths.
 LENGTHS = (16, 20, 24, 32, 40, 48, 64, 96)
 _DIGITS, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
@@ -62,15 +74,95 @@ ENCODINGS = (
 )
 REDACTED = "[SECRET]"
 
+# Words whose letter pairs count as word-like ...
+PROSE = """
+about above after again against almost alone along already although always among another answer around because become before
+began behind being believe below between beyond bring brought building business called came cannot carry certain change
+children church city clear close coming common company complete could country course cover cross different doing door
+during each early earth enough even every example experience family father feel field figure first follow force form found
+friend further general girl give government great ground group hand hard having head heard heart help high himself history
+home house however human hundred idea important increase interest itself keep kind knew know land language large last later
+learn leave letter light like line little live local long look made make many matter mean might mind money moment morning
+mother move much music must name national nature near need never night nothing notice number often once open order other
+over own paper part people perhaps person picture place plant play point possible power present problem public question
+quite rather reach read real reason remember right river room round said same school second seem sentence several shall
+short should side simple since small social society some something sometimes sound south special stand start state still
+story street strong study such sure system take talk tell than their them then there these they thing think this those
+thought three through time today together told took toward tree true turn under until upon usually very voice walk want
+watch water week well went were what when where which while white whole why within without woman word work world would
+write year young nicht werden haben sein eine einen gegen durch ohne zwischen schon immer jahr zeit mensch leben arbeit
+heute morgen abend freund strasse wasser stadt schule pour dans avec sans toujours jamais encore monde temps homme femme
+maison ville jour nuit enfant travail pays porque cuando siempre nunca todavia mundo tiempo hombre mujer casa ciudad noche
+"""
+# ... and other words, from which names, slugs and paths are made up.
+NAMES = """
+account action active adapter admin agent alert align alpha android apache api app archive array article asset async audio
+auth author avatar background backup badge banner base batch binary block blog body bold border bottom branch browser bucket
+buffer build bundle button byte cache calendar callback camera canvas cart catalog category center channel chart check chunk
+class client clip cloud cluster code color column comment commit compile config connect console container content context
+control cookie copy core count create cursor custom daily dashboard data database date debug default delete deploy desktop
+detail device dialog digest directory disk display docker document domain download draft driver dump edit editor element
+email embed enable encode endpoint engine entry error event export extension factory feature feed fetch file filter flag
+folder font footer format frame function gallery gateway generic git global graph grid handler hash header height hidden
+hook host html http icon image import inbox index init inline input insert install instance integer interface internal
+invoice item java javascript job json kernel key label layout legacy length level library license limit link linux list
+listener loader lock log login logo mail main manager manifest map mapping margin market master media member memory menu
+merge message meta method metric migration mobile mode model module monitor node null object offset online option output
+owner package page panel parent parse partition password patch path payload payment photo pipeline pixel platform player
+plugin pointer policy popup port portal post prefix preview print private process product profile project prompt property
+protocol provider proxy python query queue random range record recipe redirect region release remote render reply report
+request reset resource response result review role root router row runtime sample scale schema scope screen script scroll
+search section secure select sensor server service session setting setup shadow share shop sidebar signal size slide slot
+snapshot socket software source space sprite stack stage static status storage store stream string style submit summary
+support sync tab table tag target task template tenant test text theme thread thumb ticket title toggle token toolbar topic
+trace tracker transaction transfer type unit update upload user utility valid value vector vendor version video view virtual
+visitor volume warning web website widget width window wrapper xml zone berlin bericht bild datei kunde madrid oferta paris
+produit rechnung suche termin usuario verkauf
+"""
+HEX_NAMES = "add added bad bade bead bed beef cab cafe dad dead deaf decade deed ebb face facade fade faded fed fee feed".split()
+
 
 def _upper_tail(x: float, df: int) -> float:
     """P(chi-squared with df degrees of freedom >= x), Wilson and Hilferty."""
     z = ((max(x, 0.0) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
-    return max(1e-12, 0.5 * math.erfc(z / math.sqrt(2)))
+    return max(LEAST_P, 0.5 * math.erfc(z / math.sqrt(2)))
 
 
 def _two_sided(z: float) -> float:
-    return max(1e-12, math.erfc(abs(z) / math.sqrt(2)))
+    return max(LEAST_P, math.erfc(abs(z) / math.sqrt(2)))
+
+
+def _kind(c: str) -> int:
+    return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
+
+
+def _pairs(alphabet: str) -> tuple[np.ndarray, float, float, float]:
+    """Log-likelihood of each character after each other one in names and
+    numbers; its mean, variance and covariance of neighbours in random strings."""
+    letters = np.full((26, 26), 0.3)
+    for word in [*PROSE.split(), *ANCHORS]:
+        for a, b in zip(word, word[1:]):
+            if a in _LOWER and b in _LOWER:
+                letters[_LOWER.index(a), _LOWER.index(b)] += 1
+    letters /= letters.sum(axis=1, keepdims=True)
+    after = ((0.65, 0.1, 0.05, 0.2), (0.05, 0.8, 0.05, 0.1), (0.06, 0.45, 0.42, 0.07), (0.2, 0.6, 0.15, 0.05))
+    gain = np.zeros((len(alphabet), len(alphabet)))
+    for i, a in enumerate(alphabet):
+        for j, b in enumerate(alphabet):
+            x, y = _kind(a), _kind(b)
+            if y == 0:
+                step = (int(b) - int(a)) % 10 if x == 0 else 2
+                within = 0.2 if step < 2 else 0.075 if x == 0 else 0.1
+            elif y == 3:
+                within = 0.5
+            else:
+                within = letters[_LOWER.index(a.lower()), _LOWER.index(b.lower())] if (x, y) in ((1, 1), (2, 2), (2, 1)) else 1 / 26
+            gain[i, j] = math.log(after[x][y] * within)
+    mean = float(gain.mean())
+    return gain, mean, float(gain.var()), float(((gain.mean(axis=0) - mean) * (gain.mean(axis=1) - mean)).mean())
+
+
+PAIRS = {alphabet: _pairs(alphabet) for _, alphabet in ENCODINGS}
 
 
 def infer_encoding(run: str) -> tuple[str, str] | None:
@@ -109,6 +201,10 @@ def randomness(run: str, alphabet: str) -> float:
         p.append(1e-12)
     d = v - (k - 1) / 2
     p.append(_two_sided(float((d[1:] * d[:-1]).sum()) / ((k * k - 1) / 12 * math.sqrt(n - 1))))
+    gain, mean, var, cov = PAIRS[alphabet]
+    at = v.astype(int)
+    z = (float(gain[at[:-1], at[1:]].sum()) - (n - 1) * mean) / math.sqrt((n - 1) * var + 2 * (n - 2) * cov)
+    p.append(max(LEAST_P, 0.5 * math.erfc(z / math.sqrt(2))))
     return _upper_tail(-2 * sum(math.log(x) for x in p), 2 * len(p))
 
 
@@ -116,6 +212,101 @@ def cell(run: str, name: str) -> str:
     return f"{name}:{max(c for c in LENGTHS if c <= len(run))}"
 
 
+def _bin(p: float) -> int:
+    return min(BINS - 1, int(-math.log10(p) * BINS_OF_TEN))
+
+
+#: Least p-value of each bin but the last.
+EDGES = 10.0 ** (-np.arange(1, BINS) / BINS_OF_TEN)
+
+
+def _made_up(r: random.Random, alphabet: str, size: int) -> str:
+    """A name, slug, path or number over the alphabet, of words, short forms,
+    numbers and plain sequences."""
+    style = r.choice((str.lower, str.upper, str.capitalize, str.capitalize))
+    between = r.choice(["", *[c for c in alphabet if not c.isalnum()] * 2])
+    words = HEX_NAMES if len(alphabet) == 16 else NAMES.split()
+    parts, length = [], 0
+    while length < size:
+        word, t = r.choice(words), r.random()
+        if t < 0.55:
+            part = style(word)
+        elif t < 0.7:      # a short form
+            part = style(word[:r.randint(2, 4)] if r.random() < 0.5 else word[0] + "".join(c for c in word[1:] if c not in "aeiou"))
+        elif t < 0.93:
+            part = r.choice((str(r.randint(0, 99)), f"{r.randint(0, 9999):04d}", str(r.randint(1990, 2030)), str(r.randint(0, 10 ** 6)),
+                             f"{r.randint(1990, 2030)}{r.randint(1, 12):02d}{r.randint(1, 28):02d}", f"{r.randint(0, 99999):08d}"))
+        elif t < 0.97:
+            part = r.choice(alphabet) * r.randint(2, 8)
+        else:
+            first = r.randrange(len(alphabet))
+            part = alphabet[first:first + r.randint(3, 10)]
+        part = "".join(c for c in part if c in alphabet)
+        parts.append(part)
+        length += len(part) + len(between)
+    return between.join(parts)[:size]
+
+
+_NULLS: dict[str, np.ndarray] = {}
+
+
+def null_of(name: str) -> np.ndarray:
+    """For each of EDGES, the share of made-up names of a cell whose p-value
+    is no less: their share of a fixed sample, and in its upper TAIL a normal
+    law of the root of the logarithm, through that point and the median."""
+    if name not in _NULLS:
+        encoding, low = name.split(":")
+        low = int(low)
+        high = next((c for c in LENGTHS if c > low), 2 * low)
+        alphabets = [a for e, a in ENCODINGS if e == encoding]
+        r, logs = random.Random(name), []
+        while len(logs) < NULLS:
+            run = _made_up(r, r.choice(alphabets), r.randrange(low, high))
+            found = infer_encoding(run)
+            if len(run) >= low and found and found[0] == encoding:
+                logs.append(math.log10(randomness(run, found[1])))
+        roots, at = np.sort(np.sqrt(-np.array(logs))), np.sqrt(-np.log10(EDGES))
+        start, middle = np.quantile(roots, (TAIL, 0.5))
+        z = TAIL_Z * (middle - at) / (middle - start)
+        tail = np.array([0.5 * math.erfc(x / math.sqrt(2)) for x in z])
+        _NULLS[name] = np.where(at < start, tail, np.searchsorted(roots, at, "right") / NULLS)
+    return _NULLS[name]
+
+
+def pools(cells: dict[str, np.ndarray]) -> list[dict[str, np.ndarray]]:
+    """The cells' counts in pools of one encoding and neighbouring length
+    classes: of at least SPARSE runs each, if the encoding has as many."""
+    out = []
+    for encoding in sorted({k.split(":")[0] for k in cells}):
+        own: list[dict[str, np.ndarray]] = []
+        for k in sorted((k for k in cells if k.split(":")[0] == encoding), key=lambda k: int(k.split(":")[1])):
+            if not own or _runs_of(own[-1]) >= SPARSE:
+                own.append({})
+            own[-1][k] = cells[k]
+        if len(own) > 1 and _runs_of(own[-1]) < SPARSE:
+            last = own.pop()
+            own[-1] |= last
+        out += own
+    return out
+
+
+def _runs_of(pool: dict[str, np.ndarray]) -> int:
+    return sum(int(x.sum()) for x in pool.values())
+
+
+def stepped_up(pool: dict[str, np.ndarray], fdr: float) -> dict[str, float]:
+    """Benjamini and Hochberg's rule over the runs of a pool: the least
+    p-value flagged in each of its cells."""
+    null = {k: null_of(k) for k in pool}
+    runs = _runs_of(pool)
+    for level in sorted({float(q) for x in null.values() for q in x if q * runs <= fdr * runs}, reverse=True):
+        # null shares rise from edge to edge
+        last = {k: int(np.searchsorted(x, level, "right")) for k, x in null.items()}
+        if level * runs <= fdr * sum(int(pool[k][:b].sum()) for k, b in last.items()):
+            return {k: float(EDGES[b - 1]) for k, b in last.items() if b}
+    return {}
+
+
 class Scanner:
     """Finds in a column which texts can hold a match, over whole stretches of
     bytes, and scans only those."""
@@ -198,7 +389,7 @@ def thresholds(docs: DataFrame, text: str = "text", fdr: float = FDR) -> dict[st
                     for _, _, r in runs:
                         if r not in seen and (found := infer_encoding(r)):
                             own = int.from_bytes(hashlib.blake2b(r.encode(), digest_size=8).digest(), "big", signed=True)
-                            seen[r] = cell(r, found[0]), min(BINS - 1, int(randomness(r, found[1]) * BINS)), own
+                            seen[r] = cell(r, found[0]), _bin(randomness(r, found[1])), own
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in seen.values()], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int64()))], ["cell", "bin", "run"])
 
@@ -206,16 +397,8 @@ def thresholds(docs: DataFrame, text: str = "text", fdr: float = FDR) -> dict[st
     rows = runs.groupBy("cell", "bin").agg(F.count("*").alias("n")).collect()
     cells: dict[str, np.ndarray] = {}
     for r in rows:
-        cells.setdefault(r["cell"], np.zeros(BINS))[r["bin"]] = r["n"]
-    out = {}
-    for name, counts in cells.items():
-        per_bin = counts[BINS // 2:].sum() / (BINS - BINS // 2)     # random strings in each bin
-        for b in range(BINS):
-            flagged = counts[b:].sum()
-            if flagged and 1 - min(1.0, per_bin * (BINS - b) / flagged) <= fdr:
-                out[name] = b / BINS
-                break
-    return out
+        cells.setdefault(r["cell"], np.zeros(BINS, np.int64))[r["bin"]] = r["n"]
+    return {k: x for pool in pools(cells) for k, x in stepped_up(pool, fdr).items()}
 
 
 def spans_of(base: dict, runs: list, limits: dict[str, float]) -> list[tuple[str, int, int]]:

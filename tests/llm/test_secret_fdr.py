@@ -1,7 +1,6 @@
 import random
 
 import numpy as np
-import pytest
 
 from odflow.llm import secret_scan as S
 
@@ -24,3 +23,45 @@ def test_a_run_counts_once_however_often_it_stands(spark):
     # copies of a passage, in texts that differ
     many = S.thresholds(table(spark, [*texts, *[f"text {i}: {hot}" for i in range(5000)]]).repartition(7))
     assert many == once and "base62:20" in once
+
+
+def names(n, seed=3):
+    """Slugs, identifiers and paths that the null sample does not hold."""
+    r = random.Random(seed)
+    words = "chapter summer holiday bicycle garden window kitchen mountain river coffee doctor winter engineer picture market science".split()
+    forms = ("{}-{}-{}{}", "{}_{}_{}_{}", "{}/{}/{}/{}")
+    return [r.choice(forms).format(r.choice(words), r.choice(words), r.choice(words), r.randint(1, 2030)) for _ in range(n)] + [
+        "".join(r.choice(words).capitalize() for _ in range(3)) + str(r.randint(1, 99)) for _ in range(n)]
+
+
+def flagged(spark, texts):
+    rows = [(i, t) for i, t in enumerate(texts)]
+    return {r.doc_id: r.spans for r in S.scan(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect() if r.spans}
+
+
+def test_cells_without_random_strings_flag_nothing_and_a_lone_secret_is_found(spark):
+    clean = [f"see {x} here" for x in names(400)]
+    assert flagged(spark, clean) == {}
+    r = random.Random(8)
+    secrets = {"base62": drawn(r, BASE62, 32), "base64": drawn(r, S.ENCODINGS[7][1], 43), "base36": drawn(r, S.ENCODINGS[3][1], 36)}
+    for least in (0.0, 0.5):      # p-values on both sides of the middle
+        for name, alphabet in (("base62", BASE62), ("base64", S.ENCODINGS[7][1])):
+            own = next(x for x in iter(lambda: drawn(r, alphabet, 32), "") if 0.02 < S.randomness(x, alphabet) - least < 0.5 and S.infer_encoding(x)[0] == name)
+            assert flagged(spark, [f"see {own} here"]) == {0: "random:4:36"}
+            assert flagged(spark, [*clean, f"see {own} here"]) == {800: "random:4:36"}
+    assert set(flagged(spark, [*clean, *[f"see {x} here" for x in secrets.values()]])) == {800, 801, 802}
+
+
+def test_short_runs_need_more_evidence_than_long_ones():
+    assert all(np.all(np.diff(S.null_of(k)) >= 0) for k in ("base62:16", "base64:40"))
+    assert S.null_of("base62:16")[8] > S.null_of("base62:24")[8] > S.null_of("base62:40")[8]
+    # many different names with a p-value seen among names: no discovery
+    names_only, few = np.zeros(S.BINS, np.int64), np.zeros(S.BINS, np.int64)
+    names_only[[4, 60]], few[4] = (2, 998), 1
+    assert S.stepped_up({"base62:16": names_only}, S.FDR) == {}
+    # one run of an encoding alone, or next to a sparse class of names
+    assert S.stepped_up({"base62:40": few}, S.FDR)["base62:40"] <= S.EDGES[4]
+    near = np.zeros(S.BINS, np.int64)
+    near[60] = 30
+    pool, = S.pools({"base62:32": near, "base62:40": few})
+    assert S.stepped_up(pool, S.FDR)["base62:40"] <= S.EDGES[4]
