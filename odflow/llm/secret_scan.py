@@ -5,8 +5,13 @@ and without overlap for each kind.  The battery looks at every run of 16 or
 more characters of ``[A-Za-z0-9+/_-]`` that touches no non-ASCII character:
 
 * The smallest encoding whose alphabet holds the run is inferred: hex, base32,
-  base36, base62 or base64.  Runs of letters only or digits only are words and
-  numbers, not encoded data, and are left out.
+  base36, base62 or base64.  Digits only are numbers, and runs without a digit
+  are words unless they hold both capitals (besides the first character) and
+  small letters; both are left out.
+* A run of no alphabet, that is one that holds ``+`` or ``/`` together with ``-``
+  or ``_``, is tested in its longest parts that have one: between ``-`` and
+  ``_``, and between ``+`` and ``/``.  Of overlapping finds the longest is
+  reported.
 * Over the positions of the characters in that alphabet: a chi-squared test of
   uniformity (and one over digits, capitals and small letters), a runs test
   about the middle, a serial correlation test, and a test of neighbouring
@@ -72,6 +77,8 @@ ENCODINGS = (
     ("base36", _DIGITS + _LOWER), ("base36", _DIGITS + _LOWER.upper()), ("base62", _DIGITS + _LOWER.upper() + _LOWER),
     ("base64", _LOWER.upper() + _LOWER + _DIGITS + "+/"), ("base64", _LOWER.upper() + _LOWER + _DIGITS + "-_"),
 )
+#: A run with a match of both has no one alphabet.
+MIXED = re.compile("[-_]"), re.compile("[+/]")
 REDACTED = "[SECRET]"
 
 # Words whose letter pairs count as word-like ...
@@ -168,9 +175,9 @@ PAIRS = {alphabet: _pairs(alphabet) for _, alphabet in ENCODINGS}
 def infer_encoding(run: str) -> tuple[str, str] | None:
     """(name, alphabet), or None for words, numbers and mixed alphabets."""
     chars = set(run)
-    if run.isdigit() or run.isalpha() and (run[1:].islower() or run.isupper()):
+    if run.isdigit():
         return None
-    if not any(c.isdigit() for c in chars):
+    if not any(c.isdigit() for c in chars) and (run[1:].islower() or run[1:].isupper() or run.isupper() or run.islower()):
         return None
     return next(((name, a) for name, a in ENCODINGS if chars <= set(a)), None)
 
@@ -208,6 +215,23 @@ def randomness(run: str, alphabet: str) -> float:
     return _upper_tail(-2 * sum(math.log(x) for x in p), 2 * len(p))
 
 
+def candidates(run: str) -> list[tuple[int, str, tuple[str, str]]]:
+    """(start in the run, string, encoding) of what is tested: the run, or the
+    parts of a run of mixed alphabets."""
+    if found := infer_encoding(run):
+        return [(0, run, found)]
+    if not (MIXED[0].search(run) and MIXED[1].search(run)):
+        return []
+    parts = {}
+    for cut in MIXED:
+        at = 0
+        for part in cut.split(run):
+            if len(part) >= MIN_RUN and (found := infer_encoding(part)):
+                parts[at, part] = found
+            at += len(part) + 1
+    return [(at, part, found) for (at, part), found in sorted(parts.items())]
+
+
 def cell(run: str, name: str) -> str:
     return f"{name}:{max(c for c in LENGTHS if c <= len(run))}"
 
@@ -344,8 +368,9 @@ class Scanner:
         near[left] |= data[s[left] - 1] >= 128
         near[right] |= data[e[right]] >= 128
         s, e, inside = s[~near], e[~near], inside[~near]
-        digit = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
-        some = digit[e] > digit[s]      # an encoding needs a digit
+        digit, small, capital = (np.concatenate([[0], np.cumsum((data >= a) & (data <= b))]) for a, b in ((48, 57), (97, 122), (65, 90)))
+        # an encoding needs a digit, or letters of both cases
+        some = (digit[e] > digit[s]) | (small[e] > small[s]) & (capital[e] > capital[s + 1])
         s, e, inside = s[some], e[some], inside[some]
         wanted = set(inside.tolist())
         raw = data.tobytes()
@@ -386,8 +411,8 @@ def thresholds(docs: DataFrame, text: str = "text", fdr: float = FDR) -> dict[st
             seen: dict[str, tuple[str, int, int]] = {}
             for _, data, offsets in stretches(batch.column(0)):
                 for _, _, _, runs in scanner.stretch(data, offsets, False):
-                    for _, _, r in runs:
-                        if r not in seen and (found := infer_encoding(r)):
+                    for _, r, found in [c for _, _, whole in runs for c in candidates(whole)]:
+                        if r not in seen:
                             own = int.from_bytes(hashlib.blake2b(r.encode(), digest_size=8).digest(), "big", signed=True)
                             seen[r] = cell(r, found[0]), _bin(randomness(r, found[1])), own
             yield pa.RecordBatch.from_arrays(
@@ -405,10 +430,16 @@ def spans_of(base: dict, runs: list, limits: dict[str, float]) -> list[tuple[str
     """(kind, start, end) by start, then kind."""
     spans = [(k, a, b) for k in KINDS[:3] for a, b in base.get(k, [])]
     taken = [(a, b) for _, a, b in spans]
-    for a, b, r in runs:
-        found = infer_encoding(r)
-        if found and cell(r, found[0]) in limits and all(b <= x or a >= y for x, y in taken):
-            if randomness(r, found[1]) >= limits[cell(r, found[0])]:
+    for first, _, whole in runs:
+        finds = []
+        for at, r, found in candidates(whole):
+            a, b = first + at, first + at + len(r)
+            if cell(r, found[0]) in limits and all(b <= x or a >= y for x, y in taken):
+                if randomness(r, found[1]) >= limits[cell(r, found[0])]:
+                    finds.append((a - b, a, b))
+        for _, a, b in sorted(finds):
+            if all(b <= x or a >= y for x, y in taken):
+                taken.append((a, b))
                 spans.append(("random", a, b))
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from odflow.llm import secret_scan as S
 
@@ -65,3 +66,28 @@ def test_short_runs_need_more_evidence_than_long_ones():
     near[60] = 30
     pool, = S.pools({"base62:32": near, "base62:40": few})
     assert S.stepped_up(pool, S.FDR)["base62:40"] <= S.EDGES[4]
+
+
+def test_parts_of_mixed_runs_and_runs_without_digits_are_tested(spark):
+    r = random.Random(21)
+    url, plain = S.ENCODINGS[7][1], S.ENCODINGS[6][1]
+    token = next(x for x in iter(lambda: drawn(r, url, 40), "") if "-" in x[1:-1] and "_" in x[1:-1])
+    standard = next(x for x in iter(lambda: drawn(r, plain, 44), "") if "+" in x[1:-1] and "/" in x[1:-1])
+    letters = drawn(r, S._LOWER + S._LOWER.upper(), 24)
+    texts = [f"get /api_v1/{token} now", f"with my-key/{standard}.", f"or {letters} here", "but InternationalizationOfTheWorld and /usr_local/share-doc/readme_first/of-all"]
+    got = flagged(spark, texts)
+    assert got[0] == "random:12:52"
+    # the part's own alphabet holds the slash before it
+    assert got[1] == "random:8:56"
+    assert got[2] == "random:3:27"
+    assert 3 not in got
+
+
+def test_runs_without_digits():
+    assert S.infer_encoding("Internationalization") is S.infer_encoding("some_long_identifier") is S.infer_encoding("UPPER_CASE_CONSTANT") is None
+    assert S.infer_encoding("qWeRtYuIoPaSdFgHjK")[0] == "base62"
+    assert S.candidates("Some/long-path/without/anything-else") == []
+    scanner = S.Scanner()
+    texts = ["Internationalization Qwertyuiopasdfghjkl UPPERCASEUPPERCASE qwertyuiopAsdfghjkl", "aaaaaaaaaaaaaaaaaaaB"]
+    runs = [x for _, data, offsets in S.stretches(pa.array(texts)) for _, _, _, found in scanner.stretch(data, offsets, False) for _, _, x in found]
+    assert runs == ["qwertyuiopAsdfghjkl", "aaaaaaaaaaaaaaaaaaaB"]
