@@ -2,7 +2,8 @@ r"""Secret scans: fixed patterns, and a battery of randomness tests.
 
 Patterns (``assign``, ``access``, ``hex``) are matched in every text, leftmost
 and without overlap for each kind.  The battery looks at every run of 16 or
-more characters of ``[A-Za-z0-9+/_-]`` that touches no non-ASCII character:
+more characters of ``[A-Za-z0-9+/_-]`` that no non-ASCII Latin letter and no
+combining mark continues (other neighbours delimit it as ASCII ones do):
 
 * The smallest encoding whose alphabet holds the run is inferred: hex, base32,
   base36, base62 or base64.  Digits only are numbers, and runs without a digit
@@ -40,6 +41,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -172,6 +174,15 @@ def _pairs(alphabet: str) -> tuple[np.ndarray, float, float, float]:
 PAIRS = {alphabet: _pairs(alphabet) for _, alphabet in ENCODINGS}
 
 
+def continues(c: str) -> bool:
+    """Whether a character beside a run makes it part of a longer word: a
+    Latin letter outside ASCII, or a combining mark."""
+    if c < "\x80":
+        return False
+    name = unicodedata.name(c, "")
+    return c.isalpha() and "LATIN " in name or name.startswith("COMBINING ")
+
+
 def infer_encoding(run: str) -> tuple[str, str] | None:
     """(name, alphabet), or None for words, numbers and mixed alphabets."""
     chars = set(run)
@@ -361,12 +372,16 @@ class Scanner:
         """(text number, text, base spans by kind, runs (start, end, run)) of
         the texts that can have any."""
         s, e = self._runs(self.run[data], offsets, MIN_RUN)
-        # runs that touch a non-ASCII byte are parts of words
+        # runs that a Latin letter outside ASCII or a mark continues are parts of words
         inside = np.searchsorted(offsets, s, "right") - 1
         near = np.zeros(len(s), bool)
         left, right = s > offsets[inside], e < offsets[inside + 1]
         near[left] |= data[s[left] - 1] >= 128
         near[right] |= data[e[right]] >= 128
+        for i in np.flatnonzero(near):
+            before = data[max(offsets[inside[i]], s[i] - 4):s[i]].tobytes().decode(errors="ignore")[-1:]
+            after = data[e[i]:min(offsets[inside[i] + 1], e[i] + 4)].tobytes().decode(errors="ignore")[:1]
+            near[i] = continues(before) or continues(after)
         s, e, inside = s[~near], e[~near], inside[~near]
         digit, small, capital = (np.concatenate([[0], np.cumsum((data >= a) & (data <= b))]) for a, b in ((48, 57), (97, 122), (65, 90)))
         # an encoding needs a digit, or letters of both cases

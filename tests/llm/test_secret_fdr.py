@@ -91,3 +91,12 @@ def test_runs_without_digits():
     texts = ["Internationalization Qwertyuiopasdfghjkl UPPERCASEUPPERCASE qwertyuiopAsdfghjkl", "aaaaaaaaaaaaaaaaaaaB"]
     runs = [x for _, data, offsets in S.stretches(pa.array(texts)) for _, _, _, found in scanner.stretch(data, offsets, False) for _, _, x in found]
     assert runs == ["qwertyuiopAsdfghjkl", "aaaaaaaaaaaaaaaaaaaB"]
+
+
+def test_neighbours_outside_ascii(spark):
+    own = drawn(random.Random(31), BASE62, 32)
+    clean = ["\u201c{}\u201d", "\u00ab{}\u00bb", "\u2026{}\u2014", "\uff1a{}\u3002", "\u6f22{}\u5b57", "\u00a0{}\u2009", "\u043a\u043b\u044e\u0447{}", "\U0001f511{}\U0001f511", "{}\u201d", "\u201c{}"]
+    joined = ["\u00e9{}", "{}\u00df", "\u201c{}\u0142", "{}\u0301"]
+    got = flagged(spark, [x.format(own) for x in [*clean, *joined]])
+    assert got == {i: f"random:{x.index('{')}:{x.index('{') + 32}" for i, x in enumerate(clean)}
+    assert not any(map(S.continues, ["", "a", " ", "\u201c", "\u5b57", "\u00aa", "\ud7ff"]))
