@@ -28,7 +28,8 @@ against the STARS leaders it shares most buckets with, STAR_ROUNDS times, each
 time leaders of another component: stars that grow with the rows and not with
 pairs.  Components of these links are found; only buckets that still hold sets of two or more components, of sizes that can
 match, go on: two sets meet directly, more in a tree, and pairs inside a
-component are not looked at, as they cannot change the result.  Buckets of
+component are not looked at, as they cannot change the components.  ``links``
+spares no pair: it takes neither leaders nor labels and verifies all pairs.  Buckets of
 over BLOCK sets are cut into blocks, and each pair of blocks is a task group
 of its own.  Nothing is capped or dropped: a link lost would need a pair that
 shares no prefix shingle, which the length filter excludes.
@@ -418,9 +419,9 @@ class Sets:
             return labels
         return connected(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
 
-    def classes(self) -> DataFrame:
-        """(doc_id, text_hash, n, s1, s2, root): root is the smallest class
-        of the component, as a struct of s1 and s2."""
+    def buckets(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Signatures of the rows; (h, s1, n, short, core), the buckets of two
+        sets or more; the classes with one of their documents and the point."""
         signatures = stored(self.signatures(), "join-signatures")
         in_bucket = Window.partitionBy("h")
         rows = self.prefixes(self.levels()).repartition("h").dropDuplicates(["h", "s1"])
@@ -432,8 +433,35 @@ class Sets:
         classes = stored(signatures.filter("n > 0").groupBy("s1", "s2").agg(
             F.min(F.struct("doc_id", "text_hash")).alias("r"), F.first("n").alias("n"), F.first("point").alias("point"),
             F.first("coarse").alias("coarse")), "join-classes")
+        return signatures, shared, classes
+
+    def open_pairs(self, rows: DataFrame, classes: DataFrame) -> DataFrame:
+        """Pairs (a, b) of different labels that buckets of ``rows`` (h, s1, n,
+        short, core, label) leave to verify."""
+        in_bucket, fits = Window.partitionBy("h"), f"{self.den} * least({{0}}, {{1}}) >= {self.num} * greatest({{0}}, {{1}})"
+        # a pair's first shared shingle is a core one of both: the rest has served to count
+        by_size = Window.partitionBy("h").orderBy("n")
+        rows = rows.filter("core").withColumns({"_less": F.lag("n").over(by_size), "_more": F.lead("n").over(by_size)})
+        rows = rows.filter(f"coalesce({fits.format('_less', 'n')}, false) or coalesce({fits.format('n', '_more')}, false)")
+        rows = rows.withColumns({"_low": F.min("label").over(in_bucket), "_high": F.max("label").over(in_bucket), "_n": F.count("*").over(in_bucket)})
+        rows = stored(rows.filter("_low < _high").select("h", "s1", "n", "short", "label", "_n"), "join-open-buckets")
+        two = rows.filter("_n = 2").groupBy("h").agg(F.min(F.struct("n", "short", "s1")).alias("x"), F.max(F.struct("n", "short", "s1")).alias("y"))
+        two = two.filter("x.short or (x.n = y.n and y.short)").select(F.least("x.s1", "y.s1").alias("a"), F.greatest("x.s1", "y.s1").alias("b"))
+        pts = classes.select("s1", F.coalesce("coarse", "point").alias("point")).dropDuplicates(["s1"])
+        many = self.tree_pairs(rows.filter("_n > 2").join(pts, "s1"))
+        return two.unionByName(many).distinct()
+
+    def links(self) -> tuple[DataFrame, DataFrame]:
+        """Signatures of the rows, and the links (u, v) of all pairs of classes:
+        no label spares a pair, so the work grows with the links of a group."""
+        signatures, shared, classes = self.buckets()
+        return signatures, self.verified(self.open_pairs(shared.withColumn("label", F.col("s1")), classes), classes, "all")
 
-        fits = f"{self.den} * least({{0}}, {{1}}) >= {self.num} * greatest({{0}}, {{1}})"
+    def classes(self) -> DataFrame:
+        """(doc_id, text_hash, n, s1, s2, root): root is the smallest class
+        of the component, as a struct of s1 and s2."""
+        signatures, shared, classes = self.buckets()
+        in_bucket, fits = Window.partitionBy("h"), f"{self.den} * least({{0}}, {{1}}) >= {self.num} * greatest({{0}}, {{1}})"
         labels, met = None, None
         rows = shared.withColumn("label", F.col("s1"))
         for turn in range(STAR_ROUNDS):
@@ -449,17 +477,7 @@ class Sets:
             found = labels.select(F.col("node.s1").alias("s1"), F.col("root.s1").alias("_label"))
             rows = stored(shared.join(found, "s1", "left").select("h", "s1", "n", "short", "core", F.coalesce("_label", "s1").alias("label")), "join-labelled")
 
-        # a pair's first shared shingle is a core one of both: the rest has served to count
-        by_size = Window.partitionBy("h").orderBy("n")
-        rows = rows.filter("core").withColumns({"_less": F.lag("n").over(by_size), "_more": F.lead("n").over(by_size)})
-        rows = rows.filter(f"coalesce({fits.format('_less', 'n')}, false) or coalesce({fits.format('n', '_more')}, false)")
-        rows = rows.withColumns({"_low": F.min("label").over(in_bucket), "_high": F.max("label").over(in_bucket), "_n": F.count("*").over(in_bucket)})
-        rows = stored(rows.filter("_low < _high").select("h", "s1", "n", "short", "label", "_n"), "join-open-buckets")
-        two = rows.filter("_n = 2").groupBy("h").agg(F.min(F.struct("n", "short", "s1")).alias("x"), F.max(F.struct("n", "short", "s1")).alias("y"))
-        two = two.filter("x.short or (x.n = y.n and y.short)").select(F.least("x.s1", "y.s1").alias("a"), F.greatest("x.s1", "y.s1").alias("b"))
-        pts = classes.select("s1", F.coalesce("coarse", "point").alias("point")).dropDuplicates(["s1"])
-        many = self.tree_pairs(rows.filter("_n > 2").join(pts, "s1"))
-        pairs = two.unionByName(many).distinct().join(met, ["a", "b"], "left_anti")
+        pairs = self.open_pairs(rows, classes).join(met, ["a", "b"], "left_anti")
         labels = self.merged(labels, self.verified(pairs, classes, "tree"))
         own = F.struct(F.col("s1").alias("s1"), F.col("s2").alias("s2"))
         out = signatures.withColumn("_node", own).join(labels, F.col("_node") == F.col("node"), "left")
@@ -482,6 +500,27 @@ def components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
         F.when(F.col("n") > 0, F.col("keeper")).otherwise(own).alias("keeper"))
 
 
+def links(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
+    """All links, where ``components`` looks only for enough of them.
+
+    First (a, b): the pairs of different classes that link, each once; a class
+    is a struct of s1 and s2 and stands for all documents of one shingle set.
+    Second (doc_id, text_hash, n_shingles, class, n_links) for every row: its
+    class, null without shingles, and the number of other rows it links with,
+    those of its own class among them.  Half the sum of n_links is the number
+    of links between rows."""
+    signatures, found = Sets(docs, k, num, den).links()
+    pairs = found.select(F.col("u").alias("a"), F.col("v").alias("b"))
+    rows = signatures.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.struct("s1", "s2")).alias("class"))
+    sizes = stored(rows.filter("n_shingles > 0").groupBy("class").agg(F.count("*").alias("size")), "join-class-sizes")
+    ends = pairs.select(F.col("a").alias("_end"), F.col("b").alias("class")).unionByName(pairs.select(F.col("b").alias("_end"), F.col("a").alias("class")))
+    others = ends.join(sizes, "class").groupBy("_end").agg(F.sum("size").alias("_others"))
+    counts = sizes.join(others, sizes["class"] == others["_end"], "left").select(
+        F.col("class").alias("_class"), (F.col("size") - 1 + F.coalesce("_others", F.lit(0))).alias("_links"))
+    members = rows.join(counts, rows["class"] == counts["_class"], "left")
+    return pairs, members.select("doc_id", "text_hash", "n_shingles", "class", F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` (with doc_id and text) that stand for their
     component, one of each; rows without words stay, repeated ones too."""
