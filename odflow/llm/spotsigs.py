@@ -15,7 +15,8 @@ Likeness is the Jaccard index of two signature sets, and 1 for two empty
 ones.  Sets fall into partitions by their length (``length_part``): two sets
 whose parts differ by more than one cannot reach the likeness TAU, and
 ``pruned_jaccard`` returns 0 for lengths that rule TAU out without looking at
-the members.  Repeated rows are fingerprinted each by itself; clashing column
+the members.  The query returns the part and uses neither to choose what it
+compares: only the edit and the next row of each text.  Repeated rows are fingerprinted each by itself; clashing column
 names in the input are replaced.
 """
 
