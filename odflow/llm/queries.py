@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from odflow.llm import bpe, importance, license_scan, mil_quality, mixing, ngram_join, quality_rules, secret_scan, sharding, spotsigs, warc
+from odflow.llm import bpe, conversations, importance, license_scan, mil_quality, mixing, ngram_join, quality_rules, secret_scan, sharding, spotsigs, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_attention_quality": mil_quality.op9_attention_quality,
         "op10_patience_licenses": license_scan.op10_patience_licenses,
         "op11_importance_resampling": importance.op11_importance_resampling,
+        "op12_conversation_repair": conversations.op12_conversation_repair,
     }
 
 
@@ -27,4 +28,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_line_cleaning": quality_rules.ORACLE,
         "op5_mix_sources": mixing.ORACLE,
         "op11_importance_resampling": importance.ORACLE,
+        "op12_conversation_repair": conversations.ORACLE,
     }
