@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from odflow.llm import bpe, conversations, importance, license_scan, mil_quality, mixing, ngram_join, quality_rules, secret_scan, sharding, spotsigs, warc
+from odflow.llm import bpe, conversations, importance, langid, license_scan, mil_quality, mixing, ngram_join, quality_rules, secret_scan, sharding, spotsigs, warc
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_patience_licenses": license_scan.op10_patience_licenses,
         "op11_importance_resampling": importance.op11_importance_resampling,
         "op12_conversation_repair": conversations.op12_conversation_repair,
+        "op13_language_filters": langid.op13_language_filters,
     }
 
 
