@@ -27,6 +27,13 @@ def edge_dir(spark, tmp_path_factory):
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{d}/pages.parquet")
     labels = [(1, 0, 0), (5, 1, None), (5, 0, 0), (6, 1, 0), (None, 1, 1), (9, None, None), (400, 0, 1)]
     spark.createDataFrame(labels, "doc_id long, quality long, toxic long").write.parquet(f"{d}/labels.parquet")
+    benchmark = [(1, "The quick brown fox jumps over the lazy dog."), (2, None), (None, ""), (2, "é è ß"), (2, "é è ß")]
+    spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    turns = [(c, t, r, f"Text {c} {t}.") for c in range(40) for t, r in enumerate(["system", "user", "assistant", "user", "assistant"])]
+    turns += [(None, t, r, x) for t, r, x in [(None, None, None), (3, "user", "a."), (3, "user", "a."), (None, "tool", "b"), (7, "", "  ")]]
+    turns += [(50, 1, "user", "x" * 100_000), (50, 1, "assistant", "same turn!"), (51, 5, None, "?"), (52, None, "user", "\n"), (52, 2**62, "user", "far.")]
+    turns += [(60, i, ("user", "assistant", "user", "tool", "system")[i * 7 % 5], f"line {i % 9}" + ".?!,"[i % 4]) for i in range(900)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(3).write.parquet(f"{d}/conversations.parquet")
     return d
 
 
@@ -36,6 +43,8 @@ def empty_dir(spark, tmp_path_factory):
     spark.createDataFrame([], DOCS).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{d}/pages.parquet")
     spark.createDataFrame([], "doc_id long, quality long, toxic long").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{d}/conversations.parquet")
     return d
 
 
