@@ -20,6 +20,10 @@ Conventions (OGC simple features):
   contained; a polygon touching the outer edge from inside is contained;
 * parts of a multipolygon do not overlap (the even-odd count over all
   edges then decides membership).
+
+A *prepared* geometry carries an index of its edges by height as well (see
+``prepare_sql``).  Tests against it look at the edges of one slab, found by
+binary search, instead of all; it can stand wherever a geometry can.
 """
 
 from __future__ import annotations
@@ -53,6 +57,19 @@ GEOM = T.StructType(
     ]
 )
 
+PREPARED = T.StructType(
+    GEOM.fields
+    + [
+        T.StructField("at", T.ArrayType(T.DoubleType())),
+        T.StructField("first", T.ArrayType(T.IntegerType())),
+        T.StructField("members", T.ArrayType(T.IntegerType())),
+    ]
+)
+#: Shapes of so few edges are looked through: one slab.
+PLAIN_EDGES = 32
+#: Places in the index for each edge, on average, at most about.
+PLACES_PER_EDGE = 4
+
 _ids = itertools.count()
 
 
@@ -136,6 +153,108 @@ def rect(xmin: str, ymin: str, xmax: str, ymax: str) -> Column:
     return F.expr(rect_sql(_sql(xmin), _sql(ymin), _sql(xmax), _sql(ymax)))
 
 
+# ---------------------------------------------------------------- edge index
+
+def last_not_above(values: str, v: str, last: str) -> str:
+    """Binary search: the last of the places 0 to ``last`` of sorted values
+    that is not above ``v``; 0 if there is none."""
+    a, k = _v("a"), _v("k")
+    step = _let(
+        f"CAST(({a}.lo + {a}.hi + 1) DIV 2 AS INT)",
+        lambda m: f"if(get({values}, {m}) <= {v}, named_struct('lo', {m}, 'hi', {a}.hi), named_struct('lo', {a}.lo, 'hi', {m} - 1))",
+    )
+    steps = f"CAST(ceil(log2(greatest({last} + 1, 2))) AS INT)"
+    return (
+        f"aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', CAST({last} AS INT)), "
+        f"({a}, {k}) -> if({a}.lo >= {a}.hi, {a}, {step}), {a} -> {a}.lo)"
+    )
+
+
+def prepare_sql(geom: str) -> str:
+    """The geometry with its edges indexed by height.
+
+    The plane is cut into slabs at the heights in ``at``, heights of vertices.
+    ``members[first[k]]`` up to ``members[first[k + 1] - 1]`` are the numbers
+    of the edges that touch slab k, closed at both ends.  Slabs end at every
+    vertex height, or at every second, third, ... where long edges would
+    otherwise take more than about PLACES_PER_EDGE places each, so the index
+    stays proportional to the shape.  Built by sorting and binary searches.
+    """
+    def build(g: str) -> str:
+        e, r, i, k, q = (_v(x) for x in "erikq")
+        n = f"size({g}.edges)"
+        low, high = f"least({e}.y1, {e}.y2)", f"greatest({e}.y1, {e}.y2)"
+
+        def with_stride(ys: str) -> str:
+            last = f"greatest(size({ys}) - 1, 0)"
+            spans = (
+                f"aggregate({g}.edges, 0L, ({r}, {e}) -> {r} + 1 + {last_not_above(ys, high, last)} - {last_not_above(ys, low, last)})"
+            )
+            stride = f"if({n} <= {PLAIN_EDGES}, greatest(size({ys}), 1), greatest(1, CAST(ceil({spans} / ({PLACES_PER_EDGE}D * {n})) AS INT)))"
+            return _let(stride, lambda t: _let(
+                f"concat(filter({ys}, ({q}, {i}) -> {i} % {t} = 0 AND {i} < size({ys}) - 1), slice({ys}, greatest(size({ys}), 1), 1))",
+                with_slabs))
+
+        def with_slabs(at: str) -> str:
+            e2, i2, k2 = _v("e"), _v("i"), _v("k")
+            slabs = f"greatest(size({at}) - 1, 1)"
+            lo = last_not_above(at, f"least({e2}.y1, {e2}.y2)", f"{slabs} - 1")
+            hi = last_not_above(at, f"greatest({e2}.y1, {e2}.y2)", f"{slabs} - 1")
+            places = (
+                f"sort_array(flatten(transform({g}.edges, ({e2}, {i2}) -> "
+                f"transform(sequence({lo}, {hi}), {k2} -> CAST({k2} AS BIGINT) * {n} + {i2}))))"
+            )
+
+            def finish(p: str) -> str:
+                k3, m = _v("k"), _v("m")
+                # places of slabs before k: one more than the last of them, found among halves so that none is equal
+                before = _let(
+                    last_not_above(p, f"CAST({k3} AS BIGINT) * {n} - 1", f"greatest(size({p}) - 1, 0)"),
+                    lambda x: f"if(size({p}) > 0 AND get({p}, {x}) < CAST({k3} AS BIGINT) * {n}, {x} + 1, 0)",
+                )
+                fields = ", ".join(f"'{f.name}', {g}.{f.name}" for f in GEOM.fields)
+                return (
+                    f"named_struct({fields}, 'at', {at}, 'first', transform(sequence(0, {slabs}), {k3} -> {before}), "
+                    f"'members', transform({p}, {m} -> CAST({m} % greatest({n}, 1) AS INT)))"
+                )
+
+            return _let(places, finish)
+
+        heights = f"sort_array(array_distinct(flatten(transform({g}.edges, {k} -> array({k}.y1, {k}.y2)))))"
+        return f"CASE WHEN {g}.edges IS NOT NULL THEN {_let(heights, with_stride)} END"
+
+    return _let(geom, build)
+
+
+def prepare(geom: str) -> Column:
+    return F.expr(prepare_sql(_sql(geom)))
+
+
+def plain(geom: str) -> Column:
+    """The geometry in a prepared one."""
+    g = _sql(geom)
+    fields = ", ".join(f"'{f.name}', {g}.{f.name}" for f in GEOM.fields)
+    return F.expr(f"CASE WHEN {g}.edges IS NOT NULL THEN named_struct({fields}) END")
+
+
+def _slab(p: str, y: str) -> str:
+    """Number of the slab of a prepared geometry that a height lies in (the
+    first or last one for heights outside)."""
+    return last_not_above(f"{p}.at", y, f"greatest(size({p}.at) - 2, 0)")
+
+
+def _slab_members(p: str, y0: str, y1: str) -> str:
+    """Numbers of the edges in the slabs from ``y0`` to ``y1``."""
+    return _let(_slab(p, y0), lambda a: _let(_slab(p, y1), lambda b: (
+        f"slice({p}.members, get({p}.first, {a}) + 1, get({p}.first, {b} + 1) - get({p}.first, {a}))")))
+
+
+def edges_at(prepared: str, y: str) -> Column:
+    """How many edges a test of a point at height ``y`` looks at."""
+    p = _sql(prepared)
+    return F.expr(f"size({_slab_members(p, _sql(y), _sql(y))})")
+
+
 # ---------------------------------------------------------------- parsing
 
 def geom_from_wkt_sql(wkt: str) -> str:
@@ -179,17 +298,17 @@ _LITERALS: dict[tuple[str, str], str] = {}
 
 
 def geom_literal_sql(spark, wkt: str) -> str:
-    """A WKT parameter as one folded geometry literal (SQL text).
+    """A WKT parameter as one folded, prepared geometry literal (SQL text).
 
-    Parsed once per session by a one-row job and embedded as a JSON
-    constant, so plans that test it against every row carry a constant,
+    Parsed and indexed once per session by a one-row job and embedded as a
+    JSON constant, so plans that test it against every row carry a constant,
     not the parser.
     """
     key = (spark.sparkContext.applicationId, wkt)
     if key not in _LITERALS:
-        txt = spark.range(1).select(F.to_json(geom_from_wkt(sql_string(wkt)))).first()[0]
+        txt = spark.range(1).select(F.to_json(F.expr(prepare_sql(geom_from_wkt_sql(sql_string(wkt)))))).first()[0]
         _LITERALS[key] = txt
-    return f"from_json({sql_string(_LITERALS[key])}, {sql_string(GEOM.simpleString())})"
+    return f"from_json({sql_string(_LITERALS[key])}, {sql_string(PREPARED.simpleString())})"
 
 
 def geom_literal_box(spark, wkt: str) -> tuple[float, float, float, float]:
@@ -272,13 +391,19 @@ def _in_bbox(g: str, px: str, py: str) -> str:
     return f"(({px}) >= {g}.xmin AND ({px}) <= {g}.xmax AND ({py}) >= {g}.ymin AND ({py}) <= {g}.ymax)"
 
 
-def _locate(g: str, px: str, py: str) -> str:
-    """One pass over the edges: ``struct<n: ray crossings, b: on boundary>``."""
-    acc, e = _v("acc"), _v("e")
+def _locate(p: str, px: str, py: str) -> str:
+    """One pass over the edges in the point's slab: ``struct<n: ray crossings, b: on boundary>``."""
+    acc, i = _v("acc"), _v("i")
+
+    def step(e: str) -> str:
+        return (
+            f"named_struct('n', {acc}.n + CASE WHEN {_crosses_ray(e, px, py)} THEN 1 ELSE 0 END, "
+            f"'b', {acc}.b OR {_on_segment(e, px, py)})"
+        )
+
     return (
-        f"aggregate({g}.edges, named_struct('n', 0, 'b', false), ({acc}, {e}) -> named_struct("
-        f"'n', {acc}.n + CASE WHEN {_crosses_ray(e, px, py)} THEN 1 ELSE 0 END, "
-        f"'b', {acc}.b OR {_on_segment(e, px, py)}))"
+        f"aggregate({_slab_members(p, py, py)}, named_struct('n', 0, 'b', false), "
+        f"({acc}, {i}) -> {_let(f'get({p}.edges, {i})', step)})"
     )
 
 
@@ -290,18 +415,27 @@ def _covers_point(g: str, px: str, py: str) -> str:
     return f"({_in_bbox(g, px, py)} AND {_let(_locate(g, px, py), lambda r: f'({r}.n % 2 = 1 OR {r}.b)')})"
 
 
-def st_contains_point_sql(geom: str, px: str, py: str) -> str:
-    return _let(geom, lambda g: _contains_point(g, px, py))
+def _as_prepared(geom: str, prepared: bool) -> str:
+    return geom if prepared else prepare_sql(geom)
 
 
-def st_contains_point(geom: str, px: str, py: str) -> Column:
-    """``ST_Contains(polygon, point)``: interior only, holes excluded."""
-    return F.expr(st_contains_point_sql(_sql(geom), _sql(px), _sql(py)))
+def st_contains_point_sql(geom: str, px: str, py: str, prepared: bool = False) -> str:
+    return _let(_as_prepared(geom, prepared), lambda g: _contains_point(g, px, py))
 
 
-def st_covers_point(geom: str, px: str, py: str) -> Column:
+def st_contains_point(geom: str, px: str, py: str, prepared: bool = False) -> Column:
+    """``ST_Contains(polygon, point)``: interior only, holes excluded.
+
+    ``prepared``: the geometry is a prepared one, as literals are; otherwise
+    it is prepared for this row, which pays for itself only with several
+    points a row.
+    """
+    return F.expr(st_contains_point_sql(_sql(geom), _sql(px), _sql(py), prepared))
+
+
+def st_covers_point(geom: str, px: str, py: str, prepared: bool = False) -> Column:
     """Interior or boundary."""
-    return F.expr(_let(_sql(geom), lambda g: _covers_point(g, _sql(px), _sql(py))))
+    return F.expr(_let(_as_prepared(_sql(geom), prepared), lambda g: _covers_point(g, _sql(px), _sql(py))))
 
 
 def _orient(ax, ay, bx, by, cx, cy) -> str:
@@ -317,17 +451,37 @@ def _proper_cross(e: str, f: str) -> str:
     return f"({o1} * {o2} < 0 AND {o3} * {o4} < 0)"
 
 
+def _edges_near(o: str, e: str) -> str:
+    """The edges of ``o`` in the slabs that ``e`` passes whose widths overlap with it."""
+    f, i = _v("f"), _v("i")
+    numbers = _slab_members(o, f"least({e}.y1, {e}.y2)", f"greatest({e}.y1, {e}.y2)")
+    return (
+        f"filter(transform(array_distinct({numbers}), {i} -> get({o}.edges, {i})), {f} -> "
+        f"greatest({f}.x1, {f}.x2) >= least({e}.x1, {e}.x2) AND least({f}.x1, {f}.x2) <= greatest({e}.x1, {e}.x2))"
+    )
+
+
+def edge_meetings(outer: str, inner: str) -> Column:
+    """How many edges of ``outer`` (prepared) the edges of ``inner`` are compared with, in all."""
+    o, n, e = _sql(outer), _v("n"), _v("e")
+    return F.expr(f"aggregate({_sql(inner)}.edges, 0L, ({n}, {e}) -> {n} + size({_edges_near(o, e)}))")
+
+
 def _edge_inside(o: str, e: str) -> str:
     """Edge ``e`` of the inner shape lies in ``o`` (interior or boundary).
 
     Start vertex covered; no proper crossing with an edge of ``o``; the edge
     is cut at every vertex of ``o`` lying on it and each piece's midpoint
-    is covered.
+    is covered.  Only the edges of ``o`` near ``e`` are looked at.
     """
+    return _let(_edges_near(o, e), lambda near: _edge_inside_near(o, e, near))
+
+
+def _edge_inside_near(o: str, e: str, near: str) -> str:
     dx, dy = f"({e}.x2 - {e}.x1)", f"({e}.y2 - {e}.y1)"
     len2 = f"({dx} * {dx} + {dy} * {dy})"
     f1, f2, f3, k = _v("f"), _v("f"), _v("f"), _v("k")
-    touching = f"filter({o}.edges, {f1} -> {_on_segment(e, f'{f1}.x1', f'{f1}.y1')})"
+    touching = f"filter({near}, {f1} -> {_on_segment(e, f'{f1}.x1', f'{f1}.y1')})"
     ts = (
         f"transform({touching}, {f2} -> CASE WHEN {len2} > 0 "
         f"THEN (({f2}.x1 - {e}.x1) * {dx} + ({f2}.y1 - {e}.y1) * {dy}) / {len2} ELSE 0D END)"
@@ -344,7 +498,7 @@ def _edge_inside(o: str, e: str) -> str:
 
     return (
         f"({_covers_point(o, f'{e}.x1', f'{e}.y1')} "
-        f"AND NOT exists({o}.edges, {f3} -> {_proper_cross(e, f3)}) "
+        f"AND NOT exists({near}, {f3} -> {_proper_cross(e, f3)}) "
         f"AND {_let(cuts, pieces)})"
     )
 
@@ -371,31 +525,38 @@ def _inner_point(poly: str, use) -> str:
     return _let(heights, lambda ys: f"CASE WHEN size({ys}) < 2 THEN true ELSE {middle(ys)} END")
 
 
-def st_contains_sql(outer: str, inner: str) -> str:
+def st_contains_sql(outer: str, inner: str, prepared: bool = False) -> str:
     def test(o: str, i: str) -> str:
         part = _v("part")
         e, f, h = _v("e"), _v("f"), _v("h")
+
+        def no_hole_inside(holes: str, p: str) -> str:
+            return (
+                f"forall({holes}, {h} -> NOT {_contains_point(p, f'{h}.x1', f'{h}.y1')} "
+                f"AND NOT {_contains_point(p, f'({h}.x1 + {h}.x2) / 2', f'({h}.y1 + {h}.y2) / 2')})"
+            )
+
         bbox = f"({i}.xmin >= {o}.xmin AND {i}.xmax <= {o}.xmax AND {i}.ymin >= {o}.ymin AND {i}.ymax <= {o}.ymax)"
         edges_ok = f"forall({i}.edges, {e} -> {_edge_inside(o, e)})"
-        holes_ok = (
-            f"forall(filter({o}.edges, {f} -> {f}.hole), {h} -> NOT {_contains_point(i, f'{h}.x1', f'{h}.y1')} "
-            f"AND NOT {_contains_point(i, f'({h}.x1 + {h}.x2) / 2', f'({h}.y1 + {h}.y2) / 2')})"
-        )
+        # the inner shape is indexed only where a hole's edges are tested against it
+        holes_ok = _let(f"filter({o}.edges, {f} -> {f}.hole)", lambda hs: f"(size({hs}) = 0 OR {_let(prepare_sql(i), lambda p: no_hole_inside(hs, p))})")
         # edges may all run along the boundary of a hole or a gap that the shape fills
         parts_ok = f"forall({i}.polys, {part} -> {_inner_point(part, lambda m: _covers_point(o, f'{m}.x', f'{m}.y'))})"
         return f"({bbox} AND {edges_ok} AND {holes_ok} AND {parts_ok})"
 
-    return _let(outer, lambda o: _let(inner, lambda i: test(o, i)))
+    return _let(_as_prepared(outer, prepared), lambda o: _let(inner, lambda i: test(o, i)))
 
 
-def st_contains(outer_geom: str, inner_geom: str) -> Column:
+def st_contains(outer_geom: str, inner_geom: str, prepared: bool = False) -> Column:
     """``ST_Contains(polygon, polygon)``: ``inner`` lies in ``outer``, touching allowed.
 
     Tests: bounding boxes; every inner edge inside (``_edge_inside``); no
     hole of ``outer`` has a vertex or an edge midpoint strictly inside
-    ``inner``; a point inside each part of ``inner`` is covered.  Cost is (inner edges x outer edges) per pair.
+    ``inner``; a point inside each part of ``inner`` is covered.  An inner edge
+    meets only the outer edges of the slabs it passes.  ``prepared``: the outer
+    geometry is a prepared one, as literals are.
     """
-    return F.expr(st_contains_sql(_sql(outer_geom), _sql(inner_geom)))
+    return F.expr(st_contains_sql(_sql(outer_geom), _sql(inner_geom), prepared))
 
 
 # ---------------------------------------------------------------- measures

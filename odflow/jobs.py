@@ -42,7 +42,7 @@ class RawPaths:
     provincias: str                 # GeoJSON
     geo: dict[str, str]             # zone level -> GeoJSON of its shapes
     geojson_sequence: bool = False  # one feature per line instead of a FeatureCollection
-    stats_sep: str = ","
+    stats_sep: str | None = None    # detected, file by file
 
 
 def bronze_inputs(spark: SparkSession, raw: RawPaths) -> pipeline.BronzeInputs:
@@ -90,7 +90,7 @@ def main(argv: list[str] | None = None) -> None:
         for opt in ("poblacion", "renta", "calendario", "provincias", "geo-municipios", "geo-distritos", "geo-gaus"):
             s.add_argument(f"--{opt}", required=(name == "ingest" and opt in ("poblacion", "renta", "calendario", "provincias")))
         s.add_argument("--geojson-sequence", action="store_true")
-        s.add_argument("--stats-sep", default=",")
+        s.add_argument("--stats-sep", default=None, help="detected if not given")
         if name == "stream":
             s.add_argument("--checkpoint", required=True)
     r = sub.add_parser("rollup")

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import threading
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from odflow.functions import geo
+from odflow.session import stored
 
 # Broadcast budget for dimension tables (bytes, estimated from the schema).
 BROADCAST_BUDGET_BYTES = 64 * 1024 * 1024
@@ -123,6 +126,12 @@ def resolve_codes(
     return joined.drop(f"_code_{out_col}")
 
 
+# Points of one cell that a task may get before the cell is split, and the most cells that are.
+HOT_ROWS = 1_000_000
+MAX_HOT_CELLS = 10_000
+#: Halvings of a hot cell's side, at most.
+QUAD_DEPTH = 6
+
 _GRIDS: dict[tuple, tuple[list[int], int]] = {}
 _MIN_LEVEL = -60
 
@@ -149,7 +158,7 @@ def grid_stats(polygons: DataFrame, geom_col: str = "geom") -> tuple[list[int],
                 return _GRIDS[key]
     row = polygons.agg(
         F.collect_set(_grid_level(geom_col)).alias("levels"),
-        F.coalesce(F.sum(F.lit(1024) + F.lit(96) * F.size(F.col(geom_col)["edges"])), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(F.lit(1024) + F.lit(136) * F.size(F.col(geom_col)["edges"])), F.lit(0)).alias("bytes"),   # with their index
     ).first()
     out = (sorted(row["levels"]), 4 * int(row["bytes"]))
     if key is not None:
@@ -159,10 +168,11 @@ def grid_stats(polygons: DataFrame, geom_col: str = "geom") -> tuple[list[int],
 
 
 def grid_cells(polygons: DataFrame, geom_col: str = "geom") -> DataFrame:
-    """Every polygon once per cell (_level, _gx, _gy) that its box overlaps on
-    the grid of its own level: at most four rows, however large or small."""
+    """Every polygon, prepared, once per cell (_level, _gx, _gy) that its box
+    overlaps on the grid of its own level: at most four rows, however large or
+    small."""
     g = F.col(geom_col)
-    df = polygons.withColumn("_level", _grid_level(geom_col))
+    df = polygons.withColumn("_level", _grid_level(geom_col)).withColumn(geom_col, geo.prepare(geom_col))
     s = F.pow(F.lit(2.0), F.col("_level"))
     return (
         df.withColumn("_gx", F.explode(F.sequence(F.floor(g["xmin"] / s), F.floor(g["xmax"] / s))))
@@ -170,6 +180,11 @@ def grid_cells(polygons: DataFrame, geom_col: str = "geom") -> DataFrame:
     )
 
 
+def _cell(level, x: str, y: str):
+    s = F.pow(F.lit(2.0), level)
+    return F.floor(F.col(x) / s), F.floor(F.col(y) / s)
+
+
 def spatial_join_points(
     points: DataFrame,
     polygons: DataFrame,
@@ -178,6 +193,7 @@ def spatial_join_points(
     geom_col: str = "geom",
     how: str = "left",
     broadcast_budget: int = BROADCAST_BUDGET_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Points joined to the polygons that contain them (``ST_Contains(poly, pt)``).
 
@@ -186,39 +202,143 @@ def spatial_join_points(
     most four cells there, so one outlier costs no more than any other shape;
     a point has one cell on each level that occurs.  With ``how='left'`` a
     point in no polygon keeps one row with NULL polygon columns, a point in
-    two overlapping polygons gets two rows.  Cells are broadcast when their
-    measured size is within the budget, otherwise both sides shuffle on the
-    cell.  With shapes of several levels each distinct position is looked up
-    once on every level, and the points are joined to what was found.
+    two overlapping polygons gets two rows.  Cells, with the edge index of
+    their polygons, are broadcast when their measured size is within the
+    budget; with shapes of several levels each distinct position is then
+    looked up once on every level, and the points are joined to what was found.
+    Otherwise both sides shuffle on the cell, and cells of more than
+    ``hot_rows`` points on the parts of a quadtree (``hot_cells``).
     """
     levels, n_bytes = grid_stats(polygons, geom_col)
+    if n_bytes > broadcast_budget:
+        return _shuffled_spatial_join(points, polygons, levels, x, y, geom_col, how, hot_rows)
     cells = bounded_broadcast(grid_cells(polygons, geom_col), known_bytes=n_bytes, budget_bytes=broadcast_budget)
 
-    def on_level(level):
-        s = F.pow(F.lit(2.0), level)
-        return F.floor(F.col(x) / s), F.floor(F.col(y) / s)
-
     # Column names of the two sides are distinct, so the exact test can
     # name them directly.
     def cond(pts):
         return (
             (pts["_pl"] == cells["_level"]) & (pts["_px"] == cells["_gx"]) & (pts["_py"] == cells["_gy"])
-            & geo.st_contains_point(geom_col, x, y)
+            & geo.st_contains_point(geom_col, x, y, prepared=True)
         )
 
     helpers = ("_pl", "_px", "_py", "_level", "_gx", "_gy")
     if len(levels) <= 1:
-        px, py = on_level(F.lit(float(levels[0] if levels else 0)))
+        px, py = _cell(F.lit(float(levels[0] if levels else 0)), x, y)
         pts = points.withColumns({"_pl": F.lit(levels[0] if levels else 0), "_px": px, "_py": py})
-        return pts.join(cells, cond(pts), how).drop(*helpers)
+        return pts.join(cells, cond(pts), how).drop(*helpers).withColumn(geom_col, geo.plain(geom_col))
     places = points.select(x, y).distinct().withColumn("_pl", F.explode(F.array(*[F.lit(v) for v in levels])))
-    px, py = on_level(F.col("_pl"))
+    px, py = _cell(F.col("_pl"), x, y)
     places = places.withColumns({"_px": px, "_py": py})
-    found = places.join(cells, cond(places), "inner").drop(*helpers)
+    found = places.join(cells, cond(places), "inner").drop(*helpers).withColumn(geom_col, geo.plain(geom_col))
     found = found.withColumnsRenamed({x: "_fx", y: "_fy"})
     return points.join(found, (points[x] == found["_fx"]) & (points[y] == found["_fy"]), how).drop("_fx", "_fy")
 
 
+def _fine_cell(x: str, y: str):
+    """Number of a point's part of its cell (_pl, _px, _py), out of 4 to the
+    power QUAD_DEPTH: bits of its column and row by turns."""
+    part = F.pow(F.lit(2.0), F.col("_pl")) / 2.0**QUAD_DEPTH
+    code = F.lit(0).cast("long")
+    for at, (place, corner) in enumerate(((x, "_px"), (y, "_py"))):
+        i = F.floor(F.col(place) / part) - F.col(corner) * 2**QUAD_DEPTH
+        for bit in range(QUAD_DEPTH):
+            code = code + F.shiftleft(F.shiftright(i, bit).bitwiseAND(F.lit(1)), 2 * bit + at)
+    return code
+
+
+def quadtree(counts: dict[int, int], limit: int) -> Iterator[tuple[int, int, int]]:
+    """(first part, depth, pieces) of the squares that a cell is split into:
+    squares of at most ``limit`` points, and at the last depth those of more,
+    in so many pieces; empty squares are left out."""
+    def split(parts: list[tuple[int, int]], first: int, depth: int):
+        total = sum(n for _, n in parts)
+        if total <= limit or depth == QUAD_DEPTH:
+            yield first, depth, -(-total // limit)
+            return
+        width = 4 ** (QUAD_DEPTH - depth - 1)
+        for q in range(4):
+            inside = [p for p in parts if (p[0] - first) // width == q]
+            if inside:
+                yield from split(inside, first + q * width, depth + 1)
+
+    yield from split(sorted(counts.items()), 0, 0)
+
+
+def hot_cells(points: DataFrame, x: str, y: str, limit: int) -> DataFrame:
+    """(_hl, _hx, _hy, starts, squares) of the cells with more than ``limit``
+    of the ``points`` (_pl, _px, _py): for each square of the quadtree its first
+    part, box and number of pieces."""
+    cell = ["_pl", "_px", "_py"]
+    counts = points.groupBy(*cell).count().filter(F.col("count") > limit)
+    hot = counts.select(*[F.col(c).alias(f"_h{c}") for c in cell])      # fewer than all points / limit
+    same = [points[c] == hot[f"_h{c}"] for c in cell]
+    fine = points.join(F.broadcast(hot), same, "left_semi").groupBy(*cell, _fine_cell(x, y).alias("part")).count()
+    grouped = fine.groupBy(*cell).agg(F.collect_list("part").alias("parts"), F.collect_list("count").alias("counts"))
+
+    def squares(batches):
+        for batch in batches:
+            starts, boxes = [], []
+            for level, px, py, parts, counts in zip(*[c.to_pylist() for c in batch.columns]):
+                rows, side = [], 2.0**level / 2**QUAD_DEPTH
+                for first, depth, pieces in quadtree(dict(zip(parts, counts)), limit):
+                    column = sum((first >> 2 * b & 1) << b for b in range(QUAD_DEPTH))
+                    row = sum((first >> 2 * b + 1 & 1) << b for b in range(QUAD_DEPTH))
+                    x0, y0 = (px * 2**QUAD_DEPTH + column) * side, (py * 2**QUAD_DEPTH + row) * side
+                    width = side * 2 ** (QUAD_DEPTH - depth)
+                    rows.append((first, {"x0": x0, "y0": y0, "x1": x0 + width, "y1": y0 + width, "pieces": pieces}))
+                starts.append([first for first, _ in rows])
+                boxes.append([box for _, box in rows])
+            box = pa.struct([(n, pa.float64()) for n in ("x0", "y0", "x1", "y1")] + [("pieces", pa.int32())])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(starts, pa.list_(pa.int64())), pa.array(boxes, pa.list_(box))], ["_hl", "_hx", "_hy", "starts", "squares"])
+
+    return grouped.select("_pl", "_px", "_py", "parts", "counts").mapInArrow(
+        squares, "_hl int, _hx long, _hy long, starts array<long>, squares array<struct<x0:double,y0:double,x1:double,y1:double,pieces:int>>")
+
+
+def _shuffled_spatial_join(points, polygons, levels, x, y, geom_col, how, hot_rows) -> DataFrame:
+    """Both sides dealt by cell, square of a hot cell, and piece of a square.
+
+    The limit grows with the points, so there are fewer than MAX_HOT_CELLS hot
+    cells and at most QUAD_DEPTH times as many squares that are split: their
+    list can be sent everywhere.  The polygons of a hot cell go to the squares
+    their boxes touch and to every piece of them.
+    """
+    pts = stored(points.withColumn("_pid", F.monotonically_increasing_id()), "spatial-points")
+    keyed = pts.select("_pid", x, y).filter(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn(
+        "_pl", F.explode(F.array(*[F.lit(v).cast("int") for v in levels])))
+    px, py = _cell(F.col("_pl"), x, y)
+    keyed = keyed.withColumns({"_px": px, "_py": py})
+    limit = max(hot_rows, -(-pts.count() * len(levels) // MAX_HOT_CELLS))
+    hot = F.broadcast(stored(hot_cells(keyed, x, y, limit), "hot-cells"))
+
+    mine = keyed.join(hot, (keyed["_pl"] == hot["_hl"]) & (keyed["_px"] == hot["_hx"]) & (keyed["_py"] == hot["_hy"]), "left")
+    mine = mine.withColumn("_part", F.when(F.col("_hl").isNotNull(), _fine_cell(x, y)))
+    mine = mine.withColumn("_square", F.when(F.col("_hl").isNull(), F.lit(-1)).otherwise(
+        F.expr(geo.last_not_above("starts", "_part", "greatest(size(starts) - 1, 0)"))))
+    mine = mine.withColumn("_piece", F.when(F.col("_hl").isNull(), F.lit(0)).otherwise(
+        F.expr("CAST(pmod(xxhash64(_pid), get(squares, _square).pieces) AS INT)")))
+    mine = mine.select("_pid", F.col(x).alias("_x"), F.col(y).alias("_y"), "_pl", "_px", "_py", "_square", "_piece")
+
+    cells = grid_cells(polygons, geom_col)
+    g = geom_col
+    touched = F.expr(
+        f"""CASE WHEN _hl IS NULL THEN array(named_struct('square', -1, 'pieces', 1)) ELSE
+        filter(transform(squares, (s, i) -> if(s.x0 <= {g}.xmax AND s.x1 >= {g}.xmin AND s.y0 <= {g}.ymax AND s.y1 >= {g}.ymin,
+            named_struct('square', i, 'pieces', s.pieces), NULL)), s -> s IS NOT NULL) END""")
+    dealt = cells.join(hot, (cells["_level"] == hot["_hl"]) & (cells["_gx"] == hot["_hx"]) & (cells["_gy"] == hot["_hy"]), "left")
+    dealt = dealt.withColumn("_touched", F.explode(touched)).drop("_hl", "_hx", "_hy", "starts", "squares")
+    dealt = dealt.withColumn("_to_square", F.col("_touched.square")).withColumn(
+        "_to_piece", F.explode(F.expr("sequence(0, _touched.pieces - 1)"))).drop("_touched")
+
+    cond = [mine["_pl"] == dealt["_level"], mine["_px"] == dealt["_gx"], mine["_py"] == dealt["_gy"],
+            mine["_square"] == dealt["_to_square"], mine["_piece"] == dealt["_to_piece"], geo.st_contains_point(geom_col, "_x", "_y", prepared=True)]
+    found = mine.join(dealt, cond, "inner").select(F.col("_pid").alias("_fid"), *[F.col(c) for c in polygons.columns])
+    found = found.withColumn(geom_col, geo.plain(geom_col))
+    return pts.join(found, pts["_pid"] == found["_fid"], how).drop("_pid", "_fid")
+
+
 def semi_join_names(df: DataFrame, names: DataFrame, col: str, names_col: str = "nombre",
                     bound: DataFrame | int | None = None) -> DataFrame:
     """Rows whose ``col`` is in the ``names`` list (no text splicing)."""

@@ -255,9 +255,14 @@ SQL: dict[str, tuple[str, list[str]]] = {
     "csv_all_varchar": ("SELECT * FROM relaciones", ["relaciones"]),
     "geojson_scan": ("SELECT tipo_zona, mitma AS id, name, 'Polygon' AS kind, 4 AS n_edges, "
                      "cx - h AS xmin, cy - h AS ymin, cx + h AS xmax, cy + h AS ymax FROM geo_all", ["geo_all"]),
+    "geojson_collection_scan": ("SELECT CAST(point_id AS VARCHAR) AS point_id, 'Polygon' AS kind, 4 AS n_edges, round(x0, 6) AS xmin, "
+                                "round(y0, 6) AS ymin, round(x1, 6) AS xmax, round(y1, 6) AS ymax FROM squares", ["squares"]),
     "csv_scan_stats": ("""
       SELECT 'poblacion' AS source, column0, "Total" AS value FROM bronze_poblacion
       UNION ALL SELECT 'renta', column0, "Renta neta media por persona" FROM bronze_renta""", ["bronze_poblacion", "bronze_renta"]),
+    "csv_detect_dialects": ("""
+      SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS id, c_name || ', Güeña; ' || c_mktsegment AS label,
+        format('{:,}', CAST(floor(c_acctbal) * 1000 AS BIGINT)) AS value FROM customer""", []),
     "schema_from_sample": ("SELECT DISTINCT fecha, 'residencia|destino|viajes_km|fecha|origen|viajes|periodo' AS columns FROM bronze_trips",
                            ["bronze_trips"]),
     "day_spine": ("""

@@ -35,7 +35,7 @@ def places_in_polygon(lugares: DataFrame, wkt: str, geom_col: str = "coordenadas
     xmin, ymin, xmax, ymax = geo.geom_literal_box(lugares.sparkSession, wkt)
     poly = geo.geom_literal_sql(lugares.sparkSession, wkt)
     return lugares.filter(geo.bbox_within(geom_col, xmin, ymin, xmax, ymax)).filter(
-        geo.st_contains(poly, geom_col)
+        geo.st_contains(poly, geom_col, prepared=True)
     )
 
 

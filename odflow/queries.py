@@ -148,6 +148,29 @@ def q_csv_scan_stats(spark, sf):
         ren.select(F.lit("renta").alias("source"), "column0", F.col(f"`{fx.INCOME_COL}`").alias("value")))
 
 
+def _dialect_files(spark, sf) -> list[str]:
+    """Customers in files of three dialects, columns in three orders: commas and
+    double quotes, semicolons and single quotes, bars without quotes in Latin-1."""
+    cu = fx.customer_file(spark, sf)
+    names = cu.columns[:3]
+    kinds = {"comma": (",", '"', "UTF-8", names), "semicolon": (";", "'", "UTF-8", names[::-1]),
+             "bar": ("|", "", "ISO-8859-1", [names[1], names[0], names[2]])}
+    out = []
+    for i, (kind, (sep, quote, encoding, order)) in enumerate(kinds.items()):
+        part = cu.filter(F.col("k") % 3 == i).select(*order)
+        out.append(_written(spark, sf, f"customers-{kind}", lambda root: part.write.mode("overwrite").option("header", True)
+                            .option("sep", sep).option("quote", quote).option("escape", quote).option("encoding", encoding)
+                            .option("ignoreTrailingWhiteSpace", False).csv(root)))
+    return out
+
+
+@query("csv_detect_dialects")
+def q_csv_detect_dialects(spark, sf):
+    """Every customer, read back from files whose dialects are not told."""
+    paths = [p for folder in _dialect_files(spark, sf) for p in files.list_files(spark, folder)]
+    return files.read_detected(spark, paths, ["id", "label", "value"])
+
+
 @query("schema_from_sample")
 def q_schema_from_sample(spark, sf):
     """Column names of the table made from one sample trip file, in its order."""
@@ -176,6 +199,28 @@ def q_geojson_scan(spark, sf):
                     F.size(F.col("geom")["edges"]).alias("n_edges"), *_bbox_cols("geom"))
 
 
+def _collection_file(spark, sf) -> str:
+    """One FeatureCollection document with a square for every customer."""
+    features = files.feature_json(_customer_squares(spark, sf), ["point_id"], "g").select(F.col("value").alias("feature"))
+
+    def write(root):
+        one = features.repartitionByRange(1, "feature").sortWithinPartitions("feature")      # a document is one file
+        lines = one.select(F.concat(F.when(F.monotonically_increasing_id() > 0, ",").otherwise(
+            '{"type": "FeatureCollection", "name": "squares", "features": ['), "feature").alias("value"))
+        end = spark.range(1, numPartitions=1).select(F.lit("]}").alias("value"))
+        lines.unionAll(end).coalesce(1).write.mode("overwrite").text(root)
+
+    return _written(spark, sf, "squares", write)
+
+
+@query("geojson_collection_scan")
+def q_geojson_collection_scan(spark, sf):
+    """Features of one large document, cut between features."""
+    g = files.read_geojson(spark, _collection_file(spark, sf), ["point_id"])
+    return g.select("point_id", F.col("geom")["kind"].alias("kind"), F.size(F.col("geom")["edges"]).alias("n_edges"), *[
+        r6(F.col("geom")[c]).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")])
+
+
 @query("day_spine")
 def q_day_spine(spark, sf):
     v = _silver(spark, sf, "viajes")
@@ -362,7 +407,7 @@ def q_spatial_left_join(spark, sf):
 def q_point_in_polygon(spark, sf):
     pts = fx.customer_points(spark, sf)
     poly = geo.geom_literal_sql(spark, fx.CONCAVE_WKT)
-    return pts.filter(geo.st_contains_point(poly, "x", "y")).select("point_id")
+    return pts.filter(geo.st_contains_point(poly, "x", "y", prepared=True)).select("point_id")
 
 
 @query("mark_join_group")
@@ -676,7 +721,7 @@ def q_polygon_in_polygon(spark, sf):
     poly = geo.geom_literal_sql(spark, fx.CONCAVE_WKT)
     g = _customer_squares(spark, sf)
     xmin, ymin, xmax, ymax = geo.geom_literal_box(spark, fx.CONCAVE_WKT)
-    return g.filter(geo.bbox_within("g", xmin, ymin, xmax, ymax)).filter(geo.st_contains(poly, "g")).select("point_id")
+    return g.filter(geo.bbox_within("g", xmin, ymin, xmax, ymax)).filter(geo.st_contains(poly, "g", prepared=True)).select("point_id")
 
 
 @query("polygon_with_holes")
@@ -689,7 +734,7 @@ def q_polygon_with_holes(spark, sf):
     inner = geo.rect_sql(x, y, f"{x} + {w}", f"{y} + {w}")
     parts = []
     for name, wkt in fx.HOLE_SHAPES.items():
-        test = geo.st_contains(geo.geom_literal_sql(spark, wkt), "g")
+        test = geo.st_contains(geo.geom_literal_sql(spark, wkt), "g", prepared=True)
         c = fx.table(spark, sf, "customer").select("c_custkey", F.expr(inner).alias("g"))
         parts.append(c.select(F.lit(name).alias("shape"), F.col("c_custkey").alias("point_id"), test.alias("inside")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])

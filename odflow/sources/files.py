@@ -1,20 +1,24 @@
 """Readers for the raw inputs: trip CSV files, statistics CSVs, relations, GeoJSON.
 
-All readers take an explicit schema (no inference: codes such as '01001'
-must keep their leading zeros and a sniffed INTEGER would drop them).
+All readers take text as text (no type inference: codes such as '01001' must
+keep their leading zeros and a sniffed INTEGER would drop them).  Separator,
+quote, encoding and header are detected for the statistics files
+(``dialect``); lines are read strictly everywhere.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from odflow import schema as S
 from odflow.functions import geo
-from odflow.sources import storage
+from odflow.sources import dialect, storage
 
 
 class NoInputFiles(FileNotFoundError):
@@ -44,6 +48,19 @@ def empty_like(spark: SparkSession, sample: str, sep: str = "|") -> DataFrame:
     return spark.createDataFrame([], header_schema(spark, sample, sep))
 
 
+def strict_csv(spark: SparkSession, schema: T.StructType, sep: str, quote: str = '"', encoding: str = "UTF-8",
+               header: bool = True, check_header: bool = True) -> DataFrameReader:
+    """A reader that fails on a line whose number of fields is not the schema's
+    and, unless headers were compared before, on a file whose header is not:
+    nothing is padded, cut or shifted."""
+    return (
+        spark.read.schema(schema).option("header", header).option("sep", sep).option("mode", "FAILFAST")
+        .option("quote", quote).option("escape", quote).option("encoding", encoding)
+        .option("enforceSchema", not check_header)
+        .option("columnPruning", False)      # pruned lines are not checked for their number of fields
+    )
+
+
 def read_trip_csv(spark: SparkSession, prefix: str | list[str], name_contains: str = "",
                   schema: T.StructType = S.BRONZE_TRIPS, sep: str = "|", repartition: int | None = None,
                   day_in_name: bool = False) -> DataFrame:
@@ -71,11 +88,7 @@ def read_trip_csv(spark: SparkSession, prefix: str | list[str], name_contains: s
     missing = [f.name for f in schema.fields if f.name not in header.names]
     if missing:
         raise S.ContractError(f"{paths[0]}: missing columns {missing}")
-    reader = (
-        spark.read.schema(header).option("header", True).option("sep", sep).option("mode", "FAILFAST")
-        .option("enforceSchema", False)
-        .option("columnPruning", False)      # pruned lines are not checked for their number of fields
-    )
+    reader = strict_csv(spark, header, sep)
     if isinstance(prefix, list):
         df = reader.csv(paths)
     else:
@@ -100,22 +113,49 @@ def daily_paths(base: str, suffix: str, start: str, end: str) -> list[str]:
     return out
 
 
-def read_stat_csv(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> DataFrame:
+def read_detected(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
+                  sep: str | None = None, quote: str | None = None) -> DataFrame:
+    """Separated text files of any mix of dialects, every value as text.
+
+    The dialect of every file is found from its first bytes (``dialect``);
+    files of one dialect are read by one strict scan.  ``columns`` picks
+    columns by name, whatever their order and however many others a file has
+    (a file without a header has ``column0``, ``column1``, ...); without it all
+    files must have the same ones.  A missing column is a ``ContractError``; a
+    line with too few or too many fields fails the load with the name of its
+    file and its fields.
+    """
+    paths = path if isinstance(path, list) else list_files(spark, path)
+    found = dialect.dialects(spark, paths, tuple(columns or ()), sep, quote)
+    wanted = columns
+    parts = []
+    for d, files_of in found.items():
+        wanted = list(d.columns) if wanted is None else wanted
+        missing = [c for c in wanted if c not in d.columns]
+        if missing or (columns is None and len(d.columns) != len(wanted)):
+            raise S.ContractError(f"{files_of[0]}: columns {list(d.columns)}, wanted {wanted}")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in d.columns])
+        # every file's header was read with its dialect; blank and repeated names are not as written there
+        df = strict_csv(spark, schema, d.sep, d.quote, d.encoding, d.header, check_header=False).csv(files_of)
+        parts.append(df.select(*[F.col(f"`{c}`") for c in wanted]))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in wanted or []]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_stat_csv(spark: SparkSession, path: str, columns: list[str], sep: str | None = None) -> DataFrame:
     """A statistics CSV with a header, columns picked by name, every value as text.
 
-    No schema inference (leading zeros and thousands separators stay as
-    written).  A blank first header cell, which Spark names ``_c0``, is
-    named ``column0``.  Other columns of the file are ignored.
+    The dialect is detected (``sep`` fixes the separator).  No schema inference
+    (leading zeros and thousands separators stay as written).  A blank first
+    header cell is ``column0``.  Other columns of the file are ignored.
     """
-    df = spark.read.option("header", True).option("sep", sep).csv(path)
-    if df.columns and df.columns[0].strip() in ("_c0", ""):
-        df = df.withColumnRenamed(df.columns[0], "column0")
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+    return read_detected(spark, path, columns, sep)
 
 
-def read_all_varchar(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|") -> DataFrame:
+def read_all_varchar(spark: SparkSession, path: str, schema: T.StructType, sep: str | None = "|") -> DataFrame:
     """Separated text file with a header, the schema's columns picked by name, all as text."""
-    df = spark.read.option("header", True).option("sep", sep).csv(path)
+    df = read_detected(spark, path, [f.name for f in schema.fields], sep)
     return df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) for f in schema.fields])
 
 
@@ -132,21 +172,56 @@ FEATURE = T.StructType(
 COLLECTION = T.StructType([T.StructField("type", T.StringType()), T.StructField("features", T.ArrayType(FEATURE))])
 
 
+#: Between the text "Feature" of one feature and that of the next: where documents are cut.
+FEATURE_TAG = '"Feature"'
+#: A document that can be cut: every feature begins with its type.
+CUTTABLE = re.compile(r'\{.*"features"\s*:\s*\[\s*(\{\s*"type"\s*:\s*"Feature"|\])', re.S)
+#: How a piece ends, white space left out: before the next feature, or with the document.
+NEXT_FEATURE, DOCUMENT_END = '},{"type":', r"\}\](,.*)?\}$"
+
+
+def _features_of_pieces(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Features of FeatureCollection documents, cut at every ``"Feature"``.
+
+    The text source cuts a file into splits like any other, so a document of
+    any size is read by many tasks and never held as a whole.  Each piece
+    after the first is the rest of one feature, and must end where the next one
+    begins or the document ends; one that does not (the text "Feature" inside
+    a property, or another order of keys further down) fails the load.
+    """
+    pieces = spark.read.option("lineSep", FEATURE_TAG).text(paths).select("value", F.col("_metadata.file_path").alias("_file"))
+    start = F.left(F.ltrim("value"), F.lit(1))
+    end = F.expr("regexp_replace(right(value, 4096), '\\\\s', '')")
+    whole = end.endswith(NEXT_FEATURE) | end.rlike(DOCUMENT_END)
+    rest = pieces.filter(~start.isin("{", "\ufeff"))
+    checked = F.when(whole & (start == ","), F.col("value")).otherwise(
+        F.raise_error(F.concat(F.col("_file"), F.lit(": not cut between features: "), F.left("value", F.lit(200)))))
+    feature = F.from_json(F.concat(F.lit('{"type":"Feature"'), checked), FEATURE, {"mode": "FAILFAST"})
+    return rest.select(feature.alias("f")).select("f.*")
+
+
 def read_geojson(spark: SparkSession, path: str, properties: list[str], sequence: bool = False,
                  geom_col: str = "geom") -> DataFrame:
     """GeoJSON features as rows: the named properties (as text) plus a geometry.
 
-    ``sequence=False`` reads FeatureCollection documents (one task per file,
-    as a whole document must be parsed at once); ``sequence=True`` reads one
-    feature per line (GeoJSONSeq), which splits like any text file.
-    ``coordinates`` is read as raw JSON text so Polygon and MultiPolygon
-    share one schema; it is parsed per geometry type.
+    ``sequence=False`` reads FeatureCollection documents.  Where features
+    begin with their type, as writers put it, documents are cut between
+    features and read by many tasks; a document with another order of keys is
+    parsed as a whole in one task.  ``sequence=True`` reads one feature per
+    line (GeoJSONSeq), which splits like any text file.  Malformed features
+    fail the load.  ``coordinates`` is read as raw JSON text so Polygon and
+    MultiPolygon share one schema; it is parsed per geometry type.
     """
     if sequence:
-        feats = spark.read.schema(FEATURE).json(path)
+        feats = spark.read.schema(FEATURE).option("mode", "FAILFAST").json(path)
     else:
-        coll = spark.read.schema(COLLECTION).option("multiLine", True).json(path)
-        feats = coll.select(F.explode("features").alias("f")).select("f.*")
+        paths = list_files(spark, path)
+        cut = [p for p in paths if CUTTABLE.match(storage.head(spark, p, dialect.SAMPLE_BYTES).decode("utf-8-sig", "replace").lstrip())]
+        parts = [_features_of_pieces(spark, cut)] if cut else []
+        if len(cut) < len(paths):
+            whole = spark.read.schema(COLLECTION).option("multiLine", True).option("mode", "FAILFAST").json([p for p in paths if p not in set(cut)])
+            parts.append(whole.select(F.explode("features").alias("f")).select("f.*"))
+        feats = reduce(DataFrame.unionByName, parts)
     props = [F.col("properties").getItem(p).alias(p) for p in properties]
     out = feats.select(*props, F.col("geometry.type").alias("_gt"), F.col("geometry.coordinates").alias("_gc"))
     return out.select(*properties, geo.geom_from_geojson("_gt", "_gc").alias(geom_col))

@@ -225,3 +225,16 @@ def customer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("c_custkey") % 45).cast("double") * 0.1 - 0.43).alias("x"),
         ((F.col("c_custkey") % 53).cast("double") * 0.1 - 0.41).alias("y"),
     )
+
+
+def customer_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text columns for separated files: a leading zero in ``id``, separators
+    and letters outside ASCII in ``label``, thousands separators in ``value``;
+    ``k`` says which file a row goes to."""
+    cu = table(spark, sf_dir, "customer")
+    return cu.select(
+        F.lpad(F.col("c_custkey").cast("string"), 9, "0").alias("id"),
+        F.concat(F.col("c_name"), F.lit(", Güeña; "), F.col("c_mktsegment")).alias("label"),
+        F.format_number(F.floor(F.col("c_acctbal")) * 1000, 0).alias("value"),
+        F.col("c_custkey").alias("k"),
+    )

@@ -26,6 +26,20 @@ def listing(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
     return sorted(found)
 
 
+def head(spark: SparkSession, path: str, n_bytes: int) -> bytes:
+    """The first bytes of a file, decompressed by what its name says."""
+    fs, p = _fs(spark, path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    codec = spark.sparkContext._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+    stream = fs.open(p)
+    try:
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        return bytes(stream.readNBytes(n_bytes))
+    finally:
+        stream.close()
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, p = _fs(spark, source)
     _, q = _fs(spark, target)

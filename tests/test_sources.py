@@ -139,3 +139,55 @@ def test_empty_table_from_a_sample_file(spark, scratch):
     _gz(f"{scratch}/t/20230101_Viajes_a.csv.gz", "a|b|c", "1|2|3")
     df = files.empty_like(spark, f"{scratch}/t/20230101_Viajes_a.csv.gz")
     assert df.dtypes == [("a", "string"), ("b", "string"), ("c", "string")] and df.count() == 0
+
+
+def _collection(path, feats, indent=None, extra=""):
+    with open(path, "w") as f:
+        text = json.dumps({"type": "FeatureCollection", "name": "x", "features": feats}, indent=indent, ensure_ascii=False)
+        f.write(text[:-1] + extra + text[-1:])
+
+
+@pytest.mark.parametrize("indent", [None, 2, 8])
+@pytest.mark.parametrize("extra", ["", ', "bbox": [0, 0, 1, 1]'])
+def test_one_document_is_read_by_many_tasks(spark, scratch, indent, extra):
+    r = range(400)
+    square = lambda i: [[[i, 0], [i + 1, 0], [i + 1, 1], [i, 1], [i, 0]]]
+    feats = [_feature(f"{i:05d}", f'Ñ "{i}" }},{{"type":', "Polygon", square(i)) for i in r]
+    feats[7]["geometry"] = None
+    path = os.path.join(scratch, "c.geojson")
+    _collection(path, feats, indent, extra)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = files.read_geojson(spark, path, ["id", "name"])
+        assert df.rdd.getNumPartitions() > 5
+        rows = {x.id: x for x in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    assert set(rows) == {f"{i:05d}" for i in r} and all(rows[f"{i:05d}"].name.startswith(f'Ñ "{i}"') for i in r)
+    assert rows["00007"].geom is None or rows["00007"].geom.edges is None
+    assert rows["00399"].geom.xmax == 400.0
+
+
+def test_documents_that_cannot_be_cut(spark, scratch):
+    square = [[[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]]]
+    other = [{"properties": {"id": str(i)}, "geometry": {"type": "Polygon", "coordinates": square}, "type": "Feature"} for i in range(3)]
+    os.makedirs(f"{scratch}/d")
+    _collection(f"{scratch}/d/other.geojson", other)                       # type last: parsed whole
+    _collection(f"{scratch}/d/cut.geojson", [_feature("a", "A", "Polygon", square)])
+    _collection(f"{scratch}/d/none.geojson", [])
+    assert sorted(r.id for r in files.read_geojson(spark, f"{scratch}/d", ["id"]).collect()) == ["0", "1", "2", "a"]
+    mixed = [_feature("a", "A", "Polygon", square), *other]                # another order further down
+    _collection(f"{scratch}/mixed.geojson", mixed)
+    inside = [_feature("a", "A", "Polygon", square, {"kind": "Feature"}), _feature("b", "B", "Polygon", square)]
+    _collection(f"{scratch}/inside.geojson", inside)                       # the tag inside a property
+    for name in ("mixed", "inside"):
+        with pytest.raises(Exception):
+            files.read_geojson(spark, f"{scratch}/{name}.geojson", ["id"]).collect()
+    with open(f"{scratch}/broken.geojson", "w") as f:
+        f.write('{"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"id": "1"}, "geometry": nul}]}')
+    with pytest.raises(Exception):
+        files.read_geojson(spark, f"{scratch}/broken.geojson", ["id"]).collect()
