@@ -42,18 +42,24 @@ MAX_REPEAT_PERCENT = 30
 MIN_KEPT_SHARE = 0.5
 
 
-def _line_fails(line: str, lines: str) -> str:
+def _only(text: str, kinds: str) -> str:
+    """Number of characters of a class: the runs of all others are cut out."""
+    return f"length(regexp_replace({text}, '[^{kinds}]+', ''))"
+
+
+def _line_fails(line: str, n: str, lines: str) -> str:
+    """Whether a line of ``n`` words fails; rules that need no look at the
+    whole line decide first which lines the others are asked for."""
     phrases = "|".join(PHRASES)
-    solid = f"length(translate({line}, ' \t\r', ''))"
-    n = f"regexp_count({line}, '[^\\\\x20\\\\x09-\\\\x0D]+')"
+    solid = f"length(replace(replace(replace({line}, ' ', ''), '\\t', ''), '\\r', ''))"
     rules = [
-        f"length({line}) - length(translate({line}, '|»•·', '')) >= 3",
-        f"{solid} - length(translate(translate({line}, ' \t\r', ''), '{SYMBOLS}', '')) >= {SYMBOL_SHARE}D * {solid}",
+        f"{_only(line, '|»•·')} >= 3",
+        f"{_only(line, SYMBOLS)} >= {SYMBOL_SHARE}D * {solid}",
         f"(length({line}) - length(replace({line}, '!!', ''))) / 2 > greatest(1, 0.2D * {n})",
-        f"upper({line}) = {line} and lower({line}) <> {line} and {n} >= {CAPITAL_WORDS}",
+        f"{n} >= {CAPITAL_WORDS} and not {line} rlike '[a-z]' and upper({line}) = {line} and lower({line}) <> {line}",
         f"not {line} rlike '[\\\\p{{L}}\\\\p{{N}}]'",
-        f"size({lines}) > 1 and not {line} rlike '[.!?…:;。！？][\"\\')»”]*\\\\s*$' and {n} < {SHORT_LINE}",
-        f"lower({line}) rlike '{phrases}' and {n} <= {PHRASE_WORDS}",
+        f"{n} < {SHORT_LINE} and size({lines}) > 1 and not {line} rlike '[.!?…:;。！？][\"\\')»”]*\\\\s*$'",
+        f"{n} <= {PHRASE_WORDS} and lower({line}) rlike '{phrases}'",
     ]
     return " or ".join(f"({r})" for r in rules)
 
@@ -65,12 +71,16 @@ def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     out = docs.withColumn("_lines", F.expr(
         f"filter(split(coalesce(`{text}`, ''), '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')"))
     out = out.withColumn("_distinct", F.array_distinct("_lines"))
-    out = out.withColumn("clean_text", F.array_join(F.expr(f"filter(_distinct, l -> not ({_line_fails('l', '_lines')}))"), "\n"))
+    # a line's words are counted once, for the rules and for the sum
+    out = out.withColumn("_kept", F.expr(f"""filter(
+        transform(_distinct, l -> named_struct('l', l, 'n', regexp_count(l, '[^\\\\x20\\\\x09-\\\\x0D]+'))),
+        s -> not ({_line_fails('s.l', 's.n', '_lines')}))"""))
     return out.withColumns({
+        "clean_text": F.expr("array_join(transform(_kept, s -> s.l), '\\n')"),
         "n_lines": F.size("_lines").cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size("_distinct")).cast("long"),
-        "n_clean_words": F.expr("regexp_count(clean_text, '[^\\\\x20\\\\x09-\\\\x0D]+')").cast("long"),
-    }).drop("_lines", "_distinct")
+        "n_clean_words": F.expr("aggregate(_kept, 0L, (a, s) -> a + s.n)"),
+    }).drop("_lines", "_distinct", "_kept")
 
 
 def repeated_words(docs: DataFrame, hashes: str, out: str, window: int = 8) -> DataFrame:
@@ -101,8 +111,8 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     out = docs.withColumn("_hashes", F.expr(f"transform({words_sql(t)}, w -> xxhash64(w))"))
     out = out.withColumns({
         "n_words": F.size("_hashes").cast("long"),
-        "word_chars": F.expr(f"length(translate({t}, ' \t\n\x0b\x0c\r', ''))").cast("long"),
-        "n_symbols": F.expr(f"length({t}) - length(translate({t}, '{SYMBOLS}', ''))").cast("long"),
+        "word_chars": F.expr(f"length(regexp_replace({t}, '[\\\\x20\\\\x09-\\\\x0D]+', ''))").cast("long"),
+        "n_symbols": F.expr(_only(t, SYMBOLS)).cast("long"),
     })
     out = repeated_words(out, "_hashes", "n_repeat_words").drop("_hashes")
     out = clean_lines(out, text)
