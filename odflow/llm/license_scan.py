@@ -23,6 +23,7 @@ ones too; an empty table gives no rows.
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -156,10 +157,11 @@ class LicenseScanner:
                 words = self._words(text)
                 keys = set(words) - common
                 # what a place of enough coverage holds at least, each repeated word counted once
-                count = {w: words.count(w) for w in set(words)}
                 loose = len(words) - int(np.ceil(MIN_COVERAGE * len(words)))
                 least = max(1, len(keys) - loose)
-                self.templates.append((name, n, words, keys, least, count))
+                single = {w: i for i, w in enumerate(words) if w in keys and words.count(w) == 1}
+                single = single or {w: words.index(w) for w in keys}
+                self.templates.append((name, n, words, keys, least, single, max(1, len(single) - loose)))
                 own |= keys
         self.own = np.array(sorted(own), np.uint64)
 
@@ -187,17 +189,13 @@ class LicenseScanner:
         out = []
         words = h[hits].tolist()
         present = set(words)
-        for name, n, template, keys, least, _ in self.templates:
+        for name, n, template, keys, least, single, least_single in self.templates:
             if len(keys & present) < least:
                 continue
-            mine = [int(p) for p, w in zip(hits, words) if w in keys]
-            for a, b in self._places(h, mine, keys, least, int(SPREAD * len(template)) + 1):
-                low, high = max(begin, a - len(template)), min(end, b + len(template))
-                pairs = patience(h[low:high].tolist(), template)
-                share = len(pairs) / len(template)
-                if share >= MIN_COVERAGE:
-                    x, y = low + pairs[0][0], low + pairs[-1][0]
-                    out.append((share * len(pairs) / (y + 1 - x), len(pairs), name, n, share, x, y))
+            at = [(int(p), w) for p, w in zip(hits, words) if w in single]
+            for pairs, x, y in self._copies(h, at, template, single, least_single, begin, end):
+                share = pairs / len(template)
+                out.append((share * pairs / (y + 1 - x), pairs, name, n, share, x, y))
         # where templates overlap, the one that accounts for most of its stretch and itself, then the longest
         kept: list[tuple] = []
         for _, _, name, n, share, x, y in sorted(out, key=lambda o: (-o[0], -o[1], o[2], o[3], o[5])):
@@ -206,26 +204,29 @@ class LicenseScanner:
         return sorted(kept, key=lambda k: k[3])
 
     @staticmethod
-    def _places(h: np.ndarray, at: list[int], keys: set[int], least: int, width: int) -> list[tuple[int, int]]:
-        """Disjoint ranges of words with ``least`` different keys, leftmost
-        first, each as short as its last key allows."""
-        out, first, count = [], 0, {}
-        for k, p in enumerate(at):
-            w = int(h[p])
-            count[w] = count.get(w, 0) + 1
-            while first < k and (p - at[first] >= width or count[int(h[at[first]])] > 1):
-                x = int(h[at[first]])
-                count[x] -= 1
-                if not count[x]:
-                    del count[x]
-                first += 1
-            if len(count) >= least:
-                nxt = at[k + 1] if k + 1 < len(at) else None
-                if nxt is not None and nxt - at[first] < width and int(h[nxt]) not in count and len(count) < len(keys):
-                    continue        # the range still grows
-                out.append((at[first], p + 1))
-                first, count = k + 1, {}
-        return out
+    def _copies(h: np.ndarray, at: list[tuple[int, int]], template: list[int], single: dict[int, int], least: int,
+                begin: int, end: int) -> Iterator[tuple[int, int, int]]:
+        """(words aligned, first word, last word) of the copies of a template,
+        leftmost first.
+
+        A word that the template has once tells where a copy that holds it
+        would begin.  The text is aligned from each such place: over the
+        template's length, where a neighbour's words cannot make those of this
+        copy ambiguous, and over SPREAD times that, for copies with words put in.
+        The search goes on behind each copy found, so copies may stand side by side.
+        """
+        places = [p for p, _ in at]
+        low, wide = begin, int(SPREAD * len(template)) + 1
+        for start in sorted({p - single[w] for p, w in at}):
+            if start + wide <= low:
+                continue
+            first = max(start, low)
+            if len({w for _, w in at[bisect_left(places, first):bisect_left(places, start + wide)]}) < least:
+                continue
+            pairs = max((patience(h[first:min(end, start + width)].tolist(), template) for width in (len(template) + 1, wide)), key=len)
+            if len(pairs) >= MIN_COVERAGE * len(template):
+                yield len(pairs), first + pairs[0][0], first + pairs[-1][0]
+                low = first + pairs[-1][0] + 1
 
 
 def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:

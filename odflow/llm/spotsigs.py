@@ -27,7 +27,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from odflow.llm.common import table, uniform_key
+from odflow.functions.geo import last_not_above
+from odflow.llm.common import table
 
 # Common words of English, German, French and Spanish.
 ANCHORS = """
@@ -45,6 +46,8 @@ EVERY = 8
 SHORT_TEXT = 32
 TAU = 0.44
 ROWS_PER_BUCKET = 1024
+MAX_RANGES = 16_384
+KEYS_PER_RANGE = 16
 
 
 def _in_anchors(word: str) -> str:
@@ -91,27 +94,40 @@ def pruned_jaccard(a: str, b: str, tau: float = TAU) -> Column:
     return F.when(fits, jaccard(a, b)).otherwise(F.lit(0.0))
 
 
+def _sortable(number: str) -> str:
+    """SQL: sixteen hex digits in the order of a signed 64-bit number."""
+    return f"lpad(hex({number} ^ shiftleft(1L, 63)), 16, '0')"
+
+
 def with_next(docs: DataFrame, n_rows: int) -> DataFrame:
     """(doc_id, text, sigs) with ``next_text`` and ``next_sigs`` of the row
     that follows in falling doc_id (null ids last, ties by text hash; after
     the last row comes the first).
 
-    Ids are cut into ranges of about ROWS_PER_BUCKET rows, each ordered by
-    itself; only the first row of every range is carried to its neighbour.
+    Rows are cut into ranges of about ROWS_PER_BUCKET rows, each ordered by
+    itself; only the first row of every range is carried to its neighbour.  The
+    borders are keys out of the rows, from a sample of KEYS_PER_RANGE for each
+    range; it fixes where ranges end and nothing else, so any spread of ids does.  A key goes
+    on with the text's hash and a number of the row: a third of the rows under
+    one id, or equal altogether, still fall into many ranges.
     """
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    width = max(1, ((high - low) if low is not None else 0) * ROWS_PER_BUCKET // max(1, n_rows) + 1)
-    spread = -1 - F.pmod(uniform_key(F.col("text")), F.lit(max(1, n_rows // ROWS_PER_BUCKET)))
-    df = docs.withColumn("_tie", F.xxhash64("text")).withColumn(
-        "_part", F.coalesce(F.expr(f"(doc_id - {low or 0}L) div {width}L"), spread))
-    order = Window.partitionBy("_part").orderBy(F.col("doc_id").desc_nulls_last(), "_tie")
+    df = docs.withColumn("_row", F.xxhash64(F.monotonically_increasing_id())).withColumn("_key", F.expr(
+        f"concat(if(doc_id is null, '1', '0'), {_sortable('~coalesce(doc_id, 0L)')}, {_sortable('xxhash64(text)')}, hex(_row))"))
+    ranges = min(MAX_RANGES, -(-n_rows // ROWS_PER_BUCKET))
+    sample = df.filter(F.pmod("_row", F.lit(max(1, n_rows // max(1, KEYS_PER_RANGE * ranges)))) == 0).select("_key")
+    keys = sorted(r["_key"] for r in sample.collect())
+    borders = sorted({"", *(keys[i * len(keys) // ranges] for i in range(1, ranges))}) if keys else [""]
+    listed = f"split('{','.join(borders)}', ',')"       # a constant of the plan
+    df = df.withColumn("_part", F.expr(last_not_above(listed, "_key", str(len(borders) - 1)))).drop("_row")
+
+    order = Window.partitionBy("_part").orderBy("_key")
     df = (df.withColumn("_rank", F.row_number().over(order))
-          .withColumn("_next", F.lead(F.struct("text", "sigs")).over(order)).drop("_tie"))
+          .withColumn("_next", F.lead(F.struct("text", "sigs")).over(order)).drop("_key"))
     first = df.filter("_rank = 1").select(F.col("_part").alias("_p"), F.struct("text", "sigs").alias("_first"))
     parts = first.select("_p")
-    falling = Window.orderBy(F.col("_p").desc())
+    rising = Window.orderBy("_p")       # one small row a range, at most MAX_RANGES
     after = parts.select("_p", F.coalesce(
-        F.lead("_p").over(falling), F.first("_p").over(falling.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        F.lead("_p").over(rising), F.first("_p").over(rising.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
     ).alias("_to"))
     heads = after.join(first.withColumnRenamed("_p", "_to"), "_to").select(F.col("_p").alias("_part"), "_first")
     out = df.join(heads, "_part", "left")

@@ -4,7 +4,9 @@ Writing.  Rows become WARC/1.1 records, one gzip member each, with the member
 lengths of the standard's ``sl`` extra field.  Every task writes files of its
 own name, rolled at FILE_BYTES; the commit writes a manifest of the files of
 successful tasks, and only those are ever read, so lost executors and retried
-tasks leave no doubled records.
+tasks leave no doubled records.  Every commit has a manifest of its own: an
+append adds one, an overwrite's names those that it replaces, which counts from
+the moment it is there, and then removes them and their files.
 
 Reading.  The driver lists the files (the manifest's, or all ``.warc`` and
 ``.warc.gz`` of a folder) and plans them into partitions of about
@@ -14,10 +16,15 @@ a record that the filters reject, and a payload nobody asked for (option
 ``payload`` false), is skipped: seeked over where lengths are known, inflated
 without being kept where not.
 
-Options: ``path`` (any URI pyarrow's file systems open), ``payload`` (read;
-default true).  Files hold any mix of record types; an empty folder has no
-rows.  Null payloads are empty, null headers are left out, control characters
-in header values are percent-encoded.
+Options: ``path`` (a URI with its scheme that pyarrow's file systems open;
+``s3a`` is their ``s3``), ``payload`` (read; default true).  ``read_warc`` and
+``archive`` take any path that Spark does and resolve it as Spark does; the bare
+format refuses a path without a scheme, which would be each machine's own disk.
+Files hold any mix of record types; an empty folder has no rows.  Null payloads
+are empty, null headers are left out, control characters in header values are
+percent-encoded.  Repeated rows are records of their own, also under one id;
+columns beside those of SCHEMA are refused by the format and left out by
+``archive``.
 """
 
 from __future__ import annotations
@@ -43,7 +50,7 @@ PARTITION_BYTES = 128 << 20
 BATCH_BYTES = 16 << 20
 BATCH_ROWS = 2000
 BLOCK = 64 << 10
-MANIFEST = "_files.json"
+MANIFEST = "_files-"
 
 #: Columns that are headers, and their names in the file.
 HEADERS = {
@@ -55,6 +62,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
+    if uri.startswith(("s3a://", "s3n://")):
+        uri = "s3" + uri[3:]
     if "://" in uri or uri.startswith("file:"):
         uri = "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
         return pafs.FileSystem.from_uri(uri)
@@ -97,9 +106,22 @@ class Files(WriterCommitMessage):
     names: list
 
 
+def _manifests(files: pafs.FileSystem, root: str) -> dict[str, dict]:
+    """The manifests that count, by name: all but those that another replaces."""
+    if files.get_file_info(root).type != pafs.FileType.Directory:
+        return {}
+    found = {}
+    for i in files.get_file_info(pafs.FileSelector(root)):
+        if i.base_name.startswith(MANIFEST) and i.base_name.endswith(".json"):
+            with files.open_input_stream(i.path, compression=None) as f:
+                found[i.base_name] = json.loads(f.read())
+    replaced = {n for m in found.values() for n in m["replaces"]}
+    return {n: m for n, m in found.items() if n not in replaced}
+
+
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, path: str) -> None:
-        self.path = path
+    def __init__(self, path: str, overwrite: bool = False) -> None:
+        self.path, self.overwrite = path, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Files:
         files, root = _open(self.path)
@@ -123,10 +145,16 @@ class WarcWriter(DataSourceArrowWriter):
         files, root = _open(self.path)
         files.create_dir(root, recursive=True)
         names = sorted(n for m in messages if m is not None for n in m.names)
-        part = f"{root}/{MANIFEST}.{uuid.uuid4().hex}"
+        old = _manifests(files, root) if self.overwrite else {}
+        own = f"{MANIFEST}{uuid.uuid4().hex}.json"
+        part = f"{root}/.{own}"
         with files.open_output_stream(part, compression=None) as f:
-            f.write(json.dumps(names).encode())
-        files.move(part, f"{root}/{MANIFEST}")
+            f.write(json.dumps({"files": names, "replaces": sorted(old)}).encode())
+        files.move(part, f"{root}/{own}")
+        # the replaced manifests stop counting above; their files go first, so none is left without a manifest
+        for name, manifest in old.items():
+            for file in [*manifest["files"], name]:
+                files.delete_file(f"{root}/{file}")
 
     def abort(self, messages: list) -> None:
         """Files without a manifest are never read."""
@@ -313,11 +341,9 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list:
         files, root = _open(self.path)
-        info = files.get_file_info(f"{root}/{MANIFEST}")
-        if info.type == pafs.FileType.File:
-            with files.open_input_stream(info.path, compression=None) as f:
-                names = json.loads(f.read())
-            infos = files.get_file_info([f"{root}/{n}" for n in names])
+        manifests = _manifests(files, root)
+        if manifests:
+            infos = files.get_file_info([f"{root}/{n}" for m in manifests.values() for n in m["files"]])
         elif files.get_file_info(root).type == pafs.FileType.File:
             infos = [files.get_file_info(root)]
         else:
@@ -358,11 +384,24 @@ class WarcDataSource(DataSource):
     def schema(self) -> str:
         return SCHEMA
 
+    def path(self) -> str:
+        path = self.options["path"]
+        if ":" not in path.split("/")[0]:
+            raise ValueError(f"{path}: give the path with its scheme, as read_warc and archive do")
+        return path
+
     def reader(self, schema) -> WarcReader:
-        return WarcReader(self.options["path"], self.options.get("payload", "true").lower() == "true")
+        return WarcReader(self.path(), self.options.get("payload", "true").lower() == "true")
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"])
+        return WarcWriter(self.path(), overwrite)
+
+
+def resolved(spark: SparkSession, path: str) -> str:
+    """The path with scheme and folder, as Spark resolves it (the default file
+    system for one without)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
 def register(spark: SparkSession) -> None:
@@ -372,7 +411,7 @@ def register(spark: SparkSession) -> None:
 
 def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(resolved(spark, path))
 
 
 def base32_sha1(payload):
@@ -383,8 +422,9 @@ def base32_sha1(payload):
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
-    """Writes ``pages`` (page_id, url, html) to ``path``.  Of records with
+def archive(pages: DataFrame, path: str, min_bytes: int = 0, mode: str = "append") -> None:
+    """Writes ``pages`` (page_id, url, html) to ``path``, beside the records
+    that are there (``mode`` append) or in their place (overwrite).  Of records with
     equal payloads of at least ``min_bytes`` bytes the one with the smallest
     page_id is the response (all rows of that id, should it repeat; rows
     without an id where none has one) and the others revisit it.
@@ -409,7 +449,7 @@ def archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
         "target_uri", F.lit("1970-01-01T00:00:00Z").alias("date"), "payload_digest",
         F.when(revisit, name(F.col("first"))).alias("refers_to"), F.octet_length("payload").cast("long").alias("payload_length"),
         F.when(~revisit, F.col("payload")).alias("payload"),
-    ).write.format("warc").mode("append").save(path)
+    ).write.format("warc").mode(mode).save(resolved(pages.sparkSession, path))
 
 
 def op3_warc_archive(spark, sf_dir: str) -> DataFrame:
