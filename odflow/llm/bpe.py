@@ -15,7 +15,10 @@ Texts are normalised as the tokenizer file says (NFC, lower case character by
 character; white space only separates), special tokens in the text get their
 own ids.  The split pattern never crosses white space, so texts are cut there
 and equal chunks, and equal words in them, are encoded once per task; both
-memories are emptied when they hold over MEMORY entries.  Decoding maps ids back to byte
+memories are emptied when they hold over MEMORY entries, inside a text too.
+Texts with characters that Unicode versions disagree on, unassigned ones and
+combining marks, are normalised and cut by the library's own normaliser and
+splitter; the dynamic programming is the same.  Decoding maps ids back to byte
 symbols, joined by a space each, as the library does for a file that names no
 decoder.
 
@@ -41,11 +44,15 @@ from pyspark.sql import functions as F
 from odflow.llm.common import table
 
 MEMORY = 120_000
-#: Rows whose results are held together.
+#: Above, planes hold nothing but unassigned, private and variation characters.
+LAST_SCRIPTS = 0x323B0
+#: Rows whose results are held together, and chunks of a text looked up at a time.
 SLICE = 500
+CHUNKS = 50_000
 
 # The white space of the tokenizer's \s.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"#: Controls that Python's split takes for white space and the tokenizer does not.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Controls that Python's split takes for white space and the tokenizer does not.
 NOT_WHITE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
@@ -60,11 +67,26 @@ def byte_symbols() -> list[str]:
     return out
 
 
+def disputed() -> regex.Pattern:
+    """Characters whose class or order depends on the version of Unicode:
+    those that this Python's tables leave unassigned, and combining marks."""
+    out, start = [f"{chr(LAST_SCRIPTS)}-{chr(0x10FFFF)}"], None
+    for cp in range(0x300, LAST_SCRIPTS + 1):
+        hit = unicodedata.category(chr(cp)) in ("Cn", "Mn", "Mc", "Me") and cp < LAST_SCRIPTS
+        if hit and start is None:
+            start = cp
+        elif not hit and start is not None:
+            out.append(f"{chr(start)}-{chr(cp - 1)}")
+            start = None
+    return regex.compile(f"[{''.join(out)}]")
+
+
 class Bpe:
     """Encoder and decoder for a tokenizer file with a BPE model over byte
     symbols and a word-end suffix."""
 
     def __init__(self, spec: dict) -> None:
+        self.spec, self.library, self.disputed = spec, None, None
         model = spec["model"]
         self.suffix = model["end_of_word_suffix"]
         self.vocab: dict[str, int] = model["vocab"]
@@ -123,7 +145,10 @@ class Bpe:
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one match of the split pattern."""
-        data = "".join([self.symbols[b] for b in word.encode()])
+        return self.encode_symbols("".join([self.symbols[b] for b in word.encode()]))
+
+    def encode_symbols(self, data: str) -> list[int]:
+        """Ids of one match, given as byte symbols."""
         n, pairs = len(data), self.pairs
         if len(pairs) > MEMORY:
             pairs.clear()
@@ -151,6 +176,8 @@ class Bpe:
             last[i], length[i] = token, size
         out, i = [], n
         while i:
+            if last[i] < 0:
+                raise ValueError(f"no token of the vocabulary ends at symbol {i} of {data!r}")
             out.append(last[i])
             i -= length[i]
         return out[::-1]
@@ -171,6 +198,22 @@ class Bpe:
         parts = [self.word(w) for w in self.split.findall(chunk)]
         return " ".join([p[0] for p in parts]), sum([p[1] for p in parts]), " ".join([p[2] for p in parts])
 
+    def by_library(self, text: str) -> list[tuple[str, int, str]]:
+        """The parts of a text that the library normalises and cuts."""
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_str(json.dumps(self.spec))
+        words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        all_ids = [self.encode_symbols(w) for w, _ in words]
+        return [(" ".join(map(str, ids)), len(ids), self.decode(ids)) for ids in all_ids]
+
+    def is_disputed(self, text: str) -> bool:
+        if text.isascii():
+            return False
+        self.disputed = self.disputed or disputed()
+        return self.disputed.search(text) is not None
+
     def chunks(self, text: str) -> list[str]:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
@@ -183,19 +226,24 @@ class Bpe:
 
     def encode_parts(self, text: str) -> list[tuple[str, int, str]]:
         """(ids as text, number, decoded) of every chunk."""
-        for memory in (self.seen, self.chunks_seen):
-            if len(memory) > MEMORY:
-                memory.clear()
-        out, seen = [], self.chunks_seen
+        out = []
         for piece in self.special_split.split(text) if "<|" in text else [text]:
             if piece in self.special:
                 i = self.special[piece]
                 out.append((str(i), 1, self.decode([i])))
                 continue
+            if self.is_disputed(piece):
+                out.extend(self.by_library(piece))
+                continue
             chunks = self.chunks(piece)
-            for c in set(chunks).difference(seen):
-                seen[c] = self.chunk(c)
-            out.extend([seen[c] for c in chunks])
+            for start in range(0, len(chunks), CHUNKS):
+                for memory in (self.seen, self.chunks_seen):
+                    if len(memory) > MEMORY:
+                        memory.clear()
+                now, seen = chunks[start:start + CHUNKS], self.chunks_seen
+                for c in set(now).difference(seen):
+                    seen[c] = self.chunk(c)
+                out.extend([seen[c] for c in now])
         return out
 
     def encode(self, text: str) -> list[int]:

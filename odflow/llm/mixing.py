@@ -81,7 +81,9 @@ def schedule(spark, targets: DataFrame, n_slots: int) -> DataFrame:
     point = golden(F.col("slot"))
     slots = slots.withColumn("point", F.floor(point / F.lit(float(1 << _BITS)) * F.lit(float(n_slots))).cast("long"))
     slots = slots.withColumn("cell", F.floor(F.col("point") * F.lit(_CELLS) / F.lit(float(n_slots))).cast("long"))
-    picked = (slots.join(F.broadcast(shares), "cell")
+    # a row for each source and, in all, for each cell
+    few = targets.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES
+    picked = (slots.join(F.broadcast(shares) if few else shares, "cell")
               .filter("point >= start and point < start + blocks")
               .select("slot", "source", "blocks", (F.col("slot") * F.lit(2.0**52 / n_slots)).cast("long").alias("key")))
     ranked = running_sum(picked, ["source"], ["key", "slot"], None, "block", n_slots)
