@@ -4,6 +4,8 @@ Writes are idempotent reloads, never blind appends (a retried task that
 appends twice would load a file twice):
 
 * ``overwrite``            create-or-replace a whole table;
+* ``overwrite_checked``    the same by a contract: all broken rules in one
+                           report, and the old table stays if there are any;
 * ``replace_partitions``   dynamic partition overwrite: only partitions
                            present in the new data are replaced;
 * ``replace_zone``         static overwrite of one ``tipo_zona=<level>``
@@ -16,9 +18,15 @@ appends twice would load a file twice):
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from odflow import schema as S
+from odflow.sources import storage
+
+
 class Lake:
     """Tables under one root.  ``frozen=True`` declares that the tables no
     longer change, so each table's schema is inferred once and reused."""
@@ -47,6 +55,25 @@ class Lake:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(layer, table))
 
+    def overwrite_checked(self, df: DataFrame, schema, layer: str, table: str, partition_by: list[str] | None = None) -> None:
+        """``overwrite`` by a contract, in one pass over ``df``.
+
+        Rows go to a folder beside the table and are counted against every
+        NOT NULL rule on the way.  Without a violation the folder takes the
+        table's place; else it is removed, the table stays as it was, and the
+        error tells for every broken rule how many rows break it, and one.
+        """
+        typed, watch = S.observed(df, schema, f"{layer}.{table}")
+        target, beside = self.path(layer, table), f"{self.path(layer, table)}_load_{uuid.uuid4().hex[:12]}"
+        w = typed.write
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(beside)
+        found = S.violations(watch)
+        if found:
+            storage.delete(self.spark, beside)
+            raise S.contract_error(f"{layer}.{table}", found)
+        storage.delete(self.spark, target)
+        storage.rename(self.spark, beside, target)
+
     def append(self, df: DataFrame, layer: str, table: str, partition_by: list[str] | None = None) -> None:
         """Positional-safe append (by name after the caller's ``enforce_schema``)."""
         w = df.write.mode("append")

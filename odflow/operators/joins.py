@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +66,62 @@ def dim_rows(df: DataFrame, cap: int | None = None) -> int:
     return n
 
 
+_FANS: dict[tuple, int] = {}
+
+
+def fan_out(df: DataFrame, col: str) -> int:
+    """Most rows that one value of ``col`` has: what a join with the stored
+    table ``df`` can multiply rows by.  Cached like ``dim_rows``."""
+    try:
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), col)
+    except Exception:  # noqa: BLE001
+        key = None
+    if key is not None:
+        with _ROWS_LOCK:
+            if key in _FANS:
+                return _FANS[key]
+    n = df.groupBy(col).count().agg(F.max("count")).first()[0] or 0
+    if key is not None:
+        with _ROWS_LOCK:
+            _FANS[key] = n
+    return n
+
+
+_RANGES: dict[tuple, list[tuple[int, int]]] = {}
+
+
+def key_ranges(keys: DataFrame, col: str, source: DataFrame, *what, most: int = 16) -> list[tuple[int, int]]:
+    """The values of an integer column as at most ``most`` ranges that hold
+    them all, cut at the widest gaps.
+
+    ``keys`` is a list of places, at most one value for each zone, and is
+    collected; cached by ``source``, the stored table that it comes from, its
+    files, and ``what`` was asked of it.
+    """
+    try:
+        cached = (source.semanticHash(), tuple(sorted(source.inputFiles())), col, most, *what)
+    except Exception:  # noqa: BLE001
+        cached = None
+    if cached is not None:
+        with _ROWS_LOCK:
+            if cached in _RANGES:
+                return _RANGES[cached]
+    values = sorted({r[0] for r in keys.select(col).distinct().collect() if r[0] is not None})
+    gaps = sorted(range(1, len(values)), key=lambda i: values[i - 1] - values[i])[:most - 1]
+    cuts = [0, *sorted(g for g in gaps if values[g] - values[g - 1] > 1), len(values)]
+    out = [(values[a], values[b - 1]) for a, b in zip(cuts, cuts[1:]) if a < b]
+    if cached is not None:
+        with _ROWS_LOCK:
+            _RANGES[cached] = out
+    return out
+
+
+def within(col: str, ranges: list[tuple[int, int]]) -> Column:
+    """Whether a column lies in one of the ranges: plain comparisons with
+    literals, which reach the Parquet scan and skip row groups."""
+    return reduce(Column.__or__, [F.col(col).between(a, b) for a, b in ranges], F.lit(False))
+
+
 def bounded_broadcast(df: DataFrame, bound: DataFrame | int | None = None,
                       budget_bytes: int = BROADCAST_BUDGET_BYTES, known_rows: int | None = None,
                       known_bytes: int | None = None) -> DataFrame:

@@ -164,28 +164,30 @@ cte("squares", """
 PERIOD_SQL = "DATE '2023-01-01' AND DATE '2023-01-14'"
 
 
-def _bq3(gold: str, places: str, where: str = "") -> None:
+def _bq3(gold: str, places: str, where: str = "", name: str = "") -> None:
     """Ranking of the places of a polygon: one row per place and day with the
     day's type, means by FILTER, rank by counting the smaller ratios."""
-    cte(f"place_days_{gold}", f"""
+    name = name or gold
+    cte(f"place_days_{name}", f"""
   SELECT z.nombre, k.fecha, k.tipo_dia AS working, sum(g.total_viajes) AS trips
   FROM calendario k JOIN {gold} g USING (fecha) JOIN (SELECT id, nombre FROM {places} {where}) z ON z.id = g.id_destino
   WHERE k.fecha >= '2023-01-01' AND k.fecha < '2023-01-15' GROUP BY ALL""", [gold, places, "calendario"])
-    cte(f"place_means_{gold}", f"""
+    cte(f"place_means_{name}", f"""
   SELECT nombre, avg(trips) FILTER (working) AS workday_v, avg(trips) FILTER (NOT working) AS weekend_v,
          CASE WHEN weekend_v <> 0 THEN workday_v / weekend_v END AS ratio
-  FROM place_days_{gold} GROUP BY nombre""", [f"place_days_{gold}"])
-    cte(f"ranking_{gold}", f"""
+  FROM place_days_{name} GROUP BY nombre""", [f"place_days_{name}"])
+    cte(f"ranking_{name}", f"""
   SELECT c.*, coalesce(n_below / nullif(n_all - 1, 0), 0)::DOUBLE AS percentile
   FROM (SELECT x.*, count(*) OVER () AS n_all,
-               (SELECT count(*) FROM place_means_{gold} o WHERE o.workday_v > 50 AND o.weekend_v IS NOT NULL
+               (SELECT count(*) FROM place_means_{name} o WHERE o.workday_v > 50 AND o.weekend_v IS NOT NULL
                   AND (o.ratio < x.ratio OR (x.ratio IS NULL AND o.ratio IS NOT NULL))) AS n_below
-        FROM place_means_{gold} x WHERE x.workday_v > 50 AND x.weekend_v IS NOT NULL) c
-  WHERE coalesce(n_below / nullif(n_all - 1, 0), 0) >= 0.95""", [f"place_means_{gold}"])
+        FROM place_means_{name} x WHERE x.workday_v > 50 AND x.weekend_v IS NOT NULL) c
+  WHERE coalesce(n_below / nullif(n_all - 1, 0), 0) >= 0.95""", [f"place_means_{name}"])
 
 
 _bq3("gold_municipios", "inpoly")
 _bq3("gold_distritos", "inpoly", "WHERE tipo_zona = 'distrito'")
+_bq3("gold_municipios", "lugares", name="wide")
 cte("ranked_places", "SELECT l.* FROM lugares l SEMI JOIN ranking_gold_municipios USING (nombre)", ["lugares", "ranking_gold_municipios"])
 
 # the two ends of a BQ2 pair, each with all it needs
@@ -237,6 +239,18 @@ cte("assigned", f"""
       FROM shares s, centres c) t
     WHERE rn = 1) a ON s.fecha = a.fecha""", ["shares", "centres"])
 
+# the best of all partitions of the days into three: inertia of a set is the sum of its squared distances over its size
+cte("day_numbers", "SELECT *, row_number() OVER (ORDER BY fecha) - 1 AS i FROM shares", ["shares"])
+cte("day_pairs", f"SELECT s.i AS i, c.i AS j, {_DIST} AS d FROM day_numbers s JOIN day_numbers c ON s.i < c.i", ["day_numbers"])
+cte("day_sets", """
+  SELECT m, coalesce(sum(d) FILTER ((m >> i) & 1 = 1 AND (m >> j) & 1 = 1), 0) / bit_count(m) AS spread
+  FROM (SELECT unnest(range(1, (1 << (SELECT count(*) FROM day_numbers)::INT))) AS m), day_pairs GROUP BY m""", ["day_numbers", "day_pairs"])
+cte("best_thirds", """
+  SELECT a.m AS a, b.m AS b, a.spread + b.spread + c.spread AS inertia
+  FROM (SELECT max(m) AS m FROM day_sets) w, day_sets a, day_sets b, day_sets c
+  WHERE a.m & 1 = 1 AND b.m & 1 = 0 AND a.m & b.m = 0 AND c.m = w.m - a.m - b.m
+    AND b.m & (w.m - a.m) & -(w.m - a.m) <> 0 ORDER BY inertia LIMIT 1""", ["day_sets"])
+
 CONCAVE_EDGES = "(-0.5, -0.5, 2.5, -0.5), (2.5, -0.5, 2.5, 2.5), (2.5, 2.5, 1.0, 1.0), (1.0, 1.0, -0.5, 2.5), (-0.5, 2.5, -0.5, -0.5)"
 
 VIAJES_COLS = "fecha, periodo, tipo_zona, id_origen, id_destino, viajes, viajes_metros"
@@ -252,6 +266,8 @@ SQL: dict[str, tuple[str, list[str]]] = {
     # ---- sources
     "empty_from_schema": ("SELECT fecha, periodo, origen, destino, viajes, viajes_km FROM bronze_trips LIMIT 0", ["bronze_trips"]),
     "csv_scan_trips": ("SELECT fecha, periodo, origen, destino, viajes, viajes_km FROM bronze_trips", ["bronze_trips"]),
+    "csv_daily_files": ("SELECT fecha, periodo, origen, destino, viajes, viajes_km FROM bronze_trips "
+                        "WHERE tipo_zona = 'municipios' AND fecha BETWEEN '2023-01-02' AND '2023-01-05'", ["bronze_trips"]),
     "csv_all_varchar": ("SELECT * FROM relaciones", ["relaciones"]),
     "geojson_scan": ("SELECT tipo_zona, mitma AS id, name, 'Polygon' AS kind, 4 AS n_edges, "
                      "cx - h AS xmin, cy - h AS ymin, cx + h AS xmax, cy + h AS ymax FROM geo_all", ["geo_all"]),
@@ -273,6 +289,12 @@ SQL: dict[str, tuple[str, list[str]]] = {
     # ---- sinks
     "ctas_roundtrip": ("SELECT id, renta FROM renta", ["renta"]),
     "not_null_contract": (f"SELECT {VIAJES_COLS} FROM typed_trips", ["typed_trips"]),
+    "contract_report": ("""
+      SELECT u.column, u.n_rows::BIGINT AS n_rows, u.rows_read FROM (
+        SELECT unnest([{'column': 'id_origen', 'n_rows': count(*) FILTER (c_custkey % 7 = 0), 'rows_read': count(*)},
+                       {'column': 'id_destino', 'n_rows': count(*) FILTER (c_custkey % 5 = 0), 'rows_read': count(*)},
+                       {'column': 'avg_viajes_metros', 'n_rows': count(*) FILTER (c_acctbal < 0), 'rows_read': count(*)}]) AS u
+        FROM customer) WHERE u.n_rows > 0""", []),
     "append_union": (f"SELECT {VIAJES_COLS} FROM viajes", ["viajes"]),
     "replace_partition_zone": (f"SELECT {VIAJES_COLS} FROM viajes WHERE NOT (tipo_zona = 'gaus' AND fecha > DATE '2023-01-07')",
                                ["viajes"]),
@@ -353,6 +375,7 @@ SQL: dict[str, tuple[str, list[str]]] = {
       FROM place_means_gold_municipios x WHERE x.weekend_v IS NOT NULL""", ["place_means_gold_municipios"]),
     "bq3_ranking": (f"SELECT nombre, {_r6('workday_v', 'weekend_v', 'ratio', 'percentile')} FROM ranking_gold_municipios",
                     ["ranking_gold_municipios"]),
+    "bq3_ranking_wide": (f"SELECT nombre, {_r6('workday_v', 'weekend_v', 'ratio', 'percentile')} FROM ranking_wide", ["ranking_wide"]),
     "top_percentile": (f"SELECT nombre, {_r6('workday_v', 'weekend_v', 'ratio', 'percentile')} FROM ranking_gold_distritos",
                        ["ranking_gold_distritos"]),
     "bq3_hourly": (f"""
@@ -386,7 +409,10 @@ SQL: dict[str, tuple[str, list[str]]] = {
     "pivot_hours": (f"SELECT fecha, {', '.join('h' + h for h in _H)} FROM day_vectors", ["day_vectors"]),
     "row_normalise": (f"SELECT fecha, {_r6(*['s' + h for h in _H])} FROM shares", ["shares"]),
     "kmeans_assign_fixed": ("SELECT fecha, cluster FROM assigned", ["assigned"]),
-    "bq1_day_clusters": ("SELECT fecha, true AS nearest, 3 AS n_clusters FROM shares", ["shares"]),
+    "bq1_day_clusters": ("""
+      SELECT fecha, true AS nearest, 3 AS n_clusters, round(inertia, 9) AS inertia,
+             CAST(CASE WHEN (a >> i) & 1 = 1 THEN 1 WHEN (b >> i) & 1 = 1 THEN 2 ELSE 3 END AS INTEGER) AS cluster
+      FROM day_numbers, best_thirds""", ["day_numbers", "best_thirds"]),
     "cluster_profile": (f"""
       SELECT cluster, count(*) AS n_days,
              {', '.join(f'round(avg(h{h}), 6) AS avg_h{h}' for h in _H)},
@@ -441,6 +467,9 @@ SQL: dict[str, tuple[str, list[str]]] = {
     "uc2_nonworking_days": ("""
       SELECT CAST(month(fecha) AS INTEGER) AS month_num, strftime(fecha, '%m - %B') AS month_name, count(*) AS non_working_days
       FROM calendario WHERE NOT tipo_dia GROUP BY 1, 2""", ["calendario"]),
+    "uc2_all_months": ("""
+      SELECT CAST(month(d) AS INTEGER) AS month_num, strftime(d, '%m - %B') AS month_name, count(*) AS non_working_days
+      FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) WHERE dayofweek(d) IN (0, 6) GROUP BY 1, 2""", []),
     "uc3_top_population": ("""
       SELECT l.nombre, p.poblacion FROM lugares l JOIN poblacion p ON l.id = p.id
       WHERE l.tipo_zona = 'municipio' ORDER BY p.poblacion DESC, l.nombre LIMIT 10""", ["lugares", "poblacion"]),

@@ -2,9 +2,9 @@
 
 Every function takes DataFrames and a ``MobilityParams`` and returns a lazy
 DataFrame.  Building a plan runs only small jobs, once per session and input:
-the polygon literal is parsed, and row counts of stored dimension tables
-(places, population, income, calendar; footers only) prove that they can be
-broadcast.  The gold fact is streamed once; where a result is used twice
+the polygon literal is parsed, the ids of its places are listed, and counts
+of the dimension tables (places, population, income, calendar; rows, and rows
+of an id) prove that they and what is joined of them can be broadcast.  The gold fact is streamed once; where a result is used twice
 (the BQ2 base, the BQ1 hourly totals) callers store it first.
 """
 
@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 
 from odflow.functions import geo
 from odflow.functions.scalar import safe_div
-from odflow.operators.joins import bounded_broadcast, mark_join, semi_join_names
+from odflow.operators.joins import bounded_broadcast, dim_rows, fan_out, key_ranges, mark_join, semi_join_names, within
 from odflow.operators.profiles import HOUR_COLS, kmeans_labels, normalise_rows, pivot_hours, share_cols
+from odflow.operators.ranking import percent_rank
 from odflow.params import ZONES, MobilityParams
 
 # ---- fixed values of the questions ----
 MIN_WORKDAY_VOLUME = 50        # BQ3 keeps places with more average workday trips
 TOP_PERCENTILE = 0.95          # BQ3 keeps the top 5 % by ratio
 TOP_LABEL, REST_LABEL = "Top 5%", "Resto"
+MAX_WINDOW_ROWS = 1_000_000    # places that one task may sort
 BQ2_MAP_ROWS, BQ2_CHART_ROWS, BQ2_LIST_ROWS = 50, 10, 15
 
 def places_in_polygon(lugares: DataFrame, wkt: str, geom_col: str = "coordenadas") -> DataFrame:
@@ -46,6 +48,15 @@ def catalogue(lugares: DataFrame, p: MobilityParams) -> DataFrame:
     return lugares.filter(F.col("tipo_zona") == ZONES[p.tipo_zona].place_level)
 
 
+def from_polygon(gold: DataFrame, lugares: DataFrame, p: MobilityParams) -> DataFrame:
+    """Gold rows of the period whose origin may lie in the polygon: the ids of
+    its places as literal ranges.  The join with the places decides; the ranges
+    let the scan skip row groups, which hold few origins each."""
+    inside = places_in_polygon(catalogue(lugares, p), p.polygon)
+    ranges = key_ranges(inside, "id", lugares, p.polygon, p.tipo_zona, p.zone_filter)
+    return _in_period(gold, p).filter(within("id_origen", ranges))
+
+
 def per_id(stat: DataFrame, value: str, p: MobilityParams) -> DataFrame:
     """Population or income rows: as loaded, or one (max) value per id with ``zone_filter``."""
     if not p.zone_filter:
@@ -66,9 +77,9 @@ def bq1_hourly_totals(gold: DataFrame, lugares: DataFrame, p: MobilityParams) ->
     unordered frame (a global sort would cost a sampling job and a range
     shuffle for nothing).
     """
+    v = from_polygon(gold, lugares, p)
     lugares = catalogue(lugares, p)
     origins = places_in_polygon(lugares, p.polygon).select(F.col("id").alias("_oid"))
-    v = _in_period(gold, p)
     j = v.join(bounded_broadcast(origins, lugares), v["id_origen"] == F.col("_oid"))
     return j.groupBy("fecha", F.col("periodo").cast("int").alias("periodo")).agg(
         F.sum("total_viajes").alias("total_viajes")
@@ -87,8 +98,9 @@ def day_vectors(hourly: DataFrame) -> DataFrame:
 
 
 def bq1_day_clusters(hourly: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
-    """C-9: k-means on the daily share vectors; cluster labels 1..k."""
-    return kmeans_labels(day_vectors(hourly), share_cols("s"), k, seed)
+    """C-9: k-means on the daily share vectors, the best of several starts;
+    cluster labels 1..k in order of their first days."""
+    return kmeans_labels(day_vectors(hourly), share_cols("s"), k, seed, order_col="fecha")
 
 
 def nearest_own_mean(clustered: DataFrame, features: list[str] | None = None) -> DataFrame:
@@ -126,6 +138,7 @@ def bq2_fact(gold: DataFrame, lugares: DataFrame, poblacion: DataFrame, renta: D
     same fan-out), so each gold row is probed against two broadcast sides
     instead of five.
     """
+    v = from_polygon(gold, lugares, p)
     lugares = catalogue(lugares, p)
     mo = places_in_polygon(lugares, p.polygon).select(
         F.col("id").alias("_mo"), F.col("nombre").alias("origen"),
@@ -141,10 +154,12 @@ def bq2_fact(gold: DataFrame, lugares: DataFrame, poblacion: DataFrame, renta: D
     r = renta.select(F.col("id").alias("_r"), F.col("renta").alias("_renta"))
     origin_dim = mo.join(po, F.col("_mo") == F.col("_po")).drop("_po")
     dest_dim = md.join(pd_, F.col("_md") == F.col("_pd")).join(r, F.col("_md") == F.col("_r")).drop("_pd", "_r")
-    v = _in_period(gold, p)
+    # places times the rows that an id has in the tables joined to them
+    n_origins = dim_rows(lugares) * fan_out(poblacion, "id")
+    n_dests = n_origins * fan_out(renta, "id")
     return (
-        v.join(bounded_broadcast(origin_dim), v["id_origen"] == F.col("_mo"))
-        .join(bounded_broadcast(dest_dim), v["id_destino"] == F.col("_md"))
+        v.join(bounded_broadcast(origin_dim, known_rows=n_origins), v["id_origen"] == F.col("_mo"))
+        .join(bounded_broadcast(dest_dim, known_rows=n_dests), v["id_destino"] == F.col("_md"))
     )
 
 
@@ -216,20 +231,23 @@ def bq3_place_stats(daily: DataFrame, calendario: DataFrame) -> DataFrame:
     )
 
 
-def bq3_scored(stats: DataFrame, min_volume: float | None = MIN_WORKDAY_VOLUME) -> DataFrame:
+def bq3_scored(stats: DataFrame, min_volume: float | None = MIN_WORKDAY_VOLUME, n_places: int | None = None) -> DataFrame:
     """Workday/weekend ratio and its percent rank among the places over the
-    minimum volume.  The rank is global, over one row per place (bounded by
-    the zone catalogue, so the single-partition window is small)."""
+    minimum volume.  ``n_places``: a bound of the rows, one per place, from the
+    catalogue; up to MAX_WINDOW_ROWS one sort ranks them, beyond and without
+    a bound they are ranked by ranges."""
     kept = stats.filter(F.col("weekend_v").isNotNull())
     if min_volume is not None:
         kept = kept.filter(F.col("workday_v") > min_volume)
-    return kept.withColumn("ratio", safe_div(F.col("workday_v"), F.col("weekend_v"))).withColumn(
-        "percentile", F.percent_rank().over(Window.orderBy(F.col("ratio").asc_nulls_last())))
+    kept = kept.withColumn("ratio", safe_div(F.col("workday_v"), F.col("weekend_v")))
+    if n_places is None or n_places > MAX_WINDOW_ROWS:
+        return percent_rank(kept, "ratio", "percentile")
+    return kept.withColumn("percentile", F.percent_rank().over(Window.orderBy(F.col("ratio").asc_nulls_last())))
 
 
 def bq3_ranking(gold: DataFrame, lugares: DataFrame, calendario: DataFrame, p: MobilityParams) -> DataFrame:
     """C-12: places whose workday/weekend volume ratio is in the top 5 %."""
-    scored = bq3_scored(bq3_place_stats(bq3_daily(gold, lugares, p), calendario))
+    scored = bq3_scored(bq3_place_stats(bq3_daily(gold, lugares, p), calendario), n_places=dim_rows(lugares))
     return scored.filter(F.col("percentile") >= TOP_PERCENTILE).orderBy(F.col("ratio").desc_nulls_last())
 
 

@@ -32,7 +32,7 @@ from odflow.functions.scalar import (
 )
 from odflow.lake import Lake
 from odflow.operators.joins import bounded_broadcast, mark_join, semi_join_names, spatial_join_points
-from odflow.operators.profiles import HOUR_COLS, assign_nearest, first_rows_as_centres, share_cols
+from odflow.operators.profiles import HOUR_COLS, assign_nearest, first_rows_as_centres, inertia, share_cols
 from odflow.params import ZONES, MobilityParams
 from odflow.plans import gold as G
 from odflow.plans import pipeline, reports
@@ -49,6 +49,7 @@ from odflow.streaming.ingest import LEVEL_FILES, start_trip_ingest
 PERIOD = ("2023-01-01", "2023-01-14")
 PARAMS = MobilityParams(fx.RECT_WKT, PERIOD[0], PERIOD[1], "municipios")
 PARAMS_DISTRITOS = MobilityParams(fx.RECT_WKT, PERIOD[0], PERIOD[1], "distritos", zone_filter=True)
+PARAMS_WIDE = MobilityParams("POLYGON((-1 -1, 5 -1, 5 6, -1 6, -1 -1))", PERIOD[0], PERIOD[1], "municipios")   # all places
 STREAM_FILES = 40                               # files of each level in a micro-batch
 UC6_DAY, UC6_PLACE = "2023-01-03", "NATION_5"
 FILTER_DAY, FILTER_LEVEL = "2023-01-03", "gaus"
@@ -117,6 +118,30 @@ def q_csv_scan_trips(spark, sf):
     return files.read_trip_csv(spark, trip_folder(spark, sf), "Viajes_")
 
 
+def _daily_folder(spark, sf) -> str:
+    """One gzip file a day of the municipal trips, named by its day."""
+    root = _scratch(spark, sf, "raw", "daily")
+    with _FILES_LOCK:
+        if not storage.exists(spark, f"{root}/_ready"):
+            tmp = f"{root}_tmp_{uuid.uuid4().hex[:8]}"
+            df = fx.bronze_trips(spark, sf).filter(F.col("tipo_zona") == "municipios").drop("tipo_zona")
+            (df.withColumn("day", F.regexp_replace("fecha", "-", "")).repartition("day").write.partitionBy("day")
+             .option("header", True).option("sep", "|").option("compression", "gzip").csv(tmp))
+            for path, _, _ in storage.listing(spark, tmp):
+                if path.endswith(".csv.gz"):
+                    day = path.split("/")[-2].split("=")[1]
+                    storage.rename(spark, path, f"{root}/{day}_{LEVEL_FILES['municipios']}.csv.gz")
+            storage.touch(spark, f"{root}/_ready")
+    return root
+
+
+@query("csv_daily_files")
+def q_csv_daily_files(spark, sf):
+    """The date-stamped files of a range of days, no listing; each holds its own day only."""
+    paths = files.daily_paths(_daily_folder(spark, sf), LEVEL_FILES["municipios"], *BETWEEN)
+    return files.read_trip_csv(spark, paths, day_in_name=True)
+
+
 def _written(spark, sf, name: str, make) -> str:
     """Folder of a raw file that ``make(folder)`` writes with Spark, once."""
     root = _scratch(spark, sf, "raw", name)
@@ -245,6 +270,22 @@ def q_not_null_contract(spark, sf):
     return S.enforce_schema(fx.viajes(spark, sf), S.SILVER_VIAJES, "silver.viajes")
 
 
+@query("contract_report")
+def q_contract_report(spark, sf):
+    """What a checked load says of customers that break three rules, one row a rule."""
+    cu = fx.table(spark, sf, "customer").select(
+        F.when(F.col("c_custkey") % 7 != 0, F.col("c_custkey")).alias("id_origen"),                     # missing
+        F.when(F.col("c_custkey") % 5 != 0, F.col("c_nationkey").cast("string")).otherwise("n/a").alias("id_destino"),    # no number
+        F.lit("2023-01-01").alias("fecha"), F.lit("0").alias("periodo"), F.lit(1.0).alias("total_viajes"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("avg_viajes_metros"))                 # negative ones left out
+    table = Lake(spark, _fresh(spark, "contract"))
+    typed, watch = S.observed(cu, S.GOLD_MOBILITY, "gold.mobility")
+    table.overwrite(typed, "gold", "mobility")
+    found = [(c, n) for c, n, _ in S.violations(watch)]       # one row for each broken rule
+    return spark.createDataFrame(found, "column string, n_rows long").withColumn(
+        "rows_read", table.read("gold", "mobility").agg(F.count("*")).scalar())
+
+
 @query("append_union")
 def q_append_union(spark, sf):
     lake = Lake(spark, _fresh(spark, "append"))
@@ -511,6 +552,12 @@ def q_bq3_ranking(spark, sf):
     return _ranking_out(_bq3_ranking(spark, sf))
 
 
+@query("bq3_ranking_wide")
+def q_bq3_ranking_wide(spark, sf):
+    """The ranking over a polygon around all places: several rows in the top 5 %."""
+    return _ranking_out(_bq3_ranking(spark, sf, PARAMS_WIDE))
+
+
 @query("top_percentile")
 def q_top_percentile(spark, sf):
     return _ranking_out(_bq3_ranking(spark, sf, PARAMS_DISTRITOS))
@@ -659,7 +706,10 @@ def q_cluster_profile(spark, sf):
 
 @query("bq1_day_clusters")
 def q_bq1_day_clusters(spark, sf):
-    return Q.nearest_own_mean(Q.bq1_day_clusters(_hourly_totals(spark, sf), PARAMS.k, PARAMS.seed))
+    """Labels and inertia of the day clusters, and that every day is nearest to its own cluster's mean."""
+    days = stored(Q.bq1_day_clusters(_hourly_totals(spark, sf), PARAMS.k, PARAMS.seed), "bq1-clusters")
+    near = Q.nearest_own_mean(days)
+    return near.join(days.select("fecha", "cluster"), "fecha").withColumn("inertia", F.round(inertia(days, share_cols("s")), 9))
 
 
 # =================================================================== scalar functions
@@ -781,6 +831,13 @@ def q_uc2(spark, sf):
     return U.uc2_nonworking_days(_silver(spark, sf, "calendario"))
 
 
+@query("uc2_all_months")
+def q_uc2_all_months(spark, sf):
+    """Non-working days by month over a calendar of several years, cleaned from raw text."""
+    days = fx.table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("fecha"))
+    return U.uc2_nonworking_days(SV.clean_calendar(fx.calendar_from_trips(days)))
+
+
 @query("uc3_top_population")
 def q_uc3(spark, sf):
     return U.uc3_top_population(_silver(spark, sf, "lugares"), _silver(spark, sf, "poblacion"))

@@ -8,7 +8,7 @@ no extra pass over the data is needed).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,3 +86,39 @@ def enforce_schema(df: DataFrame, schema: T.StructType, table: str = "table") ->
             c = not_null(c, f.dataType, f"NOT NULL violated: {table}.{f.name}")
         cols.append(c.alias(f.name))
     return df.select(*cols)
+
+
+def observed(df: DataFrame, schema: T.StructType, table: str = "table") -> tuple[DataFrame, Observation]:
+    """The contract counted instead of enforced, in the pass that writes.
+
+    Columns as ``enforce_schema`` casts and orders them, but values that do
+    not cast become NULL and nothing fails; the observation holds, for every
+    NOT NULL column, how many rows break it and one of them as it came in (the
+    least as JSON).  ``violations`` reads it after the write.
+    """
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ContractError(f"{table}: missing columns {missing}")
+    typed, counts = [], [F.count(F.lit(1)).alias("rows")]
+    as_it_came = F.to_json(F.struct(*[F.col(c) for c in df.columns if not isinstance(df.schema[c].dataType, (T.StructType, T.ArrayType))]))
+    for f in schema.fields:
+        c = F.col(f.name)
+        if df.schema[f.name].dataType != f.dataType:
+            c = c.try_cast(f.dataType) if not isinstance(f.dataType, T.StructType) else c.cast(f.dataType)
+        typed.append(c.alias(f.name))
+        if not f.nullable:
+            counts.append(F.count_if(c.isNull()).alias(f"n:{f.name}"))
+            counts.append(F.min(F.when(c.isNull(), as_it_came)).alias(f"row:{f.name}"))
+    watch = Observation(f"contract of {table}")
+    return df.observe(watch, *counts).select(*typed), watch
+
+
+def violations(watch: Observation) -> list[tuple[str, int, str]]:
+    """(column, rows that break it, one of them) of an ``observed`` write, worst first."""
+    got = watch.get
+    found = [(k[2:], n, got[f"row:{k[2:]}"]) for k, n in got.items() if k.startswith("n:") and n]
+    return sorted(found, key=lambda v: (-v[1], v[0]))
+
+
+def contract_error(table: str, found: list[tuple[str, int, str]]) -> ContractError:
+    return ContractError(f"{table}: NOT NULL violated: " + "; ".join(f"{column} in {n} rows, such as {row}" for column, n, row in found))

@@ -38,8 +38,14 @@ def list_files(spark: SparkSession, prefix: str, name_contains: str = "", suffix
 
 def header_schema(spark: SparkSession, sample: str, sep: str = "|") -> T.StructType:
     """Schema of a separated file from its header line, every column text
-    (the empty table made from a sample file)."""
-    names = spark.read.option("header", True).option("sep", sep).csv(sample).columns
+    (the empty table made from a sample file).  Only the beginning of the file
+    is read, without a job; a header with blank or repeated names, or none
+    there, is named by Spark's reader."""
+    lines = storage.head(spark, sample, dialect.SAMPLE_BYTES).decode("utf-8-sig", "replace").splitlines()
+    rows = dialect.lines_of(lines[0], sep, '"') if lines else []
+    names = rows[0] if rows else []
+    if not all(names) or len(set(names)) < len(names) or not names:
+        names = spark.read.option("header", True).option("sep", sep).csv(sample).columns
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 

@@ -48,6 +48,12 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder, if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """An empty marker file."""
     fs, p = _fs(spark, path)

@@ -25,6 +25,7 @@ from odflow import schema as S
 from odflow.lake import Lake
 from odflow.plans import gold
 from odflow.plans.silver import silver_trips
+from odflow.session import stored
 from odflow.sources.files import list_files, read_trip_csv
 
 # ---- fixed values: file-name markers of the three trip levels ----
@@ -60,9 +61,10 @@ def _process_batch(lake: Lake, relaciones: DataFrame, prefix: str, batch: DataFr
     for r in batch.select("tipo_zona", "path").distinct().collect():     # one row per new file
         new.setdefault(r.tipo_zona, set()).add(file_day(r.path))
     spark = lake.spark
+    files = list_files(spark, prefix, "", ".csv.gz")       # once a batch, for all levels
     for level in sorted(new):
         days = sorted(new[level])
-        paths = [p for p in list_files(spark, prefix, LEVEL_FILES[level], ".csv.gz") if file_day(p) in new[level]]
+        paths = [p for p in files if LEVEL_FILES[level] in p.rsplit("/", 1)[-1] and file_day(p) in new[level]]
         rows = silver_trips({level: read_trip_csv(spark, paths, day_in_name=True)}, relaciones).drop("tipo_zona")
         lake.replace_days(rows, "silver", f"viajes/tipo_zona={level}", days)
         gold.write_gold(lake, lake.read("silver", "viajes"), level, days)
@@ -88,7 +90,7 @@ def start_trip_ingest(
     src = streams[0]
     for s in streams[1:]:
         src = src.unionByName(s)
-    rel = relaciones.cache()    # a small dimension read once for every batch
+    rel = stored(relaciones, "relaciones")      # a small dimension that every batch reads
     w = src.writeStream.foreachBatch(lambda df, bid: _process_batch(lake, rel, prefix, df, bid)).option(
         "checkpointLocation", checkpoint_location
     )

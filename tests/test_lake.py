@@ -64,3 +64,24 @@ def test_append_then_overwrite(spark, scratch):
     assert lake.read("silver", "t").count() == 8
     lake.overwrite(v, "silver", "t")
     assert lake.read("silver", "t").count() == 4
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_gold_by_one_exchange_is_the_same_table(spark, scratch):
+    rows = spark.range(5000).selectExpr(
+        "date_add(date'2023-01-01', cast(id % 5 as int)) as fecha", "cast(id % 24 as int) as periodo", "'municipios' as tipo_zona",
+        "cast(if(id % 3 = 0, 7, id % 40) as int) as id_origen", "cast(id % 31 as int) as id_destino", "cast(id % 9 as double) as viajes", "10D as viajes_metros")
+    lake = Lake(spark, scratch)
+    lake.overwrite(rows, "silver", "viajes")
+    v = lake.read("silver", "viajes")
+    assert _exchanges(G.gold_rollup(v, "municipios", one_exchange=True)) == 1
+    G.write_gold(lake, v, "municipios")
+    two = _snapshot(lake.read("gold", G.ZONES["municipios"].gold_table))
+    G.write_gold(lake, v, "municipios", one_exchange=True)
+    assert _snapshot(lake.read("gold", G.ZONES["municipios"].gold_table)) == two
+    G.write_gold(lake, v.filter("id_origen <> 7"), "municipios", days=["2023-01-02"], one_exchange=True)
+    left = lake.read("gold", G.ZONES["municipios"].gold_table)
+    assert left.filter("fecha = '2023-01-02' and id_origen = 7").count() == 0 and left.filter("fecha = '2023-01-03' and id_origen = 7").count() > 0
