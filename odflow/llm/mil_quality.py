@@ -8,8 +8,9 @@ the passages; the weighted mean of their codes gives the score.
 
 Labels are learned only from rows whose crc32(doc_id as text) mod 3 is not 1.
 The fit uses a bounded sample: for each label the TRAIN_ROWS rows of smallest
-id hash, of at most TRAIN_PASSAGES passages each; the score's offset is then
-set to the label shares of all rows open to training.  Scoring covers every
+id hash, of at most TRAIN_PASSAGES passages each, until they have half of
+TRAIN_TOTAL passages (all that is ever on the driver, plus one row); the
+score's offset is then set to the label shares of all rows open to training.  Scoring covers every
 passage of every text.  Label, language, source and id never enter a score.
 
 Null and empty texts are one passage without words.  Labels: null ones are
@@ -33,6 +34,7 @@ from odflow.llm.textvec import WordHasher, shingles, stretches
 PASSAGE = 64
 TRAIN_ROWS = 3000
 TRAIN_PASSAGES = 400
+TRAIN_TOTAL = 160_000
 HASHED = 32
 HIDDEN = 24
 GATE = 12
@@ -179,7 +181,7 @@ def held_out(doc_id="doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame) -> GatedAttention:
-    """``docs`` (doc_id, text), ``labels`` (doc_id, quality)."""
+    """``docs`` (doc_id, text), ``labels`` (doc_id, quality); other columns are not looked at."""
     labels = (labels.filter("doc_id is not null and quality is not null").filter(~held_out())
               .groupBy("doc_id").agg(F.max("quality").cast("int").alias("_y")))
     shares = {r["_y"]: r["count"] for r in labels.filter("_y in (0, 1)").groupBy("_y").count().collect()}
@@ -202,19 +204,30 @@ def train(docs: DataFrame, labels: DataFrame) -> GatedAttention:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(ys, pa.int32()), pa.array(xs, pa.binary())], ["doc_id", "y", "x"])
 
-    # at most 2 * TRAIN_ROWS ids: small enough to send everywhere, and their features to the driver
+    # at most 2 * TRAIN_ROWS ids: small enough to send everywhere
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(sample.withColumnRenamed("doc_id", "_id")), F.col("doc_id") == F.col("_id")).select("doc_id", "_y", "text")
     rows = picked.mapInArrow(features, "doc_id long, y int, x binary")
-    rows = rows.groupBy("doc_id", "y").agg(F.min("x").alias("x")).toPandas().sort_values("doc_id")
+    rows = rows.groupBy("doc_id", "y").agg(F.min("x").alias("x")).orderBy(key, "doc_id")
+    # in order of the key, partition by partition, until a label has its passages: no more than that is ever held
+    held: list[tuple[int, int, np.ndarray]] = []
+    left = {0: TRAIN_TOTAL // 2, 1: TRAIN_TOTAL // 2}
+    for r in rows.toLocalIterator():
+        x = np.frombuffer(r["x"], np.float32).reshape(-1, N_FEATURES)
+        if left[r["y"]] > 0:
+            left[r["y"]] -= len(x)
+            held.append((r["doc_id"], r["y"], x))
+        elif max(left.values()) <= 0:
+            break
+    held.sort(key=lambda h: h[0])
+    y = np.array([h[1] for h in held])
     model = GatedAttention()
-    if rows["y"].nunique() < 2:
+    if len(set(y.tolist())) < 2:
         n0, n1 = shares.get(0, 0), shares.get(1, 0)
         model.constant = (n1 + 1) / (n0 + n1 + 2)
         return model
-    xs = [np.frombuffer(b, np.float32).reshape(-1, N_FEATURES) for b in rows["x"]]
-    bags = np.concatenate([[0], np.cumsum([len(x) for x in xs])])
-    model.fit(np.concatenate(xs).astype(np.float64), bags, rows["y"].to_numpy(), (shares.get(0, 0), shares.get(1, 0)))
+    bags = np.concatenate([[0], np.cumsum([len(h[2]) for h in held])])
+    model.fit(np.concatenate([h[2] for h in held]).astype(np.float64), bags, y, (shares.get(0, 0), shares.get(1, 0)))
     return model
 
 

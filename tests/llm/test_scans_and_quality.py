@@ -182,3 +182,24 @@ def test_passage_features_do_not_depend_on_neighbours():
             together[row + d] = x[bags[d]:bags[d + 1]]
     for i, a in enumerate(alone):
         assert np.allclose(a, together[i])
+
+
+def test_training_holds_a_bounded_number_of_passages(spark, monkeypatch):
+    """However long the labelled texts, the fit sees TRAIN_TOTAL passages, shared by both labels."""
+    from odflow.llm import mil_quality
+
+    monkeypatch.setattr(mil_quality, "TRAIN_TOTAL", 200)
+    monkeypatch.setattr(mil_quality, "EPOCHS", 2)
+    seen = {}
+    fit = mil_quality.GatedAttention.fit
+
+    def spy(self, x, bags, y, shares):
+        seen.update(passages=len(x), labels=sorted(set(y.tolist())), rows=len(y))
+        return fit(self, x, bags, y, shares)
+
+    monkeypatch.setattr(mil_quality.GatedAttention, "fit", spy)
+    docs = spark.range(300).selectExpr("id as doc_id", "repeat('some words of a text ', cast(20 + id % 200 as int)) as text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality")
+    mil_quality.train(docs, labels)
+    longest = 200 * 5 // mil_quality.PASSAGE + 2
+    assert seen["labels"] == [0, 1] and 100 <= seen["passages"] <= 200 + 2 * longest and seen["rows"] < 100
