@@ -139,3 +139,40 @@ def test_pruned_jaccard(spark):
     r = df.select(S.jaccard("a", "b").alias("j"), S.pruned_jaccard("a", "b").alias("p"), S.length_part("a").alias("x"), S.length_part("b").alias("y")).collect()
     assert [x.j for x in r] == [0.8, 0.2, 1.0] and [x.p for x in r] == [0.8, 0.0, 1.0]
     assert abs(r[0].x - r[0].y) <= 1
+
+
+@pytest.mark.parametrize("ids", [
+    [-9 * 10**18, 3, 9 * 10**18],
+    [-2**63, 2**63 - 1, 0, None, None],
+    [hash((i, "x")) * 7919 % 2**64 - 2**63 for i in range(300)],
+    [*range(200), 2**62],
+    [7] * 100 + list(range(200)),
+    [None] * 100 + list(range(200)),
+])
+def test_next_row_for_any_spread_of_ids(spark, monkeypatch, ids):
+    """Wide and hashed ids, one outlier, one id on a third of the rows."""
+    monkeypatch.setattr(S, "ROWS_PER_BUCKET", 20)
+    df = spark.createDataFrame([(i, f"t{k}", [k]) for k, i in enumerate(ids)], "doc_id long, text string, sigs array<int>")
+    rows = S.with_next(df, len(ids)).collect()
+    assert len(rows) == len(ids)
+    tie = {r.text: r.h for r in df.selectExpr("text", "xxhash64(text) as h").collect()}
+    order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, -(ids[k] or 0), tie[f"t{k}"]))
+    after = {f"t{k}": f"t{order[(p + 1) % len(order)]}" for p, k in enumerate(order)}
+    assert {r.text: r.next_text for r in rows} == after
+
+
+def test_a_hot_id_and_equal_rows_fall_into_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(S, "ROWS_PER_BUCKET", 50)
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, 1L, id) as doc_id", "if(id % 3 = 0, 'same', string(id)) as text", "array(int(id)) as sigs")
+    seen = []
+    window = S.Window.partitionBy
+
+    def spy(*columns):
+        seen.append(columns)
+        return window(*columns)
+
+    monkeypatch.setattr(S.Window, "partitionBy", spy)
+    out = S.with_next(df.repartition(4), 3000)
+    assert out.count() == 3000 and seen == [("_part",)]
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert plan.count("xxhash64(monotonically_increasing_id()") >= 1

@@ -84,3 +84,37 @@ def test_skipping_does_not_inflate_payloads(tmp_path, monkeypatch):
     monkeypatch.setattr(W.Inflated, "_more", lambda self: asked.append(1) or inside(self))
     got = list(W.records(W.Source(pafs.LocalFileSystem().open_input_file(str(path))), lambda r: r["record_id"] == "<2>", False))
     assert [r["payload_length"] for r in got] == [3_000_000] and len(asked) <= 4
+
+
+def _ids(spark, path):
+    return sorted(r.record_id for r in W.read_warc(spark, path).collect())
+
+
+def test_appends_add_and_overwrites_replace(spark, tmp_path):
+    path = str(tmp_path / "w")
+    pages = lambda *ids: spark.createDataFrame([(i, f"http://{i}", f"text {i}") for i in ids], "page_id long, url string, html string")
+    W.archive(pages(1), path)
+    W.archive(pages(2, 3), path)
+    assert _ids(spark, path) == ["<urn:page:1>", "<urn:page:2>", "<urn:page:3>"]
+    W.archive(pages(4), path, mode="overwrite")
+    assert _ids(spark, path) == ["<urn:page:4>"]
+    W.archive(pages(5), path)
+    assert _ids(spark, path) == ["<urn:page:4>", "<urn:page:5>"]
+    assert len(list((tmp_path / "w").glob("*.warc.gz"))) == len(list((tmp_path / "w").glob("*.json"))) == 2
+    W.archive(pages(), path, mode="overwrite")
+    assert _ids(spark, path) == []
+
+
+def test_a_replaced_manifest_does_not_count_before_it_is_gone(spark, tmp_path):
+    path = write(spark, tmp_path)
+    old = [p.name for p in (tmp_path / "w").glob("*.json")]
+    (tmp_path / "w" / f"{W.MANIFEST}new.json").write_text(f'{{"files": [], "replaces": ["{old[0]}"]}}')
+    assert _ids(spark, path) == []
+
+
+def test_paths_are_resolved_as_spark_does(spark, tmp_path):
+    assert W.resolved(spark, str(tmp_path)) == f"file:{tmp_path}"
+    W.register(spark)
+    with pytest.raises(Exception, match="scheme"):
+        spark.read.format("warc").load(str(tmp_path)).count()
+    assert W._open(f"file:{tmp_path}")[1] == str(tmp_path)
