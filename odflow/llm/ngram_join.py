@@ -26,13 +26,24 @@ shingles in common with anyone is out at once.
 Hot buckets.  Each bucket names a leader, and every set is first verified
 against the STARS leaders it shares most buckets with, STAR_ROUNDS times, each
 time leaders of another component: stars that grow with the rows and not with
-pairs.  Components of these links are found; only buckets that still hold sets of two or more components, of sizes that can
-match, go on: two sets meet directly, more in a tree, and pairs inside a
-component are not looked at, as they cannot change the components.  ``links``
-spares no pair: it takes neither leaders nor labels and verifies all pairs.  Buckets of
-over BLOCK sets are cut into blocks, and each pair of blocks is a task group
-of its own.  Nothing is capped or dropped: a link lost would need a pair that
-shares no prefix shingle, which the length filter excludes.
+pairs.  Components of these links are found; only buckets that still hold sets
+of two or more components, of sizes that can match, go on, and pairs inside a
+component are not looked at, as they cannot change the components.  Trees over
+the points of a bucket name the sets that have a partner left; pairs are not
+written.  The sets themselves then go to their buckets and are verified there,
+against a union-find of the components: only a link that joins two of them is
+handed on, so rows grow with the sets.  For BUCKET_ROUNDS rounds only buckets go
+on that are the fullest open one for half their sets or more, at most two places
+a set; most groups are one component after the first, which closes all their
+buckets.  Sets that met in such a bucket are settled, and before each round the
+trees are asked again who has a partner left.  The last round sends each of
+these to all open buckets it has left, where a pair is looked at in the first
+one it shares.
+``links`` spares no pair: it takes neither leaders nor labels and verifies all
+pairs.  Buckets of over BLOCK sets or BLOCK_GRAMS shingles are cut into blocks,
+and each pair of blocks is a task group of its own.  Nothing is capped or
+dropped: a link lost would need a pair that shares no prefix shingle, which the
+length filter excludes.
 
 Hashes.  Shingles are compared as 64-bit hashes, classes as 128-bit
 signatures; buckets name a class by 64 bits of its signature, which about 25
@@ -66,6 +77,8 @@ STARS = 2
 CELLS = 1 << 17
 CELLS_PER_ROW = 1 << 12
 BLOCK = 2048
+BLOCK_GRAMS = 1 << 20
+BUCKET_ROUNDS = 2
 #: Rows whose sets are fetched by a broadcast of their keys (eight bytes each); beyond, by a shuffle.
 MAX_BROADCAST_KEYS = 1_000_000
 FANOUT = 16
@@ -178,6 +191,44 @@ class CountTree:
             yield self.order[np.flatnonzero(row)]
 
 
+class BucketLinks:
+    """Verifies the sets of one bucket (or of two blocks of it) and keeps the
+    components that its links join."""
+
+    def __init__(self, sets: list[np.ndarray], labels: np.ndarray, num: int, den: int) -> None:
+        self.sets, self.num, self.den = sets, num, den
+        self.root = labels.copy()       # of each set, its component as far as known here
+
+    def linked(self, q: int, others: np.ndarray) -> np.ndarray:
+        """Which of the others' sets link with that of ``q``."""
+        mine, sizes = self.sets[q], np.array([len(self.sets[o]) for o in others])
+        theirs = np.concatenate([self.sets[o] for o in others])
+        at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+        shared = np.add.reduceat((mine[at] == theirs).astype(np.int64), np.cumsum(sizes) - sizes)
+        return self.den * shared >= self.num * (len(mine) + sizes - shared)
+
+    def join(self, q: int, found: np.ndarray) -> Iterator[tuple[int, int]]:
+        """The links of ``q`` with ``found`` that join two components: a few
+        sets of each other component are tried first, then more of those that
+        are still apart."""
+        tries = 1
+        while len(found):
+            found = found[self.root[found] != self.root[q]]
+            of = self.root[found]
+            order = np.argsort(of, kind="stable")
+            found, of = found[order], of[order]
+            place = np.arange(len(of)) - np.searchsorted(of, of)
+            now = found[place < tries]
+            if len(now):
+                for o in now[self.linked(q, now)]:
+                    a, b = self.root[q], self.root[o]
+                    if a != b:
+                        self.root[self.root == max(a, b)] = min(a, b)
+                        yield q, int(o)
+            found = found[place >= tries]
+            tries *= 4
+
+
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The runs of equal keys of sorted batches, each whole."""
     rest = None
@@ -368,7 +419,7 @@ class Sets:
         return stored(links.distinct(), f"join-{name}-links")
 
     def tree_pairs(self, rows: DataFrame) -> DataFrame:
-        """Pairs (a, b) of different labels out of the buckets' trees.
+        """Pairs (a, b) of different labels out of the buckets' trees, for ``links``.
         ``rows``: h, s1, n, short, label, point, and _n, the rows of h."""
         num, den = self.num, self.den
         rows = rows.withColumn("_blocks", F.ceil(F.col("_n") / BLOCK).cast("int"))
@@ -410,6 +461,149 @@ class Sets:
         dealt = rows.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
         return dealt.mapInArrow(run, "a long, b long").distinct()
 
+    @staticmethod
+    def in_blocks(rows: DataFrame, columns: list[str]) -> DataFrame:
+        """Rows of buckets dealt to pairs of blocks (h, i, j); ``own`` is the row's block."""
+        rows = rows.withColumn("_blocks", F.greatest(F.ceil(F.col("_n") / BLOCK), F.ceil(F.col("_grams") / BLOCK_GRAMS)).cast("int"))
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("s1"), F.col("_blocks")).cast("int"))
+        rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        rows = rows.select("h", F.least("own", "_other").alias("i"), F.greatest("own", "_other").alias("j"), "own", *columns)
+        return rows.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
+
+    @staticmethod
+    def open_rows(rows: DataFrame) -> DataFrame:
+        """The rows (h, s1, n, label, short) of buckets that hold two
+        components, with their number of sets and of shingles.  Of buckets with
+        the same sets, known by two hashes of them, one stands for all: near
+        copies of a long text share hundreds of prefix shingles."""
+        rows = rows.select("h", "s1", "n", "label", "short")
+        stats = rows.groupBy("h").agg(
+            F.min("label").alias("_low"), F.max("label").alias("_high"), F.count("*").alias("_n"), F.sum("n").alias("_grams"),
+            F.bit_xor(F.xxhash64("s1")).alias("_x"), F.bit_xor(F.xxhash64("s1", F.lit(1))).alias("_y")).filter("_low < _high")
+        same = Window.partitionBy("_n", "_x", "_y")
+        stats = stats.withColumn("_first", F.min("h").over(same)).select(F.col("h").alias("_h"), "_first", "_n", "_grams")
+        met = rows.join(stats, F.col("h") == F.col("_h"))
+        return met.groupBy(F.col("_first").alias("h"), "s1").agg(
+            F.first("n").alias("n"), F.first("label").alias("label"), F.max("short").alias("short"), F.first("_n").alias("_n"), F.first("_grams").alias("_grams"))
+
+    def with_partners(self, rows: DataFrame, pts: DataFrame, done: DataFrame | None = None) -> DataFrame:
+        """The ``rows`` of open buckets that the trees leave a partner of
+        another label.  ``done`` (s1, h): buckets verified before; two sets that
+        met in one of them are settled and no partners."""
+        num, den = self.num, self.den
+        shown = rows.join(pts, "s1")
+        if done is None:
+            shown = shown.withColumn("done", F.array().cast("array<long>"))
+        else:
+            met = done.groupBy("s1").agg(F.collect_list("h").alias("done"))
+            shown = shown.join(met, "s1", "left").withColumn("done", F.coalesce("done", F.array().cast("array<long>")))
+
+        def run(batches):
+            hs, ids, waiting = [], [], 0
+            for t in _grouped(batches, ["h", "i", "j"]):
+                full = [counts_of(p) for p in t.column("point").to_pylist()]
+                least = min(map(len, full))
+                pts = np.stack([folded(c, least) for c in full])
+                n = t.column("n").to_numpy().astype(np.int64)
+                short = t.column("short").to_numpy(zero_copy_only=False).astype(bool)
+                label, own = t.column("label").to_numpy(), t.column("own").to_numpy()
+                tree_side, queries = np.flatnonzero(own == t.column("j")[0].as_py()), np.flatnonzero(own == t.column("i")[0].as_py())
+                left, before = np.zeros(len(n), bool), t.column("done").to_pylist()
+                number = {b: i for i, b in enumerate({b for bs in before for b in bs})}
+                was_in = np.zeros((len(n), len(number)), bool)
+                for i, bs in enumerate(before):
+                    was_in[i, [number[b] for b in bs]] = True
+                tree = CountTree(pts[tree_side], n[tree_side])
+                for q, found in zip(queries, tree.near_all(pts[queries], n[queries], num, den)):
+                    found = tree_side[found]
+                    found = found[(label[found] != label[q]) & ((short[q] & (n[q] <= n[found])) | (short[found] & (n[found] <= n[q])))]
+                    if number:
+                        found = found[~(was_in[found] & was_in[q]).any(axis=1)]
+                    if len(full[q]) > least:
+                        found = found[[most_shared(full[q], full[f]) >= _needed(int(n[q]), int(n[f]), num, den) for f in found]]
+                    if len(found):
+                        left[q] = left[found] = True
+                kept = t.column("s1").to_numpy()[left]
+                hs.append(np.full(len(kept), t.column("h")[0].as_py(), np.int64))
+                ids.append(kept)
+                waiting += len(kept)
+                if waiting >= FLUSH:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.concatenate(ids))], ["h", "s1"])
+                    hs, ids, waiting = [], [], 0
+            if waiting:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.concatenate(ids))], ["h", "s1"])
+
+        near = self.in_blocks(shown, ["s1", "n", "short", "label", "point", "done"]).mapInArrow(run, "h long, s1 long").distinct()
+        return rows.join(near, ["h", "s1"], "left_semi")
+
+    def bucket_links(self, rows: DataFrame) -> DataFrame:
+        """Links (u, v) that join two components of a bucket, from ``rows`` (h,
+        s1, s2, n, label, grams, rest, _n, _grams).  ``rest``: the set's buckets
+        of this round in order, null if it is in one only."""
+        num, den = self.num, self.den
+
+        def run(batches):
+            for t in _grouped(batches, ["h", "i", "j"]):
+                grams = [np.frombuffer(g.as_buffer(), np.uint64) for g in t.column("grams").combine_chunks()]
+                rest = [None if r is None else set(r) for r in t.column("rest").to_pylist()]
+                h, i, j = (t.column(c)[0].as_py() for c in ("h", "i", "j"))
+                n, own = np.array([len(g) for g in grams]), t.column("own").to_numpy()
+                full = [counts_of(point(g)) for g in grams]
+                least = min(map(len, full))
+                pts = np.stack([folded(c, least) for c in full])
+                tree_side, queries = np.flatnonzero(own == j), np.flatnonzero(own == i)
+                tree, known, out = CountTree(pts[tree_side], n[tree_side]), BucketLinks(grams, t.column("label").to_numpy(), num, den), []
+                for q, found in zip(queries, tree.near_all(pts[queries], n[queries], num, den)):
+                    found = tree_side[found]
+                    found = found[found > q] if i == j else found
+                    if rest[q] is not None:         # the pair's first bucket in common
+                        found = found[known.root[found] != known.root[q]]
+                        found = found[[min(rest[q] & rest[f]) == h for f in found]] if len(found) else found
+                    out += known.join(int(q), found.astype(np.int64))
+                if out:
+                    u, v = map(list, zip(*out))
+                    ends = [t.column(c).take(pa.array(k)).combine_chunks() for k in (u, v) for c in ("s1", "s2")]
+                    yield pa.RecordBatch.from_arrays(ends, ["u1", "u2", "v1", "v2"])
+
+        dealt = self.in_blocks(rows, ["s1", "s2", "label", "grams", "rest"])
+        links = dealt.mapInArrow(run, "u1 long, u2 long, v1 long, v2 long").distinct()
+        return stored(links.select(F.struct(F.col("u1").alias("s1"), F.col("u2").alias("s2")).alias("u"),
+                                   F.struct(F.col("v1").alias("s1"), F.col("v2").alias("s2")).alias("v")), "join-bucket-links")
+
+    def closed(self, rows: DataFrame, classes: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """The components once every bucket of ``rows`` (h, s1, n, short, core,
+        label) has been verified or holds one component."""
+        pts = classes.select("s1", F.coalesce("coarse", "point").alias("point")).dropDuplicates(["s1"])
+        rows = rows.filter("core").select("h", "s1", "n", "short", "label")
+        rows = stored(self.with_partners(stored(self.open_rows(rows), "join-open"), pts), "join-near")
+        if rows.isEmpty():
+            return labels
+        ends = rows.select("s1").distinct()
+        sets = stored(self.members(classes.join(ends, "s1").select("r.doc_id", "r.text_hash")).dropDuplicates(["s1", "s2"]), "join-sets")
+        done = None
+        for turn in range(BUCKET_ROUNDS + 1):
+            rows = stored(self.open_rows(rows), "join-open")
+            if done is not None:        # only sets that have not met all of their partners go on
+                rows = stored(self.open_rows(stored(self.with_partners(rows, pts, done), "join-near")), "join-open")
+            if rows.isEmpty():
+                break
+            if turn < BUCKET_ROUNDS:
+                # buckets that are the fullest one of half their sets: whole buckets, and on average two places a set
+                fullest = rows.groupBy("s1").agg(F.max(F.struct("_n", "h")).alias("_best")).groupBy(F.col("_best.h").alias("h"), F.col("_best._n").alias("_of")).count()
+                chosen = fullest.filter("2 * count >= _of").select("h")
+                now = rows.join(chosen, "h", "left_semi").withColumn("rest", F.lit(None).cast("array<long>"))
+                rows = rows.join(chosen, "h", "left_anti")
+            else:
+                now = rows.join(rows.groupBy("s1").agg(F.sort_array(F.collect_list("h")).alias("rest")), "s1")
+                rows = rows.limit(0)
+            visits = now.select("s1", "h")
+            done = stored(visits if done is None else done.unionByName(visits), "join-done")
+            labels = self.merged(labels, self.bucket_links(now.join(sets.select("s1", "s2", "grams"), "s1")))
+            if labels is not None:
+                found = labels.select(F.col("node.s1").alias("s1"), F.col("root.s1").alias("_label")).dropDuplicates(["s1"])
+                rows = rows.join(found, "s1", "left").withColumn("label", F.coalesce("_label", "label")).drop("_label")
+        return labels
+
     @staticmethod
     def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
         """Components of the links so far (their stars stand for them) and the new ones."""
@@ -477,10 +671,10 @@ class Sets:
             found = labels.select(F.col("node.s1").alias("s1"), F.col("root.s1").alias("_label"))
             rows = stored(shared.join(found, "s1", "left").select("h", "s1", "n", "short", "core", F.coalesce("_label", "s1").alias("label")), "join-labelled")
 
-        pairs = self.open_pairs(rows, classes).join(met, ["a", "b"], "left_anti")
-        labels = self.merged(labels, self.verified(pairs, classes, "tree"))
+        labels = self.closed(rows, classes, labels)
         own = F.struct(F.col("s1").alias("s1"), F.col("s2").alias("s2"))
-        out = signatures.withColumn("_node", own).join(labels, F.col("_node") == F.col("node"), "left")
+        out = signatures.withColumn("_node", own)
+        out = out.withColumn("root", own) if labels is None else out.join(labels, F.col("_node") == F.col("node"), "left")
         return out.select("doc_id", "text_hash", "n", "s1", "s2", F.coalesce("root", "_node").alias("root"))
 
 
