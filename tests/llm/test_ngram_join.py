@@ -133,3 +133,76 @@ def test_points_of_any_size():
         x, y = np.unique(r.integers(0, 2**64, a, dtype=np.uint64)), np.unique(r.integers(0, 2**64, b, dtype=np.uint64))
         y[: min(a, b) // 2] = x[: min(a, b) // 2]
         assert N.most_shared(N.counts_of(N.point(x)), N.counts_of(N.point(y))) >= len(np.intersect1d(x, y))
+
+
+@pytest.mark.parametrize("stars,rounds,block,grams", [(0, 0, 2048, 1 << 21), (0, 1, 3, 1 << 21), (0, 2, 2048, 60), (1, 2, 3, 60), (2, 0, 2048, 1 << 21)])
+def test_buckets_alone_find_the_components(spark, monkeypatch, stars, rounds, block, grams):
+    """Without or with leaders, in one round or several, in blocks or not."""
+    monkeypatch.setattr(N, "STAR_ROUNDS", stars)
+    monkeypatch.setattr(N, "BUCKET_ROUNDS", rounds)
+    monkeypatch.setattr(N, "BLOCK", block)
+    monkeypatch.setattr(N, "BLOCK_GRAMS", grams)
+    rows = near_copies(7)
+    got = {r.doc_id: r.component_id for r in N.components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 60, 100).collect()}
+    want = brute.component_ids([brute.shingle_set(t, 3) for _, t in rows], [i for i, _ in rows], 60, 100)
+    assert got == {i: c for (i, _), c in zip(rows, want)}
+
+
+def test_links_of_a_bucket_join_components_only():
+    """Links handed on make a forest, and its trees are the components."""
+    r = np.random.default_rng(3)
+    sets, labels = [], []
+    for family in range(4):
+        base = r.integers(0, 1 << 40, 60).astype(np.uint64)
+        for _ in range(30):
+            s = base.copy()
+            s[r.integers(0, 60, 6)] = r.integers(0, 1 << 40, 6)
+            sets.append(np.unique(s))
+            labels.append(len(labels) // 3)             # three sets of a label from the start
+    known = N.BucketLinks(sets, np.array(labels), 75, 100)
+    out = [p for q in range(len(sets)) for p in known.join(q, np.arange(q + 1, len(sets)))]
+
+    def roots(pairs):
+        parent = list(range(len(sets)))
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for i, label in enumerate(labels):
+            parent[find(i)] = find(labels.index(label))
+        for a, b in pairs:
+            parent[find(a)] = find(b)
+        return [find(i) for i in range(len(sets))]
+
+    every = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))]
+    want, got = roots(every), roots(out)
+    assert len({(a, b) for a, b in zip(want, got)}) == len(set(want)) == len(set(got))
+    assert len(out) == len(set(labels)) - len(set(got)) < len(every)
+
+
+def test_rows_of_a_group_grow_with_its_sets(spark):
+    """A group of near copies where most pairs are no links: no step writes pairs."""
+    r = random.Random(11)
+    words = [f"w{i}" for i in range(120)]
+
+    def group(n):
+        out = []
+        for _ in range(n):
+            w = list(words)
+            for k in r.sample(range(len(w)), 5):
+                w[k] = f"x{r.randrange(10**6)}"
+            out.append(" ".join(w))
+        return list(enumerate(out))
+
+    counts = {}
+    for n in (60, 120):
+        sets = N.Sets(spark.createDataFrame(group(n), "doc_id long, text string"), 4, 85, 100)
+        signatures, shared, classes = sets.buckets()
+        rows = shared.withColumn("label", shared.s1)
+        core = sets.open_rows(rows.filter("core"))
+        near = sets.with_partners(core, classes.selectExpr("s1", "coalesce(coarse, point) as point"))
+        counts[n] = (core.count(), near.count())
+        assert near.count() <= core.count()
+    assert counts[120][1] <= 3 * max(1, counts[60][1])
