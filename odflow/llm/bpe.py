@@ -67,18 +67,12 @@ def byte_symbols() -> list[str]:
     return out
 
 
-def disputed() -> regex.Pattern:
-    """Characters whose class or order depends on the version of Unicode:
-    those that this Python's tables leave unassigned, and combining marks."""
-    out, start = [f"{chr(LAST_SCRIPTS)}-{chr(0x10FFFF)}"], None
-    for cp in range(0x300, LAST_SCRIPTS + 1):
-        hit = unicodedata.category(chr(cp)) in ("Cn", "Mn", "Mc", "Me") and cp < LAST_SCRIPTS
-        if hit and start is None:
-            start = cp
-        elif not hit and start is not None:
-            out.append(f"{chr(start)}-{chr(cp - 1)}")
-            start = None
-    return regex.compile(f"[{''.join(out)}]")
+def disputed() -> frozenset[str]:
+    """Characters below LAST_SCRIPTS whose class or order depends on the version
+    of Unicode: those that this Python's tables leave unassigned, and combining
+    marks."""
+    category = unicodedata.category
+    return frozenset([c for c in map(chr, range(0x300, LAST_SCRIPTS)) if category(c) in ("Cn", "Mn", "Mc", "Me")])
 
 
 class Bpe:
@@ -212,7 +206,8 @@ class Bpe:
         if text.isascii():
             return False
         self.disputed = self.disputed or disputed()
-        return self.disputed.search(text) is not None
+        found = set(text)       # a text has few different characters
+        return max(found) >= chr(LAST_SCRIPTS) or not self.disputed.isdisjoint(found)
 
     def chunks(self, text: str) -> list[str]:
         if not unicodedata.is_normalized("NFC", text):
