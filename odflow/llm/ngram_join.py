@@ -86,6 +86,15 @@ FANOUT = 16
 FLUSH = 200_000
 
 
+def _lean(run):
+    """``run`` as a function of batches that gives Arrow's free memory back when
+    its task ends: workers stay, and would keep it beside the JVM's."""
+    def lean(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+    return lean
+
+
 def _sets(hasher: WordHasher, column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of every text."""
     for row, data, offsets in stretches(column):
@@ -269,7 +278,7 @@ class Sets:
                      pa.array(pts, pa.binary()), pa.array([coarse(p) for p in pts], pa.binary())],
                     ["doc_id", "text_hash", "n", "s1", "s2", "point", "coarse"])
 
-        return self.docs.mapInArrow(run, "doc_id long, text_hash long, n long, s1 long, s2 long, point binary, coarse binary")
+        return self.docs.mapInArrow(_lean(run), "doc_id long, text_hash long, n long, s1 long, s2 long, point binary, coarse binary")
 
     def levels(self) -> np.ndarray:
         """Rarity level (0 to 255) of every cell of shingle hashes: four
@@ -299,7 +308,7 @@ class Sets:
                 yield from rows(sums.values(), sums)
 
         schema = "block int, counts binary"
-        counts = self.docs.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(add, schema)
+        counts = self.docs.select("text").mapInArrow(_lean(count), schema).repartition("block").mapInArrow(_lean(add), schema)
         cells = np.zeros(CELLS)
         for r in counts.collect():      # a fixed number of cells, whatever the table holds
             cells[r.block * CELLS_PER_ROW:(r.block + 1) * CELLS_PER_ROW] = np.frombuffer(r.counts, np.int64)
@@ -346,7 +355,7 @@ class Sets:
         def rows(*columns):
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["h", "s1", "n", "short", "core"])
 
-        return self.docs.select("text").mapInArrow(run, "h long, s1 long, n int, short boolean, core boolean")
+        return self.docs.select("text").mapInArrow(_lean(run), "h long, s1 long, n int, short boolean, core boolean")
 
     def members(self, wanted: DataFrame) -> DataFrame:
         """(s1, s2, grams) of the rows that ``wanted`` (doc_id, text_hash)
@@ -375,7 +384,7 @@ class Sets:
         if keys.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
             keys = F.broadcast(keys)
         docs = self.docs.withColumn("_row", key).join(keys, F.col("_row") == F.col("_key"), "left_semi")
-        return docs.select("text").mapInArrow(run, "s1 long, s2 long, grams binary")
+        return docs.select("text").mapInArrow(_lean(run), "s1 long, s2 long, grams binary")
 
     def verified(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
         """Links (u, v) among the pairs (a, b): bounded by the points first;
@@ -408,12 +417,12 @@ class Sets:
             return p.join(right.select(F.col("s1").alias("b"), *[F.col(c).alias(y) for c, _, y in columns]), "b")
 
         kept = sides(pairs, classes, classes, [("n", "na", "nb"), ("point", "pa", "pb")])
-        kept = kept.filter(f"{den} * least(na, nb) >= {num} * greatest(na, nb)").mapInArrow(bound, "a long, b long")
+        kept = kept.filter(f"{den} * least(na, nb) >= {num} * greatest(na, nb)").mapInArrow(_lean(bound), "a long, b long")
         kept = stored(kept.distinct(), f"join-{name}-pairs")
         ends = kept.select(F.col("a").alias("s1")).unionByName(kept.select(F.col("b").alias("s1"))).distinct()
         members = stored(self.members(classes.join(ends, "s1").select("r.doc_id", "r.text_hash")), f"join-{name}-members")
         full = sides(kept, members, members, [("s1", "u1", "v1"), ("s2", "u2", "v2"), ("grams", "ga", "gb")])
-        links = full.select("u1", "u2", "v1", "v2", "ga", "gb").mapInArrow(check, "u1 long, u2 long, v1 long, v2 long")
+        links = full.select("u1", "u2", "v1", "v2", "ga", "gb").mapInArrow(_lean(check), "u1 long, u2 long, v1 long, v2 long")
         links = links.select(F.struct(F.col("u1").alias("s1"), F.col("u2").alias("s2")).alias("u"),
                              F.struct(F.col("v1").alias("s1"), F.col("v2").alias("s2")).alias("v"))
         return stored(links.distinct(), f"join-{name}-links")
@@ -459,7 +468,7 @@ class Sets:
                 yield flush(parts)
 
         dealt = rows.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
-        return dealt.mapInArrow(run, "a long, b long").distinct()
+        return dealt.mapInArrow(_lean(run), "a long, b long").distinct()
 
     @staticmethod
     def in_blocks(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -533,7 +542,7 @@ class Sets:
             if waiting:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.concatenate(ids))], ["h", "s1"])
 
-        near = self.in_blocks(shown, ["s1", "n", "short", "label", "point", "done"]).mapInArrow(run, "h long, s1 long").distinct()
+        near = self.in_blocks(shown, ["s1", "n", "short", "label", "point", "done"]).mapInArrow(_lean(run), "h long, s1 long").distinct()
         return rows.join(near, ["h", "s1"], "left_semi")
 
     def bucket_links(self, rows: DataFrame) -> DataFrame:
@@ -566,7 +575,7 @@ class Sets:
                     yield pa.RecordBatch.from_arrays(ends, ["u1", "u2", "v1", "v2"])
 
         dealt = self.in_blocks(rows, ["s1", "s2", "label", "grams", "rest"])
-        links = dealt.mapInArrow(run, "u1 long, u2 long, v1 long, v2 long").distinct()
+        links = dealt.mapInArrow(_lean(run), "u1 long, u2 long, v1 long, v2 long").distinct()
         return stored(links.select(F.struct(F.col("u1").alias("s1"), F.col("u2").alias("s2")).alias("u"),
                                    F.struct(F.col("v1").alias("s1"), F.col("v2").alias("s2")).alias("v")), "join-bucket-links")
 
