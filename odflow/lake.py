@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from odflow import schema as S
@@ -111,18 +111,23 @@ class Lake:
 
         ``present_days`` (one column of dates) says which requested days have
         rows; pass a partition-column projection of the source (cheap: no data
-        columns are read).  Without it the days are taken from ``df`` itself.
-        The collected list holds at most ``len(days)`` dates.
+        columns are read).  Without it the days are noted while the rows are
+        written, so ``df`` is run once.  The list holds at most ``len(days)`` dates.
         """
         requested = sorted(set(days))
         day_lits = [F.lit(d).cast("date") for d in requested]
         body = df.filter(F.col(day_col).isin(day_lits))
-        self.replace_partitions(body, layer, table, [day_col])
-        src = present_days if present_days is not None else body.select(day_col)
-        present = {
-            r[0].isoformat()
-            for r in src.toDF("d").filter(F.col("d").isin(day_lits)).distinct().collect()
-        }
+        if present_days is None:
+            watch = Observation("days written")
+            written = body.observe(watch, F.collect_set(F.col(day_col).cast("date").cast("string")).alias("days"))
+            self.replace_partitions(written, layer, table, [day_col])
+            present = set(watch.get.get("days") or [])
+        else:
+            self.replace_partitions(body, layer, table, [day_col])
+            present = {
+                r[0].isoformat()
+                for r in present_days.toDF("d").filter(F.col("d").isin(day_lits)).distinct().collect()
+            }
         self.clear_days(layer, table, day_col, [d for d in requested if d not in present], body.drop(day_col).schema)
 
     def clear_days(self, layer: str, table: str, day_col: str, days: list[str], schema) -> None:

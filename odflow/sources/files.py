@@ -29,11 +29,16 @@ def list_files(spark: SparkSession, prefix: str, name_contains: str = "", suffix
     """Full paths of the files under ``prefix`` (any depth, any Hadoop file
     system) whose name contains the text; a prefix without any file at all is
     an error."""
-    paths = [p for p, _, _ in storage.listing(spark, prefix)] if storage.exists(spark, prefix) else []
-    paths = [p for p in paths if not p.rsplit("/", 1)[-1].startswith(("_", "."))]
-    if not paths:
+    return list(file_versions(spark, prefix, name_contains, suffix))
+
+
+def file_versions(spark: SparkSession, prefix: str, name_contains: str = "", suffix: str = "") -> dict[str, tuple[int, int]]:
+    """The files of ``list_files``, each with its bytes and modification time."""
+    found = storage.listing(spark, prefix) if storage.exists(spark, prefix) else []
+    found = [f for f in found if not f[0].rsplit("/", 1)[-1].startswith(("_", "."))]
+    if not found:
         raise NoInputFiles(f"no files found in {prefix}")
-    return [p for p in paths if name_contains in p.rsplit("/", 1)[-1] and p.endswith(suffix)]
+    return {p: (size, time) for p, size, time in found if name_contains in p.rsplit("/", 1)[-1] and p.endswith(suffix)}
 
 
 def header_schema(spark: SparkSession, sample: str, sep: str = "|") -> T.StructType:

@@ -9,8 +9,11 @@ checks, then reloads the same days of the gold tables.
 
 No row is lost however files come: a day may have any number of files, in one
 batch, in several (``max_files_per_trigger``), or late in another run, since a
-day is always rebuilt whole.  A batch that is run again after a failure writes
-the same partitions again.  This relies on names that start with the day
+day is always rebuilt whole.  A query remembers the files (names, sizes, times)
+that it built each day from: a later batch that brings more of the same files
+finds the day as it would build it, and work grows with the files, not with
+files times batches.  A restarted query remembers nothing: a batch that is run
+again after a failure writes the same partitions again.  This relies on names that start with the day
 (``<yyyyMMdd>_Viajes_<level>...csv.gz``); a row of another day than its file's
 name, a malformed line or another header fails the batch.
 """
@@ -26,7 +29,7 @@ from odflow.lake import Lake
 from odflow.plans import gold
 from odflow.plans.silver import silver_trips
 from odflow.session import stored
-from odflow.sources.files import list_files, read_trip_csv
+from odflow.sources.files import file_versions, read_trip_csv
 
 # ---- fixed values: file-name markers of the three trip levels ----
 LEVEL_FILES = {"municipios": "Viajes_municipios", "distritos": "Viajes_distritos", "gaus": "Viajes_GAU"}
@@ -56,18 +59,27 @@ def file_day(path: str) -> str:
     return f"{name[:4]}-{name[4:6]}-{name[6:8]}"
 
 
-def _process_batch(lake: Lake, relaciones: DataFrame, prefix: str, batch: DataFrame, batch_id: int) -> None:
+def _process_batch(lake: Lake, relaciones: DataFrame, prefix: str, built: dict[tuple[str, str], dict], batch: DataFrame,
+                   batch_id: int) -> None:
+    """``built``: the files that this query built each (level, day) from."""
     new: dict[str, set[str]] = {}
     for r in batch.select("tipo_zona", "path").distinct().collect():     # one row per new file
         new.setdefault(r.tipo_zona, set()).add(file_day(r.path))
     spark = lake.spark
-    files = list_files(spark, prefix, "", ".csv.gz")       # once a batch, for all levels
+    files = file_versions(spark, prefix, "", ".csv.gz")       # once a batch, for all levels
     for level in sorted(new):
-        days = sorted(new[level])
-        paths = [p for p in files if LEVEL_FILES[level] in p.rsplit("/", 1)[-1] and file_day(p) in new[level]]
+        present: dict[str, dict] = {day: {} for day in sorted(new[level])}
+        for path, version in files.items():
+            if LEVEL_FILES[level] in path.rsplit("/", 1)[-1] and file_day(path) in present:
+                present[file_day(path)][path] = version
+        days = [day for day, of_day in present.items() if built.get((level, day)) != of_day]
+        if not days:
+            continue
+        paths = [path for day in days for path in present[day]]
         rows = silver_trips({level: read_trip_csv(spark, paths, day_in_name=True)}, relaciones).drop("tipo_zona")
         lake.replace_days(rows, "silver", f"viajes/tipo_zona={level}", days)
         gold.write_gold(lake, lake.read("silver", "viajes"), level, days)
+        built.update({(level, day): present[day] for day in days})
 
 
 def start_trip_ingest(
@@ -91,7 +103,8 @@ def start_trip_ingest(
     for s in streams[1:]:
         src = src.unionByName(s)
     rel = stored(relaciones, "relaciones")      # a small dimension that every batch reads
-    w = src.writeStream.foreachBatch(lambda df, bid: _process_batch(lake, rel, prefix, df, bid)).option(
+    built: dict[tuple[str, str], dict] = {}
+    w = src.writeStream.foreachBatch(lambda df, bid: _process_batch(lake, rel, prefix, built, df, bid)).option(
         "checkpointLocation", checkpoint_location
     )
     if processing_time:

@@ -85,3 +85,20 @@ def test_gold_by_one_exchange_is_the_same_table(spark, scratch):
     G.write_gold(lake, v.filter("id_origen <> 7"), "municipios", days=["2023-01-02"], one_exchange=True)
     left = lake.read("gold", G.ZONES["municipios"].gold_table)
     assert left.filter("fecha = '2023-01-02' and id_origen = 7").count() == 0 and left.filter("fecha = '2023-01-03' and id_origen = 7").count() > 0
+
+
+def test_days_are_reloaded_by_one_run_of_the_rows(spark, scratch):
+    lake, runs = Lake(spark, scratch), spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            runs.add(len(batch))
+            yield batch
+
+    days = spark.createDataFrame([(1, "2023-01-01"), (2, "2023-01-02"), (3, "2023-01-02"), (4, None)], "a int, d string")
+    rows = days.select("a", F.col("d").cast("date").alias("fecha"))
+    lake.replace_days(rows, "s", "t", ["2023-01-01", "2023-01-02"])
+    rows = rows.filter("a <> 1 or a is null").mapInPandas(seen, rows.schema)
+    lake.replace_days(rows, "s", "t", ["2023-01-01", "2023-01-02"])
+    assert sorted(r.a for r in lake.read("s", "t").collect()) == [2, 3]       # the day without rows is emptied
+    assert runs.value == 3

@@ -54,6 +54,24 @@ def test_several_and_late_files_of_a_day_are_all_kept(spark, scratch):
     assert (got.id_origen, got.id_destino, got.viajes_metros) == (1, 2, 2000.0)
 
 
+def test_a_day_whose_files_come_in_many_batches_is_built_once(spark, scratch, monkeypatch):
+    src = os.path.join(scratch, "in")
+    for i in range(3):
+        _write_day(src, "20230101", f"Viajes_distritos_{i}", [("2023-01-01", "08", "Z1", "Z2", str(i), "1")])
+    _write_day(src, "20230102", "Viajes_distritos_0", [("2023-01-02", "08", "Z1", "Z2", "9", "1")])
+    built, real = [], Lake.replace_days
+
+    def counted(self, df, layer, table, days, **options):
+        built.extend((layer, d) for d in days)
+        return real(self, df, layer, table, days, **options)
+
+    monkeypatch.setattr(Lake, "replace_days", lambda self, df, layer, table, days, *a, **k: counted(self, df, layer, table, days, **k))
+    lake = Lake(spark, os.path.join(scratch, "lake"))
+    _run(spark, src, lake, os.path.join(scratch, "ckpt"), max_files_per_trigger=1)
+    assert _trips(lake) == [("distritos", 1, 0.0), ("distritos", 1, 1.0), ("distritos", 1, 2.0), ("distritos", 2, 9.0)]
+    assert sorted(built) == [(layer, f"2023-01-0{d}") for layer in ("gold", "silver") for d in (1, 2)]
+
+
 @pytest.mark.parametrize("lines", [["2023-01-01|08|Z1|Z2|1"], ["2023-01-02|08|Z1|Z2|1|1"]])
 def test_short_lines_and_rows_of_another_day_fail_the_stream(spark, scratch, lines):
     src = os.path.join(scratch, "in")
