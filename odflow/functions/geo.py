@@ -245,8 +245,12 @@ def _slab(p: str, y: str) -> str:
 
 def _slab_members(p: str, y0: str, y1: str) -> str:
     """Numbers of the edges in the slabs from ``y0`` to ``y1``."""
-    return _let(_slab(p, y0), lambda a: _let(_slab(p, y1), lambda b: (
-        f"slice({p}.members, get({p}.first, {a}) + 1, get({p}.first, {b} + 1) - get({p}.first, {a}))")))
+    def members(a: str, b: str) -> str:
+        return f"slice({p}.members, get({p}.first, {a}) + 1, get({p}.first, {b} + 1) - get({p}.first, {a}))"
+
+    if y0 == y1:
+        return _let(_slab(p, y0), lambda a: members(a, a))
+    return _let(_slab(p, y0), lambda a: _let(_slab(p, y1), lambda b: members(a, b)))
 
 
 def edges_at(prepared: str, y: str) -> Column:

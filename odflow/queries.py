@@ -39,7 +39,7 @@ from odflow.plans import pipeline, reports
 from odflow.plans import questions as Q
 from odflow.plans import silver as SV
 from odflow.plans import usecases as U
-from odflow.session import scratch_path, stored
+from odflow.session import scratch_path, spread, stored
 from odflow.sources import files, storage
 from odflow.sources import fixtures as fx
 from odflow.sources.fixture_lake import fixture_lake, source_key, trip_folder
@@ -446,7 +446,7 @@ def q_spatial_left_join(spark, sf):
 
 @query("point_in_polygon")
 def q_point_in_polygon(spark, sf):
-    pts = fx.customer_points(spark, sf)
+    pts = spread(fx.customer_points(spark, sf))
     poly = geo.geom_literal_sql(spark, fx.CONCAVE_WKT)
     return pts.filter(geo.st_contains_point(poly, "x", "y", prepared=True)).select("point_id")
 
@@ -749,7 +749,7 @@ def q_latin1_text(spark, sf):
 
 
 def _customer_squares(spark, sf) -> DataFrame:
-    pts = fx.customer_points(spark, sf)
+    pts = spread(fx.customer_points(spark, sf))
     a = lambda c, d: F.format_string("%.2f", F.col(c) + F.lit(d))
     wkt = F.format_string(
         "POLYGON((%s %s, %s %s, %s %s, %s %s, %s %s))",
@@ -782,12 +782,10 @@ def q_polygon_with_holes(spark, sf):
     x, y = corner("c_custkey % 9"), corner("c_custkey DIV 9 % 9")
     w = corner("1 + c_custkey DIV 81 % 3")
     inner = geo.rect_sql(x, y, f"{x} + {w}", f"{y} + {w}")
-    parts = []
-    for name, wkt in fx.HOLE_SHAPES.items():
-        test = geo.st_contains(geo.geom_literal_sql(spark, wkt), "g", prepared=True)
-        c = fx.table(spark, sf, "customer").select("c_custkey", F.expr(inner).alias("g"))
-        parts.append(c.select(F.lit(name).alias("shape"), F.col("c_custkey").alias("point_id"), test.alias("inside")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    c = spread(fx.table(spark, sf, "customer").select("c_custkey")).select("c_custkey", F.expr(inner).alias("g"))
+    tests = [F.struct(F.lit(name).alias("shape"), geo.st_contains(geo.geom_literal_sql(spark, wkt), "g", prepared=True).alias("inside"))
+             for name, wkt in fx.HOLE_SHAPES.items()]
+    return c.select(F.col("c_custkey").alias("point_id"), F.explode(F.array(*tests)).alias("t")).select("t.shape", "point_id", "t.inside")
 
 
 @query("filter_in_z_polygon")

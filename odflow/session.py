@@ -85,3 +85,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, "stored", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Tasks for each core over which ``spread`` deals rows.
+SPREAD = 3
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly over all cores, for rows of few bytes that cost much
+    each: the files' splits go by bytes (a row group is never cut), so that a
+    million such rows would be one task."""
+    return df.repartition(SPREAD * df.sparkSession.sparkContext.defaultParallelism)

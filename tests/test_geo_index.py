@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from odflow.functions import geo
 from odflow.operators import joins
+from odflow.queries import registry
+from odflow.sources import fixtures as fx
 
 
 def ring(n, radius=10.0, cx=0.0, cy=0.0, wave=0.0, turns=7):
@@ -149,3 +151,15 @@ def test_no_part_of_the_join_gets_a_third_of_the_points(spark):
     assert joined.groupBy("pid").count().count() == 9000
     quarters = list(joins.quadtree({0: 1000, 1: 10, 4095: 3}, 100))
     assert quarters == [(0, joins.QUAD_DEPTH, 10), (1, joins.QUAD_DEPTH, 1), (1024 * 3, 1, 1)] or sum(p for _, _, p in quarters) >= 11
+
+
+def test_dear_rows_of_one_small_file_are_dealt_over_all_cores(spark, scratch):
+    spark.range(5000).selectExpr("if(id = 0, null, id) c_custkey").coalesce(1).write.parquet(f"{scratch}/customer.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    for name in ("polygon_with_holes", "polygon_in_polygon", "point_in_polygon", "wkt_parse", "centroid_xy"):
+        df = registry()[name](spark, scratch)
+        tasks = df.select(F.spark_partition_id().alias("t")).distinct().count()
+        assert tasks >= 2 * cores, name
+    got = registry()["polygon_with_holes"](spark, scratch)
+    assert {(r.shape, r.n) for r in got.groupBy("shape").agg(F.count("*").alias("n")).collect()} == {(s, 5000) for s in fx.HOLE_SHAPES}
+    assert got.filter("point_id is null and inside is null").count() == 3
