@@ -44,8 +44,10 @@ def source_key(spark: SparkSession, sf_dir: str) -> str:
 
 
 def trip_folder(spark: SparkSession, sf_dir: str) -> str:
-    """Daily gzip trip files of all levels, written once: several files a day,
-    columns in another order than the table's, and one that nobody reads."""
+    """Daily gzip trip files of all levels, written once: as many files a day as
+    its rows need, columns in another order than the table's, and one that
+    nobody reads.  Rows are dealt by day and level first (AQE cuts a large day),
+    so the number of files follows the rows, not tasks times days."""
     root = scratch_path(spark, "files", source_key(spark, sf_dir), "raw", "trips")
     with _FILES_LOCK:
         if not storage.exists(spark, f"{root}/_ready"):
@@ -53,8 +55,8 @@ def trip_folder(spark: SparkSession, sf_dir: str) -> str:
             df = fx.bronze_trips(spark, sf_dir).select(
                 F.regexp_replace("fecha", "-", "").alias("day"), F.col("tipo_zona").alias("level"),
                 F.lit("x").alias("residencia"), "destino", "viajes_km", "fecha", "origen", "viajes", "periodo")
-            (df.write.partitionBy("day", "level").option("header", True).option("sep", "|")
-             .option("compression", "gzip").csv(tmp))
+            (df.hint("rebalance", "day", "level").write.partitionBy("day", "level").option("header", True).option("sep", "|")
+             .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").csv(tmp))
             count: dict[str, int] = {}
             for path, _, _ in storage.listing(spark, tmp):
                 if path.endswith(".csv.gz"):

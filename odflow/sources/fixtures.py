@@ -68,11 +68,9 @@ def _trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return (
-        li.join(od, li.l_orderkey == od.o_orderkey)
-        .join(cu, F.col("o_custkey") == cu.c_custkey)
-        .join(su, li.l_suppkey == su.s_suppkey)
-    )
+    # customers meet the orders, which are fewer than the lines
+    placed = od.join(cu, od.o_custkey == cu.c_custkey)
+    return li.join(su, li.l_suppkey == su.s_suppkey).join(placed, li.l_orderkey == placed.o_orderkey)
 
 
 def _fecha(partkey: Column) -> Column:
