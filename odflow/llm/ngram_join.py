@@ -308,7 +308,7 @@ class Sets:
                 yield from rows(sums.values(), sums)
 
         schema = "block int, counts binary"
-        counts = self.docs.select("text").mapInArrow(_lean(count), schema).repartition("block").mapInArrow(_lean(add), schema)
+        counts = self.docs.select("text").mapInArrow(_lean(count), schema).repartition("block").coalesce(CELLS // CELLS_PER_ROW).mapInArrow(_lean(add), schema)
         cells = np.zeros(CELLS)
         for r in counts.collect():      # a fixed number of cells, whatever the table holds
             cells[r.block * CELLS_PER_ROW:(r.block + 1) * CELLS_PER_ROW] = np.frombuffer(r.counts, np.int64)
@@ -380,8 +380,8 @@ class Sets:
 
         # one number stands for a row; should two share it, the other's set is made too and not joined
         key = F.xxhash64("doc_id", "text_hash")
-        keys = wanted.select(key.alias("_key")).distinct()
-        if keys.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
+        keys = stored(wanted.select(key.alias("_key")), "join-keys")
+        if keys.count() <= MAX_BROADCAST_KEYS:
             keys = F.broadcast(keys)
         docs = self.docs.withColumn("_row", key).join(keys, F.col("_row") == F.col("_key"), "left_semi")
         return docs.select("text").mapInArrow(_lean(run), "s1 long, s2 long, grams binary")
@@ -389,7 +389,7 @@ class Sets:
     def verified(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
         """Links (u, v) among the pairs (a, b): bounded by the points first;
         what is left is checked on the sets, made anew from the texts of one
-        document of each class."""
+        document of each class.  A document that comes twice repeats its links."""
         num, den = self.num, self.den
 
         def bound(batches):
@@ -418,14 +418,14 @@ class Sets:
 
         kept = sides(pairs, classes, classes, [("n", "na", "nb"), ("point", "pa", "pb")])
         kept = kept.filter(f"{den} * least(na, nb) >= {num} * greatest(na, nb)").mapInArrow(_lean(bound), "a long, b long")
-        kept = stored(kept.distinct(), f"join-{name}-pairs")
+        kept = stored(kept, f"join-{name}-pairs")
         ends = kept.select(F.col("a").alias("s1")).unionByName(kept.select(F.col("b").alias("s1"))).distinct()
         members = stored(self.members(classes.join(ends, "s1").select("r.doc_id", "r.text_hash")), f"join-{name}-members")
         full = sides(kept, members, members, [("s1", "u1", "v1"), ("s2", "u2", "v2"), ("grams", "ga", "gb")])
         links = full.select("u1", "u2", "v1", "v2", "ga", "gb").mapInArrow(_lean(check), "u1 long, u2 long, v1 long, v2 long")
         links = links.select(F.struct(F.col("u1").alias("s1"), F.col("u2").alias("s2")).alias("u"),
                              F.struct(F.col("v1").alias("s1"), F.col("v2").alias("s2")).alias("v"))
-        return stored(links.distinct(), f"join-{name}-links")
+        return stored(links, f"join-{name}-links")
 
     def tree_pairs(self, rows: DataFrame) -> DataFrame:
         """Pairs (a, b) of different labels out of the buckets' trees, for ``links``.
@@ -485,15 +485,15 @@ class Sets:
         components, with their number of sets and of shingles.  Of buckets with
         the same sets, known by two hashes of them, one stands for all: near
         copies of a long text share hundreds of prefix shingles."""
-        rows = rows.select("h", "s1", "n", "label", "short")
-        stats = rows.groupBy("h").agg(
-            F.min("label").alias("_low"), F.max("label").alias("_high"), F.count("*").alias("_n"), F.sum("n").alias("_grams"),
-            F.bit_xor(F.xxhash64("s1")).alias("_x"), F.bit_xor(F.xxhash64("s1", F.lit(1))).alias("_y")).filter("_low < _high")
-        same = Window.partitionBy("_n", "_x", "_y")
-        stats = stats.withColumn("_first", F.min("h").over(same)).select(F.col("h").alias("_h"), "_first", "_n", "_grams")
-        met = rows.join(stats, F.col("h") == F.col("_h"))
-        return met.groupBy(F.col("_first").alias("h"), "s1").agg(
-            F.first("n").alias("n"), F.first("label").alias("label"), F.max("short").alias("short"), F.first("_n").alias("_n"), F.first("_grams").alias("_grams"))
+        in_bucket = Window.partitionBy("h")
+        rows = rows.select("h", "s1", "n", "label", "short", F.xxhash64("s1").alias("_a"), F.xxhash64("s1", F.lit(1)).alias("_b"))
+        rows = rows.withColumns({
+            "_low": F.min("label").over(in_bucket), "_high": F.max("label").over(in_bucket), "_n": F.count("*").over(in_bucket),
+            "_grams": F.sum("n").over(in_bucket), "_x": F.bit_xor("_a").over(in_bucket), "_y": F.bit_xor("_b").over(in_bucket)}).filter("_low < _high")
+        # each set is in all buckets of the same sets, so its least bucket of them is that of all
+        same = rows.groupBy("_n", "_x", "_y", "s1").agg(
+            F.min("h").alias("h"), F.first("n").alias("n"), F.first("label").alias("label"), F.max("short").alias("short"), F.first("_grams").alias("_grams"))
+        return same.select("h", "s1", "n", "label", "short", "_n", "_grams")
 
     def with_partners(self, rows: DataFrame, pts: DataFrame, done: DataFrame | None = None) -> DataFrame:
         """The ``rows`` of open buckets that the trees leave a partner of
@@ -508,7 +508,7 @@ class Sets:
             shown = shown.join(met, "s1", "left").withColumn("done", F.coalesce("done", F.array().cast("array<long>")))
 
         def run(batches):
-            hs, ids, waiting = [], [], 0
+            kept, waiting = [], 0
             for t in _grouped(batches, ["h", "i", "j"]):
                 full = [counts_of(p) for p in t.column("point").to_pylist()]
                 least = min(map(len, full))
@@ -532,18 +532,17 @@ class Sets:
                         found = found[[most_shared(full[q], full[f]) >= _needed(int(n[q]), int(n[f]), num, den) for f in found]]
                     if len(found):
                         left[q] = left[found] = True
-                kept = t.column("s1").to_numpy()[left]
-                hs.append(np.full(len(kept), t.column("h")[0].as_py(), np.int64))
-                ids.append(kept)
-                waiting += len(kept)
+                kept.append(t.select(columns).filter(pa.array(left)))
+                waiting += len(kept[-1])
                 if waiting >= FLUSH:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.concatenate(ids))], ["h", "s1"])
-                    hs, ids, waiting = [], [], 0
+                    yield from pa.concat_tables(kept).to_batches()
+                    kept, waiting = [], 0
             if waiting:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.concatenate(ids))], ["h", "s1"])
+                yield from pa.concat_tables(kept).to_batches()
 
-        near = self.in_blocks(shown, ["s1", "n", "short", "label", "point", "done"]).mapInArrow(_lean(run), "h long, s1 long").distinct()
-        return rows.join(near, ["h", "s1"], "left_semi")
+        columns = ["h", "s1", "n", "label", "short"]
+        near = self.in_blocks(shown, [*columns[1:], "point", "done"]).mapInArrow(_lean(run), "h long, s1 long, n int, label long, short boolean")
+        return near.repartition("h").dropDuplicates(["h", "s1"])
 
     def bucket_links(self, rows: DataFrame) -> DataFrame:
         """Links (u, v) that join two components of a bucket, from ``rows`` (h,
@@ -575,7 +574,7 @@ class Sets:
                     yield pa.RecordBatch.from_arrays(ends, ["u1", "u2", "v1", "v2"])
 
         dealt = self.in_blocks(rows, ["s1", "s2", "label", "grams", "rest"])
-        links = dealt.mapInArrow(_lean(run), "u1 long, u2 long, v1 long, v2 long").distinct()
+        links = dealt.mapInArrow(_lean(run), "u1 long, u2 long, v1 long, v2 long")
         return stored(links.select(F.struct(F.col("u1").alias("s1"), F.col("u2").alias("s2")).alias("u"),
                                    F.struct(F.col("v1").alias("s1"), F.col("v2").alias("s2")).alias("v")), "join-bucket-links")
 
@@ -584,29 +583,30 @@ class Sets:
         label) has been verified or holds one component."""
         pts = classes.select("s1", F.coalesce("coarse", "point").alias("point")).dropDuplicates(["s1"])
         rows = rows.filter("core").select("h", "s1", "n", "short", "label")
-        rows = stored(self.with_partners(stored(self.open_rows(rows), "join-open"), pts), "join-near")
+        rows = stored(self.open_rows(self.with_partners(stored(self.open_rows(rows), "join-open"), pts)), "join-open")
         if rows.isEmpty():
             return labels
         ends = rows.select("s1").distinct()
         sets = stored(self.members(classes.join(ends, "s1").select("r.doc_id", "r.text_hash")).dropDuplicates(["s1", "s2"]), "join-sets")
         done = None
         for turn in range(BUCKET_ROUNDS + 1):
-            rows = stored(self.open_rows(rows), "join-open")
             if done is not None:        # only sets that have not met all of their partners go on
-                rows = stored(self.open_rows(stored(self.with_partners(rows, pts, done), "join-near")), "join-open")
-            if rows.isEmpty():
-                break
+                rows = stored(self.open_rows(rows), "join-open")
+                rows = stored(self.open_rows(self.with_partners(rows, pts, done)), "join-open")
+                if rows.isEmpty():
+                    break
             if turn < BUCKET_ROUNDS:
                 # buckets that are the fullest one of half their sets: whole buckets, and on average two places a set
                 fullest = rows.groupBy("s1").agg(F.max(F.struct("_n", "h")).alias("_best")).groupBy(F.col("_best.h").alias("h"), F.col("_best._n").alias("_of")).count()
                 chosen = fullest.filter("2 * count >= _of").select("h")
-                now = rows.join(chosen, "h", "left_semi").withColumn("rest", F.lit(None).cast("array<long>"))
-                rows = rows.join(chosen, "h", "left_anti")
+                dealt = stored(rows.join(chosen.withColumn("_now", F.lit(True)), "h", "left"), "join-turn")
+                now = dealt.filter("_now").drop("_now").withColumn("rest", F.lit(None).cast("array<long>"))
+                rows = dealt.filter("_now is null").drop("_now")
             else:
                 now = rows.join(rows.groupBy("s1").agg(F.sort_array(F.collect_list("h")).alias("rest")), "s1")
                 rows = rows.limit(0)
             visits = now.select("s1", "h")
-            done = stored(visits if done is None else done.unionByName(visits), "join-done")
+            done = visits if done is None else done.unionByName(visits)
             labels = self.merged(labels, self.bucket_links(now.join(sets.select("s1", "s2", "grams"), "s1")))
             if labels is not None:
                 found = labels.select(F.col("node.s1").alias("s1"), F.col("root.s1").alias("_label")).dropDuplicates(["s1"])
@@ -658,7 +658,7 @@ class Sets:
         """Signatures of the rows, and the links (u, v) of all pairs of classes:
         no label spares a pair, so the work grows with the links of a group."""
         signatures, shared, classes = self.buckets()
-        return signatures, self.verified(self.open_pairs(shared.withColumn("label", F.col("s1")), classes), classes, "all")
+        return signatures, stored(self.verified(self.open_pairs(shared.withColumn("label", F.col("s1")), classes), classes, "all").distinct(), "join-links")
 
     def classes(self) -> DataFrame:
         """(doc_id, text_hash, n, s1, s2, root): root is the smallest class
