@@ -34,3 +34,14 @@ def test_links_of_edge_tables(spark, edge_dir, empty_dir):
     assert Counter((x.n_shingles, x.n_links) for x in N.links(docs, 4, 85, 100)[1].collect()) == want
     pairs, members = N.links(spark.read.parquet(f"{empty_dir}/documents.parquet"))
     assert pairs.count() == members.count() == 0
+
+
+def test_open_buckets_of_equal_sets_are_one_and_take_two_shuffles(spark):
+    rows = [(1, 10, 5, 10, False), (1, 11, 6, 11, True), (2, 10, 5, 10, True), (2, 11, 6, 11, False),      # the same two sets
+            (3, 10, 5, 10, False), (3, 12, 7, 10, True),                                                   # one component: closed
+            (4, 10, 5, 10, False), (4, 11, 6, 11, False), (4, 13, 4, 13, False)]
+    found = N.Sets.open_rows(spark.createDataFrame(rows, "h long, s1 long, n int, label long, short boolean"))
+    assert sorted((r.h, r.s1, r.n, r.label, r.short, r._n, r._grams) for r in found.collect()) == [
+        (1, 10, 5, 10, True, 2, 11), (1, 11, 6, 11, True, 2, 11),
+        (4, 10, 5, 10, False, 3, 15), (4, 11, 6, 11, False, 3, 15), (4, 13, 4, 13, False, 3, 15)]
+    assert found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") <= 2
